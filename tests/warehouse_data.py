@@ -75,7 +75,7 @@ def rows(seed: int = 7) -> dict[str, list[dict]]:
         add("content_genre", at(0), content_id=i, genre_id=i % 3 + 1)
         add("content_artist", at(0), content_id=i, artist_id=i % 3 + 1, role="lead-actor")
     for i in range(1, 31):
-        item = dict(inventory_id=i, content_id=i % 16 or None, warehouse_id=i % 5 or None, barcode="b",
+        item = dict(inventory_id=i, content_id=i % 16 or None, warehouse_id=i % 4 or None, barcode="b",
                     purchase_date=date(2024, 1, 3) if i % 2 else None)
         add("inventory_item", at(0), item_condition="good", status="in", **item)
         if i % 6 == 0:
