@@ -201,20 +201,26 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, sf: str, cut: str | None = None):
         self.spark, self.sf, self.cut = spark, sf, cut
+        self._made: dict[str, DataFrame] = {}
 
-    def silver(self, *tables: str) -> dict[str, DataFrame]:
-        def table(t: str) -> DataFrame:
+    def _table(self, t: str) -> DataFrame:
+        if t not in self._made:
             rows = bronze(self.spark, self.sf, t)
             if self.cut is not None:
-                rows = rows.filter(F.coalesce("updated_at", timestamp("1900-01-01")) < timestamp(self.cut))
-            return silver_full(t, rows, TIE_BREAK.get(t, ()))
+                updated = F.coalesce("updated_at", timestamp("1900-01-01"))
+                rows = rows.filter(updated < timestamp(self.cut))
+            self._made[t] = silver_full(t, rows, TIE_BREAK.get(t, ()))
+        return self._made[t]
 
-        return {t: table(t) for t in tables}
+    def silver(self, *tables: str) -> dict[str, DataFrame]:
+        return {t: self._table(t) for t in tables}
 
     def dims(self, *names: str) -> dict[str, DataFrame]:
         made: dict[str, DataFrame] = {}
-        order = [d for d in DIMENSION_TABLES if d in names or "dim_inventory" in names and d in ("dim_content", "dim_warehouse")]
-        for name in order:
+        looked_up = {"dim_content", "dim_warehouse"} if "dim_inventory" in names else set()
+        for name in DIMENSION_TABLES:
+            if name not in looked_up.union(names):
+                continue
             made[name] = dimension_full(name, self.silver(*DIMENSION_TABLES[name]), made, RUN_TS)
         made["dim_date"] = date_dimension(self.spark)
         made["dim_month"] = month_dimension(self.spark)

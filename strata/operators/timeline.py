@@ -21,26 +21,23 @@ from strata.functions import day
 _FIRST, _AFTER_LAST = -719162, 2932897
 
 
-def _blocks(a: str, b: str) -> str:
+# A span over at most this many pieces lists them one by one; a longer one uses blocks.
+_FEW = 8
+
+
+def _blocks() -> str:
     """SQL: the largest aligned power-of-two blocks that make up positions a .. b-1.
 
     A block is (level, block) and stands for the 2^level positions from block * 2^level.
     There are at most two per level, so about 2 * log2(b - a) in all.
     """
-    lo = f"(({a} + shiftleft(1, j) - 1) div shiftleft(1, j))"
-    hi = f"({b} div shiftleft(1, j))"
-    return f"""flatten(transform(sequence(0, int(floor(log2({b})))), j -> filter(array(
+    lo, hi = "((a + shiftleft(1, j) - 1) div shiftleft(1, j))", "(b div shiftleft(1, j))"
+    return f"""flatten(transform(sequence(0, int(floor(log2(b - a)))), j -> filter(array(
         if({lo} < {hi} and {lo} % 2 = 1, struct(j as level, int({lo}) as block), null),
         if({lo} < {hi} and {hi} % 2 = 1, struct(j as level, int({hi} - 1) as block), null)
     ), x -> x is not null)))"""
 
 
-def _blocks_above(pos: str, last: str) -> str:
-    """SQL: every block that holds a position, up to the one that could span 1 .. last."""
-    return f"""transform(sequence(0, int(floor(log2({last})))),
-        j -> struct(j as level, int({pos} div shiftleft(1, j)) as block))"""
-
-
 def _timeline(spans: DataFrame, keys: Sequence[str], answer: Sequence[str]) -> DataFrame:
     """Cut spans (keys, lo, hi, best) into disjoint ranges with the greatest `best` of each.
 
@@ -48,9 +45,10 @@ def _timeline(spans: DataFrame, keys: Sequence[str], answer: Sequence[str]) -> D
     needs one span over all days, so that its timeline has no gaps. `best` is a struct
     that starts with the ranking fields and ends with the `answer` fields.
 
-    The day boundaries of a key, numbered in order, cut its days into pieces. A span is
-    written as a few power-of-two blocks of pieces, a piece looks at the blocks above it:
-    V spans of a key give about V log V small rows however much they overlap. All steps
+    The day boundaries of a key, numbered in order, cut its days into pieces. A short span
+    lists its pieces, a long one a few power-of-two blocks of pieces, and each piece looks
+    at itself and the blocks above it: V spans of a key give at most about V log V small
+    rows however much they overlap, and a row or two each where they do not. All steps
     after the first two exchanges stay in the partitioning by key.
     """
     keys = list(keys)
@@ -58,34 +56,38 @@ def _timeline(spans: DataFrame, keys: Sequence[str], answer: Sequence[str]) -> D
 
     # Repeated spans of a hot key fall together here, before its rows move to one task.
     spans = spans.filter("lo < hi").groupBy(*keys, "lo", "hi").agg(F.max("best").alias("best"))
-    edges = (
-        spans.select("*", F.explode(F.array("lo", "hi")).alias("edge"))
-        .withColumn("pos", F.dense_rank().over(in_key.orderBy("edge")))
-        .withColumn("last", F.max("pos").over(in_key))
+    edges = spans.select("*", F.explode(F.array("lo", "hi")).alias("edge")).withColumn(
+        "pos", F.dense_rank().over(in_key.orderBy("edge"))
     )
-    numbered = edges.groupBy(*keys, "lo", "hi").agg(
-        F.first("best").alias("best"),
-        F.min("pos").alias("a"),
-        F.max("pos").alias("b"),
-        F.first("last").alias("last"),
+    whole = f"lo = {_FIRST} and hi = {_AFTER_LAST}"
+    numbered = (
+        edges.groupBy(*keys, "lo", "hi")
+        .agg(F.first("best").alias("best"), F.min("pos").alias("a"), F.max("pos").alias("b"))
+        .withColumns(
+            {
+                # what holds where nothing else does, and the highest block level in use
+                "rest": F.max(F.expr(f"case when {whole} then best end")).over(in_key),
+                "top": F.max(
+                    F.expr(f"case when {whole} or b - a <= {_FEW} then 0 else int(floor(log2(b - a))) end")
+                ).over(in_key),
+            }
+        )
     )
 
-    span_rows = f"transform({_blocks('a', 'b')}, x -> struct(x.level as level, x.block as block, best as best, int(null) as piece))"
+    blocks = f"""case when {whole} then filter(array(struct(0 as level, a as block)), x -> false)
+        when b - a <= {_FEW} then transform(sequence(a, b - 1), p -> struct(0 as level, p as block))
+        else {_blocks()} end"""
 
-    def piece_rows(pos: str, first_day: str) -> str:
-        no_best = "case when false then best end as best"
-        return (
-            f"transform({_blocks_above(pos, 'last')},"
-            f" x -> struct(x.level as level, x.block as block, {no_best}, {first_day} as piece))"
-        )
+    def above(pos: str, first_day: str) -> str:
+        return f"""transform(sequence(0, top), j -> struct(j as level, int({pos} div shiftleft(1, j)) as block,
+            rest as best, {first_day} as piece))"""
 
-    in_block = Window.partitionBy(*keys, "level", "block")
+    rows = f"""concat(
+        transform({blocks}, x -> struct(x.level as level, x.block as block, best as best, int(null) as piece)),
+        {above('a', 'lo')}, {above('b', 'hi')})"""
     resolved = (
-        numbered.select(
-            *keys,
-            F.expr(f"inline(concat({span_rows}, {piece_rows('a', 'lo')}, {piece_rows('b', 'hi')}))"),
-        )
-        .withColumn("best", F.max("best").over(in_block))
+        numbered.select(*keys, F.expr(f"inline({rows})"))
+        .withColumn("best", F.max("best").over(Window.partitionBy(*keys, "level", "block")))
         .filter(f"piece < {_AFTER_LAST}")
         .groupBy(*keys, F.col("piece").alias("lo"))
         .agg(F.max("best").alias("best"))
@@ -94,7 +96,7 @@ def _timeline(spans: DataFrame, keys: Sequence[str], answer: Sequence[str]) -> D
 
     # Neighbours with the same answer become one range.
     by_day = in_key.orderBy("lo")
-    same = F.lit(True)
+    same = F.expr("true")
     for c in answer:
         same = same & F.col(c).eqNullSafe(F.lag(c).over(by_day))
     is_first = F.row_number().over(by_day) == 1
