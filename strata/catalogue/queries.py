@@ -31,6 +31,7 @@ from strata.sources.extract import (
     timestamp,
     window_extract,
 )
+from strata.sources.staging import stage
 from strata.specs import DIMENSIONS, TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,7 +198,10 @@ DIMENSION_TABLES = {
 
 
 class Warehouse:
-    """Silver tables and dimensions as of a time (or of everything), built when asked for."""
+    """Silver tables and dimensions as of a time (or of everything), built when asked for.
+
+    As in the loads, what several later steps read is written first.
+    """
 
     def __init__(self, spark: SparkSession, sf: str, cut: str | None = None):
         self.spark, self.sf, self.cut = spark, sf, cut
@@ -212,16 +216,18 @@ class Warehouse:
             self._made[t] = silver_full(t, rows, TIE_BREAK.get(t, ()))
         return self._made[t]
 
-    def silver(self, *tables: str) -> dict[str, DataFrame]:
-        return {t: self._table(t) for t in tables}
+    def silver(self, *tables: str, store: bool = False) -> dict[str, DataFrame]:
+        return {t: stage(self._table(t)) if store else self._table(t) for t in tables}
 
-    def dims(self, *names: str) -> dict[str, DataFrame]:
+    def dims(self, *names: str, store: bool = False) -> dict[str, DataFrame]:
         made: dict[str, DataFrame] = {}
         looked_up = {"dim_content", "dim_warehouse"} if "dim_inventory" in names else set()
         for name in DIMENSION_TABLES:
             if name not in looked_up.union(names):
                 continue
             made[name] = dimension_full(name, self.silver(*DIMENSION_TABLES[name]), made, RUN_TS)
+            if name not in names or store:  # later steps read it more than once
+                made[name] = stage(made[name])
         made["dim_date"] = date_dimension(self.spark)
         made["dim_month"] = month_dimension(self.spark)
         return made
@@ -235,7 +241,7 @@ def dimension_table(name: str, spark: SparkSession, sf: str) -> DataFrame:
 def dimension_in_two_loads(name: str, spark: SparkSession, sf: str) -> DataFrame:
     """A dimension of the rows before the cut, then merged with the rows since."""
     before, after = Warehouse(spark, sf, CUT), Warehouse(spark, sf)
-    dims = before.dims(name)
+    dims = before.dims(name, store=True)
     silver = after.silver(*DIMENSION_TABLES[name])
     merged = dimension_incremental(name, dims[name], silver, dims, CUT_WATERMARK, RUN_TS)
     return plain(merged.drop("created_at", "updated_at"))
@@ -311,7 +317,7 @@ FACT_TABLES = {
 def fact_table(name: str, spark: SparkSession, sf: str, settled_only: bool = True) -> DataFrame:
     wh = Warehouse(spark, sf)
     silver = wh.silver(*FACT_TABLES[name])
-    return plain(fact_full(name, silver, wh.dims(*FACT_DIMENSIONS[name]), settled_only))
+    return plain(fact_full(name, silver, wh.dims(*FACT_DIMENSIONS[name], store=True), settled_only))
 
 
 def fact_in_two_loads(name: str, spark: SparkSession, sf: str) -> DataFrame:
@@ -321,9 +327,9 @@ def fact_in_two_loads(name: str, spark: SparkSession, sf: str) -> DataFrame:
     that only place events (items, subscriptions) are those of the second load.
     """
     wh, first = Warehouse(spark, sf), Warehouse(spark, sf, EVENT_CUT)
-    silver, dims = wh.silver(*FACT_TABLES[name]), wh.dims(*FACT_DIMENSIONS[name])
+    silver, dims = wh.silver(*FACT_TABLES[name], store=True), wh.dims(*FACT_DIMENSIONS[name], store=True)
     before = {**silver, **first.silver(*FACT_SOURCES[name])}
-    loaded = fact_full(name, before, dims)
+    loaded = stage(fact_full(name, before, dims))
     marks = {t: EVENT_WATERMARK for t in FACT_SOURCES[name]}
     return plain(fact_incremental(name, loaded, silver, dims, marks))
 

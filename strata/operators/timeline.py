@@ -21,8 +21,56 @@ from strata.functions import day
 _FIRST, _AFTER_LAST = -719162, 2932897
 
 
+# A key with at most this many spans is cut inside one row; others by blocks.
+_FEW_SPANS = 32
 # A span over at most this many pieces lists them one by one; a longer one uses blocks.
-_FEW = 8
+_FEW_PIECES = 8
+
+
+def _timeline(spans: DataFrame, keys: Sequence[str], answer: Sequence[str]) -> DataFrame:
+    """Cut spans (keys, lo, hi, best) into disjoint ranges with the greatest `best` of each.
+
+    `lo` is the first day and `hi` the day after the last one, as day numbers. Every key
+    needs one span over all days, so that its timeline has no gaps. `best` is a struct
+    that starts with the ranking fields and ends with the `answer` fields.
+
+    Most keys have few spans: those are gathered, a bounded number each, and cut by array
+    functions. Keys with many go another way that never gathers them.
+    """
+    # Repeated spans of a hot key fall together here, before its rows move to one task.
+    spans = spans.filter("lo < hi").groupBy(*keys, "lo", "hi").agg(F.max("best").alias("best"))
+    counted = spans.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    few = _cut_in_row(counted.filter(F.col("n") <= _FEW_SPANS), keys, answer)
+    many = _cut_by_blocks(counted.filter(F.col("n") > _FEW_SPANS).drop("n"), keys, answer)
+    return few.unionByName(many)
+
+
+def _cut_in_row(spans: DataFrame, keys: Sequence[str], answer: Sequence[str]) -> DataFrame:
+    """Timelines of keys with a bounded number of spans, each inside one row."""
+    changes = " or ".join(f"not (p.best.{c} <=> pieces[i - 1].best.{c})" for c in answer)
+    return (
+        spans.groupBy(*keys)
+        .agg(F.collect_list(F.struct("lo", "hi", "best")).alias("v"))
+        .select(
+            *keys, "v", F.expr("array_sort(array_distinct(flatten(transform(v, x -> array(x.lo, x.hi)))))").alias("days")
+        )
+        .select(
+            *keys,
+            F.expr(
+                "transform(slice(days, 1, size(days) - 1), d -> struct(d as lo, array_max(transform("
+                "filter(v, x -> x.lo <= d and d < x.hi), x -> x.best)) as best))"
+            ).alias("pieces"),
+        )
+        .select(*keys, F.expr(f"filter(pieces, (p, i) -> i = 0 or {changes})").alias("ranges"))
+        .select(
+            *keys,
+            F.expr(
+                "inline(transform(ranges, (r, i) -> struct(r.lo as valid_from,"
+                f" coalesce(get(ranges, i + 1).lo, {_AFTER_LAST}) - 1 as valid_to, r.best as best)))"
+            ),
+        )
+        .select(*keys, "valid_from", "valid_to", *[F.col(f"best.{c}").alias(c) for c in answer])
+    )
 
 
 def _blocks() -> str:
@@ -38,24 +86,16 @@ def _blocks() -> str:
     ), x -> x is not null)))"""
 
 
-def _timeline(spans: DataFrame, keys: Sequence[str], answer: Sequence[str]) -> DataFrame:
-    """Cut spans (keys, lo, hi, best) into disjoint ranges with the greatest `best` of each.
-
-    `lo` is the first day and `hi` the day after the last one, as day numbers. Every key
-    needs one span over all days, so that its timeline has no gaps. `best` is a struct
-    that starts with the ranking fields and ends with the `answer` fields.
+def _cut_by_blocks(spans: DataFrame, keys: Sequence[str], answer: Sequence[str]) -> DataFrame:
+    """Timelines of keys with any number of spans, without gathering them.
 
     The day boundaries of a key, numbered in order, cut its days into pieces. A short span
     lists its pieces, a long one a few power-of-two blocks of pieces, and each piece looks
     at itself and the blocks above it: V spans of a key give at most about V log V small
-    rows however much they overlap, and a row or two each where they do not. All steps
-    after the first two exchanges stay in the partitioning by key.
+    rows however much they overlap. All steps stay in the partitioning by key.
     """
     keys = list(keys)
     in_key = Window.partitionBy(*keys)
-
-    # Repeated spans of a hot key fall together here, before its rows move to one task.
-    spans = spans.filter("lo < hi").groupBy(*keys, "lo", "hi").agg(F.max("best").alias("best"))
     edges = spans.select("*", F.explode(F.array("lo", "hi")).alias("edge")).withColumn(
         "pos", F.dense_rank().over(in_key.orderBy("edge"))
     )
@@ -68,14 +108,14 @@ def _timeline(spans: DataFrame, keys: Sequence[str], answer: Sequence[str]) -> D
                 # what holds where nothing else does, and the highest block level in use
                 "rest": F.max(F.expr(f"case when {whole} then best end")).over(in_key),
                 "top": F.max(
-                    F.expr(f"case when {whole} or b - a <= {_FEW} then 0 else int(floor(log2(b - a))) end")
+                    F.expr(f"case when {whole} or b - a <= {_FEW_PIECES} then 0 else int(floor(log2(b - a))) end")
                 ).over(in_key),
             }
         )
     )
 
     blocks = f"""case when {whole} then filter(array(struct(0 as level, a as block)), x -> false)
-        when b - a <= {_FEW} then transform(sequence(a, b - 1), p -> struct(0 as level, p as block))
+        when b - a <= {_FEW_PIECES} then transform(sequence(a, b - 1), p -> struct(0 as level, p as block))
         else {_blocks()} end"""
 
     def above(pos: str, first_day: str) -> str:
@@ -128,7 +168,19 @@ def version_timeline(
         fields = ", ".join(["is_current", *answer])
         return f"struct({valid} as valid, {fields})"
 
-    spans = dim.filter(F.col(natural_key).isNotNull()).select(
+    # A lone version answers for every day, valid or not: one cheap aggregate settles it.
+    dim = dim.filter(F.col(natural_key).isNotNull())
+    counts = dim.groupBy(natural_key).agg(
+        F.count(F.lit(1)).alias("n"), *[F.max(c).alias(c) for c in answer]
+    )
+    lone = counts.filter("n = 1").select(
+        natural_key,
+        F.lit(_FIRST).alias("valid_from"),
+        F.lit(_AFTER_LAST - 1).alias("valid_to"),
+        *answer,
+    )
+    several = dim.join(counts.filter("n > 1").select(natural_key), natural_key, "left_semi")
+    spans = several.select(
         natural_key,
         F.expr(
             "inline(array("
@@ -136,7 +188,7 @@ def version_timeline(
             f"struct({_FIRST} as lo, {_AFTER_LAST} as hi, {ranked(0)} as best)))"
         ),
     )
-    return _timeline(spans, [natural_key], answer)
+    return lone.unionByName(_timeline(spans, [natural_key], answer))
 
 
 def interval_timeline(
