@@ -3,9 +3,11 @@
 A lookup asks, per key and day, for the best of the intervals that contain the day.
 Joining days to all intervals of a key and taking the best afterwards makes
 days x intervals rows per key, which a hot key turns into one huge group. Here the
-intervals alone are first cut into a timeline: per key, disjoint day ranges without
-gaps, each with its one answer. The lookup is then an equi join with a range condition
-that finds at most one row per fact row, so nothing is aggregated afterwards.
+intervals alone are first cut into a timeline: per key, disjoint day ranges, each with
+its one answer. The lookup is then an equi join with a range condition that finds at
+most one row per fact row, so nothing is aggregated afterwards.
+
+The intervals are read by several aggregates and joins: give a stored table.
 """
 
 from __future__ import annotations
@@ -20,56 +22,70 @@ from strata.functions import day
 # Days since 1970-01-01 of 0001-01-01 and of the day after 9999-12-31.
 _FIRST, _AFTER_LAST = -719162, 2932897
 
-
-# A key with at most this many spans is cut inside one row; others by blocks.
-_FEW_SPANS = 32
-# A span over at most this many pieces lists them one by one; a longer one uses blocks.
+# A key with at most this many intervals is cut inside one row, others by blocks.
+_FEW = 32
+# An interval over at most this many pieces lists them one by one; a longer one uses blocks.
 _FEW_PIECES = 8
 
 
-def _timeline(spans: DataFrame, keys: Sequence[str], answer: Sequence[str]) -> DataFrame:
-    """Cut spans (keys, lo, hi, best) into disjoint ranges with the greatest `best` of each.
+def _timeline(
+    intervals: DataFrame, key: str, crowded: DataFrame, answer: Sequence[str], fallback: bool
+) -> DataFrame:
+    """Cut intervals (key, lo, hi, best) into disjoint ranges with the greatest `best` of each.
 
-    `lo` is the first day and `hi` the day after the last one, as day numbers. Every key
-    needs one span over all days, so that its timeline has no gaps. `best` is a struct
-    that starts with the ranking fields and ends with the `answer` fields.
+    `lo` is the first day and `hi` the day after the last one, as day numbers; an interval
+    that is empty or open contains no day. Days without an interval have the greatest
+    `best` of the whole key if `fallback` is set, else no range. `best` is a struct that
+    starts with the ranking fields and holds the `answer` fields.
 
-    Most keys have few spans: those are gathered, a bounded number each, and cut by array
-    functions. Keys with many go another way that never gathers them.
+    `crowded` names the keys with many intervals. All others are gathered, a bounded
+    number of rows each, and cut by array functions; the crowded ones never are.
     """
-    # Repeated spans of a hot key fall together here, before its rows move to one task.
-    spans = spans.filter("lo < hi").groupBy(*keys, "lo", "hi").agg(F.max("best").alias("best"))
-    counted = spans.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    few = _cut_in_row(counted.filter(F.col("n") <= _FEW_SPANS), keys, answer)
-    many = _cut_by_blocks(counted.filter(F.col("n") > _FEW_SPANS).drop("n"), keys, answer)
-    return few.unionByName(many)
+    few = _cut_in_row(intervals.join(crowded, key, "left_anti"), key, answer, fallback)
+    many = _cut_by_blocks(intervals.join(crowded, key, "left_semi"), key, answer, fallback)
+    return (
+        few.unionByName(many)
+        .filter("best is not null")
+        .select(key, "valid_from", "valid_to", *[F.col(f"best.{c}").alias(c) for c in answer])
+    )
 
 
-def _cut_in_row(spans: DataFrame, keys: Sequence[str], answer: Sequence[str]) -> DataFrame:
-    """Timelines of keys with a bounded number of spans, each inside one row."""
+def _cut_in_row(intervals: DataFrame, key: str, answer: Sequence[str], fallback: bool) -> DataFrame:
+    """Timelines of keys with a bounded number of intervals, each inside one row."""
+    rest = "array_max(transform(v, x -> x.best))" if fallback else "null"
     changes = " or ".join(f"not (p.best.{c} <=> pieces[i - 1].best.{c})" for c in answer)
     return (
-        spans.groupBy(*keys)
+        intervals.groupBy(key)
         .agg(F.collect_list(F.struct("lo", "hi", "best")).alias("v"))
         .select(
-            *keys, "v", F.expr("array_sort(array_distinct(flatten(transform(v, x -> array(x.lo, x.hi)))))").alias("days")
+            key,
+            "v",
+            F.expr("filter(v, x -> x.lo < x.hi)").alias("held"),
         )
         .select(
-            *keys,
+            key,
+            "held",
+            F.expr(rest).alias("rest"),
             F.expr(
-                "transform(slice(days, 1, size(days) - 1), d -> struct(d as lo, array_max(transform("
-                "filter(v, x -> x.lo <= d and d < x.hi), x -> x.best)) as best))"
+                f"array_sort(array_distinct(concat(array({_FIRST}),"
+                " flatten(transform(held, x -> array(x.lo, x.hi))))))"
+            ).alias("days"),
+        )
+        .select(
+            key,
+            F.expr(
+                f"transform(filter(days, d -> d < {_AFTER_LAST}), d -> struct(d as lo, coalesce(array_max(transform("
+                "filter(held, x -> x.lo <= d and d < x.hi), x -> x.best)), rest) as best))"
             ).alias("pieces"),
         )
-        .select(*keys, F.expr(f"filter(pieces, (p, i) -> i = 0 or {changes})").alias("ranges"))
+        .select(key, F.expr(f"filter(pieces, (p, i) -> i = 0 or {changes})").alias("ranges"))
         .select(
-            *keys,
+            key,
             F.expr(
                 "inline(transform(ranges, (r, i) -> struct(r.lo as valid_from,"
                 f" coalesce(get(ranges, i + 1).lo, {_AFTER_LAST}) - 1 as valid_to, r.best as best)))"
             ),
         )
-        .select(*keys, "valid_from", "valid_to", *[F.col(f"best.{c}").alias(c) for c in answer])
     )
 
 
@@ -86,68 +102,82 @@ def _blocks() -> str:
     ), x -> x is not null)))"""
 
 
-def _cut_by_blocks(spans: DataFrame, keys: Sequence[str], answer: Sequence[str]) -> DataFrame:
-    """Timelines of keys with any number of spans, without gathering them.
+def _cut_by_blocks(intervals: DataFrame, key: str, answer: Sequence[str], fallback: bool) -> DataFrame:
+    """Timelines of keys with any number of intervals, without gathering them.
 
-    The day boundaries of a key, numbered in order, cut its days into pieces. A short span
-    lists its pieces, a long one a few power-of-two blocks of pieces, and each piece looks
-    at itself and the blocks above it: V spans of a key give at most about V log V small
-    rows however much they overlap. All steps stay in the partitioning by key.
+    The day boundaries of a key, numbered in order, cut its days into pieces. A short
+    interval lists its pieces, a long one a few power-of-two blocks of pieces, and each
+    piece looks at itself and the blocks above it: V intervals of a key give at most about
+    V log V small rows however much they overlap.
     """
-    keys = list(keys)
-    in_key = Window.partitionBy(*keys)
+    in_key = Window.partitionBy(key)
+    whole = f"(lo = {_FIRST} and hi = {_AFTER_LAST})"
+    rest = "best" if fallback else "case when false then best end"
+    # One interval over all days holds the fallback. Equal intervals of a hot key fall
+    # together here, before its rows move to one task.
+    spans = (
+        intervals.select(
+            key,
+            F.expr(
+                "inline(array(struct(lo as lo, hi as hi, best as best, false as is_rest),"
+                f" struct({_FIRST} as lo, {_AFTER_LAST} as hi, {rest} as best, true as is_rest)))"
+            ),
+        )
+        .filter("lo < hi")
+        .groupBy(key, "lo", "hi", "is_rest")
+        .agg(F.max("best").alias("best"))
+    )
     edges = spans.select("*", F.explode(F.array("lo", "hi")).alias("edge")).withColumn(
         "pos", F.dense_rank().over(in_key.orderBy("edge"))
     )
-    whole = f"lo = {_FIRST} and hi = {_AFTER_LAST}"
     numbered = (
-        edges.groupBy(*keys, "lo", "hi")
+        edges.groupBy(key, "lo", "hi", "is_rest")
         .agg(F.first("best").alias("best"), F.min("pos").alias("a"), F.max("pos").alias("b"))
         .withColumns(
             {
-                # what holds where nothing else does, and the highest block level in use
-                "rest": F.max(F.expr(f"case when {whole} then best end")).over(in_key),
+                "rest": F.max(F.expr("case when is_rest then best end")).over(in_key),
+                # the highest block level in use
                 "top": F.max(
-                    F.expr(f"case when {whole} or b - a <= {_FEW_PIECES} then 0 else int(floor(log2(b - a))) end")
+                    F.expr(f"case when is_rest or b - a <= {_FEW_PIECES} then 0 else int(floor(log2(b - a))) end")
                 ).over(in_key),
             }
         )
     )
 
-    blocks = f"""case when {whole} then filter(array(struct(0 as level, a as block)), x -> false)
+    blocks = f"""case when is_rest then filter(array(struct(0 as level, a as block)), x -> false)
         when b - a <= {_FEW_PIECES} then transform(sequence(a, b - 1), p -> struct(0 as level, p as block))
         else {_blocks()} end"""
 
     def above(pos: str, first_day: str) -> str:
         return f"""transform(sequence(0, top), j -> struct(j as level, int({pos} div shiftleft(1, j)) as block,
-            rest as best, {first_day} as piece))"""
+            case when false then best end as best, {first_day} as piece, rest as rest))"""
 
     rows = f"""concat(
-        transform({blocks}, x -> struct(x.level as level, x.block as block, best as best, int(null) as piece)),
+        transform({blocks}, x -> struct(x.level as level, x.block as block, best as best, int(null) as piece,
+            case when false then best end as rest)),
         {above('a', 'lo')}, {above('b', 'hi')})"""
     resolved = (
-        numbered.select(*keys, F.expr(f"inline({rows})"))
-        .withColumn("best", F.max("best").over(Window.partitionBy(*keys, "level", "block")))
+        numbered.select(key, F.expr(f"inline({rows})"))
+        .withColumn("best", F.max("best").over(Window.partitionBy(key, "level", "block")))
         .filter(f"piece < {_AFTER_LAST}")
-        .groupBy(*keys, F.col("piece").alias("lo"))
-        .agg(F.max("best").alias("best"))
-        .select(*keys, "lo", *[F.col(f"best.{c}").alias(c) for c in answer])
+        .groupBy(key, F.col("piece").alias("lo"))
+        .agg(F.coalesce(F.max("best"), F.max("rest")).alias("best"))
     )
 
     # Neighbours with the same answer become one range.
     by_day = in_key.orderBy("lo")
-    same = F.expr("true")
+    before = F.struct(F.lag("best").over(by_day).alias("best"))
+    same = F.row_number().over(by_day) > 1
     for c in answer:
-        same = same & F.col(c).eqNullSafe(F.lag(c).over(by_day))
-    is_first = F.row_number().over(by_day) == 1
+        same = same & F.col(f"best.{c}").eqNullSafe(before["best"][c])
     return (
-        resolved.withColumn("_starts", is_first | ~same)
-        .filter("_starts")
+        resolved.withColumn("_same", same)
+        .filter("not _same")
         .select(
-            *keys,
+            key,
             F.col("lo").alias("valid_from"),
             (F.lead("lo", 1, _AFTER_LAST).over(by_day) - 1).alias("valid_to"),
-            *answer,
+            "best",
         )
     )
 
@@ -163,13 +193,9 @@ def version_timeline(
     Columns: natural key, valid_from, valid_to (day numbers), surrogate key, `carried`.
     """
     answer = [surrogate_key, *carried]
-
-    def ranked(valid: int) -> str:
-        fields = ", ".join(["is_current", *answer])
-        return f"struct({valid} as valid, {fields})"
+    dim = dim.filter(F.col(natural_key).isNotNull())
 
     # A lone version answers for every day, valid or not: one cheap aggregate settles it.
-    dim = dim.filter(F.col(natural_key).isNotNull())
     counts = dim.groupBy(natural_key).agg(
         F.count(F.lit(1)).alias("n"), *[F.max(c).alias(c) for c in answer]
     )
@@ -179,16 +205,14 @@ def version_timeline(
         F.lit(_AFTER_LAST - 1).alias("valid_to"),
         *answer,
     )
-    several = dim.join(counts.filter("n > 1").select(natural_key), natural_key, "left_semi")
-    spans = several.select(
+    several = dim.join(counts.filter("n > 1").select(natural_key), natural_key, "left_semi").select(
         natural_key,
-        F.expr(
-            "inline(array("
-            f"struct(unix_date(effective_from) as lo, unix_date(effective_to) + 1 as hi, {ranked(1)} as best),"
-            f"struct({_FIRST} as lo, {_AFTER_LAST} as hi, {ranked(0)} as best)))"
-        ),
+        F.unix_date("effective_from").alias("lo"),
+        (F.unix_date("effective_to") + 1).alias("hi"),
+        F.struct("is_current", *answer).alias("best"),
     )
-    return lone.unionByName(_timeline(spans, [natural_key], answer))
+    crowded = counts.filter(F.col("n") > _FEW).select(natural_key)
+    return lone.unionByName(_timeline(several, natural_key, crowded, answer, fallback=True))
 
 
 def interval_timeline(
@@ -198,28 +222,17 @@ def interval_timeline(
 
     A NULL end is open, a NULL start never matches. Days without an interval are left out.
     """
-    ranked = ", ".join(order)
-    none = ", ".join(f"cast(null as {df.schema[c].dataType.simpleString()}) as {c}" for c in order)
-    values = ", ".join(f"{c} as _{c}" for c in answer)
-    no_values = ", ".join(
-        f"cast(null as {df.schema[c].dataType.simpleString()}) as _{c}" for c in answer
-    )
-    spans = df.filter(F.col(key).isNotNull() & F.col(start).isNotNull()).select(
+    df = df.filter(F.col(key).isNotNull() & F.col(start).isNotNull())
+    intervals = df.select(
         key,
-        F.expr(
-            "inline(array("
-            f"struct(unix_date(date({start})) as lo,"
-            f" coalesce(unix_date(date({end})) + 1, {_AFTER_LAST}) as hi,"
-            f" struct(1 as active, {ranked}, {values}) as best),"
-            f"struct({_FIRST} as lo, {_AFTER_LAST} as hi,"
-            f" struct(0 as active, {none}, {no_values}) as best)))"
-        ),
-    )
-    renamed = [f"_{c}" for c in answer]
-    timeline = _timeline(spans, [key], ["active", *renamed]).filter("active = 1")
-    return timeline.select(
-        key, "valid_from", "valid_to", *[F.col(f"_{c}").alias(c) for c in answer]
+        F.unix_date(day(start)).alias("lo"),
+        F.coalesce(F.unix_date(day(end)) + 1, F.lit(_AFTER_LAST)).alias("hi"),
+        F.struct(
+            *[F.col(c).alias(f"by_{c}") for c in order], *[F.col(c) for c in answer]
+        ).alias("best"),
     )
+    crowded = df.groupBy(key).count().filter(F.col("count") > _FEW).select(key)
+    return _timeline(intervals, key, crowded, answer, fallback=False)
 
 
 def at_day(facts: DataFrame, timeline: DataFrame, key: str, when: Column, how: str = "inner") -> DataFrame:
