@@ -71,7 +71,7 @@ def main() -> None:
         "cores": cores,
     }
     spark.stop()
-    if os.environ.get("BENCH_DUCKDB"):
+    if os.environ.get("BENCH_DUCKDB") == "1":
         import duckdb
 
         con = duckdb.connect(config={"threads": cores})

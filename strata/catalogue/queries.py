@@ -6,7 +6,7 @@ compare by value.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +31,7 @@ from strata.sources.extract import (
     timestamp,
     window_extract,
 )
-from strata.sources.staging import stage
+from strata.sources.staging import stage, stage_all
 from strata.specs import DIMENSIONS, TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -216,32 +216,38 @@ class Warehouse:
             self._made[t] = silver_full(t, rows, TIE_BREAK.get(t, ()))
         return self._made[t]
 
-    def silver(self, *tables: str, store: bool = False) -> dict[str, DataFrame]:
-        return {t: stage(self._table(t)) if store else self._table(t) for t in tables}
+    def silver(self, *tables: str) -> dict[str, DataFrame]:
+        return {t: self._table(t) for t in tables}
 
-    def dims(self, *names: str, store: bool = False) -> dict[str, DataFrame]:
-        made: dict[str, DataFrame] = {}
+    def _dimension(self, name: str, made: dict[str, DataFrame]) -> DataFrame:
+        return dimension_full(name, self.silver(*DIMENSION_TABLES[name]), made, RUN_TS)
+
+    def stored(self, tables: Sequence[str], names: Sequence[str]) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+        """Written silver tables and dimensions; items come after what they look up."""
         looked_up = {"dim_content", "dim_warehouse"} if "dim_inventory" in names else set()
-        for name in DIMENSION_TABLES:
-            if name not in looked_up.union(names):
-                continue
-            made[name] = dimension_full(name, self.silver(*DIMENSION_TABLES[name]), made, RUN_TS)
-            if name not in names or store:  # later steps read it more than once
-                made[name] = stage(made[name])
+        first = [d for d in DIMENSION_TABLES if d in looked_up.union(names) and d != "dim_inventory"]
+        made = stage_all({**self.silver(*tables), **{d: self._dimension(d, {}) for d in first}})
+        silver = {t: made.pop(t) for t in tables}
+        if looked_up:
+            made["dim_inventory"] = stage(self._dimension("dim_inventory", made))
         made["dim_date"] = date_dimension(self.spark)
         made["dim_month"] = month_dimension(self.spark)
-        return made
+        return silver, made
 
 
 def dimension_table(name: str, spark: SparkSession, sf: str) -> DataFrame:
-    dim = Warehouse(spark, sf).dims(name)[name]
+    wh = Warehouse(spark, sf)
+    needed = {}
+    if name == "dim_inventory":
+        _, needed = wh.stored([], ["dim_content", "dim_warehouse"])
+    dim = dimension_full(name, wh.silver(*DIMENSION_TABLES[name]), needed, RUN_TS)
     return plain(dim.drop("created_at", "updated_at"))
 
 
 def dimension_in_two_loads(name: str, spark: SparkSession, sf: str) -> DataFrame:
     """A dimension of the rows before the cut, then merged with the rows since."""
     before, after = Warehouse(spark, sf, CUT), Warehouse(spark, sf)
-    dims = before.dims(name, store=True)
+    _, dims = before.stored([], [name])
     silver = after.silver(*DIMENSION_TABLES[name])
     merged = dimension_incremental(name, dims[name], silver, dims, CUT_WATERMARK, RUN_TS)
     return plain(merged.drop("created_at", "updated_at"))
@@ -316,10 +322,10 @@ FACT_TABLES = {
 
 def fact_table(name: str, spark: SparkSession, sf: str, settled_only: bool = True) -> DataFrame:
     wh = Warehouse(spark, sf)
-    silver = wh.silver(*FACT_TABLES[name])
-    if "customer_subscription" in silver:  # its timeline reads it more than once
-        silver |= wh.silver("customer_subscription", store=True)
-    return plain(fact_full(name, silver, wh.dims(*FACT_DIMENSIONS[name], store=True), settled_only))
+    # the timeline of subscriptions reads them more than once
+    reread = [t for t in FACT_TABLES[name] if t == "customer_subscription"]
+    kept, dims = wh.stored(reread, FACT_DIMENSIONS[name])
+    return plain(fact_full(name, wh.silver(*FACT_TABLES[name]) | kept, dims, settled_only))
 
 
 def fact_in_two_loads(name: str, spark: SparkSession, sf: str) -> DataFrame:
@@ -329,7 +335,7 @@ def fact_in_two_loads(name: str, spark: SparkSession, sf: str) -> DataFrame:
     that only place events (items, subscriptions) are those of the second load.
     """
     wh, first = Warehouse(spark, sf), Warehouse(spark, sf, EVENT_CUT)
-    silver, dims = wh.silver(*FACT_TABLES[name], store=True), wh.dims(*FACT_DIMENSIONS[name], store=True)
+    silver, dims = wh.stored(FACT_TABLES[name], FACT_DIMENSIONS[name])
     before = {**silver, **first.silver(*FACT_SOURCES[name])}
     loaded = stage(fact_full(name, before, dims))
     marks = {t: EVENT_WATERMARK for t in FACT_SOURCES[name]}

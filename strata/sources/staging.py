@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,3 +34,11 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/staged/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_all(frames: Mapping[str, DataFrame], parallel: int = 4) -> dict[str, DataFrame]:
+    """Stage independent tables, a few at the same time."""
+    if frames:
+        shared_folder(next(iter(frames.values())).sparkSession)
+    with ThreadPoolExecutor(parallel) as pool:
+        return dict(zip(frames, pool.map(stage, frames.values())))
