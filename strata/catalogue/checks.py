@@ -643,4 +643,8 @@ def oracle_sql() -> dict[str, str]:
         found[f"silver_{table}"] = silver_table(table)
     for table, cut in TWO_LOADS.items():
         found[f"silver_{table}_incremental"] = silver_in_two_loads(table, cut)
+    # the stored loads end where the queries that build the same table end
+    found["pipeline_full_load"] = fact_table("fact_inventory_daily_utilisation")
+    found["pipeline_incremental_load"] = fact_table("fact_content_monthly_performance")
+    found["pipeline_backfill"] = silver_table("streaming_session")
     return {**found, **_calendar_checks(), **_dimension_checks(), **_lookup_checks(), **_fact_checks()}

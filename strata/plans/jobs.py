@@ -66,6 +66,9 @@ class Settings:
     last_day: str = LAST_DAY
     #: tables loaded at the same time
     parallel: int = 4
+    #: the operational tables to load, and the dimensions and facts to build from them
+    tables: tuple[str, ...] = tuple(TABLES)
+    gold: tuple[str, ...] = (*DIMENSIONS, *FACT_SOURCES)
 
 
 def _each(names: Iterable[str], load: Callable[[str], Marks], settings: Settings) -> Marks:
@@ -107,7 +110,7 @@ def bronze_full_load(lake: Lake, source: Source, run_ts: str, settings: Settings
         _replace(lake, rows, f"bronze.{table}", _month(table))
         return {f"bronze.{table}": newest_change(lake.read(f"bronze.{table}"))}
 
-    _advance(lake, _each(TABLES, load, settings))
+    _advance(lake, _each(settings.tables, load, settings))
 
 
 def bronze_incremental_load(lake: Lake, source: Source, run_ts: str, settings: Settings) -> None:
@@ -126,7 +129,7 @@ def bronze_incremental_load(lake: Lake, source: Source, run_ts: str, settings: S
         delta.unpersist()
         return {name: max(since, newest)}
 
-    _advance(lake, _each(TABLES, load, settings))
+    _advance(lake, _each(settings.tables, load, settings))
 
 
 def bronze_backfill(
@@ -157,7 +160,7 @@ def bronze_backfill(
             lake.publish(replace_window(lake.read(name), extract, start, end), name)
         return {name: newest_change(lake.read(name))}
 
-    _advance(lake, _each(TABLES, load, settings))
+    _advance(lake, _each(settings.tables, load, settings))
 
 
 def _months_between(start: str, end: str) -> list[int]:
@@ -174,7 +177,7 @@ def silver_full_load(lake: Lake, settings: Settings) -> None:
         _replace(lake, silver_full(table, lake.read(f"bronze.{table}")), f"silver.{table}", _month(table))
         return {f"silver.{table}": newest_change(lake.read(f"silver.{table}"))}
 
-    _advance(lake, _each(TABLES, load, settings))
+    _advance(lake, _each(settings.tables, load, settings))
 
 
 def silver_incremental_load(lake: Lake, settings: Settings) -> None:
@@ -196,14 +199,18 @@ def silver_incremental_load(lake: Lake, settings: Settings) -> None:
         batch.unpersist()
         return {name: max(since, newest)}
 
-    _advance(lake, _each(TABLES, load, settings))
+    _advance(lake, _each(settings.tables, load, settings))
 
 
 # --- gold -------------------------------------------------------------------------------
 
 
-def _silver(lake: Lake) -> dict[str, DataFrame]:
-    return {t: lake.read(f"silver.{t}") for t in TABLES}
+def _silver(lake: Lake, settings: Settings) -> dict[str, DataFrame]:
+    return {t: lake.read(f"silver.{t}") for t in settings.tables}
+
+
+def _chosen(names: Iterable[str], settings: Settings) -> list[str]:
+    return [n for n in names if n in settings.gold]
 
 
 def _dims(lake: Lake) -> dict[str, DataFrame]:
@@ -227,7 +234,7 @@ def _seen(stored: Marks, gold: str, tables: Iterable[str]) -> Marks:
 def gold_full_load(lake: Lake, run_ts: str, settings: Settings) -> None:
     lake.publish(date_dimension(lake.spark, settings.first_day, settings.last_day), "gold.dim_date")
     lake.publish(month_dimension(lake.spark, settings.first_day, settings.last_day), "gold.dim_month")
-    silver, stored = _silver(lake), stored_marks(lake)
+    silver, stored = _silver(lake, settings), stored_marks(lake)
 
     def dimension(name: str) -> Marks:
         lake.publish(dimension_full(name, silver, _dims(lake), run_ts), f"gold.{name}")
@@ -239,12 +246,12 @@ def gold_full_load(lake: Lake, run_ts: str, settings: Settings) -> None:
         return _seen(stored, name, FACT_SOURCES[name])
 
     for wave in DIMENSION_WAVES:
-        _advance(lake, _each(wave, dimension, settings))
-    _advance(lake, _each(FACT_SOURCES, fact, settings))
+        _advance(lake, _each(_chosen(wave, settings), dimension, settings))
+    _advance(lake, _each(_chosen(FACT_SOURCES, settings), fact, settings))
 
 
 def gold_incremental_load(lake: Lake, run_ts: str, settings: Settings) -> None:
-    silver, stored = _silver(lake), stored_marks(lake)
+    silver, stored = _silver(lake, settings), stored_marks(lake)
     children = settings.include_child_changes
 
     def dimension(name: str) -> Marks:
@@ -262,8 +269,8 @@ def gold_incremental_load(lake: Lake, run_ts: str, settings: Settings) -> None:
         return _seen(stored, name, FACT_SOURCES[name])
 
     for wave in DIMENSION_WAVES:
-        _advance(lake, _each(wave, dimension, settings))
-    _advance(lake, _each(FACT_SOURCES, fact, settings))
+        _advance(lake, _each(_chosen(wave, settings), dimension, settings))
+    _advance(lake, _each(_chosen(FACT_SOURCES, settings), fact, settings))
 
 
 def _refresh_fact(

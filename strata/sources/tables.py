@@ -30,13 +30,17 @@ def month_of(at: str) -> Column:
 
 
 class Lake:
-    """The tables of one warehouse; `prefix` keeps several apart in one catalog."""
+    """The tables of one warehouse; `prefix` keeps several apart in one catalog.
 
-    def __init__(self, spark: SparkSession, prefix: str = ""):
+    They lie in the catalog's warehouse folder, or below `folder`.
+    """
+
+    def __init__(self, spark: SparkSession, prefix: str = "", folder: str | None = None):
         self.spark, self.prefix = spark, prefix
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         for layer in LAYERS:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer}")
+            at = f" LOCATION '{folder}/{prefix}{layer}'" if folder else ""
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer}{at}")
 
     def name(self, table: str) -> str:
         """Full name of `layer.table`."""
