@@ -31,17 +31,14 @@ def _open_version(df: DataFrame, effective_from: Column, run_ts: str | datetime)
 
 
 def initial_versions(source: DataFrame, spec: DimensionSpec, run_ts: str | datetime) -> DataFrame:
-    """One current version per natural key.
+    """One current version per natural key; `source` already has the surrogate key.
 
     It starts at the business date, else at the creation date, else at the first calendar day.
     """
     starts = [F.to_date("created_at"), F.lit(FIRST_DAY).cast("date")]
     if spec.business_date:
         starts.insert(0, F.to_date(spec.business_date))
-    versions = _open_version(source, F.coalesce(*starts), run_ts)
-    return with_surrogate_key(versions, spec.surrogate_key, [spec.natural_key]).select(
-        *dimension_columns(spec)
-    )
+    return _open_version(source, F.coalesce(*starts), run_ts).select(*dimension_columns(spec))
 
 
 def merge_versions(
@@ -67,8 +64,10 @@ def merge_versions(
         lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_{c}")) for c in spec.tracked]
     )
     closes = F.col("_key").isNotNull() & differs
+    # Closed versions pass untouched; only current rows, one per key, meet the batch.
+    current = dim.filter("is_current")
     kept = (
-        dim.join(new, (F.col(key) == F.col("_key")) & F.col("is_current"), "left")
+        current.join(new, F.col(key) == F.col("_key"), "left")
         .withColumn("_closes", closes)
         .withColumns(
             {
@@ -76,13 +75,14 @@ def merge_versions(
                     F.col("effective_to")
                 ),
                 "updated_at": F.when(F.col("_closes"), timestamp(run_ts)).otherwise(F.col("updated_at")),
-                "is_current": F.col("is_current") & ~F.col("_closes"),
+                "is_current": ~F.col("_closes"),
             }
         )
         .select(*dimension_columns(spec))
+        .unionByName(dim.filter("not is_current").select(*dimension_columns(spec)))
     )
 
-    current = dim.filter("is_current").select(
+    known = current.select(
         F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in spec.tracked]
     )
     unchanged = reduce(
@@ -90,7 +90,7 @@ def merge_versions(
         [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in spec.tracked],
         F.col(key) == F.col("_key"),
     )
-    opened = _open_version(batch.join(current, unchanged, "left_anti"), changed_on, run_ts)
+    opened = _open_version(batch.join(known, unchanged, "left_anti"), changed_on, run_ts)
     numbered = with_surrogate_key(
         opened, spec.surrogate_key, [key], start=dim.agg(F.max(spec.surrogate_key))
     )

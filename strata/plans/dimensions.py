@@ -59,7 +59,7 @@ def _inventory(rows: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
 
 def _warehouses(rows: DataFrame, silver: Silver) -> DataFrame:
     cities = silver["city"].select("city_id", F.col("city_name").alias("city"))
-    return rows.join(cities, "city_id", "left").select("warehouse_id", "warehouse_name", "city")
+    return rows.join(cities, "city_id", "left")
 
 
 def _source(name: str, rows: DataFrame, silver: Silver, dims: Mapping[str, DataFrame]) -> DataFrame:
@@ -77,10 +77,12 @@ def dimension_full(
 ) -> DataFrame:
     """A dimension from scratch. `dim_inventory` reads `dim_content` and `dim_warehouse` from `dims`."""
     spec = DIMENSIONS[name]
-    source = _source(name, silver[DRIVING_TABLE[name]], silver, dims)
+    # Numbered before the joins, which keep one row per key: the count then needs none of them.
+    rows = with_surrogate_key(silver[DRIVING_TABLE[name]], spec.surrogate_key, [spec.natural_key])
+    source = _source(name, rows, silver, dims)
     if spec.tracked:
         return initial_versions(source, spec, run_ts)
-    return with_surrogate_key(source, spec.surrogate_key, [spec.natural_key])
+    return source.select(spec.surrogate_key, spec.natural_key, *spec.attributes)
 
 
 def dimension_batch(
@@ -126,4 +128,5 @@ def dimension_incremental(
     batch = dimension_batch(name, silver, dims, watermark, include_child_changes)
     if spec.tracked:
         return merge_versions(dim, batch, spec, run_ts)
+    batch = batch.select(spec.natural_key, *spec.attributes)
     return upsert_type1(dim, batch, spec.natural_key, spec.surrogate_key)

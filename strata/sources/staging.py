@@ -19,7 +19,7 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session may go without it; it then gets a temporary folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.calendar import date_dimension, month_dimension
+from strata.operators.keys import with_surrogate_key
 from strata.operators.scd2 import initial_versions, merge_versions
 from strata.operators.timeline import at_day, interval_timeline, version_timeline
 from strata.plans.dimensions import dimension_batch, latest_address
@@ -38,6 +39,11 @@ def content(spark, *rows):
         SOURCE)
 
 
+def first_load(spark, *rows):
+    numbered = with_surrogate_key(content(spark, *rows), "content_key", ["content_id"])
+    return stage(initial_versions(numbered, SPEC, "2024-01-02 00:00:00"))
+
+
 def versions(dim, key):
     found = dim.filter(F.col("content_id") == key).orderBy("content_key").collect()
     return [(r["title"], r["effective_from"], r["effective_to"], r["is_current"]) for r in found]
@@ -49,14 +55,14 @@ def t(*a):
 
 def test_type2(spark):
     c = t(2024, 1, 1)
-    dim = stage(initial_versions(content(
+    dim = first_load(
         spark,
         (1, "same", date(2023, 5, 5), 1, "en", c, c),
         (2, "a", None, 1, "en", c, c),
         (3, None, None, 1, "en", None, c),
         (4, "d", None, 1, "en", c, c),
         (5, "e", None, 1, "en", c, c),
-    ), SPEC, "2024-01-02 00:00:00"))
+    )
     assert versions(dim, 1) == [("same", date(2023, 5, 5), END, True)]
     assert versions(dim, 2) == [("a", date(2024, 1, 1), END, True)]
     assert versions(dim, 3) == [(None, date(2020, 1, 1), END, True)]
@@ -94,7 +100,7 @@ def test_type2(spark):
 
 
 def test_new_versions_are_found_by_anti_join(spark):
-    dim = initial_versions(content(spark, (1, "a", None, 1, "en", None, None)), SPEC, "2024-01-02 00:00:00")
+    dim = first_load(spark, (1, "a", None, 1, "en", None, None))
     plan = merge_versions(dim, content(spark, (1, "b", None, 1, "en", None, None)), SPEC, "2024-01-02 00:00:00")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in text and "NestedLoop" not in text and "Cartesian" not in text
