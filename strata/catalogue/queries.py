@@ -23,7 +23,7 @@ from strata.operators.timeline import at_day, interval_timeline, version_timelin
 from strata.operators.upsert import replace_window, upsert
 from strata.plans import jobs
 from strata.plans.dimensions import dimension_batch, dimension_full, dimension_incremental, latest_address
-from strata.plans.facts import FACT_SOURCES, fact_affected, fact_full, fact_incremental
+from strata.plans.facts import FACT_SOURCES, fact_affected, fact_full, fact_recomputed, fact_without
 from strata.plans.silver import silver_full, silver_incremental
 from strata.sources.extract import (
     changed_since,
@@ -342,7 +342,10 @@ def fact_in_two_loads(name: str, spark: SparkSession, sf: str) -> DataFrame:
     before = {**silver, **first.silver(*FACT_SOURCES[name])}
     loaded = stage(fact_full(name, before, dims))
     marks = {t: EVENT_WATERMARK for t in FACT_SOURCES[name]}
-    return plain(fact_incremental(name, loaded, silver, dims, marks))
+    affected = stage(fact_affected(name, silver, marks, dims))
+    small = affected.count() <= jobs.BROADCAST_KEYS
+    new = fact_recomputed(name, silver, dims, affected, small_affected=small)
+    return plain(fact_without(name, loaded, affected, dims).unionByName(new.select(*loaded.columns)))
 
 
 EVENT_WATERMARK = "2024-01-19 23:59:59.999999"
