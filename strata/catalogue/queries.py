@@ -14,7 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.catalogue.sources import RUN_TS, SOURCE_SYSTEM, SOURCES, TIE_BREAK, bronze, given, source
-from strata.functions import date_key, day, lower_text, month_key, non_negative, title_text, trimmed_text, upper_text, within
+from strata.functions import (
+    day,
+    lower_text,
+    month_key,
+    non_negative,
+    title_text,
+    trimmed_text,
+    upper_text,
+    within,
+)
 from strata.operators.calendar import date_dimension, month_dimension
 from strata.operators.clean import latest_version, valid_span
 from strata.operators.keys import with_surrogate_key

@@ -108,7 +108,8 @@ def _cut_by_blocks(intervals: DataFrame, key: str, answer: Sequence[str], fallba
     The day boundaries of a key, numbered in order, cut its days into pieces. A short
     interval lists its pieces, a long one a few power-of-two blocks of pieces, and each
     piece looks at itself and the blocks above it: V intervals of a key give at most about
-    V log V small rows however much they overlap.
+    V log V small rows however much they overlap. V counts different day ranges, which the
+    calendar bounds however many rows a key has.
     """
     in_key = Window.partitionBy(key)
     whole = f"(lo = {_FIRST} and hi = {_AFTER_LAST})"

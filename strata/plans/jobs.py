@@ -209,6 +209,12 @@ def _silver(lake: Lake, settings: Settings) -> dict[str, DataFrame]:
     return {t: lake.read(f"silver.{t}") for t in settings.tables}
 
 
+def _drivers(dimension: str, settings: Settings) -> list[str]:
+    """The silver tables whose changes make a dimension look at its rows again."""
+    children = settings.include_child_changes and dimension == "dim_customer"
+    return [DRIVING_TABLE[dimension], *(["customer_address"] if children else [])]
+
+
 def _chosen(names: Iterable[str], settings: Settings) -> list[str]:
     return [n for n in names if n in settings.gold]
 
@@ -238,7 +244,7 @@ def gold_full_load(lake: Lake, run_ts: str, settings: Settings) -> None:
 
     def dimension(name: str) -> Marks:
         lake.publish(dimension_full(name, silver, _dims(lake), run_ts), f"gold.{name}")
-        return _seen(stored, name, [DRIVING_TABLE[name]])
+        return _seen(stored, name, _drivers(name, settings))
 
     def fact(name: str) -> Marks:
         rows = fact_full(name, silver, _dims(lake), settings.settled_only)
@@ -252,16 +258,17 @@ def gold_full_load(lake: Lake, run_ts: str, settings: Settings) -> None:
 
 def gold_incremental_load(lake: Lake, run_ts: str, settings: Settings) -> None:
     silver, stored = _silver(lake, settings), stored_marks(lake)
-    children = settings.include_child_changes
 
     def dimension(name: str) -> Marks:
-        driver, dim = DRIVING_TABLE[name], lake.read(f"gold.{name}")
-        since = stored.get(_mark(name, driver)) or newest_update(dim)
-        drivers = [driver, "customer_address"] if children and name == "dim_customer" else [driver]
+        drivers, dim = _drivers(name, settings), lake.read(f"gold.{name}")
+        marks = [stored.get(_mark(name, t)) for t in drivers]
+        since = newest_update(dim) if None in marks else min(marks)
         if any(not changed_since(silver[t], since).isEmpty() for t in drivers):
-            merged = dimension_incremental(name, dim, silver, _dims(lake), since, run_ts, children)
+            merged = dimension_incremental(
+                name, dim, silver, _dims(lake), since, run_ts, settings.include_child_changes
+            )
             lake.publish(merged, f"gold.{name}")
-        return {_mark(name, driver): max(stored.get(f"silver.{t}", NEVER) for t in drivers)}
+        return _seen(stored, name, drivers)
 
     def fact(name: str) -> Marks:
         since = {t: stored.get(_mark(name, t), NEVER) for t in FACT_SOURCES[name]}
