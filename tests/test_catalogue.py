@@ -7,11 +7,11 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from strata.catalogue import checks, queries as catalogue
 from strata.catalogue.sources import GIVEN_TABLES
 
 SF = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+QUERIES, CHECKS = catalogue.queries(), checks.oracle_sql()
 
 
 @pytest.fixture(scope="module")
