@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 BLOCK_BYTES = 8 << 20
 RANGE_KEYS = 1 << 20
+#: Rows of this kind, and of any below 0, are notes of a block to itself; they come back as they are.
+NOTE = -1
 SENT = "block long, kind long, range long, n long, body binary"
 
 
@@ -52,7 +54,7 @@ def pack_sorted(keys: np.ndarray) -> bytes:
     gaps = np.diff(keys, prepend=np.uint64(0)).astype(np.uint64)
     if not len(gaps):
         return b"\x01"
-    width = int(min(8, max(1, math.ceil((math.log2(float(np.mean(gaps.astype(np.float64))) + 1) + 2.5) / 8))))
+    width = int(min(8, max(1, math.ceil((math.log2(float(np.mean(gaps.astype(np.float64))) + 1) + 2) / 8))))
     if width == 8:
         return b"\x08" + gaps.tobytes()
     top = np.uint64((1 << (8 * width)) - 1)
@@ -76,19 +78,34 @@ def unpack_sorted(body: bytes, n: int) -> np.ndarray:
     return np.cumsum(gaps)
 
 
-def cut_ranges(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
-    """(range, first, last) of the non-empty ranges of ascending keys, by their top bits."""
+def cut_ranges(keys: np.ndarray, bits: int, width: int = 64) -> Iterator[tuple[int, int, int]]:
+    """(range, first, last) of the non-empty ranges of ascending keys of `width` bits, by
+    their top bits."""
     if not len(keys):
         return
     if not bits:
         yield 0, 0, len(keys)
         return
-    numbers = keys >> np.uint64(64 - bits)
+    numbers = keys >> np.uint64(width - bits)
     firsts = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1]])
     for a, b in zip(firsts, np.r_[firsts[1:], len(keys)]):
         yield int(numbers[a]), int(a), int(b)
 
 
+def in_blocks(docs: DataFrame, n: int) -> DataFrame:
+    """(block, doc_id, text), dealt into n blocks.
+
+    Used several times in one query, its exchange is made once and read again.
+    """
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return read.select(block_of(n, "doc_id", "text").alias("block"), "doc_id", "text").repartition(n, "block")
+
+
+def in_order(table: pa.Table) -> pa.Table:
+    """A block's rows in an order that does not depend on how they came."""
+    return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+
+
 def sent_table(rows: list[tuple]) -> pa.Table:
     block, kind, rng, n, body = zip(*rows) if rows else ((),) * 5
     return pa.table(
@@ -113,6 +130,8 @@ def answered(sent: DataFrame, answer: Callable[[list[tuple]], list[bytes]]) -> D
 
     def one(table: pa.Table) -> pa.Table:
         rows = sent_rows(table)
+        if rows[0][1] < 0:
+            return sent_table(rows)
         return sent_table([(*r[:4], body) for r, body in zip(rows, answer(rows))])
 
     return sent.groupBy("kind", "range").applyInArrow(one, SENT)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, packed, packing, quality, topk, urls
+from strata.llm import bpe, checks, jaccard, packed, packing, quality, subspace, substrings, suffixes, topk, urls
 from strata.sources.staging import shared_folder
 
 # The rules of the given task, as verdict and host with path prefix.
@@ -42,6 +42,10 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(whole.where("id % 20 = 0"), whole, TOP)
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encoded(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
     return out.select(
@@ -62,10 +66,24 @@ def op5_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.without_copies(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_subspace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -79,10 +97,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
+    "op2_jaccard": op2_jaccard,
     "op3_bpe": op3_bpe,
     "op4_url_rules": op4_url_rules,
     "op5_packed_ids": op5_packed_ids,
+    "op6_substrings": op6_substrings,
     "op7_best_fit": op7_best_fit,
+    "op8_suffixes": op8_suffixes,
+    "op9_subspace": op9_subspace,
     "op10_quality": op10_quality,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = checks.SQL
