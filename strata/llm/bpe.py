@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import words as W
 from strata.llm.ship import ship
-from strata.llm.tokens import tokenizer_json
+from strata.llm.tokens import byte_letters, lower_by_letter, tokenizer_json
 
 CACHED = 400_000
 _NEVER = 1 << 60
@@ -33,13 +33,6 @@ _ODD_BLANK = re.compile(r"[\x1c-\x1f]")
 _STRETCH = re.compile(r"[\S\x1c-\x1f]+")
 
 
-def byte_letters() -> dict[int, str]:
-    """The printable letter that stands for each byte in byte-level vocabularies."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
-
-
 class Bpe:
     """A BPE file of the tokenizers library whose words end in a suffix and whose blanks go.
 
@@ -174,8 +167,8 @@ class Bpe:
     def _stretch(self, stretch: str) -> bytes:
         """Ids of text without blanks. Lower case letter by letter: no final sigma."""
         if not stretch.isascii():
-            stretch = unicodedata.normalize("NFC", stretch).replace("Σ", "σ")
-        words = self.pattern.findall(stretch.lower())
+            stretch = unicodedata.normalize("NFC", stretch)
+        words = self.pattern.findall(lower_by_letter(stretch))
         return np.array([i for w in words for i in self._word(w)], "<u4").tobytes()
 
     def _plain(self, text: str) -> bytes:

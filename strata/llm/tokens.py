@@ -1,22 +1,24 @@
 """Ids of the tokenizers library for whole texts, at the speed of a word table.
 
-Both public BPE files treat the stretches between blanks independently of each other, so a
-text's ids are those of its stretches, one after another. Each worker keeps the stretches
-it has met with the ids that the library gave. Texts for which the cut could matter (a
-special token's text, unusual blanks) go to the library whole, as does every text of a
-tokenizer that is not of one of these two forms.
+Both public BPE files treat the stretches between blanks independently of each other, and
+the words within a stretch too, so a text's ids are those of its words, one after another.
+Each worker keeps the stretches and words it has met; the library's model is asked for new
+words only. Texts for which the cut could matter (a special token's text, unusual blanks)
+go to the library whole, as does every text of a tokenizer that is not of these two forms.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from collections.abc import Callable, Sequence
 from pathlib import Path
 
 import numpy as np
+import regex
 
-CACHED = 400_000
+CACHED = 300_000
 _HELD: dict[int, "Encoder"] = {}
 
 
@@ -31,28 +33,38 @@ def vocabulary_size(source: str) -> int:
     return max([*config["model"]["vocab"].values(), *added]) + 1
 
 
+def byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in byte-level vocabularies."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+def lower_by_letter(text: str) -> str:
+    """Lower case of each letter by itself: a final sigma is not special."""
+    return (text.replace("\u03a3", "\u03c3") if not text.isascii() else text).lower()
+
+
+# Fixed value: the word pattern of byte-level BPE files that name none.
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SPACED = re.compile(r" ?[^ \n]+|[ \n]")
-# Runs of three blanks, and of two at the end, belong together; \s is wider than needed.
-_SPACED_WHOLE = re.compile(r"\s\s(?:\s|\Z)")
-# Python's blanks that the tokenizer counts as symbols.
+# Runs of three blanks, and of two at the end, belong together; Python counts some more
+# characters as blanks than the tokenizer does.
+_SPACED_WHOLE = re.compile(r"\s\s(?:\s|\Z)|[\x1c-\x1f]")
+_STOPS = frozenset(",.;:!?")
 _BLANK_WHOLE = re.compile(r"[\x1c-\x1f]")
 
 
-def _cut(config: dict) -> tuple[Callable[[str], list[str]], re.Pattern] | None:
-    """How to cut texts of this tokenizer, and which texts not to cut; None: cut none."""
-    normalizer, pre = config.get("normalizer"), config.get("pre_tokenizer") or {}
-    if config["model"]["type"] != "BPE" or config.get("post_processor") not in (None,) and config["post_processor"]["type"] != "ByteLevel":
-        return None
-    if normalizer is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
-        return _SPACED.findall, _SPACED_WHOLE
-    steps = [x["type"] for x in pre.get("pretokenizers", [])]
-    changes = [x["type"] for x in (normalizer or {}).get("normalizers", [])]
-    if steps == ["Split", "ByteLevel"] and changes == ["NFC", "Replace", "Lowercase"]:
-        split = pre["pretokenizers"][0]
-        dropped = split["behavior"] == "Removed" and split["invert"] and "[^\\s" in split["pattern"].get("Regex", "")
-        if dropped and not pre["pretokenizers"][1]["use_regex"]:
-            return str.split, _BLANK_WHOLE
-    return None
+class _Table(dict):
+    """Values by key, made when first asked for; emptied when it has grown too large."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self.make(key)
+        return value
 
 
 class Encoder:
@@ -62,11 +74,31 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(source)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         config = json.loads(source)
-        self.cut = _cut(config)
         marks = [re.escape(t["content"]) for t in config.get("added_tokens", [])]
         self.marks = re.compile("|".join(marks)) if marks else None
-        self.held: dict[str, bytes] = {}
+        self.letters = byte_letters()
+        self.cut, self.uncut, self.stretches = None, None, _Table(self._stretch)
+        self.words = _Table(self._word)
+        self._choose(config)
+
+    def _choose(self, config: dict) -> None:
+        """How to cut texts of this tokenizer; cut stays None if it is of another form."""
+        normalizer, pre = config.get("normalizer"), config.get("pre_tokenizer") or {}
+        if config["model"]["type"] != "BPE" or config["model"].get("dropout") or config.get("post_processor"):
+            return
+        steps = [x["type"] for x in pre.get("pretokenizers", [])]
+        changes = [x["type"] for x in (normalizer or {}).get("normalizers", [])]
+        if normalizer is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
+            self.cut, self.uncut, self.fold = _SPACED.findall, _SPACED_WHOLE, False
+            self.pattern = regex.compile(BYTE_LEVEL_PATTERN)
+        elif steps == ["Split", "ByteLevel"] and changes == ["NFC", "Replace", "Lowercase"]:
+            split, letters = pre["pretokenizers"]
+            pattern = split["pattern"].get("Regex", "")
+            if split["behavior"] == "Removed" and split["invert"] and "[^\\s" in pattern and not letters["use_regex"]:
+                self.cut, self.uncut, self.fold = str.split, _BLANK_WHOLE, True
+                self.pattern = regex.compile(pattern)
 
     @classmethod
     def held_by_worker(cls, source: str) -> "Encoder":
@@ -75,22 +107,36 @@ class Encoder:
             _HELD[key] = cls(source)
         return _HELD[key]
 
-    def _library(self, texts: Sequence[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
+    def _word(self, word: str) -> bytes:
+        spelled = word.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+
+    def _stretch(self, stretch: str) -> bytes:
+        if self.fold:
+            if not stretch.isascii():
+                stretch = unicodedata.normalize("NFC", stretch)
+            stretch = lower_by_letter(stretch)
+        words = self.words
+        letters = stretch if self.fold or stretch[0] != " " else stretch[1:]
+        if letters.isalpha():
+            return words[stretch]
+        if letters[-1:] in _STOPS and letters[:-1].isalpha():
+            return words[stretch[:-1]] + words[stretch[-1]]
+        return b"".join([words[w] for w in self.pattern.findall(stretch)])
 
     def _whole(self, text: str) -> bool:
-        return self.cut is None or bool(self.cut[1].search(text)) or bool(self.marks and self.marks.search(text))
+        return self.cut is None or bool(self.uncut.search(text)) or bool(self.marks and self.marks.search(text))
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers; null as empty."""
-        cuts = [None if t and self._whole(t) else self.cut[0](t or "") for t in texts]
-        whole = [t for t, c in zip(texts, cuts) if c is None]
-        of_whole = iter(self._library(whole)) if whole else iter(())
-        held = self.held
-        if len(held) > CACHED:
-            held.clear()
-        new = list(set().union(*(c for c in cuts if c)).difference(held))
-        if new:
-            held.update(zip(new, self._library(new)))
-        return [next(of_whole) if c is None else b"".join([held[x] for x in c]) for c in cuts]
+        for table in (self.words, self.stretches):
+            if len(table) > CACHED:
+                table.clear()
+        stretches, out = self.stretches, []
+        for text in texts:
+            if text and self._whole(text):
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                out.append(np.asarray(ids, "<u4").tobytes())
+            else:
+                out.append(b"".join([stretches[x] for x in self.cut(text)]) if text else b"")
+        return out

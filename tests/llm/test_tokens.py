@@ -32,7 +32,7 @@ def texts(spark):
 def test_word_table_gives_the_library_ids(path, texts):
     encoder, plain = tokens.Encoder(tokens.tokenizer_json(path)), library(path.rsplit("/", 1)[1])
     rng = random.Random(5)
-    noise = ["".join(rng.choices(" \n\t\u00a0ab.'s1\u00e9\u0301<|>", k=rng.randint(1, 30))) for _ in range(3000)]
+    noise = ["".join(rng.choices(" \n\t\u00a0ab.'s1\u00e9\u0301<|>\u03a3\u0130\u2003\x1c\x85_\u00b2\u65e5-", k=rng.randint(1, 30))) for _ in range(6000)]
     every = [*ODD_TEXTS, *texts.values(), *noise]
     got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(every)]
     assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in every]
