@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Callable, Sequence
 from pathlib import Path
 
@@ -51,6 +52,8 @@ _SPACED = re.compile(r" ?[^ \n]+|[ \n]")
 # Runs of three blanks, and of two at the end, belong together; Python counts some more
 # characters as blanks than the tokenizer does.
 _SPACED_WHOLE = re.compile(r"\s\s(?:\s|\Z)|[\x1c-\x1f]")
+_ODD = ("  ", "\n\n", " \n", "\n ", "\t", "\x0b", "\x0c", "\r", "\x1c", "\x1d", "\x1e", "\x1f")
+_ODD_BLANK = re.compile(r"[^\S\x00-\x7f]")
 _STOPS = frozenset(",.;:!?")
 _BLANK_WHOLE = re.compile(r"[\x1c-\x1f]")
 
@@ -76,8 +79,7 @@ class Encoder:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         config = json.loads(source)
-        marks = [re.escape(t["content"]) for t in config.get("added_tokens", [])]
-        self.marks = re.compile("|".join(marks)) if marks else None
+        self.marks = [t["content"] for t in config.get("added_tokens", [])]
         self.letters = byte_letters()
         self.cut, self.uncut, self.stretches = None, None, _Table(self._stretch)
         self.words = _Table(self._word)
@@ -108,8 +110,11 @@ class Encoder:
         return _HELD[key]
 
     def _word(self, word: str) -> bytes:
-        spelled = word.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+        if word.isascii() and word.isprintable():
+            spelled = word.replace(" ", self.letters[32])
+        else:
+            spelled = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _stretch(self, stretch: str) -> bytes:
         if self.fold:
@@ -125,7 +130,11 @@ class Encoder:
         return b"".join([words[w] for w in self.pattern.findall(stretch)])
 
     def _whole(self, text: str) -> bool:
-        return self.cut is None or bool(self.uncut.search(text)) or bool(self.marks and self.marks.search(text))
+        if self.cut is None or any(m in text for m in self.marks):
+            return True
+        # Substrings are found much faster than patterns; most texts have none of these.
+        odd = any(x in text for x in _ODD) or not text.isascii() and _ODD_BLANK.search(text)
+        return bool(odd and self.uncut.search(text))
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers; null as empty."""
