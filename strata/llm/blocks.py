@@ -10,7 +10,7 @@ shares reaches its range once per block, not once per document.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -92,13 +92,14 @@ def cut_ranges(keys: np.ndarray, bits: int, width: int = 64) -> Iterator[tuple[i
         yield int(numbers[a]), int(a), int(b)
 
 
-def in_blocks(docs: DataFrame, n: int) -> DataFrame:
-    """(block, doc_id, text), dealt into n blocks.
+def in_blocks(docs: DataFrame, n: int, carry: Sequence[str] = ()) -> DataFrame:
+    """(block, doc_id, text), dealt into n blocks, and the columns `carry` in one, `carried`.
 
     Used several times in one query, its exchange is made once and read again.
     """
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return read.select(block_of(n, "doc_id", "text").alias("block"), "doc_id", "text").repartition(n, "block")
+    more = [F.struct(*carry).alias("carried")] if carry else []
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *more)
+    return read.withColumn("block", block_of(n, "doc_id", "text")).repartition(n, "block")
 
 
 def in_order(table: pa.Table) -> pa.Table:

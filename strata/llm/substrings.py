@@ -11,10 +11,13 @@ from __future__ import annotations
 
 import math
 import struct
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from strata.llm import blocks as B
 from strata.llm import words as W
@@ -106,21 +109,32 @@ def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.nd
     )
 
 
-def without_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
+def without_repeats(
+    docs: DataFrame,
+    window: int = WINDOW,
+    block_bytes: int = B.BLOCK_BYTES,
+    carry: Sequence[str] = (),
+    as_it_was: bool = False,
+) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every row: the text without repeated windows.
 
     A word goes if a window of `window` words that covers it also starts in a document with
     a smaller doc_id; kept has the words that stay, joined by one space. Null and empty
     texts have no words and an empty kept. Rows with equal doc_ids never remove from each
     other; a null doc_id counts as the largest. Columns other than doc_id and text are not
-    read. Texts are taken whole; a window never spans two documents.
+    read, but for those named in `carry`, which come back in the struct `carried`. With
+    `as_it_was`, kept is the text itself, null or not, where no word goes. Texts are taken
+    whole; a window never spans two documents.
     """
     ship(docs.sparkSession)
     n_bytes = B.text_bytes(docs)
     # A window has a word of a byte and a gap for each of its words at least; usually six bytes.
     width = min(56, max(16, math.ceil(math.log2(n_bytes + 1)) + 1))
     bits = B.range_bits(n_bytes // 6)
-    held = B.in_blocks(docs, B.block_count(docs, n_bytes, block_bytes))
+    held = B.in_blocks(docs, B.block_count(docs, n_bytes, block_bytes), carry)
+    result = StructType.fromDDL(_RESULT)
+    if carry:
+        result.add("carried", held.schema["carried"].dataType)
 
     def sketch(table: pa.Table) -> pa.Table:
         block, rows = _Block(table, window), []
@@ -130,8 +144,6 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = B.
         return B.sent_table(rows)
 
     def ask(table: pa.Table, answers: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return B.sent_table([])
         block = _Block(table, window)
         chosen = block.estimated(B.sent_rows(answers), width)
         at, second, _, firsts = block.distinct(chosen)
@@ -142,8 +154,6 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = B.
         return B.sent_table([*rows, (block.number, B.NOTE, block.number, len(chosen), np.packbits(chosen).tobytes())])
 
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "kept": pa.array([], pa.string())})
         block, rows = _Block(table, window), B.sent_rows(answers)
         chosen = B.bits_of([r for r in rows if r[1] == B.NOTE])
         at, _, group, firsts = block.distinct(chosen)
@@ -154,11 +164,14 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = B.
         np.add.at(cover, block.firsts[gone] + window, -1)
         keep = np.cumsum(cover[:-1]) == 0
         counts = np.diff(np.r_[0, np.cumsum(~keep)][block.bounds])
-        kept = joined(block.data, block.starts, block.ends, block.bounds, keep)
-        return pa.table({"doc_id": block.table["doc_id"], "n_words": np.diff(block.bounds), "n_removed": counts, "kept": kept.cast(pa.string())})
+        kept = joined(block.data, block.starts, block.ends, block.bounds, keep).cast(pa.string())
+        if as_it_was:
+            kept = pc.if_else(pa.array(counts == 0), block.table["text"], pa.chunked_array([kept]))
+        out = {"doc_id": block.table["doc_id"], "n_words": np.diff(block.bounds), "n_removed": counts, "kept": kept}
+        return pa.table(out | ({"carried": block.table["carried"]} if carry else {}))
 
     by_block = held.groupBy("block")
     counted = B.answered(by_block.applyInArrow(sketch, B.SENT), B.repeated_across)
     asked = by_block.cogroup(counted.groupBy("block")).applyInArrow(ask, B.SENT)
     exact = B.answered(asked, _smaller_elsewhere)
-    return by_block.cogroup(exact.groupBy("block")).applyInArrow(remove, _RESULT)
+    return by_block.cogroup(exact.groupBy("block")).applyInArrow(remove, result)

@@ -272,8 +272,6 @@ def without_copies(docs: DataFrame, length: int = LENGTH, block_bytes: int = B.B
     copied = at.join(copied, "known").select("at", "known", (F.col("at") == F.col("home")).alias("stays"))
 
     def name(table: pa.Table, copies: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return B.sent_table([])
         shard = _Shard(table, length)
         stays = dict(zip(copies["known"].to_pylist(), copies["stays"].to_pylist()))
         # 1: searched; 2: a copy, gone as a whole; 3: a copy that is searched for the others' sake.
@@ -291,8 +289,6 @@ def without_copies(docs: DataFrame, length: int = LENGTH, block_bytes: int = B.B
         return B.sent_table([*rows, local, (shard.number, _ROWS, shard.number, len(kinds), kinds.tobytes())])
 
     def search(table: pa.Table, answers: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return B.sent_table([])
         shard, rows = _Shard(table, length), B.sent_rows(answers)
         note = next(r for r in rows if r[1] == _ROWS)
         kinds = np.frombuffer(note[4], np.uint8)
@@ -320,8 +316,6 @@ def without_copies(docs: DataFrame, length: int = LENGTH, block_bytes: int = B.B
         )
 
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return pa.table({c: pa.array([], k) for c, k in zip(("doc_id", "n_bytes", "n_removed", "n_spans", "kept"), (*[pa.int64()] * 4, pa.binary()))})
         shard, rows = _Shard(table, length), B.sent_rows(answers)
         kinds = np.frombuffer(next(r for r in rows if r[1] == _ROWS)[4], np.uint8)
         places = np.flatnonzero(B.bits_of([r for r in rows if r[1] == _CHOSEN]))
