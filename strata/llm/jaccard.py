@@ -9,10 +9,10 @@ family, families are dealt into groups, and the order of n-grams by hash is cut
 many fragments as a group's shingles ask for. Each fragment counts the overlaps of its
 pairs alone; the parts are summed per pair.
 
-Which pairs are counted: in each list of a prefix shingle first the smallest class with
-every other, then the next three with every later one, the next twelve, and so on; pairs
-that are already in one component are left out. So a group of n near copies takes about n
-pairs, and no link between two components is ever missed.
+Which pairs are counted: in each list of a prefix shingle first the four smallest classes
+with every later one, then the next 32, and so on; pairs that are already in one component,
+or whose sets are too short behind the shared shingle, are left out. So a group of n near copies takes a few n pairs, and no link between two
+components is ever missed.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ SHINGLE = 5
 LEAST = (4, 5)
 FRAGMENT = 1 << 20
 GROUP_FRAGMENTS = 4
+FIRST_PLACES = 4
 _SETS = "doc_id long, n_shingles long, s1 long, s2 long"
 _CANDIDATES = "cls long, n long, m long, prefix array<long>, body binary"
 
@@ -201,9 +202,10 @@ def _overlaps(segments: pa.Table, pairs: pa.Table) -> pa.Table:
     return pa.table({"a": a, "na": pairs["na"], "b": b, "nb": pairs["nb"], "shared": out})
 
 
-def linked_pairs(found: DataFrame) -> DataFrame:
-    """Links (a, b) between candidate classes that keep every connection between them."""
-    postings = found.select("cls", "n", F.explode("prefix").alias("s"))
+def linked_classes(found: DataFrame) -> DataFrame:
+    """(node, component) of the candidate classes that link with another."""
+    # What is left of a set from a shared shingle on bounds the overlap of a pair that meets there first.
+    postings = found.select("cls", "n", "m", F.posexplode("prefix").alias("k", "s")).select("cls", "n", (F.col("m") - F.col("k")).alias("left"), "s")
     lists = postings.groupBy("s").agg(F.count("*").alias("size"), F.min("cls").alias("a")).where("size > 1")
     postings = stage(
         postings.join(lists, "s").withColumn("place", F.row_number().over(Window.partitionBy("s").orderBy("n", "cls")))
@@ -232,20 +234,21 @@ def linked_pairs(found: DataFrame) -> DataFrame:
         grouped.select("grp", "fragments", "cls", "body").mapInArrow(fragment, "grp long, fragment long, cls long, body binary")
     )
     where = stage(grouped.select("cls", "grp", "fragments"))
-    links, known, first, many = None, None, 1, 1
+    known, first, many = None, 1, FIRST_PLACES
     while True:
         active = postings.withColumn("component", F.col("cls"))
         if known is not None:
-            active = postings.join(known, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+            active = postings.join(known.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
             mixed = active.groupBy("s").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("place").alias("last"))
             active = stage(active.join(mixed.where(f"x <> y and last > {first}").select("s"), "s"))
-            if not active.take(1):
-                return links
+            if active.isEmpty():
+                return known
         left = active.where(f"place >= {first} and place < {first + many}")
-        left = left.select("s", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("place").alias("p"), F.col("component").alias("ca"))
+        left = left.select("s", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("left").alias("la"), F.col("place").alias("p"), F.col("component").alias("ca"))
         pairs = (
-            left.join(active.select("s", F.col("cls").alias("b"), F.col("n").alias("nb"), "place", "component"), "s")
+            left.join(active.select("s", F.col("cls").alias("b"), F.col("n").alias("nb"), "left", "place", "component"), "s")
             .where(f"place > p and ca <> component and na * {LEAST[1]} >= nb * {LEAST[0]}")
+            .where(f"least(la, left) * {sum(LEAST)} >= (na + nb) * {LEAST[0]}")
             .select("a", "na", "b", "nb")
             .distinct()
         )
@@ -263,9 +266,8 @@ def linked_pairs(found: DataFrame) -> DataFrame:
             .agg(F.sum("shared").alias("shared"))
         )
         new = counted.where(f"shared * {LEAST[1]} >= (na + nb - shared) * {LEAST[0]}").select("a", "b")
-        links = stage(new if links is None else links.unionByName(new))
-        known = stage(components(links)).withColumnRenamed("node", "cls")
-        first, many = first + many, 3 if many == 1 else 4 * many
+        known = components(new, known)
+        first, many = first + many, 8 * many
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -286,7 +288,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
         named.groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("doc_id")).withColumn("cls", F.monotonically_increasing_id())
     )
     found = stage(candidates(read, classes.select("cls", "doc_id", "s1", "s2")))
-    grouped = components(linked_pairs(found)).withColumnRenamed("node", "cls")
+    grouped = linked_classes(found).withColumnRenamed("node", "cls")
     known = classes.join(grouped, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = known.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     known = known.join(smallest, "component").select("n_shingles", "s1", "s2", "component_id")
