@@ -9,6 +9,7 @@ go to the library whole, as does every text of a tokenizer that is not of these
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
@@ -19,7 +20,7 @@ from pathlib import Path
 import numpy as np
 import regex
 
-CACHED = 300_000
+CACHED = 250_000
 _HELD: dict[int, "Encoder"] = {}
 
 
@@ -48,7 +49,6 @@ def lower_by_letter(text: str) -> str:
 
 # Fixed value: the word pattern of byte-level BPE files that name none.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_SPACED = re.compile(r" ?[^ \n]+|[ \n]")
 # Runs of three blanks, and of two at the end, belong together; Python counts some more
 # characters as blanks than the tokenizer does.
 _SPACED_WHOLE = re.compile(r"\s\s(?:\s|\Z)|[\x1c-\x1f]")
@@ -59,16 +59,28 @@ _BLANK_WHOLE = re.compile(r"[\x1c-\x1f]")
 
 
 class _Table(dict):
-    """Values by key, made when first asked for; emptied when it has grown too large."""
+    """Values by key, made when first asked for.
+
+    A table that has grown too large becomes the old one; what is asked for again comes
+    back from it, the rest goes with the next change.
+    """
 
     def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self[key] = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
+    def trim(self) -> None:
+        if len(self) > CACHED:
+            self.old = dict(self)
+            self.clear()
+
 
 class Encoder:
     def __init__(self, source: str):
@@ -81,8 +93,9 @@ class Encoder:
         config = json.loads(source)
         self.marks = [t["content"] for t in config.get("added_tokens", [])]
         self.letters = byte_letters()
-        self.cut, self.uncut, self.stretches = None, None, _Table(self._stretch)
-        self.words = _Table(self._word)
+        self.cut, self.uncut = None, None
+        self.words, self.stretches = _Table(self._word), _Table(self._stretch)
+        self.spaced = _Table(lambda word: self._stretch(" " + word))
         self._choose(config)
 
     def _choose(self, config: dict) -> None:
@@ -93,13 +106,13 @@ class Encoder:
         steps = [x["type"] for x in pre.get("pretokenizers", [])]
         changes = [x["type"] for x in (normalizer or {}).get("normalizers", [])]
         if normalizer is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
-            self.cut, self.uncut, self.fold = _SPACED.findall, _SPACED_WHOLE, False
+            self.cut, self.uncut, self.fold = self._by_spaces, _SPACED_WHOLE, False
             self.pattern = regex.compile(BYTE_LEVEL_PATTERN)
         elif steps == ["Split", "ByteLevel"] and changes == ["NFC", "Replace", "Lowercase"]:
             split, letters = pre["pretokenizers"]
             pattern = split["pattern"].get("Regex", "")
             if split["behavior"] == "Removed" and split["invert"] and "[^\\s" in pattern and not letters["use_regex"]:
-                self.cut, self.uncut, self.fold = str.split, _BLANK_WHOLE, True
+                self.cut, self.uncut, self.fold = self._by_blanks, _BLANK_WHOLE, True
                 self.pattern = regex.compile(pattern)
 
     @classmethod
@@ -107,6 +120,8 @@ class Encoder:
         key = hash(source)
         if key not in _HELD:
             _HELD[key] = cls(source)
+            # The tables hold no cycles, so looking for some after every 2,000 objects is in vain.
+            gc.set_threshold(200_000, 50, 100)
         return _HELD[key]
 
     def _word(self, word: str) -> bytes:
@@ -116,7 +131,22 @@ class Encoder:
             spelled = word.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
+    def _by_blanks(self, text: str) -> bytes:
+        stretches = self.stretches
+        return b"".join([stretches[x] for x in text.split()])
+
+    def _by_spaces(self, text: str) -> bytes:
+        """A space goes with the word behind it, a line end stands alone."""
+        out, stretches, spaced = [], self.stretches, self.spaced
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            out += (stretches["\n"], stretches[first])
+            out += [spaced[x] for x in rest]
+        return b"".join(out[1:])
+
     def _stretch(self, stretch: str) -> bytes:
+        if not stretch:
+            return b""
         if self.fold:
             if not stretch.isascii():
                 stretch = unicodedata.normalize("NFC", stretch)
@@ -138,14 +168,13 @@ class Encoder:
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers; null as empty."""
-        for table in (self.words, self.stretches):
-            if len(table) > CACHED:
-                table.clear()
-        stretches, out = self.stretches, []
+        for table in (self.words, self.stretches, self.spaced):
+            table.trim()
+        out = []
         for text in texts:
             if text and self._whole(text):
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
                 out.append(np.asarray(ids, "<u4").tobytes())
             else:
-                out.append(b"".join([stretches[x] for x in self.cut(text)]) if text else b"")
+                out.append(self.cut(text) if text else b"")
         return out
