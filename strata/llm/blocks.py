@@ -146,6 +146,46 @@ def repeated_across(rows: list[tuple]) -> list[bytes]:
     return [np.packbits(member(run, twice)).tobytes() for run in runs]
 
 
+def order_of(keys: np.ndarray) -> np.ndarray:
+    """An order that sorts unsigned 64-bit keys.
+
+    Numpy sorts numbers several times faster than it sorts places by them. So a place takes
+    the lowest bits of its key, which mostly differ above them; where they do not, the
+    slower sort decides.
+    """
+    n = len(keys)
+    if n < 2:
+        return np.arange(n)
+    low = np.uint64(n.bit_length())
+    up = np.uint64(64 - int(keys.max()).bit_length())
+    mask = (np.uint64(1) << low) - np.uint64(1)
+    packed = ((keys << up) & ~mask) | np.arange(n, dtype=np.uint64)
+    packed.sort()
+    order = (packed & mask).astype(np.int64)
+    ranked = keys[order]
+    return np.argsort(keys) if (ranked[1:] < ranked[:-1]).any() else order
+
+
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, ascending; a place of each; and for every key which one it is."""
+    order = order_of(keys)
+    ranked = keys[order]
+    new = np.r_[True, ranked[1:] != ranked[:-1]] if len(keys) else np.zeros(0, bool)
+    which = np.empty(len(keys), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ranked[new], order[new], which
+
+
+def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
+    """Which of n places lie in a window of `length` that begins at one of `starts`."""
+    marks = np.zeros(n + 1, np.int32)
+    marks[starts + 1] = 1
+    total = np.cumsum(marks, dtype=np.int32)
+    out = total[1:] > 0
+    out[length:] = total[length + 1 :] > total[1 : n + 1 - length]
+    return out
+
+
 def member(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
     """Which ascending keys are in another ascending array, by binary search."""
     if not len(among):

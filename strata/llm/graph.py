@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.sources.staging import stage
+from strata.sources.tables import observed
 
 
 def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -20,7 +21,8 @@ def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
     seen = Observation()
     marked = edges.distinct().observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
     stored = stage(marked)
-    return stored, (seen.get.get("n"), seen.get.get("h"))
+    found = observed(seen)
+    return stored, (found.get("n"), found.get("h"))
 
 
 def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:

@@ -144,7 +144,7 @@ def candidates(docs: DataFrame, classes: DataFrame) -> DataFrame:
         if table.num_rows and note:
             block, of_row = _Block(table), note[0]
             block.only(of_row)
-            _, back = np.unique(block.cells(width), return_inverse=True)
+            _, _, back = B.grouped(block.cells(width))
             level = np.frombuffer(b"".join(r[4] for r in rows if r[1] == 0), np.uint8)[back]
             bounds = W.row_bounds(block.rows, len(of_row))
             n = np.diff(bounds)

@@ -50,7 +50,8 @@ class _Block:
         """Windows whose every sketch cell was counted twice."""
         out = np.ones(len(self.keys), bool)
         for row in range(SKETCH_ROWS):
-            _, back, counts = np.unique(self.cells(row, width), return_inverse=True, return_counts=True)
+            _, _, back = B.grouped(self.cells(row, width))
+            counts = np.bincount(back)
             out &= (B.bits_of([r for r in answers if r[1] == row]) | (counts > 1))[back] if len(counts) else False
         return out
 
@@ -159,10 +160,7 @@ def without_repeats(
         at, _, group, firsts = block.distinct(chosen)
         ids = block.ids[at]
         gone = at[(ids > ids[firsts][group]) | B.bits_of([r for r in rows if r[1] == 0])[group]]
-        cover = np.zeros(len(block.starts) + 1, np.int64)
-        np.add.at(cover, block.firsts[gone], 1)
-        np.add.at(cover, block.firsts[gone] + window, -1)
-        keep = np.cumsum(cover[:-1]) == 0
+        keep = ~B.covered(block.firsts[gone], window, len(block.starts))
         counts = np.diff(np.r_[0, np.cumsum(~keep)][block.bounds])
         kept = joined(block.data, block.starts, block.ends, block.bounds, keep).cast(pa.string())
         if as_it_was:

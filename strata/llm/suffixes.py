@@ -26,49 +26,47 @@ from strata.llm.ship import ship
 
 LENGTH = 200
 GRAM = 32
+SHARD_BYTES = 4 << 20
 _NAME_BITS = 40
-_LANES = 4096
-_ROWS, _CHOSEN, _LOCAL = -1, -2, -3
+_LANES = 16384
+_ROWS, _CHOSEN, _LOCAL, _NAMES = -1, -2, -3, -4
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Suffixes in ascending order. The first eight bytes are sorted as numbers; then each
-    round sorts the groups that are still equal by the ranks half as far ahead as the
-    sorted length reaches, and leaves single suffixes alone."""
+    """Suffixes in ascending order. The first four bytes are sorted as numbers; then each
+    round sorts the groups that are still equal by the ranks as far ahead as the sorted
+    length reaches, which doubles it, and leaves single suffixes alone."""
     n = len(text)
     if not n:
         return np.zeros(0, np.int64)
-    word = np.zeros(n + 8, np.uint64)
+    # Nine bits a byte, so that the end of the text is less than any byte.
+    word = np.zeros(n + 4, np.uint64)
     word[:n] = text
-    for step in (1, 2, 4):
-        word[:-step] = (word[:-step] << np.uint64(8 * step)) | word[step:]
-    # The last seven suffixes may look like longer ones with zero bytes, so they are laid in
-    # from the shortest: a stable sort keeps the shorter of two equal words first.
-    sa = np.argsort(word[:n][::-1], kind="stable")
-    sa = n - 1 - sa
-    key, size = word[sa], np.minimum(8, n - sa)
-    new = np.r_[True, (key[1:] != key[:-1]) | (size[1:] != size[:-1])]
-    first = np.flatnonzero(new)
-    rank = np.zeros(n + 1, np.int64)
-    rank[sa] = first[np.cumsum(new) - 1]
-    rank[n] = -1
-    single = np.zeros(n, bool)
-    single[first] = np.diff(np.r_[first, n]) == 1
-    open_at, h = np.flatnonzero(~single), 8
+    word[:n] += np.uint64(1)
+    for step in (1, 2):
+        word[:-step] = (word[:-step] << np.uint64(9 * step)) | word[step:]
+    key = word[:n]
+    sa = B.order_of(key)
+    key = key[sa]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    size = np.diff(np.r_[first, n])
+    rank = np.full(n + 1, -1, np.int64)
+    rank[sa] = np.repeat(first, size)
+    open_at, h = np.flatnonzero(np.repeat(size > 1, size)), 4
+    ahead_bits = np.uint64((n + 1).bit_length())
     while len(open_at):
         p = sa[open_at]
-        ahead = rank[np.minimum(p + h, n)] + 1
-        key = (rank[p].astype(np.uint64) << np.uint64(32)) | ahead.astype(np.uint64)
-        order = np.argsort(key, kind="stable")
+        own = rank[p]
+        group = np.cumsum(np.r_[True, own[1:] != own[:-1]], dtype=np.uint64) - np.uint64(1)
+        key = (group << ahead_bits) | (rank[np.minimum(p + h, n)] + 1).astype(np.uint64)
+        order = B.order_of(key)
         p, key = p[order], key[order]
         sa[open_at] = p
-        new = np.r_[True, key[1:] != key[:-1]]
-        group = np.cumsum(new) - 1
-        first = np.flatnonzero(new)
-        rank[p] = open_at[first][group]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         size = np.diff(np.r_[first, len(p)])
-        open_at = open_at[size[group] > 1]
+        rank[p] = np.repeat(open_at[first], size)
+        open_at = open_at[np.repeat(size > 1, size)]
         h *= 2
     return sa
 
@@ -209,16 +207,13 @@ def _fingerprints(shard: _Shard, places: np.ndarray, seed: int) -> np.ndarray:
 
 def _classes(shard: _Shard, places: np.ndarray) -> np.ndarray:
     """Class of each window: equal strings of the shard have equal numbers."""
-    cover = np.zeros(len(shard.data) + 1, np.int64)
-    np.add.at(cover, places, 1)
-    np.add.at(cover, places + shard.length, -1)
-    cover = np.cumsum(cover[:-1]) > 0
+    cover = B.covered(places, shard.length, len(shard.data))
     text = shard.data[cover]
     sa = suffix_array(text)
     shared = common_prefixes(text, sa, shard.length)
     of_place = np.empty(len(text), np.int64)
     of_place[sa] = np.cumsum(shared < shard.length)
-    return of_place[(np.cumsum(cover) - 1)[places]]
+    return of_place[(np.cumsum(cover, dtype=np.int32) - 1)[places]]
 
 
 def _with_rest(keys: np.ndarray, rest: np.ndarray, width: int) -> bytes:
@@ -245,7 +240,7 @@ def _elsewhere(rows: list[tuple], width: int) -> list[bytes]:
     return [np.packbits(x).tobytes() for x in np.split(both, np.cumsum([r[3] for r in rows])[:-1])]
 
 
-def without_copies(docs: DataFrame, length: int = LENGTH, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
+def without_copies(docs: DataFrame, length: int = LENGTH, block_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every row, over UTF-8 bytes.
 
     A byte goes if a string of `length` bytes that covers it also starts anywhere else, in
@@ -286,21 +281,21 @@ def without_copies(docs: DataFrame, length: int = LENGTH, block_bytes: int = B.B
             for r, a, b in B.cut_ranges(names, min(bits, _NAME_BITS), _NAME_BITS)
         ]
         local = (shard.number, _LOCAL, shard.number, len(counts), np.packbits(counts > 1).tobytes())
-        return B.sent_table([*rows, local, (shard.number, _ROWS, shard.number, len(kinds), kinds.tobytes())])
+        own = (shard.number, _NAMES, shard.number, len(names), B.pack_sorted(names))
+        return B.sent_table([*rows, local, own, (shard.number, _ROWS, shard.number, len(kinds), kinds.tobytes())])
 
     def search(table: pa.Table, answers: pa.Table) -> pa.Table:
         shard, rows = _Shard(table, length), B.sent_rows(answers)
         note = next(r for r in rows if r[1] == _ROWS)
         kinds = np.frombuffer(note[4], np.uint8)
-        names, _ = _named(shard, kinds != 2)
+        names = next(B.unpack_sorted(r[4], r[3]) for r in rows if r[1] == _NAMES)
         repeated = names[B.bits_of([r for r in rows if r[1] == 0]) | B.bits_of([r for r in rows if r[1] == _LOCAL])]
         places = _candidates(shard, kinds != 2, repeated)
         classes = _classes(shard, places)
         counts = np.bincount(classes, minlength=1)
         keys = _fingerprints(shard, places, 0)
-        _, one = np.unique(keys, return_index=True)
-        rest = _fingerprints(shard, places[one], 1)
-        keys_out = keys[one]
+        keys_out, one, _ = B.grouped(keys)
+        rest = _fingerprints(shard, places, 1)[one]
         sent = [
             (shard.number, 0, r, b - a, _with_rest(keys_out[a:b], rest[a:b], extra)) for r, a, b in B.cut_ranges(keys_out, bits)
         ]
@@ -319,15 +314,12 @@ def without_copies(docs: DataFrame, length: int = LENGTH, block_bytes: int = B.B
         shard, rows = _Shard(table, length), B.sent_rows(answers)
         kinds = np.frombuffer(next(r for r in rows if r[1] == _ROWS)[4], np.uint8)
         places = np.flatnonzero(B.bits_of([r for r in rows if r[1] == _CHOSEN]))
-        _, back = np.unique(_fingerprints(shard, places, 0), return_inverse=True)
+        _, _, back = B.grouped(_fingerprints(shard, places, 0))
         found = B.bits_of([r for r in rows if r[1] == 0])
         gone = B.bits_of([r for r in rows if r[1] == _LOCAL])
         if len(places):
             gone = gone | found[back]
-        cover = np.zeros(len(shard.data) + 1, np.int64)
-        np.add.at(cover, places[gone], 1)
-        np.add.at(cover, places[gone] + length, -1)
-        lost = np.cumsum(cover[:-1]) > 0
+        lost = B.covered(places[gone], length, len(shard.data))
         lost |= np.repeat(kinds > 1, np.diff(shard.offsets))
         total = np.r_[0, np.cumsum(lost)]
         new = lost.copy()
