@@ -15,6 +15,8 @@ from strata.catalogue.queries import (
     FACT_TABLES,
     TWO_LOADS,
     WINDOW,
+    cut_of,
+    just_before,
 )
 from strata.catalogue.sources import RUN_TS, SOURCE_SYSTEM, SOURCES, TIE_BREAK, source_sql
 from strata.specs import TABLES
@@ -204,10 +206,11 @@ def _operator_checks() -> dict[str, str]:
         "silver_interval_filter": f"""SELECT {_plain(TABLES["rental"].source_schema)}
             FROM ({source_sql("rental")})
             WHERE return_date IS NULL OR rental_date IS NULL OR rental_date <= return_date""",
-        "surrogate_keys": """SELECT CAST(row_number() OVER (ORDER BY
-                left(md5(CAST(l_partkey AS VARCHAR) || '|' || CAST(l_suppkey AS VARCHAR)), 3),
-                l_partkey, l_suppkey) AS BIGINT) AS pair_key, l_partkey, l_suppkey
-            FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)""",
+        "surrogate_keys": """SELECT k // 1000 AS band, count(*) AS n, count(*) AS n_keys, count(*) AS n_pairs,
+                min(k) + 101 AS first_key, max(k) + 101 AS last_key
+            FROM (SELECT unnest(range(CAST(count(*) AS BIGINT))) AS k
+                  FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem))
+            GROUP BY 1""",
     }
 
 
@@ -228,14 +231,14 @@ def _calendar_checks() -> dict[str, str]:
         "dim_date": _with(
             [_DAYS, paid],
             """SELECT date_key, CAST(full_date AS VARCHAR) AS full_date, day_number, day_name, week_number,
-               month_number, month_name, quarter_number, year_number, CAST(n AS BIGINT) AS payments
-               FROM cal JOIN (SELECT CAST(paid_at AS DATE) AS full_date, count(*) AS n FROM paid GROUP BY 1)
+               month_number, month_name, quarter_number, year_number, CAST(coalesce(n, 0) AS BIGINT) AS payments
+               FROM cal LEFT JOIN (SELECT CAST(paid_at AS DATE) AS full_date, count(*) AS n FROM paid GROUP BY 1)
                USING (full_date)""",
         ),
         "dim_month": _with(
             [_MONTHS, paid],
-            """SELECT months.*, CAST(n AS BIGINT) AS payments FROM months
-               JOIN (SELECT CAST(strftime(paid_at, '%Y%m') AS INT) AS month_key, count(*) AS n FROM paid GROUP BY 1)
+            """SELECT months.*, CAST(coalesce(n, 0) AS BIGINT) AS payments FROM months
+               LEFT JOIN (SELECT CAST(strftime(paid_at, '%Y%m') AS INT) AS month_key, count(*) AS n FROM paid GROUP BY 1)
                USING (month_key)""",
         ),
     }
@@ -245,8 +248,10 @@ def _key(natural: str) -> str:
     return f"row_number() OVER (ORDER BY left(md5(CAST({natural} AS VARCHAR)), 3), {natural})"
 
 
-_LATEST_ADDRESS = """SELECT customer_id, city_id FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
-    ORDER BY updated_at DESC NULLS LAST, address_id DESC) AS rn FROM s_customer_address{x}) WHERE rn = 1"""
+# NULL times count as oldest; the struct compares the time first, then the id.
+_LATEST_ADDRESS = """SELECT customer_id, arg_max(struct_pack(city := city_id),
+        struct_pack(at := coalesce(updated_at, TIMESTAMP '0001-01-01'), id := address_id)).city AS city_id
+    FROM s_customer_address{x} GROUP BY customer_id"""
 
 # natural key, surrogate key, output columns with types, tracked columns, business date
 _DIMS = {
@@ -330,44 +335,45 @@ def _dim_output(name: str, relation: str) -> str:
     return f"SELECT {_plain(full)} FROM {relation}"
 
 
-def _dim_in_two_loads(name: str) -> str:
+def _dim_merged(name: str) -> list[str]:
+    """CTEs up to <name>: the dimension of a load before its cut (<name>_0), merged with the rest."""
     natural, surrogate, schema, tracked, _ = _DIMS[name]
-    names = _names(schema)
-    ctes = _dim(name, "0", CUT) + _dim_source(name, "", None, "0")
+    names, x = _names(schema), f"_{name}0"
+    ctes = _dim(name, x, cut_of(name)) + _dim_source(name, "", None, x)
     ctes.append(
-        f"""batch AS (SELECT *, CAST(coalesce(updated_at, created_at) AS DATE) AS changed_on
-            FROM src_{name} WHERE {_changed(CUT_WATERMARK)})"""
+        f"""batch_{name} AS (SELECT *, CAST(coalesce(updated_at, created_at) AS DATE) AS changed_on
+            FROM src_{name} WHERE {_changed(just_before(cut_of(name)))})"""
     )
-    top = f"(SELECT coalesce(max({surrogate}), 0) FROM {name}0)"
+    top = f"(SELECT coalesce(max({surrogate}), 0) FROM {name}{x})"
     if not tracked:
         ctes.append(
-            f"""merged AS (
-                SELECT * FROM {name}0 WHERE {natural} NOT IN (SELECT {natural} FROM batch)
+            f"""{name} AS (
+                SELECT * FROM {name}{x} WHERE {natural} NOT IN (SELECT {natural} FROM batch_{name})
                 UNION ALL SELECT d.{surrogate}, b.{natural}, {', '.join('b.' + c for c in names)}
-                FROM batch b JOIN {name}0 d USING ({natural})
-                UNION ALL SELECT {top} + {_key(natural)}, {natural}, {', '.join(names)} FROM batch
-                WHERE {natural} NOT IN (SELECT {natural} FROM {name}0))"""
+                FROM batch_{name} b JOIN {name}{x} d USING ({natural})
+                UNION ALL SELECT {top} + {_key(natural)}, {natural}, {', '.join(names)} FROM batch_{name}
+                WHERE {natural} NOT IN (SELECT {natural} FROM {name}{x}))"""
         )
-        return _with(ctes, _dim_output(name, "merged"))
+        return ctes
     columns = tracked.split()
     differs = " OR ".join(f"d.{c} IS DISTINCT FROM b.{c}" for c in columns)
     equal = " AND ".join(f"d.{c} IS NOT DISTINCT FROM b.{c}" for c in columns)
     ctes.append(
-        f"""closing AS (SELECT d.{surrogate}, b.changed_on FROM {name}0 d JOIN batch b
+        f"""closing_{name} AS (SELECT d.{surrogate}, b.changed_on FROM {name}{x} d JOIN batch_{name} b
             ON d.{natural} = b.{natural} WHERE d.is_current AND ({differs}))"""
     )
     ctes.append(
-        f"""merged AS (
+        f"""{name} AS (
             SELECT {surrogate}, {natural}, {', '.join(names)}, effective_from,
                 CASE WHEN changed_on IS NULL THEN effective_to ELSE changed_on - 1 END AS effective_to,
                 is_current AND changed_on IS NULL AS is_current
-            FROM {name}0 LEFT JOIN closing USING ({surrogate})
+            FROM {name}{x} LEFT JOIN closing_{name} USING ({surrogate})
             UNION ALL
             SELECT {top} + {_key(natural)}, {natural}, {', '.join(names)}, changed_on, DATE '9999-12-31', true
-            FROM batch b WHERE NOT EXISTS (SELECT 1 FROM {name}0 d
+            FROM batch_{name} b WHERE NOT EXISTS (SELECT 1 FROM {name}{x} d
                 WHERE d.{natural} = b.{natural} AND d.is_current AND {equal}))"""
     )
-    return _with(ctes, _dim_output(name, "merged"))
+    return ctes
 
 
 def _dimension_checks() -> dict[str, str]:
@@ -382,7 +388,7 @@ def _dimension_checks() -> dict[str, str]:
     }
     for name in _DIMS:
         found[f"{name}_full"] = _with(_dim(name), _dim_output(name, name))
-        found[f"{name}_incremental"] = _dim_in_two_loads(name)
+        found[f"{name}_incremental"] = _with(_dim_merged(name), _dim_output(name, name))
     return found
 
 
@@ -390,12 +396,15 @@ def _dimension_checks() -> dict[str, str]:
 
 
 def _at_day(days: str, dim: str, natural: str, answer: str, when: str, partition: str) -> str:
-    """SELECT with the version of `dim` that answers for each row of `days`."""
-    return f"""SELECT * EXCLUDE (rn) FROM (
-        SELECT x.*, {', '.join('v.' + c for c in answer.split())}, row_number() OVER (PARTITION BY {partition}
-            ORDER BY CASE WHEN {when} BETWEEN v.effective_from AND v.effective_to THEN 0 ELSE 1 END,
-                     v.is_current DESC, v.{answer.split()[0]} DESC) AS rn
-        FROM {days} x JOIN {dim} v ON x.{natural} = v.{natural}) WHERE rn = 1"""
+    """SELECT with the version of `dim` that answers for each row of `days`: one that is
+    valid, else the current one, else the one of the highest key, as the greatest struct."""
+    names = answer.split()
+    held = ", ".join(f"{c} := v.{c}" for c in names)
+    rank = f"""struct_pack(valid := coalesce({when} BETWEEN v.effective_from AND v.effective_to, false),
+            now := v.is_current, k := v.{names[0]})"""
+    return f"""SELECT {partition}, {', '.join(f'best.{c} AS {c}' for c in names)} FROM (
+        SELECT x.*, (SELECT arg_max(struct_pack({held}), {rank}) FROM {dim} v WHERE v.{natural} = x.{natural}) AS best
+        FROM {days} x) x WHERE best IS NOT NULL"""
 
 
 _SESSION_DAYS = "days AS (SELECT DISTINCT user_id AS customer_id, CAST(ts AS DATE) AS activity_date FROM events)"
@@ -407,20 +416,30 @@ def _lookup_checks() -> dict[str, str]:
         CASE WHEN o_orderkey % 6 = 0 THEN DATE '9999-12-31'
              ELSE CAST(o_orderdate + INTERVAL '25' YEAR AS DATE) + CAST(o_orderkey % 1500 - 20 AS INT) END AS effective_to,
         o_orderkey % 6 = 0 AS is_current FROM orders)"""
+    few = "few AS (SELECT DISTINCT customer_id % 5 AS customer_id, activity_date FROM days)"
+    many = "many AS (SELECT * REPLACE (customer_id % 5 AS customer_id) FROM versions)"
+    pick_many = _at_day("few", "many", "customer_id", "customer_key", "x.activity_date", "x.customer_id, x.activity_date")
+    active = """SELECT customer_id, CAST(activity_date AS VARCHAR) AS activity_date, subscription_id, plan_id FROM (
+                SELECT d.*, s.subscription_id, s.plan_id, row_number() OVER (
+                    PARTITION BY d.customer_id, d.activity_date
+                    ORDER BY s.start_date DESC NULLS LAST, s.subscription_id DESC NULLS LAST) AS rn
+                FROM {days} d LEFT JOIN {subs} s ON d.customer_id = s.customer_id AND d.activity_date >= s.start_date
+                    AND (s.end_date IS NULL OR d.activity_date <= s.end_date)) WHERE rn = 1"""
+    subs = f"subs AS ({source_sql('customer_subscription')})"
     pick = _at_day("days", "versions", "customer_id", "customer_key", "x.activity_date", "x.customer_id, x.activity_date")
     return {
         "pit_lookup_fallback": _with(
             [_SESSION_DAYS, versions],
             f"SELECT customer_id, CAST(activity_date AS VARCHAR) AS activity_date, customer_key FROM ({pick})",
         ),
-        "active_interval_lookup": _with(
-            [_SESSION_DAYS, f"subs AS ({source_sql('customer_subscription')})"],
-            """SELECT customer_id, CAST(activity_date AS VARCHAR) AS activity_date, subscription_id, plan_id FROM (
-                SELECT d.*, s.subscription_id, s.plan_id, row_number() OVER (
-                    PARTITION BY d.customer_id, d.activity_date
-                    ORDER BY s.start_date DESC NULLS LAST, s.subscription_id DESC NULLS LAST) AS rn
-                FROM days d LEFT JOIN subs s ON d.customer_id = s.customer_id AND d.activity_date >= s.start_date
-                    AND (s.end_date IS NULL OR d.activity_date <= s.end_date)) WHERE rn = 1""",
+        "active_interval_lookup": _with([_SESSION_DAYS, subs], active.format(days="days", subs="subs")),
+        "pit_lookup_many_versions": _with(
+            [_SESSION_DAYS, versions, few, many],
+            f"SELECT customer_id, CAST(activity_date AS VARCHAR) AS activity_date, customer_key FROM ({pick_many})",
+        ),
+        "active_interval_many": _with(
+            [_SESSION_DAYS, subs, few, "held AS (SELECT * REPLACE (customer_id % 5 AS customer_id) FROM subs)"],
+            active.format(days="few", subs="held"),
         ),
     }
 
@@ -457,8 +476,7 @@ def _customer_fact(x: str, settled_only: bool = True) -> list[str]:
             FROM days{x} d JOIN s_customer_subscription s ON d.customer_id = s.customer_id
                 AND d.activity_date >= s.start_date AND (s.end_date IS NULL OR d.activity_date <= s.end_date))
             WHERE rn = 1)""",
-        f"plans{x} AS ({_at_day(f'subs{x}', 'dim_subscription_plan', 'plan_id', 'plan_key', 'x.activity_date', key)
-            .replace('SELECT x.*', 'SELECT x.customer_id, x.activity_date')})",
+        f"plans{x} AS ({_at_day(f'subs{x}', 'dim_subscription_plan', 'plan_id', 'plan_key', 'x.activity_date', key)})",
         f"who{x} AS ({_at_day(f'days{x}', 'dim_customer', 'customer_id', 'customer_key', 'x.activity_date', key)})",
         f"""fact{x} AS (SELECT customer_id, activity_date, customer_key, date_key, plan_key AS subscription_plan_key,
                 coalesce(streams{x}.n, 0) AS stream_count, coalesce(streams{x}.d, 0) AS total_streaming_duration,
@@ -564,16 +582,35 @@ def _fact_ctes(name: str, x: str, cut: str | None, settled_only: bool = True) ->
     return ctes + (_content_fact(x) if name == "fact_content_monthly_performance" else _inventory_fact(x))
 
 
-def _fact_dims(name: str) -> list[str]:
-    return [_DAYS, _MONTHS] + [cte for d in _FACTS[name][2] for cte in _dim(d)]
+def _fact_dims(name: str, merged: bool = True) -> list[str]:
+    """CTEs of the dimensions a fact looks up: with several versions, or of one full load."""
+    made = [cte for d in _FACTS[name][2] for cte in (_dim_merged(d) if merged else _dim(d))]
+    if merged and "dim_inventory" in _FACTS[name][2]:
+        made.append("dim_warehouse AS (SELECT * FROM dim_warehouse_dim_inventory0)")
+    return [_DAYS, _MONTHS, *made]
 
 
-def fact_table(name: str, settled_only: bool = True) -> str:
+def fact_table(name: str, settled_only: bool = True, merged: bool = True) -> str:
     return _with(
-        _fact_dims(name) + _fact_ctes(name, "", None, settled_only), f"SELECT {_plain(_FACTS[name][0])} FROM fact"
+        _fact_dims(name, merged) + _fact_ctes(name, "", None, settled_only),
+        f"SELECT {_plain(_FACTS[name][0])} FROM fact",
     )
 
 
+def fact_by_natural_key(name: str) -> str:
+    """The fact of one full load, with natural keys in place of the surrogate keys."""
+    natural, surrogate = _FACTS[name][1].split(", ")[0], _FACTS[name][0].split()[0]
+    columns = [c for c in _FACTS[name][0].split(", ") if c.split()[0] not in (surrogate, "subscription_plan_key", "warehouse_key")]
+    kinds, joins = [*columns, f"{natural} bigint"], ""
+    if name == "fact_customer_daily_activity":
+        kinds.append("plan_id bigint")
+        joins = "LEFT JOIN dim_subscription_plan p ON p.plan_key = subscription_plan_key"
+    if name == "fact_inventory_daily_utilisation":
+        kinds.append("warehouse_id bigint")
+        joins = "JOIN dim_warehouse w ON w.warehouse_key = fact.warehouse_key"
+    return _with(_fact_dims(name, False) + _fact_ctes(name, "", None), f"SELECT {_plain(', '.join(kinds))} FROM fact {joins}")
+
+
 def _affected(name: str) -> str:
     changed = _changed(EVENT_WATERMARK)
 
@@ -623,15 +660,16 @@ def fact_in_two_loads(name: str) -> str:
 
 def _fact_checks() -> dict[str, str]:
     name = "fact_customer_daily_activity"
-    found = {
-        "fact_affected_keys": _with(
-            [_DAYS, *[_s(t) for t in FACT_TABLES[name] if t not in _PLACING], _affected(name)],
-            """SELECT customer_id, CAST(activity_date AS VARCHAR) AS activity_date
-               FROM affected JOIN cal ON activity_date = full_date""",
-        ),
-        f"{name}_all_payments": fact_table(name, settled_only=False),
-    }
+    found = {f"{name}_all_payments": fact_table(name, settled_only=False)}
     for fact in _FACTS:
+        natural, bucket = _FACTS[fact][1].split(", ")
+        if bucket == "month_key":
+            body = f"SELECT {natural}, month_key FROM affected JOIN months USING (month_key)"
+        else:
+            body = f"""SELECT {natural}, CAST(activity_date AS VARCHAR) AS activity_date
+                FROM affected JOIN cal ON activity_date = full_date"""
+        found[f"{fact}_affected"] = _with([_DAYS, _MONTHS, *[_s(t) for t in FACT_TABLES[fact]], _affected(fact)], body)
+        found[f"{fact}_late"] = fact_by_natural_key(fact)
         found[fact] = fact_table(fact)
         found[f"{fact}_incremental"] = fact_in_two_loads(fact)
     return found
@@ -644,7 +682,7 @@ def oracle_sql() -> dict[str, str]:
     for table, cut in TWO_LOADS.items():
         found[f"silver_{table}_incremental"] = silver_in_two_loads(table, cut)
     # the stored loads end where the queries that build the same table end
-    found["pipeline_full_load"] = fact_table("fact_inventory_daily_utilisation")
-    found["pipeline_incremental_load"] = fact_table("fact_content_monthly_performance")
-    found["pipeline_backfill"] = silver_table("streaming_session")
+    found["pipeline_full_load"] = fact_table("fact_inventory_daily_utilisation", merged=False)
+    found["pipeline_incremental_load"] = fact_table("fact_content_monthly_performance", merged=False)
+    found["pipeline_backfill"] = fact_table("fact_customer_daily_activity", merged=False)
     return {**found, **_calendar_checks(), **_dimension_checks(), **_lookup_checks(), **_fact_checks()}

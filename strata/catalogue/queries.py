@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from datetime import datetime, timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,7 @@ from strata.operators.timeline import at_day, interval_timeline, version_timelin
 from strata.operators.upsert import replace_window, upsert
 from strata.plans import jobs
 from strata.plans.dimensions import dimension_batch, dimension_full, dimension_incremental, latest_address
-from strata.plans.facts import FACT_SOURCES, fact_affected, fact_full, fact_recomputed, fact_without
+from strata.plans.facts import FACT_SOURCES, GRAIN, fact_affected, fact_full, fact_recomputed, fact_without
 from strata.plans.silver import silver_full, silver_incremental
 from strata.sources.extract import (
     changed_since,
@@ -48,12 +49,21 @@ from strata.specs import DIMENSIONS, TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Rows of this time and later are the second load of the incremental queries.
+# Rows of this time and later are the second load of the incremental queries. The small
+# dimensions change early in the data, so that theirs lies there.
 CUT = "2023-09-01 00:00:00"
+DIMENSION_CUTS = {
+    "dim_warehouse": "2023-05-04 00:00:00",
+    "dim_content": "2023-05-08 00:00:00",
+    "dim_subscription_plan": "2023-05-20 00:00:00",
+}
 EVENT_CUT = "2024-01-20 00:00:00"
 WINDOW = ("2024-01-05 00:00:00", "2024-01-12 00:00:00")
 
 
+CUT_WATERMARK = "2023-08-31 23:59:59.999999"  # the last instant before the cut
+
+
 def plain(df: DataFrame) -> DataFrame:
     def column(name: str, kind: str):
         if kind == "date" or kind.startswith("timestamp"):
@@ -178,13 +188,13 @@ def silver_interval_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dim_date_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """The calendar with the payments of each day; payments outside it drop out."""
+    """Every day of the calendar with its payments; payments outside it drop out."""
     paid = (
         source(spark, sf, "payment")
         .groupBy(day("payment_date").alias("full_date"))
         .agg(F.count(F.lit(1)).alias("payments"))
     )
-    return plain(date_dimension(spark).join(paid, "full_date"))
+    return plain(date_dimension(spark).join(paid, "full_date", "left").fillna(0, ["payments"]))
 
 
 def dim_month_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -193,7 +203,7 @@ def dim_month_orders(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy(month_key("payment_date").alias("month_key"))
         .agg(F.count(F.lit(1)).alias("payments"))
     )
-    return plain(month_dimension(spark).join(paid, "month_key"))
+    return plain(month_dimension(spark).join(paid, "month_key", "left").fillna(0, ["payments"]))
 
 
 def latest_customer_address(spark: SparkSession, sf: str) -> DataFrame:
@@ -235,7 +245,7 @@ class Warehouse:
         return dimension_full(name, self.silver(*DIMENSION_TABLES[name]), made, RUN_TS)
 
     def stored(self, tables: Sequence[str], names: Sequence[str]) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-        """Written silver tables and dimensions; items come after what they look up."""
+        """Written silver tables and dimensions of one load; items come after what they look up."""
         looked_up = {"dim_content", "dim_warehouse"} if "dim_inventory" in names else set()
         first = [d for d in DIMENSION_TABLES if d in looked_up.union(names) and d != "dim_inventory"]
         made = stage_all({**self.silver(*tables), **{d: self._dimension(d, {}) for d in first}})
@@ -256,22 +266,52 @@ def dimension_table(name: str, spark: SparkSession, sf: str) -> DataFrame:
     return plain(dim.drop("created_at", "updated_at"))
 
 
-def dimension_in_two_loads(name: str, spark: SparkSession, sf: str) -> DataFrame:
-    """A dimension of the rows before the cut, then merged with the rows since."""
-    before, after = Warehouse(spark, sf, CUT), Warehouse(spark, sf)
+def cut_of(dimension: str) -> str:
+    return DIMENSION_CUTS.get(dimension, CUT)
+
+
+def just_before(time: str) -> str:
+    """The last instant before a time: changes are taken strictly after a watermark."""
+    return str(datetime.fromisoformat(time) - timedelta(microseconds=1))
+
+
+def _merged(name: str, spark: SparkSession, sf: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """A dimension of the rows before its cut, merged with the rows since, and the
+    dimensions of the first load."""
+    before, after = Warehouse(spark, sf, cut_of(name)), Warehouse(spark, sf)
     _, dims = before.stored([], [name])
     silver = after.silver(*DIMENSION_TABLES[name])
-    merged = dimension_incremental(name, dims[name], silver, dims, CUT_WATERMARK, RUN_TS)
+    return dimension_incremental(name, dims[name], silver, dims, just_before(cut_of(name)), RUN_TS), dims
+
+
+def dimension_in_two_loads(name: str, spark: SparkSession, sf: str) -> DataFrame:
+    merged, _ = _merged(name, spark, sf)
     return plain(merged.drop("created_at", "updated_at"))
 
 
-# The last instant before the cut: changes are taken strictly after the watermark.
-CUT_WATERMARK = "2023-08-31 23:59:59.999999"
+def merged_dimensions(names: Sequence[str], spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Written dimensions with several versions of a key, and the calendar."""
+    made: dict[str, DataFrame] = {}
+    for name in names:
+        merged, first = _merged(name, spark, sf)
+        made[name] = merged
+        if name == "dim_inventory":
+            made["dim_warehouse"] = first["dim_warehouse"]
+    return stage_all(made) | {"dim_date": date_dimension(spark), "dim_month": month_dimension(spark)}
 
 
 def surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys that go on after 100, in bands of a thousand: dense, unique and from the start on."""
     pairs = given(spark, sf, "lineitem").select("l_partkey", "l_suppkey").distinct()
-    return with_surrogate_key(pairs, "pair_key", ["l_partkey", "l_suppkey"])
+    start = spark.range(100, 101).toDF("last")
+    keyed = with_surrogate_key(pairs, "pair_key", ["l_partkey", "l_suppkey"], start)
+    return keyed.groupBy(F.floor((F.col("pair_key") - 101) / 1000).alias("band")).agg(
+        F.count("*").alias("n"),
+        F.countDistinct("pair_key").alias("n_keys"),
+        F.countDistinct("l_partkey", "l_suppkey").alias("n_pairs"),
+        F.min("pair_key").alias("first_key"),
+        F.max("pair_key").alias("last_key"),
+    )
 
 
 # --- lookups ----------------------------------------------------------------------------
@@ -318,6 +358,24 @@ def active_interval_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return plain(found)
 
 
+def pit_lookup_many_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """The same versions under keys of a few customers each, so that a key has more of them
+    than are cut within a row."""
+    versions = _order_versions(spark, sf).withColumn("customer_id", F.col("customer_id") % 5)
+    days = _session_days(spark, sf).withColumn("customer_id", F.col("customer_id") % 5).distinct()
+    timeline = version_timeline(versions, "customer_id", "customer_key")
+    return plain(at_day(days, timeline, "customer_id", F.col("activity_date")))
+
+
+def active_interval_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Active subscriptions under keys of a few customers each."""
+    held = source(spark, sf, "customer_subscription").withColumn("customer_id", F.col("customer_id") % 5)
+    days = _session_days(spark, sf).withColumn("customer_id", F.col("customer_id") % 5).distinct()
+    order = ["start_date", "subscription_id"]
+    active = interval_timeline(held, "customer_id", "start_date", "end_date", order=order, answer=["subscription_id", "plan_id"])
+    return plain(at_day(days, active, "customer_id", F.col("activity_date"), "left"))
+
+
 # --- facts ------------------------------------------------------------------------------
 
 FACT_DIMENSIONS = {
@@ -336,7 +394,8 @@ def fact_table(name: str, spark: SparkSession, sf: str, settled_only: bool = Tru
     wh = Warehouse(spark, sf)
     # the timeline of subscriptions reads them more than once
     reread = [t for t in FACT_TABLES[name] if t == "customer_subscription"]
-    kept, dims = wh.stored(reread, FACT_DIMENSIONS[name])
+    kept, _ = wh.stored(reread, [])
+    dims = merged_dimensions(FACT_DIMENSIONS[name], spark, sf)
     return plain(fact_full(name, wh.silver(*FACT_TABLES[name]) | kept, dims, settled_only))
 
 
@@ -344,26 +403,30 @@ def fact_in_two_loads(name: str, spark: SparkSession, sf: str) -> DataFrame:
     """A fact of the rows before a cut, then refreshed for the keys changed since.
 
     The first load sees every event table up to the cut; the dimensions and the tables
-    that only place events (items, subscriptions) are those of the second load.
+    that only place events (items, subscriptions) are those of the second load. The months
+    of the affected keys are passed, as a load does.
     """
     wh, first = Warehouse(spark, sf), Warehouse(spark, sf, EVENT_CUT)
-    silver, dims = wh.stored(FACT_TABLES[name], FACT_DIMENSIONS[name])
+    silver, _ = wh.stored(FACT_TABLES[name], [])
+    dims = merged_dimensions(FACT_DIMENSIONS[name], spark, sf)
     before = {**silver, **first.silver(*FACT_SOURCES[name])}
     loaded = stage(fact_full(name, before, dims))
     marks = {t: EVENT_WATERMARK for t in FACT_SOURCES[name]}
     affected = stage(fact_affected(name, silver, marks, dims))
-    small = affected.count() <= jobs.BROADCAST_KEYS
-    new = fact_recomputed(name, silver, dims, affected, small_affected=small)
+    key = GRAIN[name][0][1]
+    month = F.col(key) if key == "month_key" else month_key(key)
+    found = affected.groupBy(month.alias("m")).count().collect()
+    small = sum(r["count"] for r in found) <= jobs.Settings(SOURCE_SYSTEM).broadcast_keys
+    new = fact_recomputed(name, silver, dims, affected, months=[r["m"] for r in found], small_affected=small)
     return plain(fact_without(name, loaded, affected, dims).unionByName(new.select(*loaded.columns)))
 
 
-EVENT_WATERMARK = "2024-01-19 23:59:59.999999"
+EVENT_WATERMARK = just_before(EVENT_CUT)
 
 
-def fact_affected_keys(spark: SparkSession, sf: str) -> DataFrame:
-    name = "fact_customer_daily_activity"
-    silver = Warehouse(spark, sf).silver(*FACT_SOURCES[name])
-    calendar = {"dim_date": date_dimension(spark)}
+def fact_affected_keys(name: str, spark: SparkSession, sf: str) -> DataFrame:
+    silver = Warehouse(spark, sf).silver(*FACT_TABLES[name])
+    calendar = {"dim_date": date_dimension(spark), "dim_month": month_dimension(spark)}
     marks = {t: EVENT_WATERMARK for t in FACT_SOURCES[name]}
     return plain(fact_affected(name, silver, marks, calendar))
 
@@ -391,42 +454,80 @@ def _new_lake(spark: SparkSession) -> Lake:
     return Lake(spark, name, f"{shared_folder(spark).rstrip('/')}/lakes")
 
 
+WHOLE = jobs.Settings(SOURCE_SYSTEM)
+
+
+def _by_natural_key(lake: Lake, fact: str) -> DataFrame:
+    """A stored fact with natural keys in place of surrogate keys, which depend on the loads."""
+    natural, dim, surrogate = GRAIN[fact][0][0], *GRAIN[fact][1:]
+    rows = lake.read(f"gold.{fact}").join(lake.read(f"gold.{dim}").select(surrogate, natural), surrogate)
+    if "subscription_plan_key" in rows.columns:
+        plans = lake.read("gold.dim_subscription_plan").select(F.col("plan_key").alias("subscription_plan_key"), "plan_id")
+        rows = rows.join(plans, "subscription_plan_key", "left")
+    if "warehouse_key" in rows.columns:
+        rows = rows.join(lake.read("gold.dim_warehouse").select("warehouse_key", "warehouse_id"), "warehouse_key")
+    return plain(rows.drop(surrogate, "subscription_plan_key", "warehouse_key"))
+
+
+def fact_with_late_keys(name: str, spark: SparkSession, sf: str) -> DataFrame:
+    """A load in which half of the customers, titles and items are missing while all events
+    are there, then an incremental load with everything. Of the warehouse, the tables that
+    the fact is made from."""
+    lake, settings = _new_lake(spark), _load_settings(name)
+    late = {"customer": "customer_id", "content": "content_id", "inventory_item": "inventory_id"}
+
+    def before(table: str) -> DataFrame:
+        rows = source_without_ties(spark, sf, table)
+        return rows.filter(F.col(late[table]) % 2 == 0) if table in late else rows
+
+    def after(table: str) -> DataFrame:
+        """The others come as new rows of the operational system."""
+        rows = source_without_ties(spark, sf, table)
+        if table not in late:
+            return rows
+        new = F.col(late[table]) % 2 == 1
+        return rows.withColumn("updated_at", F.when(new, timestamp(RUN_TS)).otherwise(F.col("updated_at")))
+
+    jobs.full_load(lake, before, "2026-12-31 00:00:00", settings)
+    jobs.incremental_load(lake, after, RUN_TS, settings)
+    return _by_natural_key(lake, name)
+
+
 def pipeline_full_load(spark: SparkSession, sf: str) -> DataFrame:
-    """The stored tables of one fact, loaded through all layers."""
-    fact = "fact_inventory_daily_utilisation"
+    """All tables loaded through all layers; the inventory fact."""
     lake = _new_lake(spark)
-    jobs.full_load(lake, partial(source_without_ties, spark, sf), RUN_TS, _load_settings(fact))
-    return plain(lake.read(f"gold.{fact}"))
+    jobs.full_load(lake, partial(source_without_ties, spark, sf), RUN_TS, WHOLE)
+    return plain(lake.read("gold.fact_inventory_daily_utilisation"))
 
 
 def pipeline_incremental_load(spark: SparkSession, sf: str) -> DataFrame:
-    """A full load before some events arrived, then an incremental load with them."""
-    fact = "fact_content_monthly_performance"
-    lake, settings = _new_lake(spark), _load_settings(fact)
+    """A full load before some events arrived, then an incremental load with them; the content fact."""
+    lake = _new_lake(spark)
     late = ("streaming_session", "wishlist")
 
     def before(table: str) -> DataFrame:
         rows = source_without_ties(spark, sf, table)
         return rows.filter(F.col("updated_at") < timestamp(EVENT_CUT)) if table in late else rows
 
-    jobs.full_load(lake, before, RUN_TS, settings)
-    jobs.incremental_load(lake, partial(source_without_ties, spark, sf), RUN_TS, settings)
-    return plain(lake.read(f"gold.{fact}"))
+    jobs.full_load(lake, before, "2026-12-31 00:00:00", WHOLE)
+    jobs.incremental_load(lake, partial(source_without_ties, spark, sf), RUN_TS, WHOLE)
+    return plain(lake.read("gold.fact_content_monthly_performance"))
 
 
 def pipeline_backfill(spark: SparkSession, sf: str) -> DataFrame:
-    """Bronze that lost rows of a date range, repaired by a backfill of that range, then silver."""
-    table = "streaming_session"
-    lake, settings = _new_lake(spark), jobs.Settings(SOURCE_SYSTEM, tables=(table,), gold=())
-
-    def damaged(name: str) -> DataFrame:
-        rows = source(spark, sf, name)
+    """A load that lost sessions of a date range, repaired by a backfill of that range; the
+    customer fact."""
+    lake, source_rows = _new_lake(spark), partial(source_without_ties, spark, sf)
+
+    def damaged(table: str) -> DataFrame:
+        rows = source_rows(table)
+        if table != "streaming_session":
+            return rows
         return rows.filter(~in_window("created_at", *WINDOW) | (F.col("stream_id") % 3 == 0))
 
-    jobs.bronze_full_load(lake, damaged, RUN_TS, settings)
-    jobs.bronze_backfill(lake, partial(source, spark, sf), RUN_TS, *WINDOW, settings)
-    jobs.silver_full_load(lake, settings)
-    return plain(lake.read(f"silver.{table}").drop("load_timestamp"))
+    jobs.full_load(lake, damaged, "2026-12-31 00:00:00", WHOLE)
+    jobs.backfill(lake, source_rows, RUN_TS, *WINDOW, WHOLE)
+    return plain(lake.read("gold.fact_customer_daily_activity"))
 
 
 def source_without_ties(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -469,11 +570,14 @@ def queries() -> dict[str, Query]:
     found |= {
         "pit_lookup_fallback": pit_lookup_fallback,
         "active_interval_lookup": active_interval_lookup,
-        "fact_affected_keys": fact_affected_keys,
+        "pit_lookup_many_versions": pit_lookup_many_versions,
+        "active_interval_many": active_interval_many,
     }
     for name in FACT_TABLES:
         found[name] = partial(fact_table, name)
         found[f"{name}_incremental"] = partial(fact_in_two_loads, name)
+        found[f"{name}_affected"] = partial(fact_affected_keys, name)
+        found[f"{name}_late"] = partial(fact_with_late_keys, name)
     found |= {
         "pipeline_full_load": pipeline_full_load,
         "pipeline_incremental_load": pipeline_incremental_load,
@@ -485,5 +589,12 @@ def queries() -> dict[str, Query]:
     return found
 
 
-# Tables loaded in two steps: a single key, a composite key, and an inverted span on the newest row.
-TWO_LOADS = {"rental": CUT, "content_artist": CUT, "support_ticket": EVENT_CUT}
+# Tables loaded in two steps, among them composite keys and inverted spans on the newest row.
+# The cut of each lies where its rows change.
+TWO_LOADS = {
+    **dict.fromkeys(
+        ("rental", "delivery", "payment", "review", "content_artist", "content_genre", "customer", "customer_address",
+         "customer_subscription", "inventory_item"), CUT),
+    **dict.fromkeys(("streaming_session", "wishlist", "support_ticket", "recommendation"), EVENT_CUT),
+    "content": DIMENSION_CUTS["dim_content"],
+}

@@ -6,8 +6,9 @@ customer, item or title that holds much of the events reaches the joins as one r
 day or month.
 
 The incremental form finds the keys with changed rows, recomputes those keys from all
-their history and replaces them. It gives the rows a full load would give, up to which
-surrogate key stands for a natural key.
+their history and replaces them; keys of customers, titles and items that arrive after
+their events count as changed (`fact_late`). It gives the rows a full load would give, up
+to which surrogate key stands for a natural key.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from strata.functions import date_key, day, month_key, month_start
 from strata.operators.measures import average, long_layout, total, union_all
 from strata.operators.timeline import at_day, interval_timeline, version_timeline
 from strata.sources.extract import changed_since, timestamp
+from strata.sources.tables import MONTH
 
 Frames = Mapping[str, DataFrame]
 Watermarks = Mapping[str, "str | datetime"]
@@ -58,9 +60,24 @@ def in_months(column: Column, months: Sequence[int] | None) -> Column:
     return condition
 
 
-def _rows(silver: Frames, table: str, watermarks: Watermarks | None) -> DataFrame:
-    """A silver table, or only its rows changed since the table's watermark."""
-    return silver[table] if watermarks is None else changed_since(silver[table], watermarks[table])
+def _rows(
+    silver: Frames,
+    table: str,
+    watermarks: Watermarks | None,
+    months: Sequence[int] | None = None,
+    later: bool = False,
+) -> DataFrame:
+    """A silver table, or only its rows changed since the table's watermark.
+
+    `months` skips the stored partitions of other months; with `later`, only those after
+    the last of them, for what may happen any time after the event. Rows in the partition
+    of events without a date have no place in a month.
+    """
+    rows = silver[table] if watermarks is None else changed_since(silver[table], watermarks[table])
+    if months is None or MONTH not in rows.columns:
+        return rows
+    part = F.col(MONTH)
+    return rows.filter(part <= max(months) if later else part.isin([int(m) for m in months]))
 
 
 def _keep(df: DataFrame, keys: Sequence[str], affected: DataFrame | None) -> DataFrame:
@@ -86,7 +103,7 @@ def _starts_and_returns(
     """Two rows per rental in one scan: its start and its return, each at its own time."""
     started, returned = in_months(F.col("rental_date"), months), in_months(F.col("return_date"), months)
     return (
-        _rows(silver, "rental", watermarks)
+        _rows(silver, "rental", watermarks, months, later=True)
         .filter(started | returned)
         .select(
             key,
@@ -115,7 +132,7 @@ def customer_day_events(
         return long_layout(df, keys, CUSTOMER_MEASURES, **values)
 
     def daily(table: str, at: str, **values: Column) -> DataFrame:
-        rows = _rows(silver, table, watermarks).filter(in_months(F.col(at), months))
+        rows = _rows(silver, table, watermarks, months).filter(in_months(F.col(at), months))
         return layout(rows, at, **values)
 
     one = F.lit(1)
@@ -213,7 +230,7 @@ def _rentals_by_item(
     """Rentals per item and month, then to content: an item rented often joins as one row a month."""
     fee = F.coalesce("rental_fee", F.lit(0)) + F.coalesce("late_fee", F.lit(0))
     per_item = (
-        _rows(silver, "rental", watermarks)
+        _rows(silver, "rental", watermarks, months)
         .filter(F.col("rental_date").isNotNull() & F.col("inventory_id").isNotNull())
         .filter(in_months(F.col("rental_date"), months))
         .groupBy("inventory_id", month_key("rental_date").alias("month_key"))
@@ -238,7 +255,7 @@ def content_month_events(
         return long_layout(df, keys, CONTENT_MEASURES, **values)
 
     def monthly(table: str, at: str, **values: Column) -> DataFrame:
-        rows = _rows(silver, table, watermarks).filter(in_months(F.col(at), months))
+        rows = _rows(silver, table, watermarks, months).filter(in_months(F.col(at), months))
         return layout(rows, month_key(at), **values)
 
     one = F.lit(1)
@@ -408,11 +425,37 @@ def fact_full(
 def fact_affected(name: str, silver: Frames, watermarks: Watermarks, dims: Frames) -> DataFrame:
     """Grain keys inside the calendar that hold rows changed since their table's watermark."""
     keys = GRAIN[name][0]
-    found = fact_events(name, silver, watermarks=watermarks).select(*keys).distinct()
-    if "month_key" in keys:
-        return found.join(dims["dim_month"].select("month_key"), "month_key", "left_semi")
+    return _in_calendar(fact_events(name, silver, watermarks=watermarks).select(*keys).distinct(), dims)
+
+
+def _in_calendar(found: DataFrame, dims: Frames) -> DataFrame:
+    if "month_key" in found.columns:
+        return found.join(dims["dim_month"].select("month_key"), "month_key", "left_semi").select(*found.columns)
     days = dims["dim_date"].select(F.col("full_date").alias("activity_date"))
-    return found.join(days, "activity_date", "left_semi")
+    return found.join(days, "activity_date", "left_semi").select(*found.columns)
+
+
+def fact_late(
+    name: str, silver: Frames, dims: Frames, loaded: str | datetime, settled_only: bool = True
+) -> DataFrame:
+    """Grain keys of events that were there before their customer, title or item.
+
+    Those are the natural keys whose first dimension row is younger than the fact's last
+    load; a title's rentals also count as late when the item that places them is new. The
+    events are read by key, their months being unknown. Only the few new keys meet them.
+    """
+    keys, dim, _ = GRAIN[name]
+    natural = keys[0]
+    first = dims[dim].groupBy(natural).agg(F.min("created_at").alias("_first"))
+    new = first.filter(F.col("_first") > timestamp(loaded)).select(natural)
+    found = fact_events(name, silver, settled_only).select(*keys).join(new, natural, "left_semi")
+    if name == "fact_content_monthly_performance":
+        items = silver["inventory_item"].filter(F.col("load_timestamp") > timestamp(loaded))
+        rented = silver["rental"].filter("rental_date is not null").join(
+            items.select("inventory_id", "content_id").dropna(), "inventory_id"
+        )
+        found = found.unionByName(rented.select("content_id", month_key("rental_date").alias("month_key")))
+    return _in_calendar(found.distinct(), dims)
 
 
 def fact_recomputed(

@@ -2,7 +2,9 @@
 
 Order: bronze tables, silver tables, dimensions (items after content and warehouses),
 facts. Every step writes its data before its watermark, and running it again changes
-nothing: upserts and recomputed keys replace what they find.
+nothing: a bronze load is a partition named after the watermark it starts from, which a
+retry replaces; upserts and recomputed keys replace what they find. A table that fails
+keeps its watermark, while those that succeeded move on.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.operators.calendar import date_dimension, month_dimension
@@ -23,23 +25,23 @@ from strata.plans.facts import (
     GRAIN,
     fact_affected,
     fact_full,
+    fact_late,
     fact_recomputed,
     fact_without,
 )
 from strata.plans.silver import silver_batch, silver_full
 from strata.functions import month_key
-from strata.sources.extract import changed_since, event_date_column, window_extract, with_lineage
-from strata.sources.tables import MONTH, Lake, month_of
+from strata.sources.extract import changed_since, event_date_column, in_window, window_extract, with_lineage
+from strata.sources.tables import MONTH, RUN, Lake, month_of, observed
 from strata.sources.watermarks import (
     CONTROL,
     NEVER,
     advanced,
     control_table,
-    newest_change,
     newest_update,
     stored_marks,
 )
-from strata.specs import DIMENSIONS, FIRST_DAY, LAST_DAY, TABLES
+from strata.specs import DIMENSIONS, EVENT_TIMES, FIRST_DAY, LAST_DAY, TABLES
 
 Source = Callable[[str], DataFrame]
 Marks = dict[str, datetime]
@@ -50,11 +52,6 @@ DIMENSION_WAVES = (
     ("dim_inventory",),
 )
 
-# Up to this many affected keys are broadcast to the event scans; above, the events are
-# aggregated first and joined by key. 32 bytes a key keep the broadcast near 32 MB.
-BROADCAST_KEYS = 1_000_000
-
-
 @dataclass(frozen=True)
 class Settings:
     source_system: str
@@ -64,6 +61,11 @@ class Settings:
     include_child_changes: bool = False
     first_day: str = FIRST_DAY
     last_day: str = LAST_DAY
+    #: refresh facts also for customers, titles and items that arrive after their events
+    late_keys: bool = True
+    #: affected keys up to this number, which is counted first, are broadcast to the event
+    #: scans (about 32 bytes each); above it, events are aggregated first and joined by key
+    broadcast_keys: int = 1_000_000
     #: tables loaded at the same time
     parallel: int = 4
     #: the operational tables to load, and the dimensions and facts to build from them
@@ -71,28 +73,44 @@ class Settings:
     gold: tuple[str, ...] = (*DIMENSIONS, *FACT_SOURCES)
 
 
-def _each(names: Iterable[str], load: Callable[[str], Marks], settings: Settings) -> Marks:
+def _each(lake: Lake, names: Iterable[str], load: Callable[[str], Marks], settings: Settings) -> None:
+    """Load each table and advance the marks of those that succeed; then raise what failed."""
     with ThreadPoolExecutor(settings.parallel) as pool:
-        marks: Marks = {}
-        for found in pool.map(load, names):
-            marks |= found
-        return marks
-
-
-def _advance(lake: Lake, marks: Marks) -> None:
+        running = [pool.submit(load, name) for name in names]
+    marks: Marks = {}
+    for done in running:
+        if done.exception() is None:
+            marks |= done.result()
     if marks:
         lake.publish(advanced(control_table(lake.spark, lake), marks), CONTROL)
+    for done in running:
+        done.result()
 
 
 def _month(table: str) -> Column | None:
-    return month_of("created_at") if TABLES[table].events else None
+    return month_of(EVENT_TIMES[table]) if TABLES[table].events else None
 
 
 def _replace(lake: Lake, df: DataFrame, table: str, month: Column | None) -> None:
-    if month is None:
-        lake.publish(df, table)
-    else:
-        lake.overwrite(df, table, month)
+    lake.publish(df, table, None if month is None else MONTH, month)
+
+
+def _newest_of(df: DataFrame) -> tuple[DataFrame, Callable[[], datetime]]:
+    """The rows, and after they were written once, the newest change among them."""
+    seen = Observation()
+    newest = F.greatest(F.max("created_at"), F.max("updated_at")).cast("string").alias("newest")
+    marked = df.observe(seen, newest)
+
+    def get() -> datetime:
+        found = observed(seen).get("newest")
+        return datetime.fromisoformat(found) if found else NEVER
+
+    return marked, get
+
+
+def _run(since: datetime) -> str:
+    """Name of the bronze partition of the load that starts from a watermark; names ascend."""
+    return since.strftime("%Y%m%d%H%M%S%f")
 
 
 def _fact_month(fact: str) -> Column:
@@ -105,31 +123,36 @@ def _fact_month(fact: str) -> Column:
 
 
 def bronze_full_load(lake: Lake, source: Source, run_ts: str, settings: Settings) -> None:
+    """Every source whole; the next silver load then starts from the beginning too."""
     def load(table: str) -> Marks:
-        rows = with_lineage(source(table), run_ts, settings.source_system)
-        _replace(lake, rows, f"bronze.{table}", _month(table))
-        return {f"bronze.{table}": newest_change(lake.read(f"bronze.{table}"))}
+        rows, newest = _newest_of(with_lineage(source(table), run_ts, settings.source_system))
+        lake.publish(rows, f"bronze.{table}", RUN, F.lit(_run(NEVER)))
+        return {f"bronze.{table}": newest(), f"silver.{table}": NEVER}
 
-    _advance(lake, _each(settings.tables, load, settings))
+    _each(lake, settings.tables, load, settings)
 
 
 def bronze_incremental_load(lake: Lake, source: Source, run_ts: str, settings: Settings) -> None:
-    """Append the source rows changed since the newest change in bronze."""
+    """Add the source rows changed since the newest change in bronze."""
     stored = stored_marks(lake)
 
     def load(table: str) -> Marks:
         name = f"bronze.{table}"
         since = stored.get(name, NEVER)
-        delta = with_lineage(changed_since(source(table), since), run_ts, settings.source_system).persist()
-        newest = newest_change(delta)
-        if not lake.exists(name):
-            _replace(lake, delta, name, _month(table))
-        elif not delta.isEmpty():
-            lake.append(delta, name, _month(table))
-        delta.unpersist()
-        return {name: max(since, newest)}
+        delta, newest = _newest_of(with_lineage(changed_since(source(table), since), run_ts, settings.source_system))
+        run = _run(since)
+        if lake.exists(name):
+            lake.replace_parts(delta.withColumn(RUN, F.lit(run)), name, RUN, [run])
+        else:
+            lake.publish(delta, name, RUN, F.lit(run))
+        return {name: max(since, newest())}
+
+    _each(lake, settings.tables, load, settings)
 
-    _advance(lake, _each(settings.tables, load, settings))
+
+def _own_run(mark: datetime, start: str, end: str) -> str:
+    """The partition of a backfill, named after the mark: newer than all loads so far."""
+    return f"{_run(mark)}_{start}_{end}".replace(" ", "T")
 
 
 def bronze_backfill(
@@ -144,69 +167,77 @@ def bronze_backfill(
     """Load the rows of a closed date range again.
 
     With `replace_all` the tables then hold that range only. Otherwise its rows replace
-    those of the same range in bronze; a table without dates is replaced whole.
+    those of the same range in bronze, in the loads that hold some; a table without dates
+    is replaced whole.
     """
+    stored = stored_marks(lake)
+
     def load(table: str) -> Marks:
         name = f"bronze.{table}"
-        extract = with_lineage(window_extract(source(table), start, end), run_ts, settings.source_system)
-        if replace_all or not lake.exists(name):
-            _replace(lake, extract, name, _month(table))
-        elif event_date_column(extract) == "created_at" and TABLES[table].events:
-            months = _months_between(start, end)
-            held = lake.in_months(name, months).drop(MONTH)
-            rows = replace_window(held, extract, start, end).withColumn(MONTH, _month(table))
-            lake.replace_months(rows, name, months)
-        else:
-            lake.publish(replace_window(lake.read(name), extract, start, end), name)
-        return {name: newest_change(lake.read(name))}
-
-    _advance(lake, _each(settings.tables, load, settings))
-
-
-def _months_between(start: str, end: str) -> list[int]:
-    first, last = datetime.fromisoformat(start), datetime.fromisoformat(end)
-    numbers = range(first.year * 12 + first.month - 1, last.year * 12 + last.month)
-    return [n // 12 * 100 + n % 12 + 1 for n in numbers]
+        extract, newest = _newest_of(
+            with_lineage(window_extract(source(table), start, end), run_ts, settings.source_system)
+        )
+        column = event_date_column(extract)
+        if replace_all or column is None or not lake.exists(name):
+            lake.publish(extract, name, RUN, F.lit(_run(NEVER)))
+            return {name: newest()}
+        mark = stored.get(name, NEVER)
+        held = lake.stored(name)
+        runs = [r[0] for r in held.filter(in_window(column, start, end)).select(RUN).distinct().collect()]
+        own = _own_run(mark, start, end)
+        kept = replace_window(held.filter(F.col(RUN).isin(runs)), extract.withColumn(RUN, F.lit(own)), start, end)
+        lake.replace_parts(kept, name, RUN, [*runs, own])
+        return {name: max(mark, newest())}
+
+    _each(lake, settings.tables, load, settings)
 
 
 # --- silver -----------------------------------------------------------------------------
 
 
 def silver_full_load(lake: Lake, settings: Settings) -> None:
+    stored = stored_marks(lake)
+
     def load(table: str) -> Marks:
         _replace(lake, silver_full(table, lake.read(f"bronze.{table}")), f"silver.{table}", _month(table))
-        return {f"silver.{table}": newest_change(lake.read(f"silver.{table}"))}
+        return {f"silver.{table}": stored.get(f"bronze.{table}", NEVER)}
+
+    _each(lake, settings.tables, load, settings)
 
-    _advance(lake, _each(settings.tables, load, settings))
+
+def bronze_since(lake: Lake, table: str, since: datetime) -> DataFrame:
+    """The bronze rows of the loads from a watermark on; other loads' files are not opened."""
+    return lake.stored(f"bronze.{table}").filter(F.col(RUN) >= _run(since)).drop(RUN)
 
 
 def silver_incremental_load(lake: Lake, settings: Settings) -> None:
-    """Upsert the bronze rows changed since the newest change in silver."""
+    """Upsert the bronze rows of the loads since the last one that silver has seen."""
     stored = stored_marks(lake)
 
     def load(table: str) -> Marks:
         name = f"silver.{table}"
         since = stored.get(name, NEVER)
-        batch = silver_batch(table, lake.read(f"bronze.{table}"), since).persist()
-        newest = newest_change(batch)
+        batch = silver_batch(table, bronze_since(lake, table, since), since)
         if not lake.exists(name):
             _replace(lake, batch, name, _month(table))
-        elif not batch.isEmpty():
-            if TABLES[table].events:
-                lake.merge(batch, name, TABLES[table].keys, _month(table))
-            else:
+        elif TABLES[table].events:
+            lake.merge(batch, name, TABLES[table].keys, _month(table))
+        else:
+            batch = batch.persist()
+            if not batch.isEmpty():
                 lake.publish(upsert(lake.read(name), batch, TABLES[table].keys), name)
-        batch.unpersist()
-        return {name: max(since, newest)}
+            batch.unpersist()
+        return {name: stored.get(f"bronze.{table}", since)}
 
-    _advance(lake, _each(settings.tables, load, settings))
+    _each(lake, settings.tables, load, settings)
 
 
 # --- gold -------------------------------------------------------------------------------
 
 
 def _silver(lake: Lake, settings: Settings) -> dict[str, DataFrame]:
-    return {t: lake.read(f"silver.{t}") for t in settings.tables}
+    """The silver tables; events keep their month, by which the facts skip partitions."""
+    return {t: lake.stored(f"silver.{t}") for t in settings.tables}
 
 
 def _drivers(dimension: str, settings: Settings) -> list[str]:
@@ -237,6 +268,11 @@ def _seen(stored: Marks, gold: str, tables: Iterable[str]) -> Marks:
     return {_mark(gold, t): stored.get(f"silver.{t}", NEVER) for t in tables}
 
 
+def _loaded(fact: str, run_ts: str) -> Marks:
+    """When the fact was last brought up to date: younger dimension rows are new to it."""
+    return {f"gold.{fact}": datetime.fromisoformat(run_ts)}
+
+
 def gold_full_load(lake: Lake, run_ts: str, settings: Settings) -> None:
     lake.publish(date_dimension(lake.spark, settings.first_day, settings.last_day), "gold.dim_date")
     lake.publish(month_dimension(lake.spark, settings.first_day, settings.last_day), "gold.dim_month")
@@ -248,12 +284,12 @@ def gold_full_load(lake: Lake, run_ts: str, settings: Settings) -> None:
 
     def fact(name: str) -> Marks:
         rows = fact_full(name, silver, _dims(lake), settings.settled_only)
-        lake.overwrite(rows, f"gold.{name}", _fact_month(name))
-        return _seen(stored, name, FACT_SOURCES[name])
+        lake.publish(rows, f"gold.{name}", MONTH, _fact_month(name))
+        return _seen(stored, name, FACT_SOURCES[name]) | _loaded(name, run_ts)
 
     for wave in DIMENSION_WAVES:
-        _advance(lake, _each(_chosen(wave, settings), dimension, settings))
-    _advance(lake, _each(_chosen(FACT_SOURCES, settings), fact, settings))
+        _each(lake, _chosen(wave, settings), dimension, settings)
+    _each(lake, _chosen(FACT_SOURCES, settings), fact, settings)
 
 
 def gold_incremental_load(lake: Lake, run_ts: str, settings: Settings) -> None:
@@ -272,34 +308,46 @@ def gold_incremental_load(lake: Lake, run_ts: str, settings: Settings) -> None:
 
     def fact(name: str) -> Marks:
         since = {t: stored.get(_mark(name, t), NEVER) for t in FACT_SOURCES[name]}
-        _refresh_fact(lake, name, silver, since, settings)
-        return _seen(stored, name, FACT_SOURCES[name])
+        changed = {t: silver_batch(t, bronze_since(lake, t, since[t]), since[t]) for t in since}
+        _refresh_fact(lake, name, silver, changed, stored.get(f"gold.{name}", NEVER), settings)
+        return _seen(stored, name, FACT_SOURCES[name]) | _loaded(name, run_ts)
 
     for wave in DIMENSION_WAVES:
-        _advance(lake, _each(_chosen(wave, settings), dimension, settings))
-    _advance(lake, _each(_chosen(FACT_SOURCES, settings), fact, settings))
+        _each(lake, _chosen(wave, settings), dimension, settings)
+    _each(lake, _chosen(FACT_SOURCES, settings), fact, settings)
 
 
 def _refresh_fact(
-    lake: Lake, name: str, silver: dict[str, DataFrame], since: Marks, settings: Settings
+    lake: Lake,
+    name: str,
+    silver: dict[str, DataFrame],
+    changed: dict[str, DataFrame],
+    loaded: datetime,
+    settings: Settings,
 ) -> None:
-    """Recompute the affected keys, rewriting their months only.
+    """Recompute the keys of the changed rows, rewriting their months only.
 
-    The month numbers and the number of keys come to the driver, not the keys.
+    `changed` are the batches that silver merged, cleaned again from the bronze loads that
+    hold them, so silver is not scanned for them. The month numbers and the number of keys
+    come to the driver, not the keys.
     """
     dims = _dims(lake)
-    affected = fact_affected(name, silver, since, dims).persist()
+    affected = fact_affected(name, silver | changed, dict.fromkeys(changed, NEVER), dims)
+    if settings.late_keys:
+        late = fact_late(name, silver, dims, loaded, settings.settled_only)
+        affected = affected.unionByName(late).distinct()
+    affected = affected.persist()
     key = GRAIN[name][0][1]
     month = F.col(key) if key == "month_key" else month_key(key)
     found = affected.groupBy(month.alias("m")).count().collect()
     if found:
         months = [r["m"] for r in found]
-        small = sum(r["count"] for r in found) <= BROADCAST_KEYS
+        small = sum(r["count"] for r in found) <= settings.broadcast_keys
         stored = f"gold.{name}"
-        held = lake.in_months(stored, months).drop(MONTH)
+        held = lake.stored(stored).filter(F.col(MONTH).isin(months)).drop(MONTH)
         new = fact_recomputed(name, silver, dims, affected, settings.settled_only, months, small)
         rows = fact_without(name, held, affected, dims).unionByName(new.select(*held.columns))
-        lake.replace_months(rows.withColumn(MONTH, _fact_month(name)), stored, months)
+        lake.replace_parts(rows.withColumn(MONTH, _fact_month(name)), stored, MONTH, months)
     affected.unpersist()
 
 
@@ -329,7 +377,45 @@ def backfill(
     settings: Settings,
     replace_all: bool = False,
 ) -> None:
-    """A date range into bronze again, then silver and gold from bronze."""
+    """A date range into bronze again, then through silver and gold.
+
+    With `replace_all` the warehouse is built again from that range alone. Otherwise only
+    the keys in the range are cleaned again, from all their bronze rows, and merged into
+    silver, and the facts of their days and months are recomputed. Dimensions take what
+    changed since their last load as always, so their versions and keys stay; rows that the
+    source no longer has stay in silver.
+    """
+    marks = stored_marks(lake)
+    known = all(lake.exists(f"silver.{t}") for t in settings.tables)
     bronze_backfill(lake, source, run_ts, start, end, settings, replace_all)
-    silver_full_load(lake, settings)
-    gold_full_load(lake, run_ts, settings)
+    if replace_all or not known:
+        silver_full_load(lake, settings)
+        gold_full_load(lake, run_ts, settings)
+        return
+
+    def batch(table: str) -> DataFrame:
+        bronze = lake.stored(f"bronze.{table}")
+        own = _own_run(marks.get(f"bronze.{table}", NEVER), start, end)
+        keys = list(TABLES[table].keys)
+        if event_date_column(bronze) is not None:
+            bronze = bronze.join(bronze.filter(F.col(RUN) == own).select(*keys).distinct(), keys, "left_semi")
+        return silver_full(table, bronze.drop(RUN))
+
+    def merge(table: str) -> Marks:
+        name = f"silver.{table}"
+        if TABLES[table].events:
+            lake.merge(batch(table), name, TABLES[table].keys, _month(table))
+        else:
+            lake.publish(upsert(lake.read(name), batch(table), TABLES[table].keys), name)
+        return {}
+
+    def fact(name: str) -> Marks:
+        silver = _silver(lake, settings)
+        changed = {t: batch(t) for t in FACT_SOURCES[name]}
+        _refresh_fact(lake, name, silver, changed, marks.get(f"gold.{name}", NEVER), settings)
+        return {}
+
+    _each(lake, settings.tables, merge, settings)
+    silver_incremental_load(lake, settings)
+    gold_incremental_load(lake, run_ts, settings)
+    _each(lake, _chosen(FACT_SOURCES, settings), fact, settings)

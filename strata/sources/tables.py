@@ -1,19 +1,21 @@
 """Stored tables of the three layers, as plain parquet tables of the session's catalog.
 
-Two layouts:
-
-* snapshot tables (lookups, dimensions, control): two physical copies and a view that
-  points at the live one. A load reads the live copy, writes the other, then moves the
-  view, so nothing is overwritten while it is read and readers switch at once.
-* month tables (events, facts): partitioned by month. An upsert rewrites the months it
-  touches and no others, by dynamic partition overwrite, whose files appear only when
-  all of them are written.
+A table is a view over its live version. A load that replaces a table writes a new version
+and then moves the view: a write that fails leaves the old rows in place, and a reader goes
+on with the version it began with until that is dropped, `keep_hours` after its writing.
+
+Large tables are partitioned, bronze by load and silver events and facts by month. Their
+loads rewrite the partitions they touch within the live version, by dynamic partition
+overwrite, whose files appear only when all of them are written.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from strata.functions import month_key
 
 MONTH = "part_month"
 NO_MONTH = 0  # partition of rows without a date
+RUN = "part_run"
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -29,14 +32,24 @@ def month_of(at: str) -> Column:
     return F.coalesce(month_key(at), F.lit(NO_MONTH))
 
 
+def observed(seen: Observation) -> dict:
+    """What an observation saw; nothing if Spark knew that there are no rows and skipped it."""
+    try:
+        return seen.get
+    except Py4JJavaError as error:
+        if "AssertionError" not in str(error.java_exception):
+            raise
+        return {}
+
+
 class Lake:
     """The tables of one warehouse; `prefix` keeps several apart in one catalog.
 
     They lie in the catalog's warehouse folder, or below `folder`.
     """
 
-    def __init__(self, spark: SparkSession, prefix: str = "", folder: str | None = None):
-        self.spark, self.prefix = spark, prefix
+    def __init__(self, spark: SparkSession, prefix: str = "", folder: str | None = None, keep_hours: float = 24):
+        self.spark, self.prefix, self.keep_hours = spark, prefix, keep_hours
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         for layer in LAYERS:
             at = f" LOCATION '{folder}/{prefix}{layer}'" if folder else ""
@@ -50,54 +63,51 @@ class Lake:
         return self.spark.catalog.tableExists(self.name(table))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(self.name(table)).drop(MONTH)
+        return self.stored(table).drop(MONTH, RUN)
+
+    def stored(self, table: str) -> DataFrame:
+        """The rows with their partition column, by which readers can skip partitions."""
+        return self.spark.table(self.name(table))
 
-    # --- snapshot tables ---
+    def live(self, table: str) -> str:
+        """The table that holds the live version."""
+        version = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)} ('version')").first()["value"]
+        return f"{self.name(table)}__{version}"
 
-    def publish(self, df: DataFrame, table: str) -> None:
-        """Replace a snapshot table. `df` may read the table itself."""
+    def publish(self, df: DataFrame, table: str, part: str | None = None, by: Column | None = None) -> None:
+        """Replace a table whole, partitioned by the column `part` if it is given. `df` may
+        read the table itself."""
         view = self.name(table)
-        live = None
-        if self.exists(table):
-            live = self.spark.sql(f"SHOW TBLPROPERTIES {view} ('side')").first()["value"]
-        side = "b" if live == "a" else "a"
-        df.write.mode("overwrite").saveAsTable(f"{view}__{side}")
+        version = f"v{time.time_ns() // 1_000_000}_{uuid.uuid4().hex[:6]}"
+        if part is None:
+            df.write.saveAsTable(f"{view}__{version}")
+        else:
+            _balanced(df.withColumn(part, by), part).write.partitionBy(part).saveAsTable(f"{view}__{version}")
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('side' = '{side}') AS SELECT * FROM {view}__{side}"
+            f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('version' = '{version}') AS SELECT * FROM {view}__{version}"
         )
+        self._drop_old(table, version)
 
-    # --- month tables ---
-
-    def overwrite(self, df: DataFrame, table: str, month: Column) -> None:
-        """Replace a month table whole. `df` must not read it."""
-        rows = df.withColumn(MONTH, month)
-        _balanced(rows).write.mode("overwrite").partitionBy(MONTH).saveAsTable(self.name(table))
-
-    def append(self, df: DataFrame, table: str, month: Column | None) -> None:
-        """Add rows; nothing happens for no rows."""
-        if month is None:
-            side = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)} ('side')").first()["value"]
-            df.write.mode("append").saveAsTable(f"{self.name(table)}__{side}")
-            self.spark.catalog.refreshTable(self.name(table))
-            return
-        rows = df.withColumn(MONTH, month)
-        _balanced(rows).write.mode("append").partitionBy(MONTH).saveAsTable(self.name(table))
-
-    def in_months(self, table: str, months: Sequence[int]) -> DataFrame:
-        """Rows of some partitions, with the partition column."""
-        return self.spark.table(self.name(table)).filter(F.col(MONTH).isin([int(m) for m in months]))
+    def _drop_old(self, table: str, live: str) -> None:
+        """Drop versions that are not live and older than readers may be."""
+        layer, name = table.split(".")
+        oldest = time.time() * 1000 - self.keep_hours * 3_600_000
+        for row in self.spark.sql(f"SHOW TABLES IN {self.prefix}{layer} LIKE '{name}__v*'").collect():
+            version = row["tableName"].rpartition("__")[2]
+            if version != live and int(version[1:].partition("_")[0]) < oldest:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.prefix}{layer}.{row['tableName']}")
 
-    def replace_months(self, df: DataFrame, table: str, months: Sequence[int]) -> None:
-        """Make `df` the content of the given months; it may read them and lies inside them.
+    def replace_parts(self, df: DataFrame, table: str, part: str, values: Sequence[object]) -> None:
+        """Make `df` the content of the given partitions; it may read them and lies inside them.
 
-        Which months got rows is observed during the write; the others are dropped.
+        Which partitions got rows is observed during the write; the others are dropped.
         """
-        written = Observation()
-        columns = self.spark.table(self.name(table)).columns
-        rows = df.select(*columns).observe(written, F.collect_set(MONTH).alias("months"))
-        _balanced(rows).write.mode("overwrite").insertInto(self.name(table))
-        for m in set(months) - set(written.get["months"] or []):
-            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({MONTH} = {int(m)})")
+        written, live = Observation(), self.live(table)
+        rows = df.select(*self.stored(table).columns).observe(written, F.collect_set(part).alias("parts"))
+        _balanced(rows, part).write.mode("overwrite").insertInto(live)
+        for value in set(values) - set(observed(written).get("parts") or []):
+            self.spark.sql(f"ALTER TABLE {live} DROP IF EXISTS PARTITION ({part} = {value!r})")
+        self.spark.catalog.refreshTable(self.name(table))
 
     def merge(self, batch: DataFrame, table: str, keys: Sequence[str], month: Column) -> None:
         """Upsert a batch (one row per key) into a month table.
@@ -111,18 +121,18 @@ class Lake:
         first = keys[0]
         low, high, count = rows.agg(F.min(first), F.max(first), F.count(F.lit(1))).first()
         if count:
-            target = self.spark.table(self.name(table))
+            target = self.stored(table)
             held = (
                 target.filter(F.col(first).between(low, high))
                 .join(rows.select(*keys), list(keys), "left_semi")
                 .select(MONTH)
             )
             months = [r[0] for r in held.union(rows.select(MONTH)).distinct().collect()]
-            kept = self.in_months(table, months).join(rows.select(*keys), list(keys), "left_anti")
-            self.replace_months(kept.unionByName(rows), table, months)
+            kept = target.filter(F.col(MONTH).isin(months)).join(rows.select(*keys), list(keys), "left_anti")
+            self.replace_parts(kept.unionByName(rows), table, MONTH, months)
         rows.unpersist()
 
 
-def _balanced(df: DataFrame) -> DataFrame:
-    """Few files per month, and a month that holds much of the rows split over tasks (AQE)."""
-    return df.hint("rebalance", F.col(MONTH))
+def _balanced(df: DataFrame, part: str) -> DataFrame:
+    """Few files per partition, and one that holds much of the rows split over tasks (AQE)."""
+    return df.hint("rebalance", F.col(part))

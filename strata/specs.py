@@ -35,7 +35,7 @@ class TableSpec:
     rules: dict[str, Rule] = field(default_factory=dict)
     #: (start, end): rows whose start lies after their end are dropped after the dedup
     span: tuple[str, str] | None = None
-    #: event tables grow without end: stored by month of creation, upserted by partition
+    #: event tables grow without end: silver is stored by month of the event, upserted by partition
     events: bool = False
 
     @property
@@ -242,6 +242,18 @@ SEED_TABLES = (
 )
 
 # Fixed value: event-date columns in order of preference for a date-range backfill.
+# When an event of each event table happened. Silver is stored by its month.
+EVENT_TIMES = {
+    "streaming_session": "start_time",
+    "rental": "rental_date",
+    "delivery": "dispatch_date",
+    "payment": "payment_date",
+    "review": "review_date",
+    "wishlist": "added_date",
+    "support_ticket": "opened_date",
+    "recommendation": "recommendation_date",
+}
+
 EVENT_DATE_COLUMNS = (
     "created_at",
     "start_time",
