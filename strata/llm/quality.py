@@ -115,9 +115,13 @@ def fit(data: np.ndarray, offsets: np.ndarray, labels: np.ndarray, seed: int = 1
     model = Model(float(np.log(share / (1 - share))), np.zeros(N_FEATURES), rng.normal(0, 0.02, (N_FEATURES, RANK)))
     if not n or labels.min() == labels.max():
         return model
-    rows, ids, x = features(data, offsets)
-    order = np.argsort(rows, kind="stable")
-    rows, ids, x = rows[order], ids[order], x[order]
+    found = []
+    for a, b in W.parts(offsets):
+        base = int(offsets[a])
+        row, ids, x = features(data[base : int(offsets[b])], offsets[a : b + 1] - base)
+        order = np.argsort(row, kind="stable")
+        found.append((row[order] + a, ids[order], x[order]))
+    rows, ids, x = (np.concatenate(c) for c in zip(*found))
     bounds = W.row_bounds(rows, n)
     grown_w, grown_v, grown_b = np.full(N_FEATURES, 1e-6), np.full((N_FEATURES, RANK), 1e-6), 1e-6
     batch, rate, decay = 64, 0.1, 2e-5
