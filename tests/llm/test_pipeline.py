@@ -1,0 +1,95 @@
+"""Each stage of the pipeline on what the stage before it kept, against brute force."""
+
+from __future__ import annotations
+
+import pytest
+
+import corpus_pipeline
+from strata.llm import quality, queries
+from tests.llm.helpers import ODD_TEXTS, documents, library, words
+from tests.llm.test_dedup import closure, expected_substrings, shingle_set
+from tests.llm.test_tokens import check_packing, pieces_of
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def kept(spark):
+    """The rows after each stage, the given documents first."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        out.append(docs)
+    return out
+
+
+def by_id(df):
+    found = {r.doc_id: r for r in df.collect()}
+    assert len(found) == df.count()
+    return found
+
+
+def test_quality_stage_rejects_by_score(spark, kept):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    scores = {r.doc_id: r.score for r in quality.scored(docs, quality.train(docs, labels)).collect()}
+    before, after = by_id(kept[0]), by_id(kept[1])
+    assert after == {i: r for i, r in before.items() if scores[i] >= queries.THRESHOLD}
+    marks = {r.doc_id: r.quality for r in labels.collect()}
+    good = [i for i, y in marks.items() if y == 1]
+    assert sum(i in after for i in good) >= 0.95 * len(good) and len(after) < len(before)
+
+
+def test_one_of_each_group_stays(kept):
+    before, after = by_id(kept[1]), by_id(kept[2])
+    ids = sorted(before)
+    sets = [shingle_set(before[i].text) for i in ids]
+    links = [
+        (a, b) for a in range(len(ids)) for b in range(a) if sets[a] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    ]
+    assert after == {i: before[i] for k, i in enumerate(ids) if closure(len(ids), links)[k] == k}
+    assert 0 < len(after) < len(before)
+
+
+def test_repeated_passages_go(kept):
+    before, after = by_id(kept[2]), by_id(kept[3])
+    want = {x[0]: x for x in expected_substrings(list(before), [r.text for r in before.values()], 50)}
+    assert set(after) == set(before)
+    for i, r in after.items():
+        text = want[i][3] if want[i][2] else before[i].text
+        assert r == before[i].__class__(*[text if f == "text" else len(text) if f == "n_chars" and want[i][2] else before[i][f] for f in before[i].__fields__])
+    assert kept[3].dtypes == kept[0].dtypes
+
+
+def test_packing(kept):
+    plain = library("byte_bpe_50k.json")
+    want = [p for i, r in by_id(kept[3]).items() for p in pieces_of(i, [*plain.encode(r.text or "", add_special_tokens=False).ids, 0], 2048)]
+    check_packing(kept[4].collect(), want, 2048)
+
+
+def test_run_is_the_stages(spark, kept):
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    got = queries.QUERIES["pipeline"](spark, SF).select(columns).collect()
+    assert sorted(got) == sorted(kept[4].select(columns).collect())
+    assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_odd_rows_pass_every_stage(spark, tmp_path):
+    texts = [*ODD_TEXTS, "again", "again", "null id", " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(60))]
+    ids = [*range(len(ODD_TEXTS)), 4, 4, None, 100, 101]
+    docs = documents(spark, texts, ids)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(4, 1, 0), (5, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        for rows in (docs, docs.where("false")):
+            out = stage(spark, rows, str(tmp_path))
+            n = out.count()
+            assert (n == 0) or rows is docs
+            if number < 3:
+                assert out.dtypes == docs.dtypes
+    near = corpus_pipeline.one_of_near_copies(spark, docs, str(tmp_path))
+    assert near.where("doc_id = 101").count() == 0 and near.where("doc_id is null").count() == 1
+    passage = corpus_pipeline.without_repeated_passages(spark, docs, str(tmp_path)).where("doc_id = 101").head()
+    assert (passage.text, passage.n_chars) == ("", 0)
+    assert [len(words(r.text)) for r in corpus_pipeline.without_repeated_passages(spark, docs, "").where("doc_id = 100").collect()] == [60]
