@@ -22,10 +22,9 @@ from strata.functions import day
 # Days since 1970-01-01 of 0001-01-01 and of the day after 9999-12-31.
 _FIRST, _AFTER_LAST = -719162, 2932897
 
-# A key with at most this many intervals is cut inside one row, others by blocks.
+# A key with at most this many intervals is cut inside one row, others by blocks. Both ways
+# give the same ranges; the first spares a small key the joins of the second.
 _FEW = 32
-# An interval over at most this many pieces lists them one by one; a longer one uses blocks.
-_FEW_PIECES = 8
 
 
 def _timeline(
@@ -105,65 +104,40 @@ def _blocks() -> str:
 def _cut_by_blocks(intervals: DataFrame, key: str, answer: Sequence[str], fallback: bool) -> DataFrame:
     """Timelines of keys with any number of intervals, without gathering them.
 
-    The day boundaries of a key, numbered in order, cut its days into pieces. A short
-    interval lists its pieces, a long one a few power-of-two blocks of pieces, and each
-    piece looks at itself and the blocks above it: V intervals of a key give at most about
-    V log V small rows however much they overlap. V counts different day ranges, which the
-    calendar bounds however many rows a key has.
+    The distinct day boundaries of a key, numbered in order, cut its days into pieces; the
+    calendar bounds them however many intervals there are. An interval stands for a few
+    power-of-two blocks of pieces, of each block only the best interval counts, and each
+    piece looks at the blocks above it. Intervals are aggregated wherever they meet, so no
+    task sorts or holds all those of a crowded key.
     """
+    spans = intervals.filter("lo < hi").groupBy(key, "lo", "hi").agg(F.max("best").alias("best"))
+    rests = intervals.groupBy(key).agg(F.max("best").alias("rest"))
+    ends = F.explode(F.array(F.lit(_FIRST), F.lit(_AFTER_LAST))).alias("edge")
+    edges = spans.select(key, F.explode(F.array("lo", "hi")).alias("edge")).unionByName(rests.select(key, ends))
     in_key = Window.partitionBy(key)
-    whole = f"(lo = {_FIRST} and hi = {_AFTER_LAST})"
-    rest = "best" if fallback else "case when false then best end"
-    # One interval over all days holds the fallback. Equal intervals of a hot key fall
-    # together here, before its rows move to one task.
-    spans = (
-        intervals.select(
-            key,
-            F.expr(
-                "inline(array(struct(lo as lo, hi as hi, best as best, false as is_rest),"
-                f" struct({_FIRST} as lo, {_AFTER_LAST} as hi, {rest} as best, true as is_rest)))"
-            ),
-        )
-        .filter("lo < hi")
-        .groupBy(key, "lo", "hi", "is_rest")
+    ranked = edges.distinct().withColumn("pos", F.row_number().over(in_key.orderBy("edge")))
+
+    first = ranked.select(key, F.col("edge").alias("lo"), F.col("pos").alias("a"))
+    last = ranked.select(key, F.col("edge").alias("hi"), F.col("pos").alias("b"))
+    blocks = (
+        spans.join(first, [key, "lo"])
+        .join(last, [key, "hi"])
+        .select(key, "best", F.expr(f"inline({_blocks()})"))
+        .groupBy(key, "level", "block")
         .agg(F.max("best").alias("best"))
     )
-    edges = spans.select("*", F.explode(F.array("lo", "hi")).alias("edge")).withColumn(
-        "pos", F.dense_rank().over(in_key.orderBy("edge"))
-    )
-    numbered = (
-        edges.groupBy(key, "lo", "hi", "is_rest")
-        .agg(F.first("best").alias("best"), F.min("pos").alias("a"), F.max("pos").alias("b"))
-        .withColumns(
-            {
-                "rest": F.max(F.expr("case when is_rest then best end")).over(in_key),
-                # the highest block level in use
-                "top": F.max(
-                    F.expr(f"case when is_rest or b - a <= {_FEW_PIECES} then 0 else int(floor(log2(b - a))) end")
-                ).over(in_key),
-            }
-        )
-    )
-
-    blocks = f"""case when is_rest then filter(array(struct(0 as level, a as block)), x -> false)
-        when b - a <= {_FEW_PIECES} then transform(sequence(a, b - 1), p -> struct(0 as level, p as block))
-        else {_blocks()} end"""
-
-    def above(pos: str, first_day: str) -> str:
-        return f"""transform(sequence(0, top), j -> struct(j as level, int({pos} div shiftleft(1, j)) as block,
-            case when false then best end as best, {first_day} as piece, rest as rest))"""
-
-    rows = f"""concat(
-        transform({blocks}, x -> struct(x.level as level, x.block as block, best as best, int(null) as piece,
-            case when false then best end as rest)),
-        {above('a', 'lo')}, {above('b', 'hi')})"""
+    tops = blocks.groupBy(key).agg(F.max("level").alias("top"))
+    above = "inline(transform(sequence(0, coalesce(top, 0)), j -> struct(j as level, int(pos div shiftleft(1, j)) as block)))"
     resolved = (
-        numbered.select(key, F.expr(f"inline({rows})"))
-        .withColumn("best", F.max("best").over(Window.partitionBy(key, "level", "block")))
-        .filter(f"piece < {_AFTER_LAST}")
-        .groupBy(key, F.col("piece").alias("lo"))
-        .agg(F.coalesce(F.max("best"), F.max("rest")).alias("best"))
+        ranked.filter(f"edge < {_AFTER_LAST}")
+        .join(tops, key, "left")
+        .select(key, F.col("edge").alias("lo"), F.expr(above))
+        .join(blocks, [key, "level", "block"], "left")
+        .groupBy(key, "lo")
+        .agg(F.max("best").alias("best"))
     )
+    if fallback:
+        resolved = resolved.join(rests, key).select(key, "lo", F.coalesce("best", "rest").alias("best"))
 
     # Neighbours with the same answer become one range.
     by_day = in_key.orderBy("lo")
