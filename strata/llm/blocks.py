@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 RANGE_KEYS = 1 << 20
 #: Rows of this kind, and of any below 0, are notes of a block to itself; they come back as they are.
 NOTE = -1

@@ -76,9 +76,11 @@ def signatures(rows: np.ndarray, keys: np.ndarray, n: int) -> tuple[np.ndarray,
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = W.utf8(batch.column("text"))
-        rows, keys = shingle_sets(data, offsets)
-        n, s1, s2 = signatures(rows, keys, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(s1), pa.array(s2)], ["doc_id", "n_shingles", "s1", "s2"])
+        for a, b in W.parts(offsets):
+            base = int(offsets[a])
+            found = shingle_sets(data[base : int(offsets[b])], offsets[a : b + 1] - base)
+            n, s1, s2 = (pa.array(x) for x in signatures(*found, b - a))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), n, s1, s2], ["doc_id", "n_shingles", "s1", "s2"])
 
 
 class _Block:
