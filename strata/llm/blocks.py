@@ -74,7 +74,7 @@ def unpack_sorted(body: bytes, n: int) -> np.ndarray:
     gaps = gaps.reshape(-1).view(np.uint64)
     escaped = gaps == np.uint64((1 << (8 * width)) - 1)
     if escaped.any():
-        gaps[escaped] = np.frombuffer(body, np.uint64, -1, 1 + n * width)
+        gaps[escaped] = np.frombuffer(body, np.uint64, int(escaped.sum()), 1 + n * width)
     return np.cumsum(gaps)
 
 

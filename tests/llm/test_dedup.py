@@ -263,3 +263,21 @@ def test_sorted_keys_round_trip():
             assert (blocks.unpack_sorted(blocks.pack_sorted(keys), len(keys)) == keys).all()
             cut = list(blocks.cut_ranges(keys, 5))
             assert [x for _, a, b in cut for x in range(a, b)] == list(range(len(keys)))
+
+
+@pytest.mark.parametrize("width", [0, 1, 3, 8])
+def test_runs_of_shards_meet_by_key_and_second_hash(width):
+    rng = np.random.default_rng(width)
+    pool = np.sort(rng.integers(0, 1 << 63, 4000, dtype=np.uint64))
+    rest = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)
+    rows, runs = [], []
+    for shard in range(4):
+        at = np.sort(rng.choice(4000, 900, replace=False))
+        second = rest[at] + np.uint64(shard if shard == 3 else 0)
+        body = suffixes._with_rest(pool[at], second, width)
+        rows.append((shard, 0, 0, len(at), body))
+        runs.append([(int(k), int(r) & ((1 << 8 * width) - 1)) for k, r in zip(pool[at], second)])
+    counts = Counter(x for run in runs for x in run)
+    got = suffixes._elsewhere(rows, width)
+    for run, bits in zip(runs, got):
+        assert np.unpackbits(np.frombuffer(bits, np.uint8), count=len(run)).tolist() == [counts[x] > 1 for x in run]
