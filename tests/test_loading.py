@@ -15,7 +15,7 @@ from strata.sources.extract import (
     changed_since, event_date_column, high_water_mark, read_seed, window_extract, with_lineage,
 )
 from strata.sources.staging import stage
-from strata.sources.tables import Lake, month_of
+from strata.sources.tables import MONTH, Lake, month_of
 from strata.sources.watermarks import NEVER, newest_update
 from strata.specs import SEED_TABLES, TABLES
 from strata.streaming.ingest import bronze_stream, silver_upsert
@@ -126,7 +126,7 @@ def test_month_tables(spark):
     lake = Lake(spark, "mt_")
     first = with_lineage(lookups(spark, (1, 1, 1, T[0], T[0], T[0]), (2, 1, 1, T[0], datetime(2024, 2, 5), T[0]),
                                  (3, 1, 1, T[0], None, T[0])), T[0], "s")
-    lake.overwrite(first, "silver.wishlist", month_of("created_at"))
+    lake.publish(first, "silver.wishlist", MONTH, month_of("created_at"))
     # row 2 moves to another month and leaves its old one empty; row 3 gets a date
     batch = with_lineage(lookups(spark, (2, 2, 2, T[0], T[1], T[2]), (3, 2, 2, T[0], datetime(2024, 3, 5), T[2]),
                                  (4, 2, 2, T[0], T[1], T[2])), T[0], "s")
@@ -136,8 +136,9 @@ def test_month_tables(spark):
     assert lake.read("silver.wishlist").count() == 4
     lake.merge(batch.limit(0), "silver.wishlist", ["wishlist_id"], month_of("created_at"))
     assert lake.read("silver.wishlist").count() == 4
-    lake.append(batch.filter("wishlist_id = 4"), "silver.wishlist", month_of("created_at"))
-    assert lake.read("silver.wishlist").count() == 5
+    # one partition replaced, the others as they were; a partition without rows goes
+    lake.replace_parts(batch.filter("wishlist_id = 4").withColumn(MONTH, F.lit(202401)), "silver.wishlist", MONTH, [202401, 202403])
+    assert ids(lake.read("silver.wishlist"), "wishlist_id") == [4]
 
 
 def test_snapshot_tables_can_read_themselves(spark):
@@ -146,8 +147,6 @@ def test_snapshot_tables_can_read_themselves(spark):
     for _ in range(3):
         lake.publish(lake.read("gold.numbers").withColumn("id", F.col("id") + 1), "gold.numbers")
     assert ids(lake.read("gold.numbers")) == [3, 4, 5]
-    lake.append(spark.range(1), "gold.numbers", None)
-    assert ids(lake.read("gold.numbers")) == [0, 3, 4, 5]
 
 
 def test_bronze_stream_takes_each_file_once(spark, tmp_path):
@@ -164,7 +163,10 @@ def test_bronze_stream_takes_each_file_once(spark, tmp_path):
 def test_silver_upsert_keeps_newer_rows(spark):
     lake = Lake(spark, "su_")
     start = with_lineage(lookups(spark, (1, 1, 1, T[0], T[0], T[5]), (2, 1, 1, T[0], T[0], T[5])), T[0], "s")
-    lake.overwrite(start, "silver.wishlist", month_of("created_at"))
+    empty = Lake(spark, "su0_")
+    silver_upsert(empty, "wishlist")(start, 0)
+    assert empty.read("silver.wishlist").count() == 2
+    lake.publish(start, "silver.wishlist", MONTH, month_of("added_date"))
     batch = with_lineage(lookups(spark, (1, 7, 1, T[0], T[0], T[4]), (2, 8, 1, T[0], T[0], T[6]),
                                  (3, 9, 1, T[0], T[0], T[1])), T[1], "s")
     for epoch in (0, 0):
