@@ -182,7 +182,8 @@ def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     marks[starts + 1] = 1
     total = np.cumsum(marks, dtype=np.int32)
     out = total[1:] > 0
-    out[length:] = total[length + 1 :] > total[1 : n + 1 - length]
+    if n > length:
+        out[length:] = total[length + 1 :] > total[1 : n + 1 - length]
     return out
 
 

@@ -281,3 +281,29 @@ def test_runs_of_shards_meet_by_key_and_second_hash(width):
     got = suffixes._elsewhere(rows, width)
     for run, bits in zip(runs, got):
         assert np.unpackbits(np.frombuffer(bits, np.uint8), count=len(run)).tolist() == [counts[x] > 1 for x in run]
+
+
+@pytest.mark.parametrize("length", [50, 200])
+def test_places_covered_by_windows(length):
+    for n in range(1, 2 * length + 10):
+        for starts in ([], [0], [n - length], [0, n - length, n // 3]):
+            starts = np.array([x for x in starts if 0 <= x <= n - length], np.int64)
+            want = [any(x <= i < x + length for x in starts) for i in range(n)]
+            assert blocks.covered(starts, length, n).tolist() == want
+
+
+def test_one_small_document_a_block(spark):
+    """Blocks of fewer words or bytes than a window, at Spark's default of 200 partitions."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        texts = [" ".join(f"a{n}x{i}" for i in range(n)) for n in (26, 37, 48, 60)] + ["q" * n for n in (101, 150, 198, 210)]
+        for one in (texts[1], texts[5]):
+            docs = documents(spark, [one])
+            assert rows(substrings.without_repeats(docs), "n_removed", "kept") == [(0, one)]
+        docs = documents(spark, texts)
+        assert rows(substrings.without_repeats(docs), "doc_id", "n_words", "n_removed", "kept") == expected_substrings(range(8), texts, 50)
+        got = suffixes.without_copies(docs).collect()
+        assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, sha(bytes(r.kept))) for r in got), key=repr) == expected_suffixes(range(8), texts, 200)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
