@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 from strata.llm import jaccard, packing, quality, substrings
 from strata.llm.queries import THRESHOLD, table, tokenizer
-from strata.sources.staging import shared_folder
+from strata.sources.staging import shared_folder, stage
+
+#: Names a row within the n-gram stage.
+ROW = "__row"
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,14 +31,17 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest doc_id of each group of near copies.
+    """One row of each group of near copies: that of the smallest doc_id, nulls last, and
+    among rows of one doc_id the least by a hash of the row.
 
-    Documents without words, and those with a null doc_id, all stay. Rows of one doc_id
-    stay or go together: they go if any of them has a copy of smaller doc_id.
+    Every row is a document of its own, also where rows share a doc_id or have none. Rows
+    without words all stay.
     """
-    groups = jaccard.near_copies(docs)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    rows = stage(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    groups = jaccard.near_copies(rows.select(F.col(ROW).alias("doc_id"), "text"))
+    order = rows.select(ROW, F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64(*docs.columns).alias("hash"), ROW).alias("rank"))
+    least = groups.withColumnRenamed("doc_id", ROW).join(order, ROW).groupBy("component_id").agg(F.min("rank").alias("rank"))
+    return rows.join(least.select(f"rank.{ROW}"), ROW, "left_semi").select(docs.columns)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,8 +74,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on documents; what lies between is written to the shared folder."""
     docs = table(spark, sf_dir, "documents")
     base = f"{shared_folder(spark).rstrip('/')}/pipeline/{uuid.uuid4().hex}"
-    for number, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+    for number, (_, step) in enumerate(STAGES):
+        docs = step(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
             docs.write.parquet(f"{base}/{number}")
             docs = spark.read.parquet(f"{base}/{number}")

@@ -93,3 +93,20 @@ def test_odd_rows_pass_every_stage(spark, tmp_path):
     passage = corpus_pipeline.without_repeated_passages(spark, docs, str(tmp_path)).where("doc_id = 101").head()
     assert (passage.text, passage.n_chars) == ("", 0)
     assert [len(words(r.text)) for r in corpus_pipeline.without_repeated_passages(spark, docs, "").where("doc_id = 100").collect()] == [60]
+
+
+def test_one_row_of_each_group_stays_whatever_its_doc_id(spark):
+    """Rows that repeat a doc_id, or have none, are near copies like any others."""
+    long = [" ".join(f"{c}{i}" for i in range(80)) for c in "abcd"]
+    near = long[1] + " more"
+    texts = [long[0]] * 6 + [long[1], near, long[1], near] + [long[2]] * 4 + [near, long[0], long[3], long[3], "", None, ""]
+    ids = [1] * 6 + [2, 2, 2, 2] + [None] * 4 + [None, 9, 2, 2, 5, 5, None]
+    got = corpus_pipeline.one_of_near_copies(spark, documents(spark, texts, ids), "")
+    assert got.columns == documents(spark, []).columns
+    stay = [(r.doc_id, r.text) for r in got.collect()]
+    b = [t for i, t in stay if i == 2 and t in (long[1], near)]
+    assert len(b) == 1
+    want = [(1, long[0]), (2, b[0]), (None, long[2]), (2, long[3]), (5, ""), (5, None), (None, "")]
+    assert sorted(stay, key=repr) == sorted(want, key=repr)
+    again = corpus_pipeline.one_of_near_copies(spark, documents(spark, texts[::-1], ids[::-1]), "")
+    assert sorted(((r.doc_id, r.text) for r in again.collect()), key=repr) == sorted(stay, key=repr)
