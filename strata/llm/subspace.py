@@ -155,10 +155,10 @@ def links(classes: DataFrame, least: float) -> DataFrame:
 
     placed = stage(classes.select("label", "cls", "v").mapInArrow(cells, _CELLS))
     crowd = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("own").alias("home")).where("home and n > 1")
-    total = placed.count()
-    tiles = placed.join(crowd.select("cell", F.ceil(F.col("n") / TILE_ROWS).alias("tiles")), "cell").withColumn(
-        "tile", F.pmod(F.xxhash64("cls"), F.col("tiles"))
-    )
+    crowd = stage(crowd.select("cell", "n", F.ceil(F.col("n") / TILE_ROWS).alias("tiles")))
+    # A row meets every tile of its cell.
+    total = crowd.agg(F.sum(F.col("n") * F.col("tiles"))).head()[0] or 0
+    tiles = placed.join(crowd.select("cell", "tiles"), "cell").withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")))
     dealt = tiles.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))).select(
         "cell", "own", "cls", "y", "reach", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")
     )

@@ -307,3 +307,30 @@ def test_one_small_document_a_block(spark):
         assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, sha(bytes(r.kept))) for r in got), key=repr) == expected_suffixes(range(8), texts, 200)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_buckets_of_a_crowded_cell_stay_small(spark, monkeypatch, tmp_path):
+    """Rows of a cell of many tiles are copied for each of them; the buckets must follow the copies."""
+    folder, in_bucket = str(tmp_path), subspace._in_bucket
+
+    def noted(table):
+        import uuid
+
+        with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+            f.write(str(table.num_rows))
+        return in_bucket(table)
+
+    monkeypatch.setattr(subspace, "_in_bucket", noted)
+    monkeypatch.setattr(subspace, "TILE_ROWS", 10)
+    monkeypatch.setattr(subspace, "BUCKET_ROWS", 400)
+    rng = np.random.default_rng(9)
+    centre = rng.normal(size=8)
+    data = [(i, [float(x) for x in centre + rng.normal(size=8) * 0.01], 0) for i in range(400)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")
+    got = subspace.near_duplicates(df).collect()
+    units = np.array([v for _, v, _ in data])
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    want = (units @ units.T >= 0.98).sum(axis=1) - 1
+    assert [r.n_links for r in sorted(got)] == want.tolist()
+    sizes = [int(f.read_text()) for f in tmp_path.iterdir()]
+    assert sum(sizes) >= 400 * 40 and max(sizes) <= 4 * 400
