@@ -5,9 +5,11 @@ global order is rare ones first. A class is a candidate only if enough of its sh
 shared, and two classes can link only if they share one in the prefix of the global order.
 
 Similarities are counted with vertical partitions: the classes that prefixes connect are a
-family, families are dealt into groups, and the order of n-grams by hash is cut into as
-many fragments as a group's shingles ask for. Each fragment counts the overlaps of its
-pairs alone; the parts are summed per pair.
+family, the pairs of families are dealt into cells, and the order of n-grams by hash is cut
+into a few fragments. Each fragment of a cell counts the overlaps of its pairs alone; the
+parts are summed per pair. A family whose pairs are more than a cell holds is cut into tiles
+by the later class of a pair, and a class with more partners than that by the earlier one
+too, so a cell has the classes of its own pairs only.
 
 Which pairs are counted: in each list of a prefix shingle first the four smallest classes
 with every later one, then the next 32, and so on; pairs that are already in one component,
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import blocks as B
@@ -36,6 +38,9 @@ LEAST = (4, 5)
 FRAGMENT = 1 << 20
 GROUP_FRAGMENTS = 4
 FIRST_PLACES = 4
+#: Lists of more classes than this are joined by bands of set sizes, each BAND times the last.
+LONG_LIST = 32
+BAND = 1.02
 _SETS = "doc_id long, n_shingles long, s1 long, s2 long"
 _CANDIDATES = "cls long, n long, m long, prefix array<long>, body binary"
 
@@ -204,6 +209,44 @@ def _overlaps(segments: pa.Table, pairs: pa.Table) -> pa.Table:
     return pa.table({"a": a, "na": pairs["na"], "b": b, "nb": pairs["nb"], "shared": out})
 
 
+def _met(active: DataFrame, first: int, many: int) -> DataFrame:
+    """Classes of `many` places from `first` on, and what they meet in their lists.
+
+    Sizes grow along a list, and what is left of both sets must hold the overlap that a link
+    asks for. So a class whose rest is too short meets nothing, and in a long list a class
+    meets only the bands of sizes that its own size and rest allow.
+    """
+    part, whole = LEAST
+
+    def band(size: Column) -> Column:
+        return F.when(F.col("size") > LONG_LIST, F.floor(F.log(size) / math.log(BAND))).otherwise(F.lit(0).cast("long"))
+
+    most = F.least(F.col("left") * (part + whole) / part - F.col("n"), F.col("n") * whole / part)
+    left = active.where(f"place >= {first} and place < {first + many} and left * {part + whole} >= 2 * n * {part}")
+    left = left.select(
+        "s", F.explode(F.sequence(band(F.col("n")), band(most + 0.5))).alias("band"), F.col("cls").alias("a"),
+        F.col("n").alias("na"), F.col("left").alias("la"), F.col("place").alias("p"), F.col("component").alias("ca"),
+    )
+    right = active.where(f"left * {whole} >= n * {part}").select(
+        "s", band(F.col("n")).alias("band"), F.col("cls").alias("b"), F.col("n").alias("nb"), "left", "place", "component"
+    )
+    return left.join(right, ["s", "band"])
+
+
+def _in_cells(pairs: DataFrame) -> DataFrame:
+    """Pairs (family, a, na, b, nb) and the cell of each."""
+    room = FRAGMENT * GROUP_FRAGMENTS
+    total = pairs.agg(F.sum(F.col("na") + F.col("nb"))).head()[0] or 0
+    # Both tables have at most a row for every cell.
+    large = pairs.groupBy("family").agg(F.ceil(F.sum(F.col("na") + F.col("nb")) / room).alias("tiles")).where("tiles > 1")
+    wide = pairs.groupBy("b").agg(F.ceil(F.sum("na") / room).alias("parts")).where("parts > 1")
+    one = F.lit(1).cast("long")
+    tile = F.pmod(F.xxhash64("b"), F.coalesce("tiles", one))
+    part = F.pmod(F.xxhash64("a"), F.coalesce("parts", one))
+    cell = F.pmod(F.xxhash64("family", tile, part), F.lit(max(1, math.ceil(total / room))))
+    return pairs.join(F.broadcast(large), "family", "left").join(F.broadcast(wide), "b", "left").select(cell.alias("cell"), "a", "na", "b", "nb")
+
+
 def linked_classes(found: DataFrame) -> DataFrame:
     """(node, component) of the candidate classes that link with another."""
     # What is left of a set from a shared shingle on bounds the overlap of a pair that meets there first.
@@ -212,30 +255,26 @@ def linked_classes(found: DataFrame) -> DataFrame:
     postings = stage(
         postings.join(lists, "s").withColumn("place", F.row_number().over(Window.partitionBy("s").orderBy("n", "cls")))
     )
-    families = components(postings.select("a", F.col("cls").alias("b"))).withColumnRenamed("node", "cls")
-    total = found.agg(F.coalesce(F.sum("m"), F.lit(0))).head()[0]
-    groups = max(1, math.ceil(total / (FRAGMENT * GROUP_FRAGMENTS)))
-    grouped = found.join(families, "cls").withColumn("grp", F.pmod(F.xxhash64("component"), F.lit(groups)))
-    cuts = grouped.groupBy("grp").agg(F.ceil(F.sum("m") / FRAGMENT).alias("fragments"))
-    grouped = grouped.join(cuts, "grp")
+    families = stage(components(postings.select("a", F.col("cls").alias("b"))).select(F.col("node").alias("cls"), F.col("component").alias("family")))
+    total, most = found.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.max("m"), F.lit(0))).head()
+    fragments = max(1, min(GROUP_FRAGMENTS, math.ceil(total / FRAGMENT)), math.ceil(most / FRAGMENT))
+    limits_at = np.array([(i << 64) // fragments for i in range(1, fragments)], np.uint64)
 
     def fragment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for grp, n, cls, body in zip(*(batch.column(c).to_pylist() for c in ("grp", "fragments", "cls", "body"))):
+            for cls, body in zip(batch.column("cls").to_pylist(), batch.column("body").to_pylist()):
                 keys = np.sort(np.frombuffer(body, np.uint64))
-                inner = np.array([(i << 64) // n for i in range(1, n)], np.uint64)
-                limits = [0, *np.searchsorted(keys, inner).tolist(), len(keys)]
-                rows += [(grp, f, cls, keys[p:q].tobytes()) for f, (p, q) in enumerate(zip(limits, limits[1:])) if q > p]
-            columns = list(zip(*rows)) if rows else [()] * 4
+                limits = [0, *np.searchsorted(keys, limits_at).tolist(), len(keys)]
+                rows += [(f, cls, keys[p:q].tobytes()) for f, (p, q) in enumerate(zip(limits, limits[1:])) if q > p]
+            columns = list(zip(*rows)) if rows else [()] * 3
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())], ["grp", "fragment", "cls", "body"]
+                [*(pa.array(c, pa.int64()) for c in columns[:2]), pa.array(columns[2], pa.binary())], ["fragment", "cls", "body"]
             )
 
     segments = stage(
-        grouped.select("grp", "fragments", "cls", "body").mapInArrow(fragment, "grp long, fragment long, cls long, body binary")
+        found.join(families, "cls", "left_semi").select("cls", "body").mapInArrow(fragment, "fragment long, cls long, body binary")
     )
-    where = stage(grouped.select("cls", "grp", "fragments"))
     known, first, many = None, 1, FIRST_PLACES
     while True:
         active = postings.withColumn("component", F.col("cls"))
@@ -245,24 +284,23 @@ def linked_classes(found: DataFrame) -> DataFrame:
             active = stage(active.join(mixed.where(f"x <> y and last > {first}").select("s"), "s"))
             if active.isEmpty():
                 return known
-        left = active.where(f"place >= {first} and place < {first + many}")
-        left = left.select("s", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("left").alias("la"), F.col("place").alias("p"), F.col("component").alias("ca"))
         pairs = (
-            left.join(active.select("s", F.col("cls").alias("b"), F.col("n").alias("nb"), "left", "place", "component"), "s")
+            _met(active, first, many)
             .where(f"place > p and ca <> component and na * {LEAST[1]} >= nb * {LEAST[0]}")
             .where(f"least(la, left) * {sum(LEAST)} >= (na + nb) * {LEAST[0]}")
             .select("a", "na", "b", "nb")
             .distinct()
         )
-        dealt = stage(pairs.join(where.withColumnRenamed("cls", "a"), "a"))
-        used = dealt.select(F.col("a").alias("cls")).unionByName(dealt.select(F.col("b").alias("cls"))).distinct()
+        dealt = stage(_in_cells(stage(pairs.join(families.withColumnRenamed("cls", "a"), "a"))))
+        used = dealt.select("cell", F.col("a").alias("cls")).unionByName(dealt.select("cell", F.col("b").alias("cls"))).distinct()
         each = dealt.select(
-            F.col("grp").alias("g"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("fragments") - 1)).alias("f"), "a", "na", "b", "nb"
+            F.col("cell").alias("c"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(fragments - 1).cast("long"))).alias("f"), "a", "na", "b", "nb"
         )
         counted = (
-            segments.join(used, "cls", "left_semi")
-            .groupBy("grp", "fragment")
-            .cogroup(each.groupBy("g", "f"))
+            segments.join(used, "cls")
+            .select("cell", "fragment", "cls", "body")
+            .groupBy("cell", "fragment")
+            .cogroup(each.groupBy("c", "f"))
             .applyInArrow(_overlaps, "a long, na long, b long, nb long, shared long")
             .groupBy("a", "na", "b", "nb")
             .agg(F.sum("shared").alias("shared"))

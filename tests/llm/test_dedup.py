@@ -334,3 +334,43 @@ def test_buckets_of_a_crowded_cell_stay_small(spark, monkeypatch, tmp_path):
     assert [r.n_links for r in sorted(got)] == want.tolist()
     sizes = [int(f.read_text()) for f in tmp_path.iterdir()]
     assert sum(sizes) >= 400 * 40 and max(sizes) <= 4 * 400
+
+
+def test_a_large_family_is_cut_by_class(spark, monkeypatch, tmp_path):
+    """Near copies of one template: a task has the classes of its own pairs, and a pair goes to few fragments."""
+    folder, overlaps = str(tmp_path), jaccard._overlaps
+
+    def noted(segments, pairs):
+        import uuid
+
+        with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+            f.write(" ".join([str(segments.num_rows), *(f"{a}-{b}" for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()))]))
+        return overlaps(segments, pairs)
+
+    monkeypatch.setattr(jaccard, "_overlaps", noted)
+    monkeypatch.setattr(jaccard, "FRAGMENT", 500)
+    n = 200
+    template = [f"t{i}" for i in range(84)]
+    texts = [" ".join([*template, f"own{i}"]) for i in range(n)]
+    got = jaccard.near_copies(documents(spark, texts))
+    assert rows(got, "doc_id", "n_shingles", "component_id") == sorted([(i, 81, 0) for i in range(n)], key=repr)
+    seen = [f.read_text().split(" ") for f in tmp_path.iterdir()]
+    pairs = [p for _, *ps in seen for p in ps]
+    assert len(set(pairs)) >= n - 1 and max(Counter(pairs).values()) <= jaccard.GROUP_FRAGMENTS
+    assert max(int(x[0]) for x in seen) <= n // 2
+
+
+def test_list_members_that_cannot_link_do_not_meet(spark):
+    """82 of 100 shingles in common with a template: no pair of the list is made to be dropped."""
+    columns = "cls long, n long, left long, s long, size long, place int, component long"
+    alike = spark.createDataFrame([(i, 100, 82, 7, 300, i + 1, i) for i in range(300)], columns)
+    assert jaccard._met(alike, 1, 300).count() == 0
+    rng = random.Random(5)
+    for size in (300, 20):
+        found = sorted((rng.randint(60, 140), i) for i in range(size))
+        found = [(i, n, n - rng.randint(0, n // 4), 7, size, k + 1, i) for k, (n, i) in enumerate(found)]
+        met = jaccard._met(spark.createDataFrame(found, columns), 1, size).where("place > p and na * 5 >= nb * 4 and least(la, left) * 9 >= (na + nb) * 4")
+        want = [
+            (a[0], b[0]) for x, a in enumerate(found) for b in found[x + 1 :] if 5 * a[1] >= 4 * b[1] and 9 * min(a[2], b[2]) >= 4 * (a[1] + b[1])
+        ]
+        assert want and rows(met, "a", "b") == sorted(want, key=repr)
