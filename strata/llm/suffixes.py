@@ -4,8 +4,9 @@ Texts lie in shards. A window of 200 bytes is named by the least hash among its
 grams, so equal windows have equal names; only windows whose name occurs at two places of
 the corpus go on. Each shard builds a suffix array of the bytes those windows cover, by
 Larsson-Sadakane refinement, and Kasai's common prefixes give the windows that repeat in
-the shard. The distinct windows then go out as sorted runs of fingerprints; ranges merge
-the runs of all shards and tell each shard by binary search which of its own are elsewhere.
+the shard. The distinct windows then go out as sorted runs of fingerprints; ranges group
+the runs of all shards by sorting them together and tell each shard which of its own are
+elsewhere.
 
 Copies of a whole text are settled by their digest: one of them stays to be searched.
 """
