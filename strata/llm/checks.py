@@ -123,6 +123,16 @@ SUBSPACE = f"""
     SELECT id AS vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, id = component_id AS kept
     FROM least LEFT JOIN counts USING (id)"""
 
+LINES = f"""
+    WITH l AS (
+        SELECT doc_id, line, i, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS k
+        FROM (SELECT doc_id, unnest(x) AS line, generate_subscripts(x, 1) AS i
+              FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents))),
+    common AS (SELECT k FROM l WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (common.k IS NOT NULL) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (common.k IS NULL), '')) AS kept_sha256
+    FROM l LEFT JOIN common USING (k) GROUP BY doc_id"""
+
 SQL: dict[str, str] = {
     name: dedent(text)
     for name, text in {
@@ -132,5 +142,6 @@ SQL: dict[str, str] = {
         "op6_substrings": SUBSTRINGS,
         "op8_suffixes": SUFFIXES,
         "op9_subspace": SUBSPACE,
+        "op11_line_runs": LINES,
     }.items()
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, checks, jaccard, packed, packing, quality, subspace, substrings, suffixes, topk, urls
+from strata.llm import bpe, checks, jaccard, lines, packed, packing, quality, subspace, substrings, suffixes, topk, urls
 from strata.sources.staging import shared_folder
 
 # The rules of the given task, as verdict and host with path prefix.
@@ -95,6 +95,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.without_common_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # its stages use this module
 
@@ -112,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffixes": op8_suffixes,
     "op9_subspace": op9_subspace,
     "op10_quality": op10_quality,
+    "op11_line_runs": op11_line_runs,
     "pipeline": pipeline,
 }
 SQL: dict[str, str] = checks.SQL
