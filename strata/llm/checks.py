@@ -133,6 +133,45 @@ LINES = f"""
            sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (common.k IS NULL), '')) AS kept_sha256
     FROM l LEFT JOIN common USING (k) GROUP BY doc_id"""
 
+AUDIT = f"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x,
+               regexp_extract_all(coalesce(text, ''), {_WORD}) AS w
+        FROM documents),
+    good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+    toxic AS (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1),
+    failed AS (
+        SELECT part,
+               list_filter([CASE WHEN len(w) < 100 THEN 'A' END,
+                            CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' END,
+                            CASE WHEN 100 * len(regexp_extract_all(x, '[A-Z]')) > 10 * len(x) THEN 'C' END,
+                            CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 'D' END,
+                            CASE WHEN min(doc_id) OVER (PARTITION BY x) < doc_id THEN 'E' END], lambda f: f IS NOT NULL) AS f,
+               CAST(doc_id IN (FROM good) AS INTEGER) AS good, CAST(doc_id IN (FROM toxic) AS INTEGER) AS toxic
+        FROM d),
+    cells AS (SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY ALL),
+    letters(c) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+    orders(o) AS (
+        SELECT '' UNION ALL
+        SELECT o || c FROM orders JOIN letters ON strpos(o, c) = 0 WHERE len(o) < 5),
+    steps AS (
+        SELECT o, i AS step, o[i] AS c, string_split(o[1:i - 1], '') AS before
+        FROM (SELECT o, unnest(range(1, 6)) AS i FROM orders WHERE len(o) = 5)),
+    effects AS (
+        SELECT part, o AS filter_order, step, c,
+               coalesce(sum(n) FILTER (NOT list_contains(f, c) AND NOT list_has_any(f, before)), 0) AS kept,
+               coalesce(sum(n) FILTER (list_contains(f, c) AND NOT list_has_any(f, before)), 0) AS removed,
+               coalesce(sum(n) FILTER (list_contains(f, c) AND list_has_any(f, before)), 0) AS redundant,
+               coalesce(sum(n) FILTER (f = [c]), 0) AS unique_fails,
+               coalesce(sum(good) FILTER (list_contains(f, c) AND NOT list_has_any(f, before)), 0) AS good_lost,
+               coalesce(sum(toxic) FILTER (list_contains(f, c) AND NOT list_has_any(f, before)), 0) AS toxic_lost
+        FROM cells CROSS JOIN steps GROUP BY ALL)
+    SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+           CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+           CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, c) AS BIGINT) AS shapley
+    FROM effects"""
+
 SQL: dict[str, str] = {
     name: dedent(text)
     for name, text in {
@@ -143,5 +182,6 @@ SQL: dict[str, str] = {
         "op8_suffixes": SUFFIXES,
         "op9_subspace": SUBSPACE,
         "op11_line_runs": LINES,
+        "op12_filter_audit": AUDIT,
     }.items()
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, checks, jaccard, lines, packed, packing, quality, subspace, substrings, suffixes, topk, urls
+from strata.llm import audit, bpe, checks, jaccard, lines, packed, packing, quality, subspace, substrings, suffixes, topk, urls
 from strata.sources.staging import shared_folder
 
 # The rules of the given task, as verdict and host with path prefix.
@@ -100,6 +100,10 @@ def op11_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), part="lang")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # its stages use this module
 
@@ -118,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_subspace": op9_subspace,
     "op10_quality": op10_quality,
     "op11_line_runs": op11_line_runs,
+    "op12_filter_audit": op12_filter_audit,
     "pipeline": pipeline,
 }
 SQL: dict[str, str] = checks.SQL

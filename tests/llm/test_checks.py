@@ -15,7 +15,7 @@ SF = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 @pytest.mark.parametrize("name", list(checks.SQL))
 def test_query_matches_sql(name, spark):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SF)
     result = con.execute(checks.SQL[name])
