@@ -29,10 +29,10 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder and read them back."""
+def stage(df: DataFrame, **options: object) -> DataFrame:
+    """Write the rows to the shared folder, with the writer's options, and read them back."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/staged/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
