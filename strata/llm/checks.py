@@ -172,6 +172,47 @@ AUDIT = f"""
            CAST(sum(removed) OVER (PARTITION BY part, c) AS BIGINT) AS shapley
     FROM effects"""
 
+# Entry 0 to 63 of each part, after each of two rounds.
+CODES = """
+    WITH v AS (
+        SELECT vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) > 0
+          AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    parts AS (
+        SELECT vec_id, label, p, v[p * len(v) // 16 + 1:(p + 1) * len(v) // 16] AS x
+        FROM v, range(16) AS r(p)),
+    book0 AS (
+        SELECT p, x, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e
+        FROM parts QUALIFY e < 64),{rounds}
+    codes AS (
+        SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+        FROM at2 GROUP BY ALL),
+    flat AS (SELECT p, e, unnest(x) AS y, generate_subscripts(x, 1) AS j FROM book2)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+           (SELECT sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY p, e, j)) FROM flat) AS codebooks_sha256
+    FROM codes"""
+
+_AT = """
+    at{i} AS (
+        SELECT vec_id, label, p, any_value(x) AS x, arg_min(e, 64 * d + e) AS e, min(d) AS d
+        FROM (SELECT a.vec_id, a.label, a.p, a.x, b.e,
+                     list_sum([(a.x[j] - b.x[j]) * (a.x[j] - b.x[j]) FOR j IN range(1, len(a.x) + 1)]) AS d
+              FROM parts AS a JOIN book{i} AS b USING (p))
+        GROUP BY ALL)"""
+
+_BOOK = """
+    sums{i} AS (
+        SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY j) AS x
+        FROM (SELECT p, e, j, sum(y) AS s, count(*) AS n
+              FROM (SELECT p, e, unnest(x) AS y, generate_subscripts(x, 1) AS j FROM at{before}) GROUP BY ALL)
+        GROUP BY ALL),
+    book{i} AS (
+        SELECT p, e, coalesce(sums{i}.x, book{before}.x) AS x
+        FROM book{before} LEFT JOIN sums{i} USING (p, e))"""
+
+CODES = CODES.replace("{rounds}", ",".join([_AT.format(i=0), _BOOK.format(i=1, before=0), _AT.format(i=1), _BOOK.format(i=2, before=1), _AT.format(i=2)]) + ",")
+
 SQL: dict[str, str] = {
     name: dedent(text)
     for name, text in {
@@ -183,5 +224,6 @@ SQL: dict[str, str] = {
         "op9_subspace": SUBSPACE,
         "op11_line_runs": LINES,
         "op12_filter_audit": AUDIT,
+        "op13_dual_tree": CODES,
     }.items()
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import audit, bpe, checks, jaccard, lines, packed, packing, quality, subspace, substrings, suffixes, topk, urls
+from strata.llm import audit, bpe, checks, codes, jaccard, lines, packed, packing, quality, subspace, substrings, suffixes, topk, urls
 from strata.sources.staging import shared_folder
 
 # The rules of the given task, as verdict and host with path prefix.
@@ -104,6 +104,11 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), part="lang")
 
 
+def op13_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, codebooks = codes.compressed(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+    return out.select("vec_id", "code", "error", "label_error", F.lit(codes.codebooks_sha256(codebooks)).alias("codebooks_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # its stages use this module
 
@@ -123,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
     "op11_line_runs": op11_line_runs,
     "op12_filter_audit": op12_filter_audit,
+    "op13_dual_tree": op13_dual_tree,
     "pipeline": pipeline,
 }
 SQL: dict[str, str] = checks.SQL
