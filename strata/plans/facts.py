@@ -8,7 +8,8 @@ day or month.
 The incremental form finds the keys with changed rows, recomputes those keys from all
 their history and replaces them; keys of customers, titles and items that arrive after
 their events count as changed (`fact_late`). It gives the rows a full load would give, up
-to which surrogate key stands for a natural key.
+to which surrogate key stands for a natural key. Stored events lie by month, and returns by
+their own, so that only the months of those keys are read.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from strata.functions import date_key, day, month_key, month_start
 from strata.operators.measures import average, long_layout, total, union_all
 from strata.operators.timeline import at_day, interval_timeline, version_timeline
+from strata.plans.stored import RETURNS
 from strata.sources.extract import changed_since, timestamp
 from strata.sources.tables import MONTH
 
@@ -61,23 +63,17 @@ def in_months(column: Column, months: Sequence[int] | None) -> Column:
 
 
 def _rows(
-    silver: Frames,
-    table: str,
-    watermarks: Watermarks | None,
-    months: Sequence[int] | None = None,
-    later: bool = False,
+    silver: Frames, table: str, watermarks: Watermarks | None, months: Sequence[int] | None = None
 ) -> DataFrame:
     """A silver table, or only its rows changed since the table's watermark.
 
-    `months` skips the stored partitions of other months; with `later`, only those after
-    the last of them, for what may happen any time after the event. Rows in the partition
-    of events without a date have no place in a month.
+    `months` skips the stored partitions of other months. Rows in the partition of events
+    without a date have no place in a month.
     """
     rows = silver[table] if watermarks is None else changed_since(silver[table], watermarks[table])
     if months is None or MONTH not in rows.columns:
         return rows
-    part = F.col(MONTH)
-    return rows.filter(part <= max(months) if later else part.isin([int(m) for m in months]))
+    return rows.filter(F.col(MONTH).isin([int(m) for m in months]))
 
 
 def _keep(df: DataFrame, keys: Sequence[str], affected: DataFrame | None) -> DataFrame:
@@ -100,20 +96,26 @@ CUSTOMER_MEASURES = {
 def _starts_and_returns(
     silver: Frames, key: str, watermarks: Watermarks | None, months: Sequence[int] | None
 ) -> DataFrame:
-    """Two rows per rental in one scan: its start and its return, each at its own time."""
-    started, returned = in_months(F.col("rental_date"), months), in_months(F.col("return_date"), months)
-    return (
-        _rows(silver, "rental", watermarks, months, later=True)
-        .filter(started | returned)
-        .select(
+    """Two rows per rental: its start and its return, each at its own time.
+
+    Of all rentals in one scan. Of some months from the rentals and the returns stored by
+    them: an item can come back in any month, also in one before that of the rental.
+    """
+    if months is None or RETURNS not in silver or watermarks is not None:
+        both = _rows(silver, "rental", watermarks).select(
             key,
             F.expr(
                 "inline(array(struct(rental_date as at, 1 as rentals, null as returns),"
                 " struct(return_date as at, null as rentals, 1 as returns)))"
             ),
         )
-        .filter(in_months(F.col("at"), months))
-    )
+        return both.filter(in_months(F.col("at"), months))
+    one, none = F.lit(1), F.lit(None).cast("int")
+    parts = [
+        _rows(silver, table, None, months).select(key, F.col(at).alias("at"), rentals.alias("rentals"), returns.alias("returns"))
+        for table, at, rentals, returns in (("rental", "rental_date", one, none), (RETURNS, "return_date", none, one))
+    ]
+    return union_all(parts).filter(in_months(F.col("at"), months))
 
 
 def customer_day_events(
@@ -422,8 +424,9 @@ def fact_full(
     )
 
 
-def fact_affected(name: str, silver: Frames, watermarks: Watermarks, dims: Frames) -> DataFrame:
-    """Grain keys inside the calendar that hold rows changed since their table's watermark."""
+def fact_affected(name: str, silver: Frames, watermarks: Watermarks | None, dims: Frames) -> DataFrame:
+    """Grain keys inside the calendar that hold rows changed since their table's watermark,
+    or, without watermarks, any rows."""
     keys = GRAIN[name][0]
     return _in_calendar(fact_events(name, silver, watermarks=watermarks).select(*keys).distinct(), dims)
 
@@ -435,29 +438,48 @@ def _in_calendar(found: DataFrame, dims: Frames) -> DataFrame:
     return found.join(days, "activity_date", "left_semi").select(*found.columns)
 
 
+def new_natural_keys(name: str, dims: Frames, loaded: str | datetime) -> DataFrame:
+    """Natural keys whose first dimension row is younger than the fact's last load."""
+    natural, dim = GRAIN[name][0][0], dims[GRAIN[name][1]]
+    young = dim.filter(F.col("created_at") > timestamp(loaded)).select(natural).distinct()
+    return young.join(dim.filter(F.col("created_at") <= timestamp(loaded)), natural, "left_anti")
+
+
+def placed_items(silver: Frames, loaded: str | datetime) -> DataFrame:
+    """Items that came or changed after the fact's last load, with their titles."""
+    items = silver["inventory_item"].filter(F.col("load_timestamp") > timestamp(loaded))
+    return items.select("inventory_id", "content_id").dropna()
+
+
 def fact_late(
-    name: str, silver: Frames, dims: Frames, loaded: str | datetime, settled_only: bool = True
+    name: str, silver: Frames, dims: Frames, new: DataFrame, months: Sequence[int] | None = None
 ) -> DataFrame:
-    """Grain keys of events that were there before their customer, title or item.
+    """Grain keys of events that were there before their customer, title or item, the natural
+    keys `new`; `months` are those in which such events lie, if known."""
+    keys = GRAIN[name][0]
+    found = fact_events(name, silver, months=months).select(*keys).join(new, keys[0], "left_semi")
+    return _in_calendar(found.distinct(), dims)
 
-    Those are the natural keys whose first dimension row is younger than the fact's last
-    load; a title's rentals also count as late when the item that places them is new. The
-    events are read by key, their months being unknown. Only the few new keys meet them.
-    """
-    keys, dim, _ = GRAIN[name]
-    natural = keys[0]
-    first = dims[dim].groupBy(natural).agg(F.min("created_at").alias("_first"))
-    new = first.filter(F.col("_first") > timestamp(loaded)).select(natural)
-    found = fact_events(name, silver, settled_only).select(*keys).join(new, natural, "left_semi")
-    if name == "fact_content_monthly_performance":
-        items = silver["inventory_item"].filter(F.col("load_timestamp") > timestamp(loaded))
-        rented = silver["rental"].filter("rental_date is not null").join(
-            items.select("inventory_id", "content_id").dropna(), "inventory_id"
-        )
-        found = found.unionByName(rented.select("content_id", month_key("rental_date").alias("month_key")))
+
+def late_rentals(silver: Frames, dims: Frames, items: DataFrame, months: Sequence[int] | None = None) -> DataFrame:
+    """Title months of rentals that were there before `items`, which say whose title it is."""
+    rented = _rows(silver, "rental", None, months).filter("rental_date is not null").join(items, "inventory_id")
+    found = rented.select("content_id", month_key("rental_date").alias("month_key"))
     return _in_calendar(found.distinct(), dims)
 
 
+def _of_affected(name: str, silver: Frames, dims: Frames, affected: DataFrame, small: bool) -> tuple[Frames, Frames]:
+    """Silver tables and dimensions with only those versions and subscriptions that the
+    affected keys look up, so that no timeline is built for other keys."""
+    natural, dim = GRAIN[name][0][0], GRAIN[name][1]
+    wanted = affected.select(natural).distinct()
+    wanted = F.broadcast(wanted) if small else wanted
+    dims = {**dims, dim: _keep(dims[dim], [natural], wanted)}
+    if name == "fact_customer_daily_activity":
+        silver = {**silver, "customer_subscription": _keep(silver["customer_subscription"], [natural], wanted)}
+    return silver, dims
+
+
 def fact_recomputed(
     name: str,
     silver: Frames,
@@ -472,28 +494,24 @@ def fact_recomputed(
     `months` are the months of the affected keys, if known: they let the scans skip the rest.
     """
     events = fact_events(name, silver, settled_only, months=months)
-    return _finish(name, _measure(name, events, affected, small_affected), silver, dims)
+    measured = _measure(name, events, affected, small_affected)
+    return _finish(name, measured, *_of_affected(name, silver, dims, affected, small_affected))
 
 
 def fact_without(name: str, fact: DataFrame, affected: DataFrame, dims: Frames) -> DataFrame:
     """The fact rows whose natural key is not affected.
 
     The natural key decides: a row that points at another version of the same customer,
-    title or item than the recomputed row is still replaced.
+    title or item than the recomputed row is still replaced. Only the versions of affected
+    keys meet the fact.
     """
     keys, dim, surrogate = GRAIN[name]
     natural = keys[0]
-    back = dims[dim].select(surrogate, natural)
     gone = affected
     if "month_key" not in keys:
-        gone = affected.select(
-            natural, date_key("activity_date").alias("date_key")
-        )
-    return (
-        fact.join(back, surrogate, "left")
-        .join(gone, gone.columns, "left_anti")
-        .select(*fact.columns)
-    )
+        gone = affected.select(natural, date_key("activity_date").alias("date_key"))
+    gone = gone.join(dims[dim].select(surrogate, natural), natural).drop(natural)
+    return fact.join(gone, gone.columns, "left_anti").select(*fact.columns)
 
 
 def fact_incremental(

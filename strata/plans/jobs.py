@@ -1,10 +1,13 @@
 """Full load, incremental load and backfill over stored tables.
 
 Order: bronze tables, silver tables, dimensions (items after content and warehouses),
-facts. Every step writes its data before its watermark, and running it again changes
-nothing: a bronze load is a partition named after the watermark it starts from, which a
-retry replaces; upserts and recomputed keys replace what they find. A table that fails
-keeps its watermark, while those that succeeded move on.
+facts. Every step writes its data before its mark, and running it again changes nothing: a
+bronze load is a partition with a number of its own, the next after the last load that ended,
+so that a retry replaces it and nothing else does; upserts and recomputed keys replace what
+they find. A table that fails keeps its mark, while those that succeeded move on.
+
+Later layers take in the bronze loads that they have not seen. A row without any time cannot
+be found by a watermark: it is loaded when it is new or differs from its last landed version.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.operators.calendar import date_dimension, month_dimension
-from strata.operators.upsert import replace_window, upsert
+from strata.operators.upsert import replace_window
 from strata.plans.dimensions import DRIVING_TABLE, dimension_full, dimension_incremental
 from strata.plans.facts import (
     FACT_SOURCES,
@@ -28,23 +31,39 @@ from strata.plans.facts import (
     fact_late,
     fact_recomputed,
     fact_without,
+    late_rentals,
+    new_natural_keys,
+    placed_items,
 )
-from strata.plans.silver import silver_batch, silver_full
+from strata.plans.silver import silver_full
+from strata.plans.stored import RETURNS, merge_silver, publish_silver
 from strata.functions import month_key
-from strata.sources.extract import changed_since, event_date_column, in_window, window_extract, with_lineage
-from strata.sources.tables import MONTH, RUN, Lake, month_of, observed
+from strata.sources.directory import months_by
+from strata.sources.extract import (
+    changed_since,
+    event_date_column,
+    in_window,
+    is_changed,
+    snapshot_difference,
+    timestamp,
+    undated,
+    window_extract,
+    with_lineage,
+)
+from strata.sources.tables import MONTH, RUN, Lake, observed
 from strata.sources.watermarks import (
     CONTROL,
     NEVER,
+    Mark,
     advanced,
     control_table,
     newest_update,
     stored_marks,
 )
-from strata.specs import DIMENSIONS, EVENT_TIMES, FIRST_DAY, LAST_DAY, TABLES
+from strata.specs import DIMENSIONS, FIRST_DAY, LAST_DAY, LOOKED_UP_BY, TABLES
 
 Source = Callable[[str], DataFrame]
-Marks = dict[str, datetime]
+Marks = dict[str, Mark]
 
 # Items look up content and warehouses, so they come after them.
 DIMENSION_WAVES = (
@@ -87,14 +106,6 @@ def _each(lake: Lake, names: Iterable[str], load: Callable[[str], Marks], settin
         done.result()
 
 
-def _month(table: str) -> Column | None:
-    return month_of(EVENT_TIMES[table]) if TABLES[table].events else None
-
-
-def _replace(lake: Lake, df: DataFrame, table: str, month: Column | None) -> None:
-    lake.publish(df, table, None if month is None else MONTH, month)
-
-
 def _newest_of(df: DataFrame) -> tuple[DataFrame, Callable[[], datetime]]:
     """The rows, and after they were written once, the newest change among them."""
     seen = Observation()
@@ -108,11 +119,6 @@ def _newest_of(df: DataFrame) -> tuple[DataFrame, Callable[[], datetime]]:
     return marked, get
 
 
-def _run(since: datetime) -> str:
-    """Name of the bronze partition of the load that starts from a watermark; names ascend."""
-    return since.strftime("%Y%m%d%H%M%S%f")
-
-
 def _fact_month(fact: str) -> Column:
     if "month_key" in GRAIN[fact][0]:
         return F.col("month_key")
@@ -124,37 +130,53 @@ def _fact_month(fact: str) -> Column:
 
 def bronze_full_load(lake: Lake, source: Source, run_ts: str, settings: Settings) -> None:
     """Every source whole; the next silver load then starts from the beginning too."""
+    stored = stored_marks(lake)
+
     def load(table: str) -> Marks:
+        name = f"bronze.{table}"
+        last = stored.get(name, Mark()).load
         rows, newest = _newest_of(with_lineage(source(table), run_ts, settings.source_system))
-        lake.publish(rows, f"bronze.{table}", RUN, F.lit(_run(NEVER)))
-        return {f"bronze.{table}": newest(), f"silver.{table}": NEVER}
+        lake.publish(rows, name, RUN, F.lit(last + 1).cast("bigint"))
+        return {name: Mark(newest(), last + 1), f"silver.{table}": Mark(NEVER, last)}
 
     _each(lake, settings.tables, load, settings)
 
 
+def _undated_changes(lake: Lake, rows: DataFrame, table: str) -> DataFrame | None:
+    """The rows without times that are new or differ from what bronze has of them, if there
+    are such rows at all. Bronze is not opened if the source has none."""
+    rows = rows.filter(undated())
+    if rows.isEmpty():
+        return None
+    if not lake.exists(f"bronze.{table}"):
+        return rows
+    landed = lake.stored(f"bronze.{table}").filter(undated())
+    return snapshot_difference(rows, landed, TABLES[table].keys, RUN)
+
+
 def bronze_incremental_load(lake: Lake, source: Source, run_ts: str, settings: Settings) -> None:
-    """Add the source rows changed since the newest change in bronze."""
+    """Add the source rows changed since the newest change in bronze, and of those that have
+    no times the ones that differ from the last load's. What was loaded before stays."""
     stored = stored_marks(lake)
 
     def load(table: str) -> Marks:
         name = f"bronze.{table}"
-        since = stored.get(name, NEVER)
-        delta, newest = _newest_of(with_lineage(changed_since(source(table), since), run_ts, settings.source_system))
-        run = _run(since)
+        mark = stored.get(name, Mark())
+        rows = source(table)
+        delta, run = changed_since(rows, mark.at), mark.load + 1
+        changes = _undated_changes(lake, rows, table)
+        if changes is not None:
+            delta = delta.unionByName(changes)
+        delta, newest = _newest_of(with_lineage(delta, run_ts, settings.source_system))
         if lake.exists(name):
-            lake.replace_parts(delta.withColumn(RUN, F.lit(run)), name, RUN, [run])
+            lake.replace_parts(delta.withColumn(RUN, F.lit(run).cast("bigint")), name, RUN, [run])
         else:
-            lake.publish(delta, name, RUN, F.lit(run))
-        return {name: max(since, newest())}
+            lake.publish(delta, name, RUN, F.lit(run).cast("bigint"))
+        return {name: Mark(max(mark.at, newest()), run)}
 
     _each(lake, settings.tables, load, settings)
 
 
-def _own_run(mark: datetime, start: str, end: str) -> str:
-    """The partition of a backfill, named after the mark: newer than all loads so far."""
-    return f"{_run(mark)}_{start}_{end}".replace(" ", "T")
-
-
 def bronze_backfill(
     lake: Lake,
     source: Source,
@@ -164,7 +186,7 @@ def bronze_backfill(
     settings: Settings,
     replace_all: bool = False,
 ) -> None:
-    """Load the rows of a closed date range again.
+    """Load the rows of a closed date range again, as a load of its own.
 
     With `replace_all` the tables then hold that range only. Otherwise its rows replace
     those of the same range in bronze, in the loads that hold some; a table without dates
@@ -174,20 +196,21 @@ def bronze_backfill(
 
     def load(table: str) -> Marks:
         name = f"bronze.{table}"
+        mark = stored.get(name, Mark())
+        run = mark.load + 1
         extract, newest = _newest_of(
             with_lineage(window_extract(source(table), start, end), run_ts, settings.source_system)
         )
+        own = F.lit(run).cast("bigint")
         column = event_date_column(extract)
         if replace_all or column is None or not lake.exists(name):
-            lake.publish(extract, name, RUN, F.lit(_run(NEVER)))
-            return {name: newest()}
-        mark = stored.get(name, NEVER)
+            lake.publish(extract, name, RUN, own)
+            return {name: Mark(newest(), run)}
         held = lake.stored(name)
         runs = [r[0] for r in held.filter(in_window(column, start, end)).select(RUN).distinct().collect()]
-        own = _own_run(mark, start, end)
-        kept = replace_window(held.filter(F.col(RUN).isin(runs)), extract.withColumn(RUN, F.lit(own)), start, end)
-        lake.replace_parts(kept, name, RUN, [*runs, own])
-        return {name: max(mark, newest())}
+        kept = replace_window(held.filter(F.col(RUN).isin(runs)), extract.withColumn(RUN, own), start, end)
+        lake.replace_parts(kept, name, RUN, [*runs, run])
+        return {name: Mark(max(mark.at, newest()), run)}
 
     _each(lake, settings.tables, load, settings)
 
@@ -199,35 +222,26 @@ def silver_full_load(lake: Lake, settings: Settings) -> None:
     stored = stored_marks(lake)
 
     def load(table: str) -> Marks:
-        _replace(lake, silver_full(table, lake.read(f"bronze.{table}")), f"silver.{table}", _month(table))
-        return {f"silver.{table}": stored.get(f"bronze.{table}", NEVER)}
+        publish_silver(lake, table, silver_full(table, lake.read(f"bronze.{table}")))
+        return {f"silver.{table}": stored.get(f"bronze.{table}", Mark())}
 
     _each(lake, settings.tables, load, settings)
 
 
-def bronze_since(lake: Lake, table: str, since: datetime) -> DataFrame:
-    """The bronze rows of the loads from a watermark on; other loads' files are not opened."""
-    return lake.stored(f"bronze.{table}").filter(F.col(RUN) >= _run(since)).drop(RUN)
+def bronze_since(lake: Lake, table: str, mark: Mark) -> DataFrame:
+    """The changed rows of the bronze loads after a mark; other loads' files are not opened."""
+    unseen = lake.stored(f"bronze.{table}").filter(F.col(RUN) > mark.load).drop(RUN)
+    return unseen.filter(is_changed(mark.at) | undated())
 
 
 def silver_incremental_load(lake: Lake, settings: Settings) -> None:
-    """Upsert the bronze rows of the loads since the last one that silver has seen."""
+    """Upsert the bronze rows of the loads that silver has not seen."""
     stored = stored_marks(lake)
 
     def load(table: str) -> Marks:
-        name = f"silver.{table}"
-        since = stored.get(name, NEVER)
-        batch = silver_batch(table, bronze_since(lake, table, since), since)
-        if not lake.exists(name):
-            _replace(lake, batch, name, _month(table))
-        elif TABLES[table].events:
-            lake.merge(batch, name, TABLES[table].keys, _month(table))
-        else:
-            batch = batch.persist()
-            if not batch.isEmpty():
-                lake.publish(upsert(lake.read(name), batch, TABLES[table].keys), name)
-            batch.unpersist()
-        return {name: stored.get(f"bronze.{table}", since)}
+        mark = stored.get(f"silver.{table}", Mark())
+        merge_silver(lake, table, silver_full(table, bronze_since(lake, table, mark)))
+        return {f"silver.{table}": stored.get(f"bronze.{table}", mark)}
 
     _each(lake, settings.tables, load, settings)
 
@@ -237,7 +251,8 @@ def silver_incremental_load(lake: Lake, settings: Settings) -> None:
 
 def _silver(lake: Lake, settings: Settings) -> dict[str, DataFrame]:
     """The silver tables; events keep their month, by which the facts skip partitions."""
-    return {t: lake.stored(f"silver.{t}") for t in settings.tables}
+    names = [*settings.tables, *([RETURNS] if "rental" in settings.tables else [])]
+    return {t: lake.stored(f"silver.{t}") for t in names}
 
 
 def _drivers(dimension: str, settings: Settings) -> list[str]:
@@ -265,12 +280,19 @@ def _mark(gold: str, silver: str) -> str:
 
 
 def _seen(stored: Marks, gold: str, tables: Iterable[str]) -> Marks:
-    return {_mark(gold, t): stored.get(f"silver.{t}", NEVER) for t in tables}
+    return {_mark(gold, t): stored.get(f"silver.{t}", Mark()) for t in tables}
+
+
+def _loaded(gold: str, run_ts: str) -> Marks:
+    """When the table was last brought up to date. Younger dimension rows are new to a fact,
+    and rows without times that were loaded since are new to a dimension."""
+    return {f"gold.{gold}": Mark(datetime.fromisoformat(run_ts))}
 
 
-def _loaded(fact: str, run_ts: str) -> Marks:
-    """When the fact was last brought up to date: younger dimension rows are new to it."""
-    return {f"gold.{fact}": datetime.fromisoformat(run_ts)}
+def _dated(rows: DataFrame, loaded: datetime) -> DataFrame:
+    """Rows without times that were loaded after a dimension count as updated at their loading."""
+    new = undated() & (F.col("load_timestamp") > timestamp(loaded))
+    return rows.withColumn("updated_at", F.when(new, F.col("load_timestamp")).otherwise(F.col("updated_at")))
 
 
 def gold_full_load(lake: Lake, run_ts: str, settings: Settings) -> None:
@@ -280,7 +302,7 @@ def gold_full_load(lake: Lake, run_ts: str, settings: Settings) -> None:
 
     def dimension(name: str) -> Marks:
         lake.publish(dimension_full(name, silver, _dims(lake), run_ts), f"gold.{name}")
-        return _seen(stored, name, _drivers(name, settings))
+        return _seen(stored, name, _drivers(name, settings)) | _loaded(name, run_ts)
 
     def fact(name: str) -> Marks:
         rows = fact_full(name, silver, _dims(lake), settings.settled_only)
@@ -298,18 +320,20 @@ def gold_incremental_load(lake: Lake, run_ts: str, settings: Settings) -> None:
     def dimension(name: str) -> Marks:
         drivers, dim = _drivers(name, settings), lake.read(f"gold.{name}")
         marks = [stored.get(_mark(name, t)) for t in drivers]
-        since = newest_update(dim) if None in marks else min(marks)
-        if any(not changed_since(silver[t], since).isEmpty() for t in drivers):
+        since = newest_update(dim) if None in marks else min(m.at for m in marks)
+        last = stored.get(f"gold.{name}", Mark()).at
+        read = silver | {t: _dated(silver[t], last) for t in drivers}
+        if any(not changed_since(read[t], since).isEmpty() for t in drivers):
             merged = dimension_incremental(
-                name, dim, silver, _dims(lake), since, run_ts, settings.include_child_changes
+                name, dim, read, _dims(lake), since, run_ts, settings.include_child_changes
             )
             lake.publish(merged, f"gold.{name}")
-        return _seen(stored, name, drivers)
+        return _seen(stored, name, drivers) | _loaded(name, run_ts)
 
     def fact(name: str) -> Marks:
-        since = {t: stored.get(_mark(name, t), NEVER) for t in FACT_SOURCES[name]}
-        changed = {t: silver_batch(t, bronze_since(lake, t, since[t]), since[t]) for t in since}
-        _refresh_fact(lake, name, silver, changed, stored.get(f"gold.{name}", NEVER), settings)
+        seen = {t: stored.get(_mark(name, t), Mark()) for t in FACT_SOURCES[name]}
+        changed = {t: silver_full(t, bronze_since(lake, t, mark)) for t, mark in seen.items()}
+        _refresh_fact(lake, name, silver, changed, stored.get(f"gold.{name}", Mark()).at, settings)
         return _seen(stored, name, FACT_SOURCES[name]) | _loaded(name, run_ts)
 
     for wave in DIMENSION_WAVES:
@@ -317,6 +341,35 @@ def gold_incremental_load(lake: Lake, run_ts: str, settings: Settings) -> None:
     _each(lake, _chosen(FACT_SOURCES, settings), fact, settings)
 
 
+def _late_keys(
+    lake: Lake, name: str, silver: dict[str, DataFrame], dims: dict[str, DataFrame], loaded: datetime
+) -> list[DataFrame]:
+    """Keys of events that were there before their customer, title or item.
+
+    Without new ones no event table is opened; else only the months that the directories
+    list for them.
+    """
+    natural = GRAIN[name][0][0]
+    titles = name == "fact_content_monthly_performance"
+    new = new_natural_keys(name, dims, loaded).persist()
+    found = []
+
+    def months(table: str, column: str, keys: DataFrame) -> set[int]:
+        return set(months_by(lake, f"silver.{table}", column, keys))
+
+    if not new.isEmpty():
+        tables = [*FACT_SOURCES[name], *([RETURNS] if "rental" in FACT_SOURCES[name] else [])]
+        listed = set().union(*(months(t, natural, new) for t in tables if natural in LOOKED_UP_BY[t]))
+        if titles:
+            listed |= months("rental", "inventory_id", silver["inventory_item"].join(new, natural, "left_semi"))
+        found.append(fact_late(name, silver, dims, new, sorted(listed)))
+    if titles:
+        items = placed_items(silver, loaded).persist()
+        if not items.isEmpty():
+            found.append(late_rentals(silver, dims, items, sorted(months("rental", "inventory_id", items))))
+    return found
+
+
 def _refresh_fact(
     lake: Lake,
     name: str,
@@ -332,11 +385,10 @@ def _refresh_fact(
     come to the driver, not the keys.
     """
     dims = _dims(lake)
-    affected = fact_affected(name, silver | changed, dict.fromkeys(changed, NEVER), dims)
-    if settings.late_keys:
-        late = fact_late(name, silver, dims, loaded, settings.settled_only)
-        affected = affected.unionByName(late).distinct()
-    affected = affected.persist()
+    affected = fact_affected(name, silver | changed, None, dims)
+    for late in _late_keys(lake, name, silver, dims, loaded) if settings.late_keys else []:
+        affected = affected.unionByName(late)
+    affected = affected.distinct().persist()
     key = GRAIN[name][0][1]
     month = F.col(key) if key == "month_key" else month_key(key)
     found = affected.groupBy(month.alias("m")).count().collect()
@@ -395,24 +447,20 @@ def backfill(
 
     def batch(table: str) -> DataFrame:
         bronze = lake.stored(f"bronze.{table}")
-        own = _own_run(marks.get(f"bronze.{table}", NEVER), start, end)
+        own = marks.get(f"bronze.{table}", Mark()).load + 1
         keys = list(TABLES[table].keys)
         if event_date_column(bronze) is not None:
             bronze = bronze.join(bronze.filter(F.col(RUN) == own).select(*keys).distinct(), keys, "left_semi")
         return silver_full(table, bronze.drop(RUN))
 
     def merge(table: str) -> Marks:
-        name = f"silver.{table}"
-        if TABLES[table].events:
-            lake.merge(batch(table), name, TABLES[table].keys, _month(table))
-        else:
-            lake.publish(upsert(lake.read(name), batch(table), TABLES[table].keys), name)
+        merge_silver(lake, table, batch(table))
         return {}
 
     def fact(name: str) -> Marks:
         silver = _silver(lake, settings)
         changed = {t: batch(t) for t in FACT_SOURCES[name]}
-        _refresh_fact(lake, name, silver, changed, marks.get(f"gold.{name}", NEVER), settings)
+        _refresh_fact(lake, name, silver, changed, marks.get(f"gold.{name}", Mark()).at, settings)
         return {}
 
     _each(lake, settings.tables, merge, settings)

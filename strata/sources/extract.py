@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,6 +78,35 @@ def changed_since(df: DataFrame, watermark: str | datetime | Column) -> DataFram
     return df.filter(is_changed(watermark))
 
 
+def undated() -> Column:
+    """A row that no watermark can find, having neither time."""
+    return F.col("created_at").isNull() & F.col("updated_at").isNull()
+
+
+def row_hash(columns: Sequence[str]) -> Column:
+    """A hash of a whole row in which a null differs from any value and no column from another."""
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+
+
+def last_snapshot(landed: DataFrame, keys: Sequence[str], columns: Sequence[str], load: str) -> DataFrame:
+    """Hashes of the rows a source held when it was last landed: of each key those of its
+    last load. `landed` keeps every load, numbered in the column `load`."""
+    hashed = landed.select(*keys, F.col(load).alias("_load"), row_hash(columns).alias("_hash"))
+    return hashed.groupBy(*keys).agg(F.max_by(F.col("_hash"), F.col("_load")).alias("_hash")).select("_hash")
+
+
+def snapshot_difference(rows: DataFrame, landed: DataFrame, keys: Sequence[str], load: str) -> DataFrame:
+    """The rows that are new or differ from their last landed version, for sources whose rows
+    do not say when they changed.
+
+    A row that goes back to an earlier content counts as changed; a row that the source no
+    longer has is not reported. Each key has one row in the source.
+    """
+    seen = last_snapshot(landed, keys, rows.columns, load)
+    hashed = rows.withColumn("_hash", row_hash(rows.columns))
+    return hashed.join(seen, "_hash", "left_anti").select(*rows.columns)
+
+
 def high_water_mark(df: DataFrame) -> DataFrame:
     """One row with the newest creation or update time, or the epoch for an empty table."""
     newest = F.greatest(F.max("created_at"), F.max("updated_at"))

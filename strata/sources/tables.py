@@ -109,28 +109,21 @@ class Lake:
             self.spark.sql(f"ALTER TABLE {live} DROP IF EXISTS PARTITION ({part} = {value!r})")
         self.spark.catalog.refreshTable(self.name(table))
 
-    def merge(self, batch: DataFrame, table: str, keys: Sequence[str], month: Column) -> None:
-        """Upsert a batch (one row per key) into a month table.
-
-        The months to rewrite are those of the batch and those that hold rows of its keys.
-        The key scan for the latter reads the key column alone, between the smallest and
-        the largest key of the batch, which file statistics narrow where ids grow with
-        time. Only month numbers come to the driver.
+    def merge(
+        self, rows: DataFrame, table: str, keys: Sequence[str], held: Sequence[int], gone: DataFrame | None = None
+    ) -> None:
+        """Upsert rows (one per key, with their month) into a month table.
+
+        `held` are the months that hold older rows of the keys; only those and the months of
+        the rows are read and rewritten. Rows of the keys of `gone` go also if `rows` has no
+        row for them.
         """
-        rows = batch.withColumn(MONTH, month).persist()
-        first = keys[0]
-        low, high, count = rows.agg(F.min(first), F.max(first), F.count(F.lit(1))).first()
-        if count:
-            target = self.stored(table)
-            held = (
-                target.filter(F.col(first).between(low, high))
-                .join(rows.select(*keys), list(keys), "left_semi")
-                .select(MONTH)
-            )
-            months = [r[0] for r in held.union(rows.select(MONTH)).distinct().collect()]
-            kept = target.filter(F.col(MONTH).isin(months)).join(rows.select(*keys), list(keys), "left_anti")
-            self.replace_parts(kept.unionByName(rows), table, MONTH, months)
-        rows.unpersist()
+        months = sorted({*held, *(r[0] for r in rows.select(MONTH).distinct().collect())})
+        if not months:
+            return
+        replaced = (rows if gone is None else gone).select(*keys)
+        kept = self.stored(table).filter(F.col(MONTH).isin(months)).join(replaced, list(keys), "left_anti")
+        self.replace_parts(kept.unionByName(rows), table, MONTH, months)
 
 
 def _balanced(df: DataFrame, part: str) -> DataFrame:

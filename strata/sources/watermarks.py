@@ -1,7 +1,8 @@
-"""The control table: the newest change each load has seen."""
+"""The control table: the newest change and the last load that each table has seen."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,16 +15,26 @@ from strata.specs import EPOCH
 
 CONTROL = "gold.watermark_tracker"
 NEVER = datetime.fromisoformat(EPOCH)
-_SCHEMA = "table_name string, last_watermark timestamp_ntz"
+_SCHEMA = "table_name string, last_watermark timestamp_ntz, last_load bigint"
+
+
+@dataclass(frozen=True, order=True)
+class Mark:
+    """How far a table has come: the newest change it has seen, and the number of the last
+    bronze load it has taken in. Loads of a table are numbered from 0."""
+
+    at: datetime = NEVER
+    load: int = -1
 
 
 def control_table(spark: SparkSession, lake: Lake) -> DataFrame:
     return lake.read(CONTROL) if lake.exists(CONTROL) else spark.createDataFrame([], _SCHEMA)
 
 
-def stored_marks(lake: Lake) -> dict[str, datetime]:
-    """All stored watermarks: a few per table of the warehouse."""
-    return {r["table_name"]: r["last_watermark"] for r in control_table(lake.spark, lake).collect()}
+def stored_marks(lake: Lake) -> dict[str, Mark]:
+    """All stored marks: a few per table of the warehouse."""
+    rows = control_table(lake.spark, lake).collect()
+    return {r["table_name"]: Mark(r["last_watermark"], r["last_load"]) for r in rows}
 
 
 def newest_update(table: DataFrame) -> datetime:
@@ -36,11 +47,9 @@ def newest_change(df: DataFrame) -> datetime:
     return high_water_mark(df).first()["last_watermark"]
 
 
-def advanced(control: DataFrame, marks: dict[str, datetime]) -> DataFrame:
+def advanced(control: DataFrame, marks: dict[str, Mark]) -> DataFrame:
     """The control table with the given marks inserted or overwritten."""
-    spark = control.sparkSession
-    batch = spark.createDataFrame([(k, str(v)) for k, v in marks.items()], "table_name string, at string")
-    return upsert(
-        control, batch.select("table_name", timestamp(F.col("at")).cast("timestamp_ntz").alias("last_watermark")),
-        ["table_name"],
-    )
+    rows = [(name, str(mark.at), mark.load) for name, mark in marks.items()]
+    batch = control.sparkSession.createDataFrame(rows, "table_name string, at string, last_load bigint")
+    at = timestamp(F.col("at")).cast("timestamp_ntz").alias("last_watermark")
+    return upsert(control, batch.select("table_name", at, "last_load"), ["table_name"])

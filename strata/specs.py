@@ -241,7 +241,6 @@ SEED_TABLES = (
     "warehouse",
 )
 
-# Fixed value: event-date columns in order of preference for a date-range backfill.
 # When an event of each event table happened. Silver is stored by its month.
 EVENT_TIMES = {
     "streaming_session": "start_time",
@@ -254,6 +253,18 @@ EVENT_TIMES = {
     "recommendation": "recommendation_date",
 }
 
+# Other keys of event rows, by which the months that hold them are listed.
+LOOKED_UP_BY = {
+    "streaming_session": ("customer_id", "content_id"),
+    "rental": ("customer_id", "inventory_id"),
+    "rental_return": ("customer_id", "inventory_id"),
+    "payment": ("customer_id",),
+    "review": ("content_id",),
+    "wishlist": ("content_id",),
+    "support_ticket": ("customer_id",),
+}
+
+# Fixed value: event-date columns in order of preference for a date-range backfill.
 EVENT_DATE_COLUMNS = (
     "created_at",
     "start_time",

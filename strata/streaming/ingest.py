@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.operators.upsert import upsert
 from strata.plans.silver import silver_full
+from strata.plans.stored import merge_silver
 from strata.sources.tables import MONTH, Lake, month_of
-from strata.specs import EVENT_TIMES, TABLES
+from strata.specs import TABLES
 
 
 def bronze_stream(
@@ -56,19 +56,13 @@ def silver_upsert(lake: Lake, table: str) -> Callable[[DataFrame, int], None]:
 
     def apply(batch: DataFrame, _epoch: int) -> None:
         rows = silver_full(table, batch)
-        month = month_of(EVENT_TIMES[table]) if spec.events else None
-        if not lake.exists(name):
-            lake.publish(rows, name, MONTH if spec.events else None, month)
-            return
-        known = lake.read(name).select(*spec.keys, F.col("updated_at").alias("_known"))
-        newer = (
-            rows.join(known, list(spec.keys), "left")
-            .filter(F.col("_known").isNull() | (F.col("updated_at") >= F.col("_known")))
-            .drop("_known")
-        )
-        if spec.events:
-            lake.merge(newer, name, spec.keys, month)
-        else:
-            lake.publish(upsert(lake.read(name), newer, spec.keys), name)
+        if lake.exists(name):
+            known = lake.read(name).select(*spec.keys, F.col("updated_at").alias("_known"))
+            rows = (
+                rows.join(known, list(spec.keys), "left")
+                .filter(F.col("_known").isNull() | (F.col("updated_at") >= F.col("_known")))
+                .drop("_known")
+            )
+        merge_silver(lake, table, rows)
 
     return apply

@@ -130,11 +130,12 @@ def test_month_tables(spark):
     # row 2 moves to another month and leaves its old one empty; row 3 gets a date
     batch = with_lineage(lookups(spark, (2, 2, 2, T[0], T[1], T[2]), (3, 2, 2, T[0], datetime(2024, 3, 5), T[2]),
                                  (4, 2, 2, T[0], T[1], T[2])), T[0], "s")
-    lake.merge(batch, "silver.wishlist", ["wishlist_id"], month_of("created_at"))
+    placed = batch.withColumn(MONTH, month_of("created_at"))
+    lake.merge(placed, "silver.wishlist", ["wishlist_id"], [202402, 0])
     got = {r["wishlist_id"]: r["customer_id"] for r in lake.read("silver.wishlist").collect()}
     assert got == {1: 1, 2: 2, 3: 2, 4: 2}
     assert lake.read("silver.wishlist").count() == 4
-    lake.merge(batch.limit(0), "silver.wishlist", ["wishlist_id"], month_of("created_at"))
+    lake.merge(placed.limit(0), "silver.wishlist", ["wishlist_id"], [])
     assert lake.read("silver.wishlist").count() == 4
     # one partition replaced, the others as they were; a partition without rows goes
     lake.replace_parts(batch.filter("wishlist_id = 4").withColumn(MONTH, F.lit(202401)), "silver.wishlist", MONTH, [202401, 202403])
