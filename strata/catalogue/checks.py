@@ -139,7 +139,7 @@ def silver_table(table: str) -> str:
 def silver_in_two_loads(table: str, cut: str) -> str:
     spec = TABLES[table]
     match = " AND ".join(f"o.{k} = n.{k}" for k in spec.keys)
-    before = f"SELECT * FROM ({source_sql(table)}) WHERE updated_at < TIMESTAMP '{cut}'"
+    before = f"SELECT * FROM ({source_sql(table)}) WHERE greatest(created_at, updated_at) < TIMESTAMP '{cut}'"
     changed = f"""SELECT * FROM ({source_sql(table)}), mark WHERE created_at > wm OR updated_at > wm"""
     return _with(
         [
@@ -658,6 +658,28 @@ def fact_in_two_loads(name: str) -> str:
     )
 
 
+def _load_checks() -> dict[str, str]:
+    kinds = "payment_id bigint, customer_id bigint, amount decimal(10,2), payment_date timestamp, payment_type string, load bigint"
+
+    def landed(load: int, kind: str, where: str) -> str:
+        return f"SELECT * REPLACE ({kind} AS payment_type), CAST({load} AS BIGINT) AS load FROM p WHERE {where}"
+
+    changed = "CASE WHEN payment_id % 7 = 0 THEN 'moved' ELSE payment_type END"
+    loads = [
+        landed(0, "payment_type", "payment_id % 10 <> 0"),
+        landed(1, changed, "payment_id % 10 = 0 OR payment_id % 7 = 0"),
+        landed(2, "payment_type", "payment_id % 14 = 0"),
+    ]
+    found = {"bronze_undated_loads": _with([f"p AS ({source_sql('payment')})"], f"SELECT {_plain(kinds)} FROM ({' UNION ALL '.join(loads)})")}
+    for name, column in (("customer", "customer_id"), ("item", "inventory_id")):
+        found[f"rental_months_by_{name}"] = _with(
+            [_s("rental")],
+            f"""SELECT DISTINCT {column}, CAST(strftime(rental_date, '%Y%m') AS INTEGER) AS month_key
+                FROM s_rental WHERE {column} IS NOT NULL AND rental_date IS NOT NULL""",
+        )
+    return found
+
+
 def _fact_checks() -> dict[str, str]:
     name = "fact_customer_daily_activity"
     found = {f"{name}_all_payments": fact_table(name, settled_only=False)}
@@ -669,7 +691,7 @@ def _fact_checks() -> dict[str, str]:
             body = f"""SELECT {natural}, CAST(activity_date AS VARCHAR) AS activity_date
                 FROM affected JOIN cal ON activity_date = full_date"""
         found[f"{fact}_affected"] = _with([_DAYS, _MONTHS, *[_s(t) for t in FACT_TABLES[fact]], _affected(fact)], body)
-        found[f"{fact}_late"] = fact_by_natural_key(fact)
+        found[f"{fact}_late"] = found[f"{fact}_few_months"] = fact_by_natural_key(fact)
         found[fact] = fact_table(fact)
         found[f"{fact}_incremental"] = fact_in_two_loads(fact)
     return found
@@ -681,8 +703,8 @@ def oracle_sql() -> dict[str, str]:
         found[f"silver_{table}"] = silver_table(table)
     for table, cut in TWO_LOADS.items():
         found[f"silver_{table}_incremental"] = silver_in_two_loads(table, cut)
-    # the stored loads end where the queries that build the same table end
-    found["pipeline_full_load"] = fact_table("fact_inventory_daily_utilisation", merged=False)
-    found["pipeline_incremental_load"] = fact_table("fact_content_monthly_performance", merged=False)
-    found["pipeline_backfill"] = fact_table("fact_customer_daily_activity", merged=False)
-    return {**found, **_calendar_checks(), **_dimension_checks(), **_lookup_checks(), **_fact_checks()}
+    # the stored loads all end where one full load ends
+    facts = [f"SELECT '{f}' AS fact, * FROM ({fact_by_natural_key(f)})" for f in _FACTS]
+    for load in ("full_load", "incremental_load", "backfill"):
+        found[f"pipeline_{load}"] = " UNION ALL BY NAME ".join(facts)
+    return {**found, **_calendar_checks(), **_dimension_checks(), **_lookup_checks(), **_load_checks(), **_fact_checks()}

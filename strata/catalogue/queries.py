@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from datetime import datetime, timedelta
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,7 @@ from strata.plans import jobs
 from strata.plans.dimensions import dimension_batch, dimension_full, dimension_incremental, latest_address
 from strata.plans.facts import FACT_SOURCES, GRAIN, fact_affected, fact_full, fact_recomputed, fact_without
 from strata.plans.silver import silver_full, silver_incremental
+from strata.sources.directory import by_table
 from strata.sources.extract import (
     changed_since,
     event_date_column,
@@ -44,8 +46,8 @@ from strata.sources.extract import (
     window_extract,
 )
 from strata.sources.staging import shared_folder, stage, stage_all
-from strata.sources.tables import Lake
-from strata.specs import DIMENSIONS, TABLES
+from strata.sources.tables import MONTH, RUN, Lake
+from strata.specs import DIMENSIONS, EVENT_TIMES, TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +60,7 @@ DIMENSION_CUTS = {
     "dim_subscription_plan": "2023-05-20 00:00:00",
 }
 EVENT_CUT = "2024-01-20 00:00:00"
+LATE_MONTH = 202203
 WINDOW = ("2024-01-05 00:00:00", "2024-01-12 00:00:00")
 
 
@@ -132,9 +135,10 @@ def backfill_window_replace(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _silver_in_two_loads(table: str, cut: str, spark: SparkSession, sf: str) -> DataFrame:
+    """The first load sees what the source held before the cut: no row created or updated since."""
     rows = bronze(spark, sf, table)
     ties = TIE_BREAK.get(table, ())
-    before = silver_full(table, rows.filter(F.col("updated_at") < timestamp(cut)), ties)
+    before = silver_full(table, rows.filter(F.greatest("created_at", "updated_at") < timestamp(cut)), ties)
     return silver_incremental(table, before, rows, high_water_mark(before).scalar(), ties)
 
 
@@ -493,15 +497,72 @@ def fact_with_late_keys(name: str, spark: SparkSession, sf: str) -> DataFrame:
     return _by_natural_key(lake, name)
 
 
+def fact_of_few_months(name: str, spark: SparkSession, sf: str) -> DataFrame:
+    """A load that lacks the events of one month, then an incremental load with them. Rentals
+    of that month come back in any month, and rentals of any month come back in it."""
+    lake, settings = _new_lake(spark), replace(_load_settings(name), late_keys=False)
+
+    def late(table: str):
+        return month_key(EVENT_TIMES[table]) == LATE_MONTH if table in FACT_SOURCES[name] else F.lit(False)
+
+    def before(table: str) -> DataFrame:
+        return source_without_ties(spark, sf, table).filter(~F.coalesce(late(table), F.lit(False)))
+
+    def after(table: str) -> DataFrame:
+        rows = source_without_ties(spark, sf, table)
+        return rows.withColumn("updated_at", F.when(late(table), timestamp(RUN_TS)).otherwise(F.col("updated_at")))
+
+    jobs.full_load(lake, before, "2026-12-31 00:00:00", settings)
+    jobs.incremental_load(lake, after, RUN_TS, settings)
+    return _by_natural_key(lake, name)
+
+
+def bronze_undated_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Payments from a source that keeps no times, loaded three times: some are new in the
+    second load, some change, and some of those change back. Every landed version with the
+    number of its load."""
+    lake, settings = _new_lake(spark), jobs.Settings(SOURCE_SYSTEM, tables=("payment",), gold=())
+    key, kind, never = F.col("payment_id"), F.col("payment_type"), F.lit(None).cast("timestamp_ntz")
+    rows = source(spark, sf, "payment").withColumns({"created_at": never, "updated_at": never})
+    moved = F.lit("moved")
+    loads = [
+        rows.filter(key % 10 != 0),
+        rows.withColumn("payment_type", F.when(key % 7 == 0, moved).otherwise(kind)),
+        rows.withColumn("payment_type", F.when((key % 7 == 0) & (key % 14 != 0), moved).otherwise(kind)),
+    ]
+    for n, held in enumerate(loads):
+        load = jobs.bronze_incremental_load if n else jobs.bronze_full_load
+        load(lake, lambda _, held=held: held, f"2026-12-0{n + 1} 00:00:00", settings)
+    landed = lake.stored("bronze.payment").withColumnRenamed(RUN, "load")
+    return plain(landed.select("payment_id", "customer_id", "amount", "payment_date", "payment_type", "load"))
+
+
+def rental_months(column: str, spark: SparkSession, sf: str) -> DataFrame:
+    """The directory of the months in which a customer or an item has rentals, after two loads."""
+    lake, settings = _new_lake(spark), jobs.Settings(SOURCE_SYSTEM, tables=("rental",), gold=())
+    rows = source_without_ties(spark, sf, "rental")
+    new = F.col("rental_id") % 3 == 0
+    arrived = rows.withColumn("updated_at", F.when(new, timestamp(RUN_TS)).otherwise(F.col("updated_at")))
+    jobs.full_load(lake, lambda _: rows.filter(~new), "2026-12-31 00:00:00", settings)
+    jobs.incremental_load(lake, lambda _: arrived, RUN_TS, settings)
+    return lake.stored(by_table("silver.rental", column)).withColumnRenamed(MONTH, "month_key")
+
+
+def _all_facts(lake: Lake) -> DataFrame:
+    """The rows of all facts with natural keys; a fact has nulls in the columns of the others."""
+    parts = [_by_natural_key(lake, fact).withColumn("fact", F.lit(fact)) for fact in GRAIN]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def pipeline_full_load(spark: SparkSession, sf: str) -> DataFrame:
-    """All tables loaded through all layers; the inventory fact."""
+    """All tables loaded through all layers; the facts."""
     lake = _new_lake(spark)
     jobs.full_load(lake, partial(source_without_ties, spark, sf), RUN_TS, WHOLE)
-    return plain(lake.read("gold.fact_inventory_daily_utilisation"))
+    return _all_facts(lake)
 
 
 def pipeline_incremental_load(spark: SparkSession, sf: str) -> DataFrame:
-    """A full load before some events arrived, then an incremental load with them; the content fact."""
+    """A full load before some events arrived, then an incremental load with them; the facts."""
     lake = _new_lake(spark)
     late = ("streaming_session", "wishlist")
 
@@ -511,12 +572,11 @@ def pipeline_incremental_load(spark: SparkSession, sf: str) -> DataFrame:
 
     jobs.full_load(lake, before, "2026-12-31 00:00:00", WHOLE)
     jobs.incremental_load(lake, partial(source_without_ties, spark, sf), RUN_TS, WHOLE)
-    return plain(lake.read("gold.fact_content_monthly_performance"))
+    return _all_facts(lake)
 
 
 def pipeline_backfill(spark: SparkSession, sf: str) -> DataFrame:
-    """A load that lost sessions of a date range, repaired by a backfill of that range; the
-    customer fact."""
+    """A load that lost sessions of a date range, repaired by a backfill of that range; the facts."""
     lake, source_rows = _new_lake(spark), partial(source_without_ties, spark, sf)
 
     def damaged(table: str) -> DataFrame:
@@ -527,7 +587,7 @@ def pipeline_backfill(spark: SparkSession, sf: str) -> DataFrame:
 
     jobs.full_load(lake, damaged, "2026-12-31 00:00:00", WHOLE)
     jobs.backfill(lake, source_rows, RUN_TS, *WINDOW, WHOLE)
-    return plain(lake.read("gold.fact_customer_daily_activity"))
+    return _all_facts(lake)
 
 
 def source_without_ties(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -578,7 +638,11 @@ def queries() -> dict[str, Query]:
         found[f"{name}_incremental"] = partial(fact_in_two_loads, name)
         found[f"{name}_affected"] = partial(fact_affected_keys, name)
         found[f"{name}_late"] = partial(fact_with_late_keys, name)
+        found[f"{name}_few_months"] = partial(fact_of_few_months, name)
     found |= {
+        "bronze_undated_loads": bronze_undated_loads,
+        "rental_months_by_customer": partial(rental_months, "customer_id"),
+        "rental_months_by_item": partial(rental_months, "inventory_id"),
         "pipeline_full_load": pipeline_full_load,
         "pipeline_incremental_load": pipeline_incremental_load,
         "pipeline_backfill": pipeline_backfill,
