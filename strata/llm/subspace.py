@@ -4,8 +4,11 @@ For unit vectors a cosine of at least t means a squared distance of at most 2 -
 random rotation the dimensions are cut into blocks, each with a share of that budget in
 proportion to its dimensions: a pair within the whole budget is within the share of at
 least one block. Each block is a range join: vectors go to the grid cell of their first
-coordinates in the block and, as guests, to the cells within reach. The union of the pairs
-within a share is verified on the vectors themselves, in double precision.
+coordinates in the block and, as guests, to the next cells up within reach. Two vectors that
+are near in every coordinate meet in the cell of the higher ones, where in no coordinate both
+are guests. A cell with many vectors is split by one more coordinate of the block, as long as
+there are some. The union of the pairs within a share is verified on the vectors themselves,
+in double precision.
 """
 
 from __future__ import annotations
@@ -13,7 +16,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +30,13 @@ from strata.llm.words import mix
 from strata.sources.staging import stage
 
 BLOCK_DIMS = 8
+#: Coordinates that make a cell at first; a cell of more rows takes further ones.
+GRID = 2
 CELL_ROWS = 2048
 TILE_ROWS = 4096
 BUCKET_ROWS = 1 << 16
-MAX_GRID = 4
 _SLACK = 1e-4
-_CELLS = "cell long, own boolean, cls long, y binary, reach float"
+_CELLS = "cell long, guest int, cls long, y binary, reach double"
 
 
 @lru_cache(maxsize=16)
@@ -54,52 +57,102 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def _cells(label: np.ndarray, cls: np.ndarray, vectors: np.ndarray, least: float, grid: int) -> Iterator[pa.RecordBatch]:
+def _cut(key: np.ndarray, guest: np.ndarray, y: np.ndarray, reach: np.ndarray, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cells cut by coordinate i: the rows, with repeats, their new cells, and in which
+    coordinates they are guests there."""
+    width = 2 * reach
+    at = np.floor(y[:, i] / width)
+    near = np.flatnonzero(y[:, i] - at * width >= width - reach)
+    rows = np.r_[np.arange(len(key)), near]
+    cell = np.r_[at, at[near] + 1].astype(np.int64).view(np.uint64)
+    return rows, mix(key[rows] ^ cell, i), np.r_[guest, guest[near] | (1 << i)]
+
+
+def _batch(key: np.ndarray, guest: np.ndarray, cls: np.ndarray, y: np.ndarray, reach: np.ndarray) -> pa.RecordBatch:
+    bodies = pa.py_buffer(np.ascontiguousarray(y, np.float32))
+    ends = pa.py_buffer((np.arange(len(y) + 1) * 4 * y.shape[1]).astype(np.int32))
+    arrays = [
+        pa.array(key.view(np.int64)),
+        pa.array(guest.astype(np.int32)),
+        pa.array(cls),
+        pa.Array.from_buffers(pa.binary(), len(y), [None, ends, bodies]),
+        pa.array(reach),
+    ]
+    return pa.RecordBatch.from_arrays(arrays, ["cell", "guest", "cls", "y", "reach"])
+
+
+def _cells(label: np.ndarray, cls: np.ndarray, vectors: np.ndarray, least: float) -> Iterator[pa.RecordBatch]:
     dim = vectors.shape[1]
     turned = unit(vectors) @ rotation(dim)
     budget = max(0.0, 2 - 2 * least)
     for number, (a, b) in enumerate(subspaces(dim)):
-        reach = math.sqrt(budget * (b - a) / dim) + _SLACK
-        width = 2 * reach
-        y = turned[:, a:b]
-        g = min(grid, b - a)
-        base = np.floor(y[:, :g] / width).astype(np.int64)
-        inside = y[:, :g] - base * width
-        near = {-1: inside <= reach, 0: np.ones_like(inside, bool), 1: inside >= width - reach}
-        packed = y.astype(np.float32)
-        for step in product((-1, 0, 1), repeat=g):
-            here = np.flatnonzero(np.logical_and.reduce([near[s][:, i] for i, s in enumerate(step)]))
-            if not len(here):
-                continue
-            key = mix(label[here].astype(np.uint64), 1000 * dim + number)
-            for i, s in enumerate(step):
-                key = mix(key ^ (base[here, i] + s).astype(np.uint64), i)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(key.view(np.int64)),
-                    pa.array(np.full(len(here), not any(step))),
-                    pa.array(cls[here]),
-                    pa.array([row.tobytes() for row in packed[here]], pa.binary()),
-                    pa.array(np.full(len(here), reach, np.float32)),
-                ],
-                ["cell", "own", "cls", "y", "reach"],
-            )
-
-
-def _pairs_within(y: np.ndarray, own: np.ndarray, cls: np.ndarray, tile: np.ndarray, i: int, j: int, reach: float) -> np.ndarray:
-    """Pairs of tiles i and j within reach, smaller class first, if it is at home here."""
+        # As they are stored, so that later cuts see the same coordinates.
+        y = turned[:, a:b].astype(np.float32).astype(float)
+        reach = np.full(len(y), math.sqrt(budget * (b - a) / dim) + _SLACK)
+        rows, key, guest = np.arange(len(y)), mix(label.astype(np.uint64), 1000 * dim + number), np.zeros(len(y), np.int64)
+        for i in range(min(GRID, b - a)):
+            taken, key, guest = _cut(key, guest, y[rows], reach[rows], i)
+            rows = rows[taken]
+        yield _batch(key, guest, cls[rows], y[rows], reach[rows])
+
+
+def _by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The rows of each length, and their coordinates."""
+    sizes = np.asarray(pc.binary_length(column)) // 4
+    for size in np.unique(sizes).tolist():
+        at = np.flatnonzero(sizes == size)
+        yield at, np.frombuffer(b"".join(column.take(pa.array(at)).to_pylist()), np.float32).reshape(len(at), size).astype(float)
+
+
+def _finer(batch: pa.RecordBatch, i: int) -> Iterator[pa.RecordBatch]:
+    """The rows of crowded cells in cells that coordinate i cuts, if they have it."""
+    for at, y in _by_length(batch.column("y")):
+        part = batch.take(pa.array(at))
+        if y.shape[1] <= i:
+            yield part
+            continue
+        key, guest, cls, reach = (part.column(c).to_numpy() for c in ("cell", "guest", "cls", "reach"))
+        rows, key, guest = _cut(key.view(np.uint64), guest, y, reach, i)
+        yield _batch(key, guest, cls[rows], y[rows], reach[rows])
+
+
+def _counted(placed: DataFrame) -> DataFrame:
+    """(cell, n, dims) of the cells in which two vectors can meet: not all are guests in one coordinate."""
+    counts = placed.groupBy("cell").agg(F.count("*").alias("n"), F.bit_and("guest").alias("guests"), F.max(F.octet_length("y") / 4).alias("dims"))
+    return stage(counts.where("n > 1 and guests = 0").drop("guests"))
+
+
+def _split(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows in cells of at most CELL_ROWS rows, if their block has coordinates enough to
+    cut by, and the cells in which vectors can meet."""
+    i, cells = GRID, _counted(placed)
+    while True:
+        crowded = cells.where((F.col("n") > CELL_ROWS) & (F.col("dims") > i)).select("cell")
+        if crowded.isEmpty():
+            return placed, cells
+        cut = placed.join(crowded, "cell").select(placed.columns).mapInArrow(lambda x, i=i: (out for b in x for out in _finer(b, i)), _CELLS)
+        rest = placed.join(cells.join(crowded, "cell", "left_anti"), "cell", "left_semi")
+        placed = stage(rest.unionByName(cut))
+        i, cells = i + 1, _counted(placed)
+
+
+def _pairs_within(y: np.ndarray, guest: np.ndarray, cls: np.ndarray, tile: np.ndarray, i: int, j: int, reach: float) -> np.ndarray:
+    """Pairs of tiles i and j within reach, smaller class first, if no coordinate has both as guests."""
     left, right = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
     out = []
     square = (y * y).sum(axis=1)
-    for a in range(0, len(left), 512):
-        rows = left[a : a + 512]
-        distance = square[rows][:, None] + square[right][None, :] - 2 * (y[rows] @ y[right].T)
-        r, c = np.nonzero(distance <= reach * reach)
-        p, q = rows[r], right[c]
-        swap = cls[p] > cls[q]
-        p, q = np.where(swap, q, p), np.where(swap, p, q)
-        good = (cls[p] < cls[q]) & own[p] & ((i != j) | ~swap)
-        out.append(np.stack([cls[p[good]], cls[q[good]]], axis=1))
+    for mask in np.unique(guest[left]):
+        among = right[guest[right] & mask == 0]
+        mine = left[guest[left] == mask] if len(among) else left[:0]
+        for a in range(0, len(mine), 512):
+            rows = mine[a : a + 512]
+            distance = square[rows][:, None] + square[among][None, :] - 2 * (y[rows] @ y[among].T)
+            r, c = np.nonzero(distance <= reach * reach)
+            p, q = rows[r], among[c]
+            swap = cls[p] > cls[q]
+            p, q = np.where(swap, q, p), np.where(swap, p, q)
+            good = (cls[p] < cls[q]) & ((i != j) | ~swap)
+            out.append(np.stack([cls[p[good]], cls[q[good]]], axis=1))
     return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
 
 
@@ -107,16 +160,16 @@ def _in_bucket(table: pa.Table) -> pa.Table:
     """Pairs within reach in every (cell, i, j) of a bucket."""
     table = table.sort_by([("cell", "ascending"), ("i", "ascending"), ("j", "ascending")])
     keys = [table[c].to_numpy() for c in ("cell", "i", "j")]
-    own, cls, tile, reach = (table[c].to_numpy() for c in ("own", "cls", "tile", "reach"))
+    guest, cls, tile, reach = (table[c].to_numpy() for c in ("guest", "cls", "tile", "reach"))
     bodies = table["y"].to_pylist()
     new = np.r_[True, np.logical_or.reduce([k[1:] != k[:-1] for k in keys])]
     firsts = np.flatnonzero(new)
     found = [np.zeros((0, 2), np.int64)]
     for a, b in zip(firsts, np.r_[firsts[1:], len(cls)]):
-        if b - a > 1 and own[a:b].any() and len({len(x) for x in bodies[a:b]}) == 1:
+        if b - a > 1 and len({len(x) for x in bodies[a:b]}) == 1:
             y = np.frombuffer(b"".join(bodies[a:b]), np.float32).reshape(b - a, -1).astype(float)
             i, j = int(keys[1][a]), int(keys[2][a])
-            found.append(_pairs_within(y, own[a:b], cls[a:b], tile[a:b], i, j, float(reach[a])))
+            found.append(_pairs_within(y, guest[a:b], cls[a:b], tile[a:b], i, j, float(reach[a])))
     pairs = np.concatenate(found)
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -141,26 +194,22 @@ def links(classes: DataFrame, least: float) -> DataFrame:
     """
     spark = classes.sparkSession
     ship(spark)
-    n = classes.count()
-    # Each grid dimension leaves about 0.3 of the vectors in a cell.
-    grid = min(MAX_GRID, max(1, round(math.log(max(1, n / CELL_ROWS)) / math.log(1 / 0.3))))
-
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = np.asarray(pc.list_value_length(batch.column("v")))
             for dim in np.unique(sizes).tolist():
                 part = batch.take(pa.array(np.flatnonzero(sizes == dim)))
                 vectors = topk.matrix(pa.chunked_array([part.column("v")]), dim).astype(float)
-                yield from _cells(part.column("label").to_numpy(), part.column("cls").to_numpy(), vectors, least, grid)
+                yield from _cells(part.column("label").to_numpy(), part.column("cls").to_numpy(), vectors, least)
 
     placed = stage(classes.select("label", "cls", "v").mapInArrow(cells, _CELLS))
-    crowd = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("own").alias("home")).where("home and n > 1")
-    crowd = stage(crowd.select("cell", "n", F.ceil(F.col("n") / TILE_ROWS).alias("tiles")))
+    placed, crowd = _split(placed)
+    crowd = crowd.select("cell", "n", F.ceil(F.col("n") / TILE_ROWS).alias("tiles"))
     # A row meets every tile of its cell.
     total = crowd.agg(F.sum(F.col("n") * F.col("tiles"))).head()[0] or 0
     tiles = placed.join(crowd.select("cell", "tiles"), "cell").withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")))
     dealt = tiles.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))).select(
-        "cell", "own", "cls", "y", "reach", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")
+        "cell", "guest", "cls", "y", "reach", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")
     )
     buckets = F.lit(max(1, math.ceil(total / BUCKET_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     near = dealt.groupBy(F.pmod(F.xxhash64("cell", "i", "j"), buckets).alias("bucket")).applyInArrow(_in_bucket, "a long, b long")
