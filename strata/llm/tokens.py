@@ -20,7 +20,7 @@ from pathlib import Path
 import numpy as np
 import regex
 
-CACHED = 150_000
+CACHED = 250_000
 _HELD: dict[int, "Encoder"] = {}
 
 
@@ -95,7 +95,6 @@ class Encoder:
         self.letters = byte_letters()
         self.cut, self.uncut = None, None
         self.words, self.stretches = _Table(self._word), _Table(self._stretch)
-        self.spaced = _Table(lambda word: self._stretch(" " + word))
         self._choose(config)
 
     def _choose(self, config: dict) -> None:
@@ -108,6 +107,8 @@ class Encoder:
         if normalizer is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
             self.cut, self.uncut, self.fold = self._by_spaces, _SPACED_WHOLE, False
             self.pattern = regex.compile(BYTE_LEVEL_PATTERN)
+            self.line_end = self._word("\n")
+            self.stretches = _Table(self._behind_blank)
         elif steps == ["Split", "ByteLevel"] and changes == ["NFC", "Replace", "Lowercase"]:
             split, letters = pre["pretokenizers"]
             pattern = split["pattern"].get("Regex", "")
@@ -132,30 +133,39 @@ class Encoder:
         return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _by_blanks(self, text: str) -> bytes:
-        stretches = self.stretches
-        return b"".join([stretches[x] for x in text.split()])
+        return b"".join(map(self.stretches.__getitem__, text.split()))
 
     def _by_spaces(self, text: str) -> bytes:
-        """A space goes with the word behind it, a line end stands alone."""
-        out, stretches, spaced = [], self.stretches, self.spaced
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            out += (stretches["\n"], stretches[first])
-            out += [spaced[x] for x in rest]
-        return b"".join(out[1:])
+        """A space goes with the word behind it, a line end stands alone.
+
+        Each stretch is looked up without its space, or with the line end before it; the
+        text begins as if a line end came first.
+        """
+        cut = ("\n" + text).replace("\n", " \n").split(" ")
+        del cut[0]
+        return b"".join(map(self.stretches.__getitem__, cut))[len(self.line_end) :]
+
+    def _behind_blank(self, stretch: str) -> bytes:
+        if stretch[:1] == "\n":
+            return self.line_end + self._stretch(stretch[1:])
+        if stretch.isalpha():
+            return self._word(" " + stretch)
+        if stretch[-1:] in _STOPS and stretch[:-1].isalpha():
+            return self.stretches[stretch[:-1]] + self.words[stretch[-1]]
+        return self._stretch(" " + stretch)
 
     def _stretch(self, stretch: str) -> bytes:
         if not stretch:
             return b""
+        words, as_given = self.words, stretch
         if self.fold:
             if not stretch.isascii():
                 stretch = unicodedata.normalize("NFC", stretch)
             stretch = lower_by_letter(stretch)
-        words = self.words
-        letters = stretch if self.fold or stretch[0] != " " else stretch[1:]
-        if letters.isalpha():
-            return words[stretch]
-        if letters[-1:] in _STOPS and letters[:-1].isalpha():
+        if stretch.isalpha():
+            # A word that is its own stretch is kept once.
+            return self._word(stretch) if stretch == as_given else words[stretch]
+        if stretch[-1:] in _STOPS and stretch[:-1].isalpha():
             return words[stretch[:-1]] + words[stretch[-1]]
         return b"".join([words[w] for w in self.pattern.findall(stretch)])
 
@@ -168,8 +178,8 @@ class Encoder:
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers; null as empty."""
-        for table in (self.words, self.stretches, self.spaced):
-            table.trim()
+        self.words.trim()
+        self.stretches.trim()
         out = []
         for text in texts:
             if text and self._whole(text):
