@@ -105,7 +105,7 @@ class Encoder:
         steps = [x["type"] for x in pre.get("pretokenizers", [])]
         changes = [x["type"] for x in (normalizer or {}).get("normalizers", [])]
         if normalizer is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
-            self.cut, self.uncut, self.fold = self._by_spaces, _SPACED_WHOLE, False
+            self.cut, self.uncut = self._by_spaces, _SPACED_WHOLE
             self.pattern = regex.compile(BYTE_LEVEL_PATTERN)
             self.line_end = self._word("\n")
             self.stretches = _Table(self._behind_blank)
@@ -113,7 +113,7 @@ class Encoder:
             split, letters = pre["pretokenizers"]
             pattern = split["pattern"].get("Regex", "")
             if split["behavior"] == "Removed" and split["invert"] and "[^\\s" in pattern and not letters["use_regex"]:
-                self.cut, self.uncut, self.fold = self._by_blanks, _BLANK_WHOLE, True
+                self.cut, self.uncut = self._by_blanks, _BLANK_WHOLE
                 self.pattern = regex.compile(pattern)
 
     @classmethod
@@ -133,7 +133,8 @@ class Encoder:
         return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _by_blanks(self, text: str) -> bytes:
-        return b"".join(map(self.stretches.__getitem__, text.split()))
+        folded = text.lower() if text.isascii() else lower_by_letter(unicodedata.normalize("NFC", text))
+        return b"".join(map(self.stretches.__getitem__, folded.split()))
 
     def _by_spaces(self, text: str) -> bytes:
         """A space goes with the word behind it, a line end stands alone.
@@ -157,14 +158,9 @@ class Encoder:
     def _stretch(self, stretch: str) -> bytes:
         if not stretch:
             return b""
-        words, as_given = self.words, stretch
-        if self.fold:
-            if not stretch.isascii():
-                stretch = unicodedata.normalize("NFC", stretch)
-            stretch = lower_by_letter(stretch)
+        words = self.words
         if stretch.isalpha():
-            # A word that is its own stretch is kept once.
-            return self._word(stretch) if stretch == as_given else words[stretch]
+            return self._word(stretch)
         if stretch[-1:] in _STOPS and stretch[:-1].isalpha():
             return words[stretch[:-1]] + words[stretch[-1]]
         return b"".join([words[w] for w in self.pattern.findall(stretch)])
