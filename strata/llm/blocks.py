@@ -92,12 +92,22 @@ def cut_ranges(keys: np.ndarray, bits: int, width: int = 64) -> Iterator[tuple[i
         yield int(numbers[a]), int(a), int(b)
 
 
+def quoted(name: str) -> str:
+    """A column by its name, whatever signs are in it."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def carried(columns: Sequence[str]) -> Column:
+    """Columns that an operator takes along, in one."""
+    return F.struct(*[F.col(quoted(c)) for c in columns]).alias("carried")
+
+
 def in_blocks(docs: DataFrame, n: int, carry: Sequence[str] = ()) -> DataFrame:
     """(block, doc_id, text), dealt into n blocks, and the columns `carry` in one, `carried`.
 
     Used several times in one query, its exchange is made once and read again.
     """
-    more = [F.struct(*carry).alias("carried")] if carry else []
+    more = [carried(carry)] if carry else []
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *more)
     return read.withColumn("block", block_of(n, "doc_id", "text")).repartition(n, "block")
 

@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.blocks import carried
 from strata.sources.staging import shared_folder, stage
 
 #: White space that is stripped from both ends of a line.
@@ -155,7 +156,7 @@ def without_common_lines(
     """
     if min_docs < 1 or min_chars < 1:
         raise ValueError("min_docs and min_chars are at least 1")
-    more = [F.struct(*carry).alias("carried")] if carry else []
+    more = [carried(carry)] if carry else []
     text = F.coalesce("text", F.lit(""))
     hashed = docs.select(*_hashes(text, *_TEXT), line_keys(text, min_chars).alias("keys"))
     texts = stage(hashed.groupBy(*_TEXT).agg(F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys")).sortWithinPartitions(*_TEXT))

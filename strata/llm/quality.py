@@ -16,15 +16,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import words as W
+from strata.llm.blocks import carried, quoted
 from strata.llm.ship import ship
+from strata.sources.staging import stage
 
 BITS = 16
 RANK = 8
+#: The sample to learn from: documents at most, and their features (8 bytes each) at most.
 SAMPLE = 6000
+SAMPLE_FEATURES = 4_000_000
 EPOCHS = 6
 _BANDS = 8
 _STATS = 12
 SCHEMA_SCORE = "doc_id long, score double"
+_FEATURES = "id string, y int, place long, ids binary, x binary, n long"
 
 
 @dataclass
@@ -106,8 +111,9 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 N_FEATURES = (1 << BITS) + _STATS * (1 + _BANDS)
 
 
-def fit(data: np.ndarray, offsets: np.ndarray, labels: np.ndarray, seed: int = 11) -> Model:
-    """Adaptive gradient steps on the log loss, with decay of weights and factors."""
+def fit(rows: np.ndarray, ids: np.ndarray, x: np.ndarray, labels: np.ndarray, seed: int = 11) -> Model:
+    """Adaptive gradient steps on the log loss, with decay of weights and factors, over
+    (row, feature, value) triples by ascending row."""
     rng = np.random.default_rng(seed)
     n = len(labels)
     share = float(np.mean(labels)) if n else 0.5
@@ -115,13 +121,6 @@ def fit(data: np.ndarray, offsets: np.ndarray, labels: np.ndarray, seed: int = 1
     model = Model(float(np.log(share / (1 - share))), np.zeros(N_FEATURES), rng.normal(0, 0.02, (N_FEATURES, RANK)))
     if not n or labels.min() == labels.max():
         return model
-    found = []
-    for a, b in W.parts(offsets):
-        base = int(offsets[a])
-        row, ids, x = features(data[base : int(offsets[b])], offsets[a : b + 1] - base)
-        order = np.argsort(row, kind="stable")
-        found.append((row[order] + a, ids[order], x[order]))
-    rows, ids, x = (np.concatenate(c) for c in zip(*found))
     bounds = W.row_bounds(rows, n)
     grown_w, grown_v, grown_b = np.full(N_FEATURES, 1e-6), np.full((N_FEATURES, RANK), 1e-6), 1e-6
     batch, rate, decay = 64, 0.1, 2e-5
@@ -157,30 +156,61 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on at most `sample` labelled documents outside the held-out fold.
+def _in_parts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """First and last row of parts of a column of texts, and the parts' features."""
+    data, offsets = W.utf8(column)
+    for a, b in W.parts(offsets):
+        base = int(offsets[a])
+        yield a, b, *features(data[base : int(offsets[b])], offsets[a : b + 1] - base)
+
+
+def sample_features(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """The features of at most `sample` labelled documents outside the held-out fold.
 
-    The sample is the smallest hashes of doc_id, so it is the same on every run and spread
-    over the corpus; it is the only thing that reaches the driver. Null labels, ids and
-    labels other than 0 and 1 are not learnt from. A doc_id labelled twice counts twice.
+    Chosen are the smallest hashes of doc_id, so the sample is the same on every run and
+    spread over the corpus. Of a doc_id with several rows one text is taken, that of the
+    least hash. Features are made in tasks.
     """
-    known = labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("y"))
+    known = labels.select(F.col("doc_id").cast("string").alias("id"), F.col("quality").cast("int").alias("y"))
     known = known.where("id is not null and y in (0, 1)").where(~held_out("id"))
     chosen = known.orderBy(F.xxhash64("id"), "id", "y").limit(sample)
-    texts = docs.select(F.col("doc_id").alias("id"), "text")
-    got = texts.join(F.broadcast(chosen), "id").select("text", "y", "id").toArrow().sort_by([("id", "ascending"), ("y", "ascending"), ("text", "ascending")])
-    data, offsets = W.utf8(got["text"])
-    return fit(data, offsets, np.asarray(got["y"].to_numpy(), dtype=float))
+    texts = docs.select(F.col("doc_id").cast("string").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    least = texts.join(F.broadcast(chosen.select("id").distinct()), "id").groupBy("id").agg(F.min(F.struct(F.xxhash64("text").alias("place"), "text")).alias("t"))
+    read = least.join(chosen, "id").select("id", "y", F.xxhash64("id").alias("place"), "t.text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, row, ids, x in _in_parts(batch.column("text")):
+                order = np.argsort(row, kind="stable")
+                bounds, ids, x = W.row_bounds(row[order], b - a), ids[order].astype("<i4"), x[order].astype("<f4")
+                bodies = [pa.array([v[p:q].tobytes() for p, q in zip(bounds, bounds[1:])], pa.binary()) for v in (ids, x)]
+                held = [batch.column(c).slice(a, b - a) for c in ("id", "y", "place")]
+                yield pa.RecordBatch.from_arrays([*held, *bodies, pa.array(np.diff(bounds))], ["id", "y", "place", "ids", "x", "n"])
+
+    return read.mapInArrow(run, _FEATURES)
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = SAMPLE_FEATURES) -> Model:
+    """Fit on at most `sample` labelled documents outside the held-out fold, with at most
+    `most` features in all; the sample ends before the document that would exceed them.
+
+    The features are all that reaches the driver. Null labels, ids and labels other than 0
+    and 1 are not learnt from. A doc_id labelled twice counts twice.
+    """
+    ship(docs.sparkSession)
+    found = stage(sample_features(docs, labels, sample))
+    sizes = sorted((r["place"], r["id"], r["y"], r["n"]) for r in found.select("place", "id", "y", "n").collect())
+    fits = int(np.searchsorted(np.cumsum([r[3] for r in sizes]), most, side="right"))
+    if fits < len(sizes):
+        found = found.where(F.col("place") < sizes[fits][0])
+    got = found.select("place", "id", "y", "ids", "x").toArrow().sort_by([(c, "ascending") for c in ("place", "id", "y")])
+    ids, x = (np.frombuffer(b"".join(got[c].to_pylist()), kind) for c, kind in (("ids", "<i4"), ("x", "<f4")))
+    rows = np.repeat(np.arange(len(got), dtype=np.int32), [len(v) // 4 for v in got["ids"].to_pylist()])
+    return fit(rows, ids, x, np.asarray(got["y"].to_numpy(), dtype=float))
 
 
 def _batch_scores(model: Model, column: pa.Array) -> np.ndarray:
-    data, offsets = W.utf8(column)
-    out = [np.zeros(0)]
-    for a, b in W.parts(offsets):
-        base = int(offsets[a])
-        rows, ids, x = features(data[base : int(offsets[b])], offsets[a : b + 1] - base)
-        out.append(model.score(rows, ids, x, b - a))
-    return np.concatenate(out)
+    return np.concatenate([np.zeros(0), *(model.score(rows, ids, x, b - a) for a, b, rows, ids, x in _in_parts(column))])
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
@@ -201,10 +231,10 @@ def kept(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
     """The rows of docs, all columns as they are, whose text scores at least `threshold`."""
     ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
+    rows = docs.select(carried(docs.columns), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_batch_scores(held.value, batch.column(at)) >= threshold))
+            yield batch.filter(pa.array(_batch_scores(held.value, batch.column("text")) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, rows.schema).select([F.col(f"carried.{quoted(c)}") for c in docs.columns])

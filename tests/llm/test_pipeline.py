@@ -110,3 +110,18 @@ def test_one_row_of_each_group_stays_whatever_its_doc_id(spark):
     assert sorted(stay, key=repr) == sorted(want, key=repr)
     again = corpus_pipeline.one_of_near_copies(spark, documents(spark, texts[::-1], ids[::-1]), "")
     assert sorted(((r.doc_id, r.text) for r in again.collect()), key=repr) == sorted(stay, key=repr)
+
+
+def test_columns_of_any_name_and_type_pass_as_they_are(spark, tmp_path):
+    long = " ".join(f"w{i}" for i in range(60))
+    schema = "doc_id long, text string, lang string, source string, n_chars long, __row long, row_0 long, `a.b` string, m map<string, int>, rank string"
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, 1000 + i, 7, f"x{i}", {"k": i}, "z") for i, t in enumerate([long, long, "short one", None])], schema)
+    spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs.select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.dtypes == docs.dtypes
+        for r in out.collect():
+            i = r.doc_id
+            assert (r["__row"], r["row_0"], r["a.b"], r["m"], r["rank"]) == (1000 + i, 7, f"x{i}", {"k": i}, "z")
+    assert sorted(r.doc_id for r in corpus_pipeline.one_of_near_copies(spark, docs, "").collect()) == [0, 2, 3]
