@@ -13,11 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import jaccard, packing, quality, substrings
+from strata.llm.blocks import quoted
 from strata.llm.queries import THRESHOLD, table, tokenizer
 from strata.sources.staging import shared_folder, stage
 
-#: Names a row within the n-gram stage.
-ROW = "__row"
+
+def _new_name(docs: DataFrame) -> str:
+    """A name that no column has."""
+    taken = {c.lower() for c in docs.columns}
+    return next(name for i in range(len(taken) + 1) if (name := f"row_{i}") not in taken)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,11 +41,13 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Every row is a document of its own, also where rows share a doc_id or have none. Rows
     without words all stay.
     """
-    rows = stage(docs.withColumn(ROW, F.monotonically_increasing_id()))
-    groups = jaccard.near_copies(rows.select(F.col(ROW).alias("doc_id"), "text"))
-    order = rows.select(ROW, F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64(*docs.columns).alias("hash"), ROW).alias("rank"))
-    least = groups.withColumnRenamed("doc_id", ROW).join(order, ROW).groupBy("component_id").agg(F.min("rank").alias("rank"))
-    return rows.join(least.select(f"rank.{ROW}"), ROW, "left_semi").select(docs.columns)
+    row = _new_name(docs)
+    columns = [F.col(quoted(c)) for c in docs.columns]
+    rows = stage(docs.select(*columns, F.monotonically_increasing_id().alias(row)))
+    groups = jaccard.near_copies(rows.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64(F.to_json(F.struct(*columns))).alias("hash"), row)
+    least = groups.join(rows.select(row, order.alias("rank")), row).groupBy("component_id").agg(F.min("rank").alias("rank"))
+    return rows.join(least.select(f"rank.{row}"), row, "left_semi").select(columns)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +55,10 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     left, joined by one space, with n_chars counted anew. Other texts stay as they are."""
     out = substrings.without_repeats(docs, carry=[c for c in docs.columns if c != "text"], as_it_was=True)
     changed = F.col("n_removed") > 0
-    new = {"text": F.col("kept"), "n_chars": F.when(changed, F.char_length("kept")).otherwise(F.col("carried.n_chars"))}
-    return out.select([new.get(f.name, F.col(f"carried.`{f.name}`")).cast(f.dataType).alias(f.name) for f in docs.schema])
+    new = {"text": F.col("kept")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(changed, F.char_length("kept")).otherwise(F.col("carried.n_chars"))
+    return out.select([new.get(f.name, F.col(f"carried.{quoted(f.name)}")).cast(f.dataType).alias(f.name) for f in docs.schema])
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
