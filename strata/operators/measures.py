@@ -30,12 +30,12 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def total(measure: str, cast: str = "bigint") -> Column:
-    """Sum without NULLs: 0 where a group has no value."""
-    return F.coalesce(F.sum(measure), F.lit(0)).cast(cast)
+def mean_of(value_sum: Column, value_count: Column) -> Column:
+    """Mean of integers from their sum and number, rounded half up to 2 decimals, exactly; NULL without values."""
+    mean = value_sum.cast("decimal(20,0)") / F.nullif(value_count, F.lit(0)).cast("decimal(20,0)")
+    return F.round(mean, 2).cast("decimal(5,2)")
 
 
 def average(value_sum: str, value_count: str) -> Column:
-    """Mean of integers, rounded half up to 2 decimals, exactly; NULL without values."""
-    mean = F.sum(value_sum).cast("decimal(20,0)") / F.sum(value_count).cast("decimal(20,0)")
-    return F.round(mean, 2).cast("decimal(5,2)")
+    """The mean of a group, from columns of partial sums and numbers."""
+    return mean_of(F.sum(value_sum), F.sum(value_count))

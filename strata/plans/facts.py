@@ -5,11 +5,11 @@ calendar, and the point-in-time lookups. Aggregation comes before every join, so
 customer, item or title that holds much of the events reaches the joins as one row per
 day or month.
 
-The incremental form finds the keys with changed rows, recomputes those keys from all
-their history and replaces them; keys of customers, titles and items that arrive after
-their events count as changed (`fact_late`). It gives the rows a full load would give, up
-to which surrogate key stands for a natural key. Stored events lie by month, and returns by
-their own, so that only the months of those keys are read.
+There are two incremental forms, and both give the rows a full load would give, up to which
+surrogate key stands for a natural key. One finds the keys with changed rows, recomputes
+them from all their history and replaces them (`fact_incremental`). The other, which the
+jobs use, keeps partial sums and adds signed changes to them (`fact_states`, `fact_state`),
+so that it reads no history, and an event that moves leaves the day it was on.
 """
 
 from __future__ import annotations
@@ -21,9 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import date_key, day, month_key, month_start
-from strata.operators.measures import average, long_layout, total, union_all
+from strata.operators.measures import long_layout, mean_of, union_all
 from strata.operators.timeline import at_day, interval_timeline, version_timeline
-from strata.plans.stored import RETURNS
+from strata.plans.stored import RETURNS, SIGN
 from strata.sources.extract import changed_since, timestamp
 from strata.sources.tables import MONTH
 
@@ -83,7 +83,19 @@ def _keep(df: DataFrame, keys: Sequence[str], affected: DataFrame | None) -> Dat
 # --- customer x day ---------------------------------------------------------------------
 
 
+def _signed(df: DataFrame, values: Mapping[str, Column]) -> dict[str, Column]:
+    """The measures of an event row and their number, `events`; subtracted if the row is one that was."""
+    values = {"events": F.lit(1), **values}
+    return {m: c * F.col(SIGN) for m, c in values.items()} if SIGN in df.columns else values
+
+
+def state_of(events: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
+    """Partial sums of the measures per key. Sums of two sets of events add up to those of both."""
+    return events.groupBy(*keys).agg(*[F.sum(m).cast(t).alias(m) for m, t in measures.items()])
+
+
 CUSTOMER_MEASURES = {
+    "events": "bigint",
     "streams": "bigint",
     "duration": "bigint",
     "rentals": "bigint",
@@ -102,8 +114,10 @@ def _starts_and_returns(
     them: an item can come back in any month, also in one before that of the rental.
     """
     if months is None or RETURNS not in silver or watermarks is not None:
-        both = _rows(silver, "rental", watermarks).select(
+        rentals = _rows(silver, "rental", watermarks)
+        both = rentals.select(
             key,
+            *[c for c in (SIGN,) if c in rentals.columns],
             F.expr(
                 "inline(array(struct(rental_date as at, 1 as rentals, null as returns),"
                 " struct(return_date as at, null as rentals, 1 as returns)))"
@@ -131,7 +145,7 @@ def customer_day_events(
     """
     def layout(df: DataFrame, at: str, **values: Column) -> DataFrame:
         keys = {"customer_id": F.col("customer_id"), "activity_date": day(at)}
-        return long_layout(df, keys, CUSTOMER_MEASURES, **values)
+        return long_layout(df, keys, CUSTOMER_MEASURES, **_signed(df, values))
 
     def daily(table: str, at: str, **values: Column) -> DataFrame:
         rows = _rows(silver, table, watermarks, months).filter(in_months(F.col(at), months))
@@ -167,14 +181,7 @@ def customer_day_measures(
     if affected is not None and small_affected:
         events = _keep(events, CUSTOMER_DAY, F.broadcast(affected))
         affected = None
-    measured = events.groupBy(*CUSTOMER_DAY).agg(
-        total("streams").alias("stream_count"),
-        total("duration", "int").alias("total_streaming_duration"),
-        total("rentals").alias("rental_count"),
-        total("returns").alias("returned_item_count"),
-        total("amount", "decimal(14,2)").alias("total_amount_spent"),
-        total("tickets").alias("support_ticket_count"),
-    )
+    measured = measured_of("fact_customer_daily_activity", state_of(events, CUSTOMER_DAY, CUSTOMER_MEASURES))
     return _keep(measured, CUSTOMER_DAY, affected)
 
 
@@ -217,6 +224,7 @@ def customer_day_fact(
 
 
 CONTENT_MEASURES = {
+    "events": "bigint",
     "streams": "bigint",
     "rentals": "bigint",
     "revenue": "decimal(22,2)",
@@ -226,70 +234,63 @@ CONTENT_MEASURES = {
 }
 
 
-def _rentals_by_item(
-    silver: Frames, watermarks: Watermarks | None, months: Sequence[int] | None
-) -> DataFrame:
-    """Rentals per item and month, then to content: an item rented often joins as one row a month."""
+ITEM_MONTH = ("inventory_id", "month_key")
+ITEM_MEASURES = {"events": "bigint", "rentals": "bigint", "revenue": "decimal(22,2)"}
+
+
+def rental_sums(silver: Frames, watermarks: Watermarks | None = None, months: Sequence[int] | None = None) -> DataFrame:
+    """Rentals per item and month: an item rented often meets its title as one row a month."""
+    rows = _rows(silver, "rental", watermarks, months)
+    rows = rows.filter(F.col("rental_date").isNotNull() & F.col("inventory_id").isNotNull()).filter(in_months(F.col("rental_date"), months))
     fee = F.coalesce("rental_fee", F.lit(0)) + F.coalesce("late_fee", F.lit(0))
-    per_item = (
-        _rows(silver, "rental", watermarks, months)
-        .filter(F.col("rental_date").isNotNull() & F.col("inventory_id").isNotNull())
-        .filter(in_months(F.col("rental_date"), months))
-        .groupBy("inventory_id", month_key("rental_date").alias("month_key"))
-        .agg(
-            F.count(F.lit(1)).alias("rentals"),
-            F.sum(fee).alias("revenue"),
-        )
-    )
-    items = silver["inventory_item"].select("inventory_id", "content_id")
-    return per_item.join(items, "inventory_id")
+    keys = {"inventory_id": F.col("inventory_id"), "month_key": month_key("rental_date")}
+    each = long_layout(rows, keys, ITEM_MEASURES, **_signed(rows, {"rentals": F.lit(1), "revenue": fee}))
+    return state_of(each, ITEM_MONTH, ITEM_MEASURES)
 
 
-def content_month_events(
-    silver: Frames, watermarks: Watermarks | None = None, months: Sequence[int] | None = None
-) -> DataFrame:
-    """Content events in one layout; rentals come already summed per item and month.
+def of_titles(sums: DataFrame, items: DataFrame) -> DataFrame:
+    """Sums per item and month as events of the items' titles."""
+    found = sums.join(items.select("inventory_id", "content_id"), "inventory_id")
+    keys = {"content_id": F.col("content_id"), "month_key": F.col("month_key")}
+    return long_layout(found, keys, CONTENT_MEASURES, **{m: F.col(m) for m in ITEM_MEASURES}).dropna(subset=list(CONTENT_MONTH))
+
+
+def title_events(silver: Frames, watermarks: Watermarks | None = None, months: Sequence[int] | None = None) -> DataFrame:
+    """Events that name their title, in one layout.
 
     A review without a rating counts for nothing and makes no month.
     """
-    def layout(df: DataFrame, key: Column, **values: Column) -> DataFrame:
-        keys = {"content_id": F.col("content_id"), "month_key": key}
-        return long_layout(df, keys, CONTENT_MEASURES, **values)
-
     def monthly(table: str, at: str, **values: Column) -> DataFrame:
         rows = _rows(silver, table, watermarks, months).filter(in_months(F.col(at), months))
-        return layout(rows, month_key(at), **values)
+        keys = {"content_id": F.col("content_id"), "month_key": month_key(at)}
+        return long_layout(rows, keys, CONTENT_MEASURES, **_signed(rows, values))
 
     one = F.lit(1)
     silver = {**silver, "review": silver["review"].filter("rating is not null")}
     return union_all(
         [
             monthly("streaming_session", "start_time", streams=one),
-            layout(
-                _rentals_by_item(silver, watermarks, months),
-                F.col("month_key"),
-                rentals=F.col("rentals"),
-                revenue=F.col("revenue"),
-            ),
             monthly("review", "review_date", rating_sum=F.col("rating"), rating_count=one),
             monthly("wishlist", "added_date", wishes=one),
         ]
     ).dropna(subset=list(CONTENT_MONTH))
 
 
+def content_month_events(
+    silver: Frames, watermarks: Watermarks | None = None, months: Sequence[int] | None = None
+) -> DataFrame:
+    """Content events in one layout; rentals come already summed per item and month."""
+    rented = of_titles(rental_sums(silver, watermarks, months), silver["inventory_item"])
+    return title_events(silver, watermarks, months).unionByName(rented)
+
+
 def content_month_measures(
     events: DataFrame, affected: DataFrame | None = None, small_affected: bool = False
 ) -> DataFrame:
     if affected is not None and small_affected:
         events = _keep(events, CONTENT_MONTH, F.broadcast(affected))
         affected = None
-    measured = events.groupBy(*CONTENT_MONTH).agg(
-        total("streams").alias("total_stream_count"),
-        total("rentals").alias("total_rental_count"),
-        total("revenue", "decimal(14,2)").alias("revenue_generated"),
-        average("rating_sum", "rating_count").alias("average_customer_rating"),
-        total("wishes").alias("wishlist_addition_count"),
-    )
+    measured = measured_of("fact_content_monthly_performance", state_of(events, CONTENT_MONTH, CONTENT_MEASURES))
     return _keep(measured, CONTENT_MONTH, affected)
 
 
@@ -315,14 +316,16 @@ def content_month_fact(measured: DataFrame, dims: Frames, keep_natural_key: bool
 # --- inventory x day --------------------------------------------------------------------
 
 
+INVENTORY_MEASURES = {"events": "bigint", "rentals": "bigint", "returns": "bigint"}
+
+
 def inventory_day_events(
     silver: Frames, watermarks: Watermarks | None = None, months: Sequence[int] | None = None
 ) -> DataFrame:
-    return (
-        _starts_and_returns(silver, "inventory_id", watermarks, months)
-        .select("inventory_id", day("at").alias("activity_date"), "rentals", "returns")
-        .dropna(subset=list(INVENTORY_DAY))
-    )
+    rows = _starts_and_returns(silver, "inventory_id", watermarks, months)
+    keys = {"inventory_id": F.col("inventory_id"), "activity_date": day("at")}
+    values = _signed(rows, {"rentals": F.col("rentals"), "returns": F.col("returns")})
+    return long_layout(rows, keys, INVENTORY_MEASURES, **values).dropna(subset=list(INVENTORY_DAY))
 
 
 def inventory_day_measures(
@@ -331,9 +334,7 @@ def inventory_day_measures(
     if affected is not None and small_affected:
         events = _keep(events, INVENTORY_DAY, F.broadcast(affected))
         affected = None
-    measured = events.groupBy(*INVENTORY_DAY).agg(
-        total("rentals").alias("rental_count"), total("returns").alias("return_count")
-    )
+    measured = measured_of("fact_inventory_daily_utilisation", state_of(events, INVENTORY_DAY, INVENTORY_MEASURES))
     return _keep(measured, INVENTORY_DAY, affected)
 
 
@@ -394,6 +395,67 @@ def _measure(
     return measures[name](events, affected, small_affected)
 
 
+def measured_of(name: str, state: DataFrame) -> DataFrame:
+    """A fact's measures from their partial sums, one row per key."""
+    def whole(measure: str, cast: str = "bigint") -> Column:
+        return F.coalesce(F.col(measure), F.lit(0)).cast(cast)
+
+    measures = {
+        "fact_customer_daily_activity": {
+            "stream_count": whole("streams"),
+            "total_streaming_duration": whole("duration", "int"),
+            "rental_count": whole("rentals"),
+            "returned_item_count": whole("returns"),
+            "total_amount_spent": whole("amount", "decimal(14,2)"),
+            "support_ticket_count": whole("tickets"),
+        },
+        "fact_content_monthly_performance": {
+            "total_stream_count": whole("streams"),
+            "total_rental_count": whole("rentals"),
+            "revenue_generated": whole("revenue", "decimal(14,2)"),
+            "average_customer_rating": mean_of(F.col("rating_sum"), F.col("rating_count")),
+            "wishlist_addition_count": whole("wishes"),
+        },
+        "fact_inventory_daily_utilisation": {"rental_count": whole("rentals"), "return_count": whole("returns")},
+    }
+    return state.select(*GRAIN[name][0], *[c.alias(m) for m, c in measures[name].items()])
+
+
+# Partial sums that are stored for each fact: their keys and measures. Rentals count for the
+# title of their item, so they are kept by item until they are looked up.
+STATES: dict[str, dict[str, tuple[tuple[str, ...], dict[str, str]]]] = {
+    "fact_customer_daily_activity": {"state": (CUSTOMER_DAY, CUSTOMER_MEASURES)},
+    "fact_content_monthly_performance": {"state": (CONTENT_MONTH, CONTENT_MEASURES), "items": (ITEM_MONTH, ITEM_MEASURES)},
+    "fact_inventory_daily_utilisation": {"state": (INVENTORY_DAY, INVENTORY_MEASURES)},
+}
+
+
+def fact_states(name: str, silver: Frames, settled_only: bool = True) -> dict[str, DataFrame]:
+    """The partial sums of a fact's events: of silver tables, or of their change feeds."""
+    if name == "fact_customer_daily_activity":
+        events = customer_day_events(silver, settled_only)
+    elif name == "fact_content_monthly_performance":
+        events = title_events(silver)
+    else:
+        events = inventory_day_events(silver)
+    found = {"state": state_of(events, *STATES[name]["state"])}
+    return found | ({"items": rental_sums(silver)} if "items" in STATES[name] else {})
+
+
+def fact_state(name: str, states: Frames, items: DataFrame | None = None) -> DataFrame:
+    """The partial sums at the grain of the fact; keys without any events left are none."""
+    keys, measures = STATES[name]["state"]
+    found = states["state"].select(*keys, *measures)
+    if "items" in states:
+        rented = of_titles(states["items"].filter("events > 0"), items)
+        found = state_of(found.unionByName(rented), keys, measures)
+    return found.filter("events > 0")
+
+
+def fact_of_state(name: str, state: DataFrame, silver: Frames, dims: Frames) -> DataFrame:
+    return _finish(name, measured_of(name, state), silver, dims)
+
+
 def _finish(
     name: str, measured: DataFrame, silver: Frames, dims: Frames, keep_natural_key: bool = False
 ) -> DataFrame:
@@ -428,10 +490,10 @@ def fact_affected(name: str, silver: Frames, watermarks: Watermarks | None, dims
     """Grain keys inside the calendar that hold rows changed since their table's watermark,
     or, without watermarks, any rows."""
     keys = GRAIN[name][0]
-    return _in_calendar(fact_events(name, silver, watermarks=watermarks).select(*keys).distinct(), dims)
+    return calendar_only(fact_events(name, silver, watermarks=watermarks).select(*keys).distinct(), dims)
 
 
-def _in_calendar(found: DataFrame, dims: Frames) -> DataFrame:
+def calendar_only(found: DataFrame, dims: Frames) -> DataFrame:
     if "month_key" in found.columns:
         return found.join(dims["dim_month"].select("month_key"), "month_key", "left_semi").select(*found.columns)
     days = dims["dim_date"].select(F.col("full_date").alias("activity_date"))
@@ -451,24 +513,7 @@ def placed_items(silver: Frames, loaded: str | datetime) -> DataFrame:
     return items.select("inventory_id", "content_id").dropna()
 
 
-def fact_late(
-    name: str, silver: Frames, dims: Frames, new: DataFrame, months: Sequence[int] | None = None
-) -> DataFrame:
-    """Grain keys of events that were there before their customer, title or item, the natural
-    keys `new`; `months` are those in which such events lie, if known."""
-    keys = GRAIN[name][0]
-    found = fact_events(name, silver, months=months).select(*keys).join(new, keys[0], "left_semi")
-    return _in_calendar(found.distinct(), dims)
-
-
-def late_rentals(silver: Frames, dims: Frames, items: DataFrame, months: Sequence[int] | None = None) -> DataFrame:
-    """Title months of rentals that were there before `items`, which say whose title it is."""
-    rented = _rows(silver, "rental", None, months).filter("rental_date is not null").join(items, "inventory_id")
-    found = rented.select("content_id", month_key("rental_date").alias("month_key"))
-    return _in_calendar(found.distinct(), dims)
-
-
-def _of_affected(name: str, silver: Frames, dims: Frames, affected: DataFrame, small: bool) -> tuple[Frames, Frames]:
+def of_affected(name: str, silver: Frames, dims: Frames, affected: DataFrame, small: bool) -> tuple[Frames, Frames]:
     """Silver tables and dimensions with only those versions and subscriptions that the
     affected keys look up, so that no timeline is built for other keys."""
     natural, dim = GRAIN[name][0][0], GRAIN[name][1]
@@ -495,7 +540,7 @@ def fact_recomputed(
     """
     events = fact_events(name, silver, settled_only, months=months)
     measured = _measure(name, events, affected, small_affected)
-    return _finish(name, measured, *_of_affected(name, silver, dims, affected, small_affected))
+    return _finish(name, measured, *of_affected(name, silver, dims, affected, small_affected))
 
 
 def fact_without(name: str, fact: DataFrame, affected: DataFrame, dims: Frames) -> DataFrame:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -26,17 +27,18 @@ from strata.plans.dimensions import DRIVING_TABLE, dimension_full, dimension_inc
 from strata.plans.facts import (
     FACT_SOURCES,
     GRAIN,
-    fact_affected,
-    fact_full,
-    fact_late,
-    fact_recomputed,
+    STATES,
+    calendar_only,
+    fact_of_state,
+    fact_state,
+    fact_states,
     fact_without,
-    late_rentals,
     new_natural_keys,
+    of_affected,
     placed_items,
 )
 from strata.plans.silver import silver_full
-from strata.plans.stored import RETURNS, merge_silver, publish_silver
+from strata.plans.stored import RETURNS, changes_between, merge_silver, publish_silver
 from strata.functions import month_key
 from strata.sources.directory import months_by
 from strata.sources.extract import (
@@ -50,6 +52,7 @@ from strata.sources.extract import (
     window_extract,
     with_lineage,
 )
+from strata.sources.staging import stage
 from strata.sources.tables import MONTH, RUN, Lake, observed
 from strata.sources.watermarks import (
     CONTROL,
@@ -74,7 +77,8 @@ DIMENSION_WAVES = (
 @dataclass(frozen=True)
 class Settings:
     source_system: str
-    #: count only completed payments, or payments without a status; else all payments
+    #: count only completed payments, or payments without a status; else all payments. The
+    #: partial sums are of one kind: after a change, load the facts in full
     settled_only: bool = True
     #: a new address makes a new customer version
     include_child_changes: bool = False
@@ -168,10 +172,7 @@ def bronze_incremental_load(lake: Lake, source: Source, run_ts: str, settings: S
         if changes is not None:
             delta = delta.unionByName(changes)
         delta, newest = _newest_of(with_lineage(delta, run_ts, settings.source_system))
-        if lake.exists(name):
-            lake.replace_parts(delta.withColumn(RUN, F.lit(run).cast("bigint")), name, RUN, [run])
-        else:
-            lake.publish(delta, name, RUN, F.lit(run).cast("bigint"))
+        lake.put_part(delta, name, RUN, run)
         return {name: Mark(max(mark.at, newest()), run)}
 
     _each(lake, settings.tables, load, settings)
@@ -223,11 +224,17 @@ def silver_full_load(lake: Lake, settings: Settings) -> None:
 
     def load(table: str) -> Marks:
         publish_silver(lake, table, silver_full(table, lake.read(f"bronze.{table}")))
-        return {f"silver.{table}": stored.get(f"bronze.{table}", Mark())}
+        newest = stored.get(f"bronze.{table}", Mark())
+        return {f"silver.{table}": newest, _whole(table): newest}
 
     _each(lake, settings.tables, load, settings)
 
 
+def _whole(table: str) -> str:
+    """Control name of the load at which a silver table was last made whole."""
+    return f"silver.{table}<whole"
+
+
 def bronze_since(lake: Lake, table: str, mark: Mark) -> DataFrame:
     """The changed rows of the bronze loads after a mark; other loads' files are not opened."""
     unseen = lake.stored(f"bronze.{table}").filter(F.col(RUN) > mark.load).drop(RUN)
@@ -240,8 +247,9 @@ def silver_incremental_load(lake: Lake, settings: Settings) -> None:
 
     def load(table: str) -> Marks:
         mark = stored.get(f"silver.{table}", Mark())
-        merge_silver(lake, table, silver_full(table, bronze_since(lake, table, mark)))
-        return {f"silver.{table}": stored.get(f"bronze.{table}", mark)}
+        newest = stored.get(f"bronze.{table}", mark)
+        merge_silver(lake, table, silver_full(table, bronze_since(lake, table, mark)), mark.load, newest.load)
+        return {f"silver.{table}": newest}
 
     _each(lake, settings.tables, load, settings)
 
@@ -304,14 +312,9 @@ def gold_full_load(lake: Lake, run_ts: str, settings: Settings) -> None:
         lake.publish(dimension_full(name, silver, _dims(lake), run_ts), f"gold.{name}")
         return _seen(stored, name, _drivers(name, settings)) | _loaded(name, run_ts)
 
-    def fact(name: str) -> Marks:
-        rows = fact_full(name, silver, _dims(lake), settings.settled_only)
-        lake.publish(rows, f"gold.{name}", MONTH, _fact_month(name))
-        return _seen(stored, name, FACT_SOURCES[name]) | _loaded(name, run_ts)
-
     for wave in DIMENSION_WAVES:
         _each(lake, _chosen(wave, settings), dimension, settings)
-    _each(lake, _chosen(FACT_SOURCES, settings), fact, settings)
+    _each(lake, _chosen(FACT_SOURCES, settings), lambda name: _build_fact(lake, name, silver, stored, run_ts, settings), settings)
 
 
 def gold_incremental_load(lake: Lake, run_ts: str, settings: Settings) -> None:
@@ -330,77 +333,164 @@ def gold_incremental_load(lake: Lake, run_ts: str, settings: Settings) -> None:
             lake.publish(merged, f"gold.{name}")
         return _seen(stored, name, drivers) | _loaded(name, run_ts)
 
-    def fact(name: str) -> Marks:
+    def log(name: str) -> Marks:
+        """A fact whose sources were made whole since is built anew."""
         seen = {t: stored.get(_mark(name, t), Mark()) for t in FACT_SOURCES[name]}
-        changed = {t: silver_full(t, bronze_since(lake, t, mark)) for t, mark in seen.items()}
-        _refresh_fact(lake, name, silver, changed, stored.get(f"gold.{name}", Mark()).at, settings)
-        return _seen(stored, name, FACT_SOURCES[name]) | _loaded(name, run_ts)
+        if _logged(name) in stored and all(stored.get(_whole(t), Mark()).load <= seen[t].load for t in seen):
+            return _log_changes(lake, name, stored, settings)
+        return _build_fact(lake, name, silver, stored, run_ts, settings)
 
     for wave in DIMENSION_WAVES:
         _each(lake, _chosen(wave, settings), dimension, settings)
-    _each(lake, _chosen(FACT_SOURCES, settings), fact, settings)
+    facts = _chosen(FACT_SOURCES, settings)
+    _each(lake, facts, log, settings)
+    marks = stored_marks(lake)
+    _each(lake, facts, lambda name: _refresh_fact(lake, name, silver, marks, run_ts, settings), settings)
+
+
+# A fact is kept with the partial sums of its events, by month. A load first logs the signed
+# sums of the change feeds that it has not seen, in a partition of its own number, and moves
+# the marks of the feeds; then it adds the logged sums to the stored ones. A stored row says
+# up to which number it has them, so that adding again after a failure changes nothing.
+
+UPTO = "upto"
+
+
+def _sums(fact: str, part: str) -> str:
+    return f"gold.{fact}__{part}"
+
+
+def _log_table(fact: str, part: str) -> str:
+    return f"gold.{fact}__{part}_log"
+
+
+def _logged(fact: str) -> str:
+    """Control name of the number of the last logged changes of a fact."""
+    return f"gold.{fact}<log"
+
+
+def _key_month(fact: str, part: str) -> Column:
+    bucket = STATES[fact][part][0][1]
+    return F.col(bucket) if bucket == "month_key" else month_key(bucket)
+
+
+def _build_fact(
+    lake: Lake, name: str, silver: dict[str, DataFrame], stored: Marks, run_ts: str, settings: Settings
+) -> Marks:
+    """The partial sums from all events, and the fact from them."""
+    number = stored.get(_logged(name), Mark()).load + 1
+    upto = F.lit(number).cast("bigint")
+    held = {}
+    for part, sums in fact_states(name, silver, settings.settled_only).items():
+        lake.publish(sums.withColumn(UPTO, upto), _sums(name, part), MONTH, _key_month(name, part))
+        held[part] = lake.read(_sums(name, part))
+        lake.drop(_log_table(name, part))
+    rows = fact_of_state(name, fact_state(name, held, silver.get("inventory_item")), silver, _dims(lake))
+    lake.publish(rows, f"gold.{name}", MONTH, _fact_month(name))
+    done = Mark(datetime.fromisoformat(run_ts), number)
+    return _seen(stored, name, FACT_SOURCES[name]) | {f"gold.{name}": done, _logged(name): done}
+
+
+def _log_changes(lake: Lake, name: str, stored: Marks, settings: Settings) -> Marks:
+    """Log the signed sums of what the feeds have that the fact has not seen."""
+    number = stored.get(_logged(name), Mark()).load + 1
+    feeds = {
+        t: changes_between(lake, t, stored[_mark(name, t)].load, stored.get(f"silver.{t}", Mark()).load)
+        for t in FACT_SOURCES[name]
+    }
+    for part, sums in fact_states(name, feeds, settings.settled_only).items():
+        lake.put_part(sums, _log_table(name, part), RUN, number)
+    return _seen(stored, name, FACT_SOURCES[name]) | {_logged(name): Mark(NEVER, number)}
+
+
+def _add_log(lake: Lake, name: str, part: str, applied: int, number: int) -> DataFrame:
+    """Add the logged sums after `applied` to the stored ones; the keys that they are of."""
+    keys, measures = STATES[name][part]
+    if not lake.exists(_log_table(name, part)):
+        return lake.read(_sums(name, part)).select(*keys).limit(0)
+    pending = lake.stored(_log_table(name, part)).filter(F.col(RUN) > applied)
+    months = [r[0] for r in pending.select(_key_month(name, part)).distinct().collect()]
+    if months:
+        held = lake.stored(_sums(name, part)).filter(F.col(MONTH).isin(months))
+        known = held.select(*keys, UPTO)
+        new = pending.join(known, list(keys), "left").filter(F.col(RUN) > F.coalesce(UPTO, F.lit(applied)))
+        new = new.select(*keys, *measures, F.lit(number).cast("bigint").alias(UPTO), _key_month(name, part).alias(MONTH))
+        every = held.unionByName(new).groupBy(*keys, MONTH)
+        added = every.agg(*[F.sum(m).cast(t).alias(m) for m, t in measures.items()], F.max(UPTO).alias(UPTO))
+        lake.replace_parts(added, _sums(name, part), MONTH, months)
+    return pending.select(*keys).distinct()
+
+
+def _stored_sums(lake: Lake, name: str, part: str, months: Iterable[int] | None = None) -> DataFrame:
+    sums = lake.stored(_sums(name, part))
+    return sums if months is None else sums.filter(F.col(MONTH).isin(sorted(months)))
 
 
 def _late_keys(
-    lake: Lake, name: str, silver: dict[str, DataFrame], dims: dict[str, DataFrame], loaded: datetime
+    lake: Lake, name: str, silver: dict[str, DataFrame], dims: dict[str, DataFrame], loaded: datetime, held: ExitStack
 ) -> list[DataFrame]:
     """Keys of events that were there before their customer, title or item.
 
-    Without new ones no event table is opened; else only the months that the directories
-    list for them.
+    They are looked for among the stored sums, in the months that the directories list for
+    the new ones; without new ones nothing is opened. What is persisted is let go with `held`.
     """
-    natural = GRAIN[name][0][0]
-    titles = name == "fact_content_monthly_performance"
-    new = new_natural_keys(name, dims, loaded).persist()
+    def kept(df: DataFrame) -> DataFrame:
+        held.callback(df.persist().unpersist)
+        return df
+
+    natural, bucket = GRAIN[name][0]
     found = []
 
     def months(table: str, column: str, keys: DataFrame) -> set[int]:
         return set(months_by(lake, f"silver.{table}", column, keys))
 
+    new = kept(new_natural_keys(name, dims, loaded))
+    tables = [*FACT_SOURCES[name], *([RETURNS] if "rental" in FACT_SOURCES[name] else [])]
     if not new.isEmpty():
-        tables = [*FACT_SOURCES[name], *([RETURNS] if "rental" in FACT_SOURCES[name] else [])]
         listed = set().union(*(months(t, natural, new) for t in tables if natural in LOOKED_UP_BY[t]))
-        if titles:
-            listed |= months("rental", "inventory_id", silver["inventory_item"].join(new, natural, "left_semi"))
-        found.append(fact_late(name, silver, dims, new, sorted(listed)))
-    if titles:
-        items = placed_items(silver, loaded).persist()
+        found.append(_stored_sums(lake, name, "state", listed).join(new, natural, "left_semi").select(natural, bucket))
+    if "items" in STATES[name]:
+        of_new = silver["inventory_item"].join(new, natural, "left_semi").select("inventory_id", "content_id")
+        items = kept(placed_items(silver, loaded).unionByName(of_new).distinct())
         if not items.isEmpty():
-            found.append(late_rentals(silver, dims, items, sorted(months("rental", "inventory_id", items))))
+            rented = _stored_sums(lake, name, "items", months("rental", "inventory_id", items)).join(items, "inventory_id")
+            found.append(rented.select(natural, bucket))
     return found
 
 
 def _refresh_fact(
-    lake: Lake,
-    name: str,
-    silver: dict[str, DataFrame],
-    changed: dict[str, DataFrame],
-    loaded: datetime,
-    settings: Settings,
-) -> None:
-    """Recompute the keys of the changed rows, rewriting their months only.
+    lake: Lake, name: str, silver: dict[str, DataFrame], marks: Marks, run_ts: str, settings: Settings
+) -> Marks:
+    """Add the logged changes to the stored sums and make the rows of their keys anew.
 
-    `changed` are the batches that silver merged, cleaned again from the bronze loads that
-    hold them, so silver is not scanned for them. The month numbers and the number of keys
-    come to the driver, not the keys.
+    No event is read but those of the change feeds, whose sums were logged. Only the months
+    of the changed keys are rewritten; their numbers and the number of keys come to the driver.
     """
+    mark, number = marks[f"gold.{name}"], marks[_logged(name)].load
     dims = _dims(lake)
-    affected = fact_affected(name, silver | changed, None, dims)
-    for late in _late_keys(lake, name, silver, dims, loaded) if settings.late_keys else []:
-        affected = affected.unionByName(late)
-    affected = affected.distinct().persist()
-    key = GRAIN[name][0][1]
-    month = F.col(key) if key == "month_key" else month_key(key)
+    changed = {part: _add_log(lake, name, part, mark.load, number) for part in STATES[name]}
+    keys = list(GRAIN[name][0])
+    affected = changed["state"].select(keys)
+    if "items" in changed:
+        titles = silver["inventory_item"].select("inventory_id", "content_id").dropna()
+        affected = affected.unionByName(changed["items"].join(titles, "inventory_id").select(keys))
+    with ExitStack() as held_back:
+        for late in _late_keys(lake, name, silver, dims, mark.at, held_back) if settings.late_keys else []:
+            affected = affected.unionByName(late.select(keys))
+        affected = stage(calendar_only(affected.distinct(), dims))
+    month = F.col(keys[1]) if keys[1] == "month_key" else month_key(keys[1])
     found = affected.groupBy(month.alias("m")).count().collect()
     if found:
         months = [r["m"] for r in found]
         small = sum(r["count"] for r in found) <= settings.broadcast_keys
-        stored = f"gold.{name}"
-        held = lake.stored(stored).filter(F.col(MONTH).isin(months)).drop(MONTH)
-        new = fact_recomputed(name, silver, dims, affected, settings.settled_only, months, small)
+        wanted = F.broadcast(affected) if small else affected
+        held = lake.stored(f"gold.{name}").filter(F.col(MONTH).isin(months)).drop(MONTH)
+        sums = {part: _stored_sums(lake, name, part, months) for part in STATES[name]}
+        state = fact_state(name, sums, silver.get("inventory_item")).join(wanted, keys, "left_semi")
+        new = fact_of_state(name, state, *of_affected(name, silver, dims, affected, small))
         rows = fact_without(name, held, affected, dims).unionByName(new.select(*held.columns))
-        lake.replace_parts(rows.withColumn(MONTH, _fact_month(name)), stored, MONTH, months)
-    affected.unpersist()
+        lake.replace_parts(rows.withColumn(MONTH, _fact_month(name)), f"gold.{name}", MONTH, months)
+    return {f"gold.{name}": Mark(datetime.fromisoformat(run_ts), number)}
 
 
 # --- whole loads ------------------------------------------------------------------------
@@ -454,16 +544,10 @@ def backfill(
         return silver_full(table, bronze.drop(RUN))
 
     def merge(table: str) -> Marks:
-        merge_silver(lake, table, batch(table))
-        return {}
-
-    def fact(name: str) -> Marks:
-        silver = _silver(lake, settings)
-        changed = {t: batch(t) for t in FACT_SOURCES[name]}
-        _refresh_fact(lake, name, silver, changed, marks.get(f"gold.{name}", Mark()).at, settings)
+        loads = [marks.get(f"{layer}.{table}", Mark()).load for layer in ("silver", "bronze")]
+        merge_silver(lake, table, batch(table), loads[0], loads[1] + 1)
         return {}
 
     _each(lake, settings.tables, merge, settings)
     silver_incremental_load(lake, settings)
     gold_incremental_load(lake, run_ts, settings)
-    _each(lake, _chosen(FACT_SOURCES, settings), fact, settings)

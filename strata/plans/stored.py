@@ -3,6 +3,10 @@
 Event tables lie by the month of the event, with directories of their keys. Rentals are
 stored twice: by the month of the rental, and a row per return by the month of the return,
 which need not be a later one. Both are written from the same batch.
+
+What a merge changes goes to the table's change feed before it: each row of the batch with
+sign 1, and the row it replaces, if there is one, with sign -1, in a partition of the bronze
+load that brought it. Whoever keeps sums of the events adds a feed's signed rows to them.
 """
 
 from __future__ import annotations
@@ -13,12 +17,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.clean import latest_per_key
 from strata.operators.upsert import upsert
 from strata.sources.directory import keys_table, list_rows, months_of_keys, publish_directories
-from strata.sources.tables import MONTH, Lake, month_of
+from strata.sources.tables import MONTH, RUN, Lake, month_of
 from strata.specs import EVENT_TIMES, LOOKED_UP_BY, TABLES
 
 RETURNS = "rental_return"
+SIGN = "_sign"
 
 
 def returns_of(rentals: DataFrame) -> DataFrame:
@@ -48,12 +54,14 @@ class Layout:
         lake.publish(self.rows(rows), self.table, MONTH, month_of(self.at))
         publish_directories(lake, self.table, self.keys, self.columns)
 
-    def merge(self, lake: Lake, batch: DataFrame) -> None:
+    def merge(self, lake: Lake, batch: DataFrame, since: int, load: int) -> None:
         """Upsert the batch; a row that has no place in this layout any more goes from it."""
         if not lake.exists(keys_table(self.table)):  # written by other means
             publish_directories(lake, self.table, self.keys, self.columns)
         rows = self.rows(batch).withColumn(MONTH, month_of(self.at))
         held = months_of_keys(lake, self.table, batch, self.keys)
+        if self.name in TABLES:
+            _feed(lake, self.name, batch, held, since, load)
         list_rows(lake, self.table, rows, self.keys, self.columns)
         lake.merge(rows, self.table, self.keys, held, gone=batch)
 
@@ -63,8 +71,43 @@ def layouts(table: str) -> list[Layout]:
     return own + ([Layout(RETURNS, TABLES[table].keys, "return_date", returns_of)] if table == "rental" else [])
 
 
+def feed_table(table: str) -> str:
+    return f"silver.{table}__changes"
+
+
+def _no_changes(lake: Lake, table: str) -> DataFrame:
+    return lake.read(f"silver.{table}").limit(0).withColumns({SIGN: F.lit(1), RUN: F.lit(0).cast("bigint")})
+
+
+def changes_between(lake: Lake, table: str, after: int, upto: int) -> DataFrame:
+    """The signed rows of the loads after one number up to another."""
+    feed = lake.stored(feed_table(table)) if lake.exists(feed_table(table)) else _no_changes(lake, table)
+    return feed.filter((F.col(RUN) > after) & (F.col(RUN) <= upto)).drop(RUN)
+
+
+def _feed(lake: Lake, table: str, batch: DataFrame, held: Sequence[int], since: int, load: int) -> None:
+    """Write what a batch is about to change to the feed, as the load of that number.
+
+    Loads after `since`, the last that silver has taken in, are there if a merge failed after
+    its feed was written, or was made in two batches. The table may then have rows as they
+    are now, and the feed knows what they were before. All go into the one load.
+    """
+    keys = list(TABLES[table].keys)
+    if not lake.exists(feed_table(table)):
+        lake.publish(_no_changes(lake, table), feed_table(table), RUN, F.col(RUN))
+    open_loads = lake.stored(feed_table(table)).filter(F.col(RUN) > since)
+    runs = [r[0] for r in open_loads.select(RUN).distinct().collect()]
+    feed = latest_per_key(open_loads, [*keys, SIGN], [F.col(RUN).desc()]).drop(RUN)
+    stored = lake.stored(f"silver.{table}").filter(F.col(MONTH).isin(list(held))).drop(MONTH)
+    before = stored.join(batch.select(*keys), keys, "left_semi").join(feed.select(*keys).distinct(), keys, "left_anti")
+    before = before.withColumn(SIGN, F.lit(-1)).unionByName(feed.filter(F.col(SIGN) < 0))
+    now = upsert(feed.filter(F.col(SIGN) > 0), batch.withColumn(SIGN, F.lit(1)), keys)
+    signed = before.unionByName(now.select(before.columns)).withColumn(RUN, F.lit(load).cast("bigint"))
+    lake.replace_parts(signed, feed_table(table), RUN, [*runs, load])
+
+
 def publish_silver(lake: Lake, table: str, rows: DataFrame) -> None:
-    """Replace a silver table whole."""
+    """Replace a silver table whole. Its feed starts empty: sums of the events start over too."""
     name = f"silver.{table}"
     if not TABLES[table].events:
         lake.publish(rows, name)
@@ -73,14 +116,13 @@ def publish_silver(lake: Lake, table: str, rows: DataFrame) -> None:
     first.publish(lake, rows)
     for layout in others:
         layout.publish(lake, lake.read(name))
+    lake.drop(feed_table(table))
 
 
-def merge_silver(lake: Lake, table: str, batch: DataFrame) -> None:
-    """Upsert a batch of cleaned rows, one per key. An empty batch leaves everything alone.
-
-    The second layout comes first: a batch that is repeated after a failure in between finds
-    the first one unchanged and does both again.
-    """
+def merge_silver(lake: Lake, table: str, batch: DataFrame, since: int, load: int) -> None:
+    """Upsert a batch of cleaned rows, one per key, of the bronze loads after `since`, up to
+    which silver is complete, and up to `load`. An empty batch leaves everything alone.
+    Doing it again after a failure, also with more rows, ends the same."""
     name = f"silver.{table}"
     if not lake.exists(name):
         publish_silver(lake, table, batch)
@@ -88,10 +130,11 @@ def merge_silver(lake: Lake, table: str, batch: DataFrame) -> None:
     batch = batch.persist()
     if not batch.isEmpty():
         if TABLES[table].events:
-            for layout in reversed(layouts(table)):
+            for layout in layouts(table):
                 if not lake.exists(layout.table):
                     layout.publish(lake, lake.read(name))
-                layout.merge(lake, batch)
+            for layout in layouts(table):
+                layout.merge(lake, batch, since, load)
         else:
             lake.publish(upsert(lake.read(name), batch, TABLES[table].keys), name)
     batch.unpersist()

@@ -15,6 +15,7 @@ def local_session(cores: int = 8, name: str = "strata", **conf: str) -> SparkSes
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.ui.retainedExecutions", "50")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():

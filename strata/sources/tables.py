@@ -97,6 +97,19 @@ class Lake:
             if version != live and int(version[1:].partition("_")[0]) < oldest:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.prefix}{layer}.{row['tableName']}")
 
+    def drop(self, table: str) -> None:
+        """Take a table away, if it is there; readers go on as with `publish`."""
+        if self.exists(table):
+            self.spark.sql(f"DROP VIEW {self.name(table)}")
+            self._drop_old(table, "")
+
+    def put_part(self, df: DataFrame, table: str, part: str, value: int) -> None:
+        """Make `df` the content of one numbered partition; the first one makes the table."""
+        if self.exists(table):
+            self.replace_parts(df.withColumn(part, F.lit(value).cast("bigint")), table, part, [value])
+        else:
+            self.publish(df, table, part, F.lit(value).cast("bigint"))
+
     def replace_parts(self, df: DataFrame, table: str, part: str, values: Sequence[object]) -> None:
         """Make `df` the content of the given partitions; it may read them and lies inside them.
 

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.plans.silver import silver_full
 from strata.plans.stored import merge_silver
 from strata.sources.tables import MONTH, Lake, month_of
+from strata.sources.watermarks import CONTROL, Mark, advanced, control_table, stored_marks
 from strata.specs import TABLES
 
 
@@ -63,6 +64,12 @@ def silver_upsert(lake: Lake, table: str) -> Callable[[DataFrame, int], None]:
                 .filter(F.col("_known").isNull() | (F.col("updated_at") >= F.col("_known")))
                 .drop("_known")
             )
-        merge_silver(lake, table, rows)
+        # A batch is a load of its own: the facts take in its changes like those of a job.
+        marks = stored_marks(lake)
+        names = [f"bronze.{table}", name]
+        load = 1 + max(marks.get(n, Mark()).load for n in names)
+        merge_silver(lake, table, rows, marks.get(name, Mark()).load, load)
+        moved = {n: Mark(marks.get(n, Mark()).at, load) for n in names}
+        lake.publish(advanced(control_table(lake.spark, lake), moved), CONTROL)
 
     return apply

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from contextlib import ExitStack
 from datetime import datetime
 
 import pytest
@@ -88,8 +89,8 @@ def test_a_withdrawn_return_leaves_its_layout(spark):
     lake = Lake(spark, "withdrawn_")
     stamped = "load_timestamp", "source_system"
     get = lambda given: table(spark, "rental", given).withColumns({c: F.lit(None).cast("timestamp_ntz" if c == stamped[0] else "string") for c in stamped})
-    merge_silver(lake, "rental", get(FIRST))
-    merge_silver(lake, "rental", get([rental(3, 2, day(5), None, day(7)), rental(1, 1, day(5), day(11), day(7))]))
+    merge_silver(lake, "rental", get(FIRST), -1, 0)
+    merge_silver(lake, "rental", get([rental(3, 2, day(5), None, day(7)), rental(1, 1, day(5), day(11), day(7))]), 0, 1)
     found = {r["rental_id"]: r[MONTH] for r in lake.stored("silver.rental_return").collect()}
     assert found == {1: 202411, 2: 202405, 5: 202407, 6: 202404}
 
@@ -187,19 +188,19 @@ def test_merges_read_listed_months_only(spark, monkeypatch):
     lake = Lake(spark, "listed_")
     given = [wish(i, i % 7, day(1), day(i % 9 + 1)) for i in range(200)]
     stamps = {"load_timestamp": F.lit(None).cast("timestamp_ntz"), "source_system": F.lit("x")}
-    merge_silver(lake, "wishlist", table(spark, "wishlist", given).withColumns(stamps))
+    merge_silver(lake, "wishlist", table(spark, "wishlist", given).withColumns(stamps), -1, 0)
     read = []
-    monkeypatch.setattr(Lake, "replace_parts", lambda self, df, t, part, values, real=Lake.replace_parts: (read.append((t, sorted(values))), real(self, df, t, part, values))[1])
+    monkeypatch.setattr(Lake, "replace_parts", lambda self, df, t, part, values, real=Lake.replace_parts: (t.endswith("__changes") or read.append((t, sorted(values))), real(self, df, t, part, values))[1])
     moved = [wish(4, 99, day(2), day(12)), wish(1000, 3, day(2), day(3))]  # wish 4 lay in May
-    merge_silver(lake, "wishlist", table(spark, "wishlist", moved).withColumns(stamps))
+    merge_silver(lake, "wishlist", table(spark, "wishlist", moved).withColumns(stamps), 0, 1)
     assert ("silver.wishlist", [202403, 202405, 202412]) in read
     assert lake.read("silver.wishlist").count() == 201
     assert lake.read("silver.wishlist").filter("wishlist_id = 4").first()["content_id"] == 99
     read.clear()
-    merge_silver(lake, "wishlist", table(spark, "wishlist", [wish(5, 5, day(3), day(6))]).withColumns(stamps))
+    merge_silver(lake, "wishlist", table(spark, "wishlist", [wish(5, 5, day(3), day(6))]).withColumns(stamps), 1, 2)
     assert read == [("silver.wishlist", [202406])]  # known key, known month: the directories stay
     read.clear()
-    merge_silver(lake, "wishlist", table(spark, "wishlist", []).withColumns(stamps))
+    merge_silver(lake, "wishlist", table(spark, "wishlist", []).withColumns(stamps), 2, 3)
     assert read == []
     rows_of = lake.stored("silver.wishlist")
     for directory, entry, of in ((keys_table, ["wishlist_id", AT], ["wishlist_id", MONTH]), (lambda t: by_table(t, "content_id"), ["content_id", MONTH], ["content_id", MONTH])):
@@ -211,12 +212,65 @@ def test_late_keys_open_listed_months_or_nothing(spark, small):
     lake = Lake(spark, "late_")
     source = lambda t: table(spark, t, FIRST if t == "rental" else small[t])
     jobs.full_load(lake, source, "2024-09-01 00:00:00", SMALL)
-    silver, dims = jobs._silver(lake, SMALL), jobs._dims(lake)
-    assert jobs._late_keys(lake, FACT, silver, dims, datetime(2024, 9, 1)) == []
+    silver, dims, held = jobs._silver(lake, SMALL), jobs._dims(lake), ExitStack()
+    assert jobs._late_keys(lake, FACT, silver, dims, datetime(2024, 9, 1), held) == []
     new = {**dims, "dim_inventory": dims["dim_inventory"].filter("inventory_id = 1")}
-    (late,) = jobs._late_keys(lake, FACT, silver, new, datetime(2024, 8, 31))
-    assert opened_months(late) == [{"202403", "202405"}] * 2  # rentals, and returns
+    (late,) = jobs._late_keys(lake, FACT, silver, new, datetime(2024, 8, 31), held)
+    assert opened_months(late) == [{"202403", "202405"}]
     assert sorted(str(r["activity_date"]) for r in late.collect()) == ["2024-03-10", "2024-05-10", "2024-05-20"]
+    held.close()
+
+
+# --- change feeds and partial sums ------------------------------------------------------
+
+
+def changes(lake):
+    return sorted((r[RUN], r["rental_id"], r["inventory_id"], r["_sign"]) for r in lake.stored("silver.rental__changes").collect())
+
+
+def test_moved_events_correct_themselves_and_no_history_is_read(spark, small, monkeypatch):
+    steps, whole = Lake(spark, "moved_"), Lake(spark, "unmoved_")
+    moves = [rental(2, 5, day(6), day(5, 20), day(9)), rental(3, 2, day(5), None, day(9)), rental(5, 4, None, None, day(9)), rental(9, 7, day(1), day(1), day(9))]
+    newest = list({r["rental_id"]: r for r in FIRST + moves}.values())
+    source = lambda rentals: lambda t: table(spark, t, rentals if t == "rental" else small[t])
+    jobs.full_load(steps, source(FIRST), "2024-09-01 00:00:00", SMALL)
+    jobs.bronze_incremental_load(steps, source(newest), "2024-09-11 00:00:00", SMALL)
+    jobs.silver_incremental_load(steps, SMALL)
+    assert [c[1:] for c in changes(steps)] == sorted([(2, 1, -1), (2, 5, 1), (3, 2, -1), (3, 2, 1), (5, 4, -1), (5, 4, 1), (9, 7, 1)])
+    written = []
+    monkeypatch.setattr(Lake, "replace_parts", lambda self, df, t, part, values, real=Lake.replace_parts: (written.append((t, df)), real(self, df, t, part, values))[1])
+    jobs.gold_incremental_load(steps, "2024-09-11 00:00:00", SMALL)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for t, df in written if FACT in t]
+    assert len(plans) == 2 and not any(re.search(r"silver\.rental(__v|_return)", p) for p in plans)
+    jobs.full_load(whole, source(newest), "2024-09-11 00:00:00", SMALL)
+    assert fact_by_natural_key(steps, FACT) == fact_by_natural_key(whole, FACT)
+
+
+def test_changes_are_added_once_whatever_fails(spark, small, monkeypatch):
+    """A failure after each write of a load, and then a later load with more changes."""
+    whole = Lake(spark, "once_whole_")
+    second = [rental(2, 5, day(6), day(5, 20), day(9)), rental(9, 7, day(1), day(1), day(9))]
+    third = [rental(2, 6, day(6), None, day(10)), rental(9, 7, day(2), day(1), day(10)), rental(10, 1, day(5), day(3), day(10))]
+    at = [FIRST, list({r["rental_id"]: r for r in FIRST + second}.values()), list({r["rental_id"]: r for r in FIRST + second + third}.values())]
+    source = lambda n: lambda t: table(spark, t, at[n] if t == "rental" else small[t])
+    jobs.full_load(whole, source(2), "2024-09-13 00:00:00", SMALL)
+    want = fact_by_natural_key(whole, FACT)
+    real = Lake.replace_parts
+    for failing in ("silver.rental__changes", "silver.rental", "silver.rental_return", f"gold.{FACT}__state_log", f"gold.{FACT}__state", f"gold.{FACT}"):
+        lake = Lake(spark, f"once{failing.replace('.', '_')}_")
+        jobs.full_load(lake, source(0), "2024-09-01 00:00:00", SMALL)
+
+        def fail_after(self, df, t, part, values, failing=failing):
+            real(self, df, t, part, values)
+            if t == failing:
+                raise OSError("lost")
+
+        monkeypatch.setattr(Lake, "replace_parts", fail_after)
+        with pytest.raises(OSError):
+            jobs.incremental_load(lake, source(1), "2024-09-12 00:00:00", SMALL)
+        monkeypatch.setattr(Lake, "replace_parts", real)
+        jobs.incremental_load(lake, source(2), "2024-09-13 00:00:00", SMALL)
+        assert fact_by_natural_key(lake, FACT) == want, failing
 
 
 def test_layouts():
