@@ -1,10 +1,11 @@
 """Removal of word windows that an earlier document has too.
 
-First every block of documents sends a sketch of its windows: the count-min cells they fall
-into, in rows of far more cells than there are windows. Merged over all blocks, a window's
-count is its least cell, never too small. In the second pass only windows with an estimate
-over one are sent and grouped exactly, by 96 bits of two independent hashes, with the
-smallest doc_id of each block. A window that a third of the corpus shares is one key a block.
+First every block of documents sends a count-min sketch of its windows: SKETCH_ROWS rows of
+2 ** `sketch_bits` counters, of which only those above zero move. The sketches are merged by
+adding up each counter over all blocks. The estimate of a window is the least of its counters,
+never too small. In the second pass only windows with an estimate over one are sent and
+grouped exactly, by 96 bits of two independent hashes, with the smallest doc_id of each
+block. A window that a third of the corpus shares is one key a block.
 """
 
 from __future__ import annotations
@@ -47,12 +48,11 @@ class _Block:
         return W.mix(self.keys, 100 + row) >> np.uint64(64 - width)
 
     def estimated(self, answers: list[tuple], width: int) -> np.ndarray:
-        """Windows whose every sketch cell was counted twice."""
+        """Windows whose least counter, over the rows of the merged sketch, is over one."""
         out = np.ones(len(self.keys), bool)
         for row in range(SKETCH_ROWS):
             _, _, back = B.grouped(self.cells(row, width))
-            counts = np.bincount(back)
-            out &= (B.bits_of([r for r in answers if r[1] == row]) | (counts > 1))[back] if len(counts) else False
+            out &= B.bits_of([r for r in answers if r[1] == row])[back] if len(back) else False
         return out
 
     def distinct(self, chosen: np.ndarray):
@@ -66,6 +66,33 @@ class _Block:
         return at, second, np.cumsum(new) - 1, np.flatnonzero(new)
 
 
+def sketch_bits(n_bytes: int) -> int:
+    """Counters in a row of the sketch, as a power of two: two to four for each byte of text.
+    A window has a word of a byte and a gap for each of its words at least, usually six bytes."""
+    return min(56, max(16, math.ceil(math.log2(n_bytes + 1)) + 1))
+
+
+def _counters(cells: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending counters and their values; nearly all are one, so the others are listed."""
+    more = np.flatnonzero(counts > 1)
+    return struct.pack("<I", len(more)) + more.astype("<u4").tobytes() + counts[more].astype("<u4").tobytes() + B.pack_sorted(cells)
+
+
+def _read_counters(body: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    (more,) = struct.unpack_from("<I", body)
+    counts = np.ones(n, np.int64)
+    counts[np.frombuffer(body, "<u4", more, 4)] = np.frombuffer(body, "<u4", more, 4 + 4 * more)
+    return B.unpack_sorted(body[4 + 8 * more :], n), counts
+
+
+def _added(rows: list[tuple]) -> list[bytes]:
+    """The blocks' counters added up. Per counter sent a bit: its sum is over one."""
+    cells, counts = (np.concatenate(x) for x in zip(*(_read_counters(r[4], r[3]) for r in rows)))
+    _, _, which = B.grouped(cells)
+    total = np.bincount(which, counts)
+    return [np.packbits(x).tobytes() for x in np.split(total[which] > 1, np.cumsum([r[3] for r in rows])[:-1])]
+
+
 def _entries(keys: np.ndarray, second: np.ndarray, ids: np.ndarray) -> bytes:
     known, which = np.unique(ids, return_inverse=True)
     body = B.pack_sorted(keys)
@@ -129,8 +156,7 @@ def without_repeats(
     """
     ship(docs.sparkSession)
     n_bytes = B.text_bytes(docs)
-    # A window has a word of a byte and a gap for each of its words at least; usually six bytes.
-    width = min(56, max(16, math.ceil(math.log2(n_bytes + 1)) + 1))
+    width = sketch_bits(n_bytes)
     bits = B.range_bits(n_bytes // 6)
     held = B.in_blocks(docs, B.block_count(docs, n_bytes, block_bytes), carry)
     result = StructType.fromDDL(_RESULT)
@@ -140,8 +166,8 @@ def without_repeats(
     def sketch(table: pa.Table) -> pa.Table:
         block, rows = _Block(table, window), []
         for row in range(SKETCH_ROWS):
-            cells = np.unique(block.cells(row, width))
-            rows += [(block.number, row, r, b - a, B.pack_sorted(cells[a:b])) for r, a, b in B.cut_ranges(cells, bits, width)]
+            cells, counts = np.unique(block.cells(row, width), return_counts=True)
+            rows += [(block.number, row, r, b - a, _counters(cells[a:b], counts[a:b])) for r, a, b in B.cut_ranges(cells, bits, width)]
         return B.sent_table(rows)
 
     def ask(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -169,7 +195,7 @@ def without_repeats(
         return pa.table(out | ({"carried": block.table["carried"]} if carry else {}))
 
     by_block = held.groupBy("block")
-    counted = B.answered(by_block.applyInArrow(sketch, B.SENT), B.repeated_across)
+    counted = B.answered(by_block.applyInArrow(sketch, B.SENT), _added)
     asked = by_block.cogroup(counted.groupBy("block")).applyInArrow(ask, B.SENT)
     exact = B.answered(asked, _smaller_elsewhere)
     return by_block.cogroup(exact.groupBy("block")).applyInArrow(remove, result)

@@ -374,3 +374,20 @@ def test_list_members_that_cannot_link_do_not_meet(spark):
             (a[0], b[0]) for x, a in enumerate(found) for b in found[x + 1 :] if 5 * a[1] >= 4 * b[1] and 9 * min(a[2], b[2]) >= 4 * (a[1] + b[1])
         ]
         assert want and rows(met, "a", "b") == sorted(want, key=repr)
+
+
+def test_counters_are_added_over_blocks_and_never_too_small():
+    rng = np.random.default_rng(2)
+    blocks_ = [np.sort(rng.integers(0, 5000, n)).astype(np.uint64) for n in (0, 1, 700, 900)]
+    rows_ = []
+    for i, x in enumerate(blocks_):
+        cells, counts = np.unique(x, return_counts=True)
+        body = substrings._counters(cells, counts)
+        back = substrings._read_counters(body, len(cells))
+        assert (back[0] == cells).all() and (back[1] == counts).all()
+        rows_.append((i, 0, 0, len(cells), body))
+    total = Counter(int(c) for x in blocks_ for c in x)
+    for (_, _, _, n, body), bits in zip(rows_, substrings._added(rows_)):
+        cells, _ = substrings._read_counters(body, n)
+        got = np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
+        assert got.tolist() == [total[int(c)] > 1 for c in cells]
