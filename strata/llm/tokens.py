@@ -20,7 +20,7 @@ from pathlib import Path
 import numpy as np
 import regex
 
-CACHED = 250_000
+CACHED = 200_000
 _HELD: dict[int, "Encoder"] = {}
 
 
