@@ -20,7 +20,7 @@ from pathlib import Path
 import numpy as np
 import regex
 
-CACHED = 200_000
+CACHED = 150_000
 _HELD: dict[int, "Encoder"] = {}
 
 
