@@ -1,4 +1,4 @@
-"""Type 2 dimensions: first load and merge of a batch."""
+"""Type 2 dimensions: first load, merge of a batch, and what a batch closes and opens."""
 
 from __future__ import annotations
 
@@ -82,6 +82,15 @@ def merge_versions(
         .unionByName(dim.filter("not is_current").select(*dimension_columns(spec)))
     )
 
+    opened = opened_versions(current, batch, spec, run_ts, start=dim.agg(F.max(spec.surrogate_key)))
+    return kept.unionByName(opened)
+
+
+def opened_versions(
+    current: DataFrame, batch: DataFrame, spec: DimensionSpec, run_ts: str | datetime, start: DataFrame
+) -> DataFrame:
+    """The versions that a batch opens, with surrogate keys after `start`."""
+    key = spec.natural_key
     known = current.select(
         F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in spec.tracked]
     )
@@ -90,8 +99,18 @@ def merge_versions(
         [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in spec.tracked],
         F.col(key) == F.col("_key"),
     )
+    changed_on = F.to_date(F.coalesce("updated_at", "created_at"))
     opened = _open_version(batch.join(known, unchanged, "left_anti"), changed_on, run_ts)
-    numbered = with_surrogate_key(
-        opened, spec.surrogate_key, [key], start=dim.agg(F.max(spec.surrogate_key))
-    )
-    return kept.unionByName(numbered.select(*dimension_columns(spec)))
+    numbered = with_surrogate_key(opened, spec.surrogate_key, [key], start=start)
+    return numbered.select(*dimension_columns(spec))
+
+
+def closed_versions(current: DataFrame, opened: DataFrame, spec: DimensionSpec, run_ts: str | datetime) -> DataFrame:
+    """The current versions that newly opened ones take the place of, closed the day before."""
+    starts = opened.select(spec.natural_key, F.col("effective_from").alias("_starts"))
+    ended = {
+        "effective_to": F.date_sub("_starts", 1),
+        "updated_at": timestamp(run_ts),
+        "is_current": F.lit(False),
+    }
+    return current.join(starts, spec.natural_key).withColumns(ended).select(*dimension_columns(spec))

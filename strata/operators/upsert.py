@@ -37,7 +37,12 @@ def replace_window(
 
 
 def upsert_type1(dim: DataFrame, batch: DataFrame, natural_key: str, surrogate_key: str) -> DataFrame:
-    """Replace dimension rows by natural key, keeping the surrogate key of a known row.
+    """Replace dimension rows by natural key, keeping the surrogate key of a known row."""
+    return upsert(dim, numbered_type1(dim, batch, natural_key, surrogate_key), [natural_key])
+
+
+def numbered_type1(dim: DataFrame, batch: DataFrame, natural_key: str, surrogate_key: str) -> DataFrame:
+    """The rows of a batch with the surrogate keys of known rows.
 
     New rows get keys after the highest one in use, so rows that point here stay valid.
     """
@@ -49,4 +54,4 @@ def upsert_type1(dim: DataFrame, batch: DataFrame, natural_key: str, surrogate_k
         [natural_key],
         start=dim.agg(F.max(surrogate_key)),
     )
-    return upsert(dim, updated.unionByName(new), [natural_key])
+    return updated.unionByName(new)

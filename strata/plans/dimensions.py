@@ -40,11 +40,16 @@ def latest_address(addresses: DataFrame) -> DataFrame:
     ).select("customer_id", "city_id")
 
 
-def _customers(rows: DataFrame, silver: Silver) -> DataFrame:
+def _customers(rows: DataFrame, silver: Silver, few: bool = False) -> DataFrame:
+    """Customers with the place of their newest address. Of `few` customers, only the
+    addresses are ranked that are theirs."""
     cities = silver["city"].select("city_id", "country_id", F.col("city_name").alias("city"))
     countries = silver["country"].select("country_id", F.col("country_name").alias("country"))
+    addresses = silver["customer_address"]
+    if few:
+        addresses = addresses.join(rows.select("customer_id"), "customer_id", "left_semi")
     return (
-        rows.join(latest_address(silver["customer_address"]), "customer_id", "left")
+        rows.join(latest_address(addresses), "customer_id", "left")
         .join(cities, "city_id", "left")
         .join(countries, "country_id", "left")
     )
@@ -62,9 +67,11 @@ def _warehouses(rows: DataFrame, silver: Silver) -> DataFrame:
     return rows.join(cities, "city_id", "left")
 
 
-def _source(name: str, rows: DataFrame, silver: Silver, dims: Mapping[str, DataFrame]) -> DataFrame:
+def _source(
+    name: str, rows: DataFrame, silver: Silver, dims: Mapping[str, DataFrame], few: bool = False
+) -> DataFrame:
     if name == "dim_customer":
-        return _customers(rows, silver)
+        return _customers(rows, silver, few)
     if name == "dim_inventory":
         return _inventory(rows, dims)
     if name == "dim_warehouse":
@@ -112,7 +119,7 @@ def dimension_batch(
         )
     else:
         changed = changed_since(rows, watermark)
-    return _source(name, changed, silver, dims)
+    return _source(name, changed, silver, dims, few=True)
 
 
 def dimension_incremental(

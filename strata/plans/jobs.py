@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.calendar import date_dimension, month_dimension
 from strata.operators.upsert import replace_window
-from strata.plans.dimensions import DRIVING_TABLE, dimension_full, dimension_incremental
+from strata.plans.dimensions import DRIVING_TABLE, dimension_batch, dimension_full
 from strata.plans.facts import (
     FACT_SOURCES,
     GRAIN,
@@ -38,7 +38,14 @@ from strata.plans.facts import (
     placed_items,
 )
 from strata.plans.silver import silver_full
-from strata.plans.stored import RETURNS, changes_between, merge_silver, publish_silver
+from strata.plans.stored import (
+    RETURNS,
+    changes_between,
+    merge_dimension,
+    merge_silver,
+    publish_dimension,
+    publish_silver,
+)
 from strata.functions import month_key
 from strata.sources.directory import months_by
 from strata.sources.extract import (
@@ -223,7 +230,8 @@ def silver_full_load(lake: Lake, settings: Settings) -> None:
     stored = stored_marks(lake)
 
     def load(table: str) -> Marks:
-        publish_silver(lake, table, silver_full(table, lake.read(f"bronze.{table}")))
+        bronze = lake.read(f"bronze.{table}")
+        publish_silver(lake, table, silver_full(table, bronze), about=bronze.count())
         newest = stored.get(f"bronze.{table}", Mark())
         return {f"silver.{table}": newest, _whole(table): newest}
 
@@ -259,8 +267,8 @@ def silver_incremental_load(lake: Lake, settings: Settings) -> None:
 
 def _silver(lake: Lake, settings: Settings) -> dict[str, DataFrame]:
     """The silver tables; events keep their month, by which the facts skip partitions."""
-    names = [*settings.tables, *([RETURNS] if "rental" in settings.tables else [])]
-    return {t: lake.stored(f"silver.{t}") for t in names}
+    read = {t: (lake.stored if TABLES[t].events else lake.read)(f"silver.{t}") for t in settings.tables}
+    return read | ({RETURNS: lake.stored(f"silver.{RETURNS}")} if "rental" in settings.tables else {})
 
 
 def _drivers(dimension: str, settings: Settings) -> list[str]:
@@ -291,10 +299,11 @@ def _seen(stored: Marks, gold: str, tables: Iterable[str]) -> Marks:
     return {_mark(gold, t): stored.get(f"silver.{t}", Mark()) for t in tables}
 
 
-def _loaded(gold: str, run_ts: str) -> Marks:
-    """When the table was last brought up to date. Younger dimension rows are new to a fact,
-    and rows without times that were loaded since are new to a dimension."""
-    return {f"gold.{gold}": Mark(datetime.fromisoformat(run_ts))}
+def _loaded(dimension: str, run_ts: str, load: int) -> Marks:
+    """When a dimension was last brought up to date, and the number of that load. Younger
+    dimension rows are new to a fact, and rows without times that were loaded since are new
+    to a dimension."""
+    return {f"gold.{dimension}": Mark(datetime.fromisoformat(run_ts), load)}
 
 
 def _dated(rows: DataFrame, loaded: datetime) -> DataFrame:
@@ -309,8 +318,9 @@ def gold_full_load(lake: Lake, run_ts: str, settings: Settings) -> None:
     silver, stored = _silver(lake, settings), stored_marks(lake)
 
     def dimension(name: str) -> Marks:
-        lake.publish(dimension_full(name, silver, _dims(lake), run_ts), f"gold.{name}")
-        return _seen(stored, name, _drivers(name, settings)) | _loaded(name, run_ts)
+        load, about = stored.get(f"gold.{name}", Mark()).load + 1, silver[DRIVING_TABLE[name]].count()
+        publish_dimension(lake, name, dimension_full(name, silver, _dims(lake), run_ts), load, about)
+        return _seen(stored, name, _drivers(name, settings)) | _loaded(name, run_ts, load)
 
     for wave in DIMENSION_WAVES:
         _each(lake, _chosen(wave, settings), dimension, settings)
@@ -324,14 +334,12 @@ def gold_incremental_load(lake: Lake, run_ts: str, settings: Settings) -> None:
         drivers, dim = _drivers(name, settings), lake.read(f"gold.{name}")
         marks = [stored.get(_mark(name, t)) for t in drivers]
         since = newest_update(dim) if None in marks else min(m.at for m in marks)
-        last = stored.get(f"gold.{name}", Mark()).at
-        read = silver | {t: _dated(silver[t], last) for t in drivers}
+        last = stored.get(f"gold.{name}", Mark())
+        read = silver | {t: _dated(silver[t], last.at) for t in drivers}
         if any(not changed_since(read[t], since).isEmpty() for t in drivers):
-            merged = dimension_incremental(
-                name, dim, read, _dims(lake), since, run_ts, settings.include_child_changes
-            )
-            lake.publish(merged, f"gold.{name}")
-        return _seen(stored, name, drivers) | _loaded(name, run_ts)
+            batch = dimension_batch(name, read, _dims(lake), since, settings.include_child_changes)
+            merge_dimension(lake, name, batch, run_ts, last.load + 1)
+        return _seen(stored, name, drivers) | _loaded(name, run_ts, last.load + 1)
 
     def log(name: str) -> Marks:
         """A fact whose sources were made whole since is built anew."""

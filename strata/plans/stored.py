@@ -1,4 +1,4 @@
-"""Silver tables as they are stored.
+"""Silver tables and dimensions as they are stored.
 
 Event tables lie by the month of the event, with directories of their keys. Rentals are
 stored twice: by the month of the rental, and a row per return by the month of the return,
@@ -7,21 +7,28 @@ which need not be a later one. Both are written from the same batch.
 What a merge changes goes to the table's change feed before it: each row of the batch with
 sign 1, and the row it replaces, if there is one, with sign -1, in a partition of the bronze
 load that brought it. Whoever keeps sums of the events adds a feed's signed rows to them.
+
+Tables without events and dimensions lie in buckets of their keys, and a load rewrites the
+buckets that it has rows for. A type 2 dimension is two tables under one view: the current
+versions in buckets, and the closed ones in a partition of the load that closed them, which
+no later load touches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.clean import latest_per_key
-from strata.operators.upsert import upsert
+from strata.operators.scd2 import closed_versions, dimension_columns, opened_versions
+from strata.operators.upsert import numbered_type1, upsert
 from strata.sources.directory import keys_table, list_rows, months_of_keys, publish_directories
 from strata.sources.tables import MONTH, RUN, Lake, month_of
-from strata.specs import EVENT_TIMES, LOOKED_UP_BY, TABLES
+from strata.specs import DIMENSIONS, EVENT_TIMES, LOOKED_UP_BY, TABLES
 
 RETURNS = "rental_return"
 SIGN = "_sign"
@@ -106,11 +113,12 @@ def _feed(lake: Lake, table: str, batch: DataFrame, held: Sequence[int], since:
     lake.replace_parts(signed, feed_table(table), RUN, [*runs, load])
 
 
-def publish_silver(lake: Lake, table: str, rows: DataFrame) -> None:
-    """Replace a silver table whole. Its feed starts empty: sums of the events start over too."""
+def publish_silver(lake: Lake, table: str, rows: DataFrame, about: int) -> None:
+    """Replace a silver table whole, with about so many rows. Its feed starts empty: sums of
+    the events start over too."""
     name = f"silver.{table}"
     if not TABLES[table].events:
-        lake.publish(rows, name)
+        lake.publish_buckets(rows, name, TABLES[table].keys, about)
         return
     first, *others = layouts(table)
     first.publish(lake, rows)
@@ -125,7 +133,9 @@ def merge_silver(lake: Lake, table: str, batch: DataFrame, since: int, load: int
     Doing it again after a failure, also with more rows, ends the same."""
     name = f"silver.{table}"
     if not lake.exists(name):
-        publish_silver(lake, table, batch)
+        batch = batch.persist()
+        publish_silver(lake, table, batch, batch.count())
+        batch.unpersist()
         return
     batch = batch.persist()
     if not batch.isEmpty():
@@ -136,5 +146,76 @@ def merge_silver(lake: Lake, table: str, batch: DataFrame, since: int, load: int
             for layout in layouts(table):
                 layout.merge(lake, batch, since, load)
         else:
-            lake.publish(upsert(lake.read(name), batch, TABLES[table].keys), name)
+            lake.merge_buckets(batch, name, TABLES[table].keys)
     batch.unpersist()
+
+
+# --- dimensions -------------------------------------------------------------------------
+
+
+def current_table(dimension: str) -> str:
+    return f"gold.{dimension}__current"
+
+
+def closed_table(dimension: str) -> str:
+    return f"gold.{dimension}__closed"
+
+
+def publish_dimension(lake: Lake, name: str, rows: DataFrame, load: int, about: int) -> None:
+    """Replace a dimension whole, with about so many rows, as the load of that number. Type 2
+    rows are all current ones: history starts over."""
+    spec = DIMENSIONS[name]
+    if not spec.tracked:
+        lake.publish_buckets(rows, f"gold.{name}", [spec.natural_key], about)
+        return
+    lake.publish_buckets(rows, current_table(name), [spec.natural_key], about)
+    lake.publish(lake.read(current_table(name)).limit(0), closed_table(name), RUN, F.lit(load).cast("bigint"))
+    _show_versions(lake, name, load)
+
+
+def _show_versions(lake: Lake, name: str, load: int) -> None:
+    """The view of a type 2 dimension after a load; what later loads close is not seen yet."""
+    columns = ", ".join(dimension_columns(DIMENSIONS[name]))
+    current, closed = lake.live(current_table(name)), lake.live(closed_table(name))
+    lake.unite(
+        f"gold.{name}",
+        f"SELECT {columns} FROM {current} UNION ALL SELECT {columns} FROM {closed} WHERE {RUN} <= {load}",
+    )
+
+
+def merge_dimension(lake: Lake, name: str, batch: DataFrame, run_ts: str | datetime, load: int) -> None:
+    """Merge source rows, at most one per natural key, into a stored dimension, as the load of
+    that number.
+
+    Closed versions are written first and shown last, so a reader, or a failure in between,
+    meets no version twice. Doing it again after a failure ends the same, also with more rows:
+    what the load has closed stays in its partition unless it is still a current version.
+    """
+    spec = DIMENSIONS[name]
+    if not spec.tracked:
+        dim = lake.read(f"gold.{name}")
+        rows = batch.select(spec.natural_key, *spec.attributes)
+        rows = numbered_type1(dim, rows, spec.natural_key, spec.surrogate_key).persist()
+        lake.merge_buckets(rows, f"gold.{name}", [spec.natural_key])
+        rows.unpersist()
+        return
+    if not lake.exists(current_table(name)):  # written by other means
+        _split_versions(lake, name, load - 1)
+    # A current version has the highest surrogate key of its natural key, so the highest of all.
+    current = lake.read(current_table(name))
+    opened = opened_versions(current, batch, spec, run_ts, current.agg(F.max(spec.surrogate_key))).persist()
+    written = lake.stored(closed_table(name)).filter(F.col(RUN) == load).drop(RUN)
+    before = written.join(current.select(spec.surrogate_key), spec.surrogate_key, "left_anti")
+    if not opened.isEmpty():
+        closed = closed_versions(current, opened, spec, run_ts)
+        lake.put_part(closed.unionByName(before), closed_table(name), RUN, load)
+        lake.merge_buckets(opened, current_table(name), [spec.natural_key])
+    opened.unpersist()
+    _show_versions(lake, name, load)
+
+
+def _split_versions(lake: Lake, name: str, load: int) -> None:
+    """Store a dimension that lies in one table as current and closed versions."""
+    whole, spec = lake.read(f"gold.{name}"), DIMENSIONS[name]
+    lake.publish_buckets(whole.filter("is_current"), current_table(name), [spec.natural_key], whole.count())
+    lake.publish(whole.filter("not is_current"), closed_table(name), RUN, F.lit(load).cast("bigint"))

@@ -7,6 +7,10 @@ on with the version it began with until that is dropped, `keep_hours` after its
 Large tables are partitioned, bronze by load and silver events and facts by month. Their
 loads rewrite the partitions they touch within the live version, by dynamic partition
 overwrite, whose files appear only when all of them are written.
+
+Tables without events are partitioned by a bucket of their keys. The number of buckets, a
+power of two, follows the number of rows and doubles when the touched ones have grown to
+twice `bucket_rows`; a table of one bucket is replaced whole.
 """
 
 from __future__ import annotations
@@ -20,10 +24,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import month_key
+from strata.operators.upsert import upsert
 
 MONTH = "part_month"
 NO_MONTH = 0  # partition of rows without a date
 RUN = "part_run"
+BUCKET = "part_bucket"
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -32,6 +38,11 @@ def month_of(at: str) -> Column:
     return F.coalesce(month_key(at), F.lit(NO_MONTH))
 
 
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """The bucket of a row, the same whatever integer type its keys have."""
+    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+
+
 def observed(seen: Observation) -> dict:
     """What an observation saw; nothing if Spark knew that there are no rows and skipped it."""
     try:
@@ -48,8 +59,10 @@ class Lake:
     They lie in the catalog's warehouse folder, or below `folder`.
     """
 
-    def __init__(self, spark: SparkSession, prefix: str = "", folder: str | None = None, keep_hours: float = 24):
-        self.spark, self.prefix, self.keep_hours = spark, prefix, keep_hours
+    def __init__(
+        self, spark: SparkSession, prefix: str = "", folder: str | None = None, keep_hours: float = 24, bucket_rows: int = 1_000_000
+    ):
+        self.spark, self.prefix, self.keep_hours, self.bucket_rows = spark, prefix, keep_hours, bucket_rows
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         for layer in LAYERS:
             at = f" LOCATION '{folder}/{prefix}{layer}'" if folder else ""
@@ -63,7 +76,7 @@ class Lake:
         return self.spark.catalog.tableExists(self.name(table))
 
     def read(self, table: str) -> DataFrame:
-        return self.stored(table).drop(MONTH, RUN)
+        return self.stored(table).drop(MONTH, RUN, BUCKET)
 
     def stored(self, table: str) -> DataFrame:
         """The rows with their partition column, by which readers can skip partitions."""
@@ -71,10 +84,18 @@ class Lake:
 
     def live(self, table: str) -> str:
         """The table that holds the live version."""
-        version = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)} ('version')").first()["value"]
-        return f"{self.name(table)}__{version}"
+        return f"{self.name(table)}__{self._properties(table)['version']}"
+
+    def _properties(self, table: str) -> dict[str, str]:
+        return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()}
 
-    def publish(self, df: DataFrame, table: str, part: str | None = None, by: Column | None = None) -> None:
+    def buckets(self, table: str) -> int:
+        """The number of buckets that a table lies in."""
+        return int(self._properties(table).get("buckets", 1))
+
+    def publish(
+        self, df: DataFrame, table: str, part: str | None = None, by: Column | None = None, buckets: int = 1
+    ) -> None:
         """Replace a table whole, partitioned by the column `part` if it is given. `df` may
         read the table itself."""
         view = self.name(table)
@@ -84,10 +105,23 @@ class Lake:
         else:
             _balanced(df.withColumn(part, by), part).write.partitionBy(part).saveAsTable(f"{view}__{version}")
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('version' = '{version}') AS SELECT * FROM {view}__{version}"
+            f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('version' = '{version}', 'buckets' = '{buckets}') "
+            f"AS SELECT * FROM {view}__{version}"
         )
         self._drop_old(table, version)
 
+    def publish_buckets(self, df: DataFrame, table: str, keys: Sequence[str], about: int) -> None:
+        """Replace a table whole, in as many buckets of its keys as `about` so many rows ask for."""
+        buckets = 1 << max(0, -(-about // self.bucket_rows) - 1).bit_length()
+        if buckets == 1:
+            self.publish(df, table)
+        else:
+            self.publish(df, table, BUCKET, bucket_of(keys, buckets), buckets)
+
+    def unite(self, table: str, query: str) -> None:
+        """Make a view over other tables, in place of the table if it is one."""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(table)} AS {query}")
+
     def _drop_old(self, table: str, live: str) -> None:
         """Drop versions that are not live and older than readers may be."""
         layer, name = table.split(".")
@@ -139,6 +173,26 @@ class Lake:
         self.replace_parts(kept.unionByName(rows), table, MONTH, months)
 
 
+    def merge_buckets(self, rows: DataFrame, table: str, keys: Sequence[str]) -> None:
+        """Upsert rows, one per key, into a table in buckets: those of the rows are rewritten.
+
+        `rows` is read several times. The table is made anew when it has outgrown its buckets.
+        """
+        buckets = self.buckets(table)
+        rows = rows.withColumn(BUCKET, bucket_of(keys, buckets))
+        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
+        if not touched:
+            return
+        held = self.stored(table)
+        if buckets > 1:
+            held = held.filter(F.col(BUCKET).isin(touched))
+        about = (held.count() + rows.count()) * buckets // len(touched)
+        if buckets == 1 or about > 2 * buckets * self.bucket_rows:
+            self.publish_buckets(upsert(self.read(table), rows, keys), table, keys, about)
+        else:
+            self.replace_parts(upsert(held, rows, keys), table, BUCKET, touched)
+
+
 def _balanced(df: DataFrame, part: str) -> DataFrame:
     """Few files per partition, and one that holds much of the rows split over tasks (AQE)."""
     return df.hint("rebalance", F.col(part))

@@ -255,20 +255,22 @@ def test_changes_are_added_once_whatever_fails(spark, small, monkeypatch):
     source = lambda n: lambda t: table(spark, t, at[n] if t == "rental" else small[t])
     jobs.full_load(whole, source(2), "2024-09-13 00:00:00", SMALL)
     want = fact_by_natural_key(whole, FACT)
-    real = Lake.replace_parts
     for failing in ("silver.rental__changes", "silver.rental", "silver.rental_return", f"gold.{FACT}__state_log", f"gold.{FACT}__state", f"gold.{FACT}"):
         lake = Lake(spark, f"once{failing.replace('.', '_')}_")
         jobs.full_load(lake, source(0), "2024-09-01 00:00:00", SMALL)
 
-        def fail_after(self, df, t, part, values, failing=failing):
-            real(self, df, t, part, values)
-            if t == failing:
-                raise OSError("lost")
-
-        monkeypatch.setattr(Lake, "replace_parts", fail_after)
-        with pytest.raises(OSError):
-            jobs.incremental_load(lake, source(1), "2024-09-12 00:00:00", SMALL)
-        monkeypatch.setattr(Lake, "replace_parts", real)
+        def then_fail(write, failing=failing):
+            def written(self, df, t, *rest):
+                write(self, df, t, *rest)
+                if t == failing:
+                    raise OSError("lost")
+            return written
+
+        with monkeypatch.context() as patched:
+            for method in ("replace_parts", "put_part"):  # the first log of a fact makes its table
+                patched.setattr(Lake, method, then_fail(getattr(Lake, method)))
+            with pytest.raises(OSError):
+                jobs.incremental_load(lake, source(1), "2024-09-12 00:00:00", SMALL)
         jobs.incremental_load(lake, source(2), "2024-09-13 00:00:00", SMALL)
         assert fact_by_natural_key(lake, FACT) == want, failing
 
