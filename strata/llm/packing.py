@@ -1,8 +1,9 @@
 """Best-fit packing of documents into token sequences, by parts and then up a tree.
 
 Each part packs its pieces best-fit, longest first. Bins with no room for even the shortest
-piece are done. The others are handed up as items of their size: eight parts' open bins are
-packed best-fit again, and so on to one group. Only piece numbers and sizes are moved.
+piece are done. All others are handed up as items of their size and packed best-fit again,
+in as many groups as their number asks for, an eighth of the groups before as a rule, and so
+on until they meet in one group. Only piece numbers and sizes are moved.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from strata.sources.staging import stage
 
 PART_ITEMS = 20_000
 FAN = 8
-OPEN_BINS = 4096
 _PLACED = "item long, bin long, place long, size long, open boolean"
 
 
@@ -99,10 +99,7 @@ def _round(items: DataFrame, level: int, groups: int, capacity: int, least: int)
         sizes, part = table["size"].to_numpy(), table["part"][0].as_py()
         bins, places, fill = best_fit(sizes, capacity)
         filled = np.array(fill)
-        candidates = np.flatnonzero(capacity - filled >= least)
-        most = candidates[np.argsort(filled[candidates], kind="stable")][:OPEN_BINS]
-        is_open = np.zeros(len(filled), bool)
-        is_open[most] = True
+        is_open = capacity - filled >= least
         return pa.table(
             {
                 "item": table["item"],
@@ -120,9 +117,12 @@ def _round(items: DataFrame, level: int, groups: int, capacity: int, least: int)
 def pack(pieces: DataFrame, capacity: int, part_items: int = PART_ITEMS) -> DataFrame:
     """(item, sequence_id, offset) for rows (item, size); item is unique, 0 < size <= capacity.
 
-    Full items are sequences of their own. A part hands up at most OPEN_BINS bins, those
-    with the most room; the rest stay as sequences, so no item is lost and the last group
-    is bounded.
+    Full items are sequences of their own. A part hands up every bin with room for the
+    shortest item, and of those the ones stay that the least of them fits: no other could be
+    joined with any. The next round has an eighth of the groups, or more if the bins would
+    make a group of more than `part_items`. Rounds end with one group, with bins that do not
+    fit each other, or when a round no longer lowers their number.
+    The sizes of open bins come to the driver, at most `capacity` numbers.
     """
     full = pieces.where(F.col("size") >= capacity).select("item", F.col("item").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     rest = pieces.where(F.col("size") < capacity)
@@ -131,10 +131,16 @@ def pack(pieces: DataFrame, capacity: int, part_items: int = PART_ITEMS) -> Data
         return full
     groups, level = max(1, math.ceil(n / part_items)), 1
     placed = [_round(rest, level, groups, capacity, least)]
+    before = n
     while groups > 1:
-        groups, level = math.ceil(groups / FAN), level + 1
         handed = placed[-1].where("open").select(F.col("bin").alias("item"), "size").distinct()
-        placed.append(_round(handed, level, groups, capacity, least))
+        sizes = {r["size"]: r["count"] for r in handed.groupBy("size").count().collect()}
+        least = min(sizes, default=capacity)
+        bins = sum(count for size, count in sizes.items() if size + least <= capacity)
+        if bins < 2 or bins >= before:
+            break
+        groups, level, before = max(math.ceil(groups / FAN), math.ceil(bins / part_items)), level + 1, bins
+        placed.append(_round(handed.where(F.col("size") + least <= capacity), level, groups, capacity, least))
     # From the top: where each bin of a level ends up; a bin that was not handed up stays.
     final = placed[-1].select("item", "bin", "place")
     for lower in reversed(placed[:-1]):

@@ -183,3 +183,15 @@ def test_tree_keeps_every_item(spark, shape):
         assert len(sequences) <= 1.02 * sizes.sum() / 2048 + 1
     if shape == "large":
         assert len(sequences) == len(sizes)
+
+
+@pytest.mark.parametrize("sizes", [[1500] * 400 + [1] * 3, [1100] * 300 + [900] * 300, [1025] * 300, [700, 1300] * 200 + [48] * 200, [2047] * 100])
+def test_open_bins_of_all_parts_meet(spark, sizes):
+    """However many bins are open, two sequences that fit together are not both left."""
+    items = spark.createDataFrame(list(enumerate(sizes)), "item long, size long")
+    fill: dict[int, int] = {}
+    for row in packing.pack(items, 2048, part_items=20).collect():
+        fill[row.sequence_id] = fill.get(row.sequence_id, 0) + sizes[row.item]
+    assert sum(fill.values()) == sum(sizes) and max(fill.values()) <= 2048
+    least = sorted(fill.values())[:2]
+    assert sum(least) > 2048
