@@ -3,10 +3,10 @@
 Texts lie in shards. A window of 200 bytes is named by the least hash among its 32-byte
 grams, so equal windows have equal names; only windows whose name occurs at two places of
 the corpus go on. Each shard builds a suffix array of the bytes those windows cover, by
-Larsson-Sadakane refinement, and Kasai's common prefixes give the windows that repeat in
-the shard. The distinct windows then go out as sorted runs of fingerprints; ranges group
-the runs of all shards by sorting them together and tell each shard which of its own are
-elsewhere.
+Larsson-Sadakane refinement, and Kasai's common prefixes cut it into classes of equal
+windows. One window of each class goes out, as sorted runs of fingerprints; ranges merge the
+runs of all shards pair by pair, each entry finding its place by binary search, and tell each
+shard which of its own are elsewhere by searching the merged run.
 
 Copies of a whole text are settled by their digest: one of them stays to be searched.
 """
@@ -222,6 +222,47 @@ def _with_rest(keys: np.ndarray, rest: np.ndarray, width: int) -> bytes:
     return B.pack_sorted(keys) + rest.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
+def _places(keys: np.ndarray, rest: np.ndarray, run: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Where each pair of (keys, rest) stands or belongs in an ascending run of such pairs, by
+    binary search: for the key first, then for the second hash among equal keys."""
+    at, end = (np.searchsorted(run[0], keys, side) for side in ("left", "right"))
+    todo = np.flatnonzero(end - at > 1)
+    last = end.copy()
+    while len(todo):
+        middle = (at[todo] + last[todo]) // 2
+        less = run[1][middle] < rest[todo]
+        at[todo[less]], last[todo[~less]] = middle[less] + 1, middle[~less]
+        todo = todo[at[todo] < last[todo]]
+    # Of a single equal key only the second hash is left to ask.
+    one = np.flatnonzero(end - at == 1)
+    at[one] += run[1][at[one]] < rest[one]
+    return at
+
+
+def _found(keys: np.ndarray, rest: np.ndarray, run: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the pairs, and which of them the run has."""
+    at = _places(keys, rest, run)
+    has = at < len(run[0])
+    has[has] = (run[0][at[has]] == keys[has]) & (run[1][at[has]] == rest[has])
+    return at, has
+
+
+def _merged(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One run of all pairs, and which of them are in several runs: neighbours are merged
+    level by level, the shorter one's entries finding their places in the longer one."""
+    level = [(keys, rest, np.zeros(len(keys), bool)) for keys, rest in runs]
+    while len(level) > 1:
+        above = [] if len(level) % 2 == 0 else [level.pop()]
+        for a, b in zip(level[::2], level[1::2]):
+            long, short = (a, b) if len(a[0]) >= len(b[0]) else (b, a)
+            at, has = _found(short[0], short[1], long[:2])
+            again = long[2].copy()
+            again[at[has]] = True
+            above.append(tuple(np.insert(x, at[~has], y[~has]) for x, y in zip((*long[:2], again), short)))
+        level = above
+    return level[0]
+
+
 def _elsewhere(rows: list[tuple], width: int) -> list[bytes]:
     """A bit per entry of each sorted run: another shard's run has it too."""
     runs = []
@@ -230,15 +271,13 @@ def _elsewhere(rows: list[tuple], width: int) -> list[bytes]:
         rest = np.zeros((n, 8), np.uint8)
         if width:
             rest[:, :width] = np.frombuffer(body[len(body) - n * width :], np.uint8).reshape(n, width)
-        # Ranges share their top bits, so the rest of the key and the second hash fit in turn.
         runs.append((keys, rest.reshape(-1).view(np.uint64)))
-    keys, rest = (np.concatenate(x) for x in zip(*runs))
-    order = np.lexsort((rest, keys))
-    keys, rest = keys[order], rest[order]
-    again = (keys[1:] == keys[:-1]) & (rest[1:] == rest[:-1])
-    both = np.zeros(len(order), bool)
-    both[order] = np.r_[again, False] | np.r_[False, again]
-    return [np.packbits(x).tobytes() for x in np.split(both, np.cumsum([r[3] for r in rows])[:-1])]
+    *whole, again = _merged(runs)
+    out = []
+    for keys, rest in runs:
+        at, _ = _found(keys, rest, whole)
+        out.append(np.packbits(again[at]).tobytes())
+    return out
 
 
 def without_copies(docs: DataFrame, length: int = LENGTH, block_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -294,9 +333,12 @@ def without_copies(docs: DataFrame, length: int = LENGTH, block_bytes: int = SHA
         places = _candidates(shard, kinds != 2, repeated)
         classes = _classes(shard, places)
         counts = np.bincount(classes, minlength=1)
-        keys = _fingerprints(shard, places, 0)
-        keys_out, one, _ = B.grouped(keys)
-        rest = _fingerprints(shard, places, 1)[one]
+        # One window of each class goes out.
+        first = np.empty(len(counts), np.int64)
+        first[classes[::-1]] = np.arange(len(classes))[::-1]
+        windows = places[np.sort(first[counts > 0])]
+        keys_out, one, _ = B.grouped(_fingerprints(shard, windows, 0))
+        rest = _fingerprints(shard, windows, 1)[one]
         sent = [
             (shard.number, 0, r, b - a, _with_rest(keys_out[a:b], rest[a:b], extra)) for r, a, b in B.cut_ranges(keys_out, bits)
         ]

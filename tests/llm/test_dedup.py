@@ -283,6 +283,24 @@ def test_runs_of_shards_meet_by_key_and_second_hash(width):
         assert np.unpackbits(np.frombuffer(bits, np.uint8), count=len(run)).tolist() == [counts[x] > 1 for x in run]
 
 
+@pytest.mark.parametrize("shards", [1, 2, 5, 40])
+def test_merged_runs_with_many_second_hashes_of_a_key(shards):
+    """Few keys, so that the search among the second hashes of one key decides."""
+    rng = np.random.default_rng(shards)
+    runs = []
+    for size in rng.integers(0, 7, shards):
+        keys = np.sort(rng.choice(6, size, replace=False)).astype(np.uint64)
+        runs.append((keys, rng.integers(0, 12, size, dtype=np.uint64)))
+    pairs = [(int(k), int(r)) for run in runs for k, r in zip(*run)]
+    keys, rest, again = suffixes._merged(runs)
+    counts = Counter(pairs)
+    assert [(int(k), int(r)) for k, r in zip(keys, rest)] == sorted(counts)
+    assert again.tolist() == [counts[x] > 1 for x in sorted(counts)]
+    rows = [(i, 0, 0, len(k), suffixes._with_rest(k, r, 8)) for i, (k, r) in enumerate(runs)]
+    for (k, r), bits in zip(runs, suffixes._elsewhere(rows, 8)):
+        assert np.unpackbits(np.frombuffer(bits, np.uint8), count=len(k)).tolist() == [counts[x] > 1 for x in zip(k.tolist(), r.tolist())]
+
+
 @pytest.mark.parametrize("length", [50, 200])
 def test_places_covered_by_windows(length):
     for n in range(1, 2 * length + 10):
