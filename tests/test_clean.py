@@ -131,3 +131,29 @@ def test_dedup_limits_rows_before_the_shuffle(spark):
 def test_every_rule_names_a_column(table):
     spec = TABLES[table]
     assert set(spec.rules) | set(spec.keys) | set(spec.span or ()) <= set(spec.business_columns)
+
+
+def test_whole_rows_of_lone_keys_do_not_move(spark):
+    """Only keys that repeat, null ones among them, are ranked; the rows are those of the ranking."""
+    given = [
+        dict(genre_id=k, genre_name=n, updated_at=T[t], load_timestamp=T[0])
+        for k, n, t in [(1, "lone", 0), (2, "old", 0), (2, "new", 2), (None, "old", 0), (None, "new", 1), (3, "lone", 1)]
+    ]
+    df = rows(spark, "genre", given)
+
+    def found(df, **how):
+        return sorted((r["genre_id"] or 0, r["genre_name"]) for r in latest_version(df, ["genre_id"], **how).collect())
+
+    assert found(df, reread=True) == found(df) == [(0, "new"), (1, "lone"), (2, "new"), (3, "lone")]
+    lone = latest_version(df.filter("genre_id in (1, 3)"), ["genre_id"], reread=True)
+    plan = lone._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+    assert [r[0] for r in lone.select("genre_name").collect()] == ["lone", "lone"]
+
+
+def test_many_repeated_keys_are_all_ranked(spark, monkeypatch):
+    monkeypatch.setattr("strata.operators.clean.FEW_REPEATED", 1)
+    given = [dict(genre_id=k, updated_at=T[t], load_timestamp=T[0]) for k in (1, 2) for t in (0, 1)]
+    latest = latest_version(rows(spark, "genre", given), ["genre_id"], reread=True)
+    assert "Window" in latest._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in latest.select("genre_id", "updated_at").collect()) == [(1, T[1]), (2, T[1])]

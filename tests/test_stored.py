@@ -278,3 +278,21 @@ def test_changes_are_added_once_whatever_fails(spark, small, monkeypatch):
 def test_layouts():
     assert [x.table for x in layouts("rental")] == ["silver.rental", "silver.rental_return"]
     assert [x.table for x in layouts("payment")] == ["silver.payment"]
+
+
+def test_a_load_reads_its_source_once(spark):
+    lake, read = Lake(spark, "once_"), spark.sparkContext.accumulator(0)
+    settings = jobs.Settings("test", tables=("wishlist",), gold=())
+
+    def seen(_):
+        read.add(1)
+        return True
+
+    def source(name):
+        return table(spark, name, [wish(1, 10, day(2)), wish(2, 20)]).filter(F.udf(seen, "boolean")("wishlist_id"))
+
+    jobs.bronze_full_load(lake, source, "2024-06-01 00:00:00", settings)
+    assert read.value == 2
+    jobs.bronze_incremental_load(lake, source, "2024-06-02 00:00:00", settings)
+    assert read.value == 4
+    assert lake.read("bronze.wishlist").count() == 2
