@@ -7,17 +7,21 @@ intervals alone are first cut into a timeline: per key, disjoint day ranges, eac
 its one answer. The lookup is then an equi join with a range condition that finds at
 most one row per fact row, so nothing is aggregated afterwards.
 
-The intervals are read by several aggregates and joins: give a stored table.
+The keys are counted first, and those with several intervals written, so that the intervals
+themselves move at most once. They are read twice or more: give a stored table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import day
+from strata.sources.staging import stage
 
 # Days since 1970-01-01 of 0001-01-01 and of the day after 9999-12-31.
 _FIRST, _AFTER_LAST = -719162, 2932897
@@ -27,8 +31,37 @@ _FIRST, _AFTER_LAST = -719162, 2932897
 _FEW = 32
 
 
+# Keys up to this number are broadcast to the intervals (a few tens of bytes each).
+_BROADCAST = 1_000_000
+# Intervals that a task gathers by key: the number of tasks follows the intervals.
+_TASK_ROWS = 500_000
+
+
+@dataclass(frozen=True)
+class _Counted:
+    """Written keys with their number of intervals `n`, and how many rows and crowded keys they are."""
+
+    keys: DataFrame
+    found: int
+    crowded: int
+    rows: int
+
+
+def _count_keys(intervals: DataFrame, key: str, over: int) -> _Counted:
+    """The keys with more than so many intervals."""
+    counted = intervals.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > over)
+    keys = stage(counted)
+    found, crowded, rows = keys.agg(F.count(F.lit(1)), F.count_if(F.col("n") > _FEW), F.sum("n")).first()
+    return _Counted(keys, found, crowded, rows or 0)
+
+
+def _named(keys: DataFrame, key: str, found: int) -> DataFrame:
+    names = keys.select(key)
+    return F.broadcast(names) if found <= _BROADCAST else names
+
+
 def _timeline(
-    intervals: DataFrame, key: str, crowded: DataFrame, answer: Sequence[str], fallback: bool
+    intervals: DataFrame, key: str, counted: _Counted, answer: Sequence[str], fallback: bool
 ) -> DataFrame:
     """Cut intervals (key, lo, hi, best) into disjoint ranges with the greatest `best` of each.
 
@@ -37,13 +70,19 @@ def _timeline(
     `best` of the whole key if `fallback` is set, else no range. `best` is a struct that
     starts with the ranking fields and holds the `answer` fields.
 
-    `crowded` names the keys with many intervals. All others are gathered, a bounded
+    `counted` names at least the keys with many intervals. All others are gathered, a bounded
     number of rows each, and cut by array functions; the crowded ones never are.
     """
-    few = _cut_in_row(intervals.join(crowded, key, "left_anti"), key, answer, fallback)
-    many = _cut_by_blocks(intervals.join(crowded, key, "left_semi"), key, answer, fallback)
+    many, few = [], intervals
+    if counted.crowded:
+        crowded = _named(counted.keys.filter(F.col("n") > _FEW), key, counted.crowded)
+        many = [_cut_by_blocks(intervals.join(crowded, key, "left_semi"), key, answer, fallback)]
+        few = intervals.join(crowded, key, "left_anti")
+    tasks = counted.rows // _TASK_ROWS
+    if tasks > int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        few = few.repartition(tasks, key)
     return (
-        few.unionByName(many)
+        reduce(DataFrame.unionByName, many, _cut_in_row(few, key, answer, fallback))
         .filter("best is not null")
         .select(key, "valid_from", "valid_to", *[F.col(f"best.{c}").alias(c) for c in answer])
     )
@@ -170,24 +209,25 @@ def version_timeline(
     answer = [surrogate_key, *carried]
     dim = dim.filter(F.col(natural_key).isNotNull())
 
-    # A lone version answers for every day, valid or not: one cheap aggregate settles it.
-    counts = dim.groupBy(natural_key).agg(
-        F.count(F.lit(1)).alias("n"), *[F.max(c).alias(c) for c in answer]
-    )
-    lone = counts.filter("n = 1").select(
-        natural_key,
-        F.lit(_FIRST).alias("valid_from"),
-        F.lit(_AFTER_LAST - 1).alias("valid_to"),
-        *answer,
-    )
-    several = dim.join(counts.filter("n > 1").select(natural_key), natural_key, "left_semi").select(
+    # A lone version answers for every day, valid or not, and stays where it is. With many
+    # keys of several versions all rows are gathered by key, which gives a lone one the same.
+    counted = _count_keys(dim, natural_key, 1)
+    several, lone = dim, []
+    if counted.found <= _BROADCAST:
+        names = _named(counted.keys, natural_key, counted.found)
+        single = dim.join(names, natural_key, "left_anti") if counted.found else dim
+        bounds = [F.lit(_FIRST).alias("valid_from"), F.lit(_AFTER_LAST - 1).alias("valid_to")]
+        lone = [single.select(natural_key, *bounds, *answer)]
+        if not counted.found:
+            return lone[0]
+        several = dim.join(names, natural_key, "left_semi")
+    intervals = several.select(
         natural_key,
         F.unix_date("effective_from").alias("lo"),
         (F.unix_date("effective_to") + 1).alias("hi"),
         F.struct("is_current", *answer).alias("best"),
     )
-    crowded = counts.filter(F.col("n") > _FEW).select(natural_key)
-    return lone.unionByName(_timeline(several, natural_key, crowded, answer, fallback=True))
+    return reduce(DataFrame.unionByName, lone, _timeline(intervals, natural_key, counted, answer, fallback=True))
 
 
 def interval_timeline(
@@ -206,8 +246,7 @@ def interval_timeline(
             *[F.col(c).alias(f"by_{c}") for c in order], *[F.col(c) for c in answer]
         ).alias("best"),
     )
-    crowded = df.groupBy(key).count().filter(F.col("count") > _FEW).select(key)
-    return _timeline(intervals, key, crowded, answer, fallback=False)
+    return _timeline(intervals, key, _count_keys(df.select(key), key, 1), answer, fallback=False)
 
 
 def at_day(facts: DataFrame, timeline: DataFrame, key: str, when: Column, how: str = "inner") -> DataFrame:

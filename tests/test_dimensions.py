@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strata.operators.calendar import date_dimension, month_dimension
 from strata.operators.keys import with_surrogate_key
 from strata.operators.scd2 import initial_versions, merge_versions
+from strata.operators import timeline
 from strata.operators.timeline import at_day, interval_timeline, version_timeline
 from strata.plans.dimensions import dimension_batch, latest_address
 from strata.sources.staging import stage
@@ -183,6 +184,29 @@ def test_lookups_equal_brute_force(spark, seed):
     assert len(got) == len(want) and {(r["k"], r["d"]): r["sk"] for r in got} == want
 
 
+@pytest.mark.parametrize("few_keys", [True, False])
+def test_versions_move_at_most_once_by_key(spark, monkeypatch, few_keys):
+    """Lone versions stay where they are; with many keys of several, each row moves once."""
+    schema = "k bigint, sk bigint, effective_from date, effective_to date, is_current boolean"
+    lone = random_intervals(3, [1] * 30)
+    plan = version_timeline(stage(spark.createDataFrame(lone, schema)), "k", "sk")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    rows = random_intervals(4, [1] * 10 + [2, 5, 30])
+    monkeypatch.setattr(timeline, "_BROADCAST", 1_000_000 if few_keys else 0)
+    monkeypatch.setattr(timeline, "_TASK_ROWS", 1)
+    found = version_timeline(stage(spark.createDataFrame(rows, schema)), "k", "sk")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(k" in plan
+    versions = {k: [r for r in rows if r[0] == k] for k in range(13)}
+
+    def rank(r, d):
+        return r[2] is not None and r[3] is not None and r[2] <= d <= r[3], r[4], r[1]
+
+    facts = spark.createDataFrame([(k, d) for k in versions for d in DAYS], "k bigint, d date")
+    got = {(r["k"], r["d"]): r["sk"] for r in at_day(facts, found, "k", F.col("d")).collect()}
+    assert got == {(k, d): max(versions[k], key=lambda r: rank(r, d))[1] for k in versions for d in DAYS}
+
+
 def test_timeline_has_no_gap_and_no_overlap(spark):
     rows = random_intervals(5, [3, 40, 80])
     dim = spark.createDataFrame(rows, "k bigint, sk bigint, effective_from date, effective_to date, is_current boolean")
