@@ -14,7 +14,7 @@ from strata.plans.facts import in_months
 from strata.sources.extract import (
     changed_since, event_date_column, high_water_mark, read_seed, window_extract, with_lineage,
 )
-from strata.sources.staging import stage
+from strata.sources.staging import stage, stage_rows
 from strata.sources.tables import MONTH, Lake, month_of
 from strata.sources.watermarks import NEVER, newest_update
 from strata.specs import SEED_TABLES, TABLES
@@ -179,3 +179,17 @@ def test_silver_upsert_keeps_newer_rows(spark):
 def test_stage(spark):
     df = spark.range(5).withColumn("d", F.lit("2024-01-01").cast("timestamp_ntz"))
     assert stage(df).dtypes == df.dtypes and sorted(stage(df).collect()) == sorted(df.collect())
+
+
+def test_rows_of_tables_are_written_small(spark):
+    """Whole versions, rewritten partitions and staged rows have the codec of table rows."""
+    def codecs(df):
+        return {Path(f).name.split(".", 1)[1] for f in df.inputFiles()}
+
+    lake, rows = Lake(spark, "cd_"), spark.range(10).withColumn("n", F.col("id") % 2)
+    lake.publish(rows, "bronze.whole")
+    lake.put_part(rows, "bronze.parts", MONTH, 1)
+    lake.put_part(rows, "bronze.parts", MONTH, 2)
+    lake.replace_parts(rows.withColumn(MONTH, F.lit(1)), "bronze.parts", MONTH, [1])
+    for df in (lake.read("bronze.whole"), lake.stored("bronze.parts"), stage_rows(rows)):
+        assert codecs(df) and all("zstd" in c for c in codecs(df))
