@@ -13,6 +13,12 @@ from strata.specs import TableSpec
 
 #: Repeated keys up to this number are broadcast to the rows (a few tens of bytes each).
 FEW_REPEATED = 1_000_000
+#: More of them, up to this number, are broadcast as a bitmap of their hashes (64 MB at most).
+MANY_REPEATED = 128_000_000
+
+# Bits for a repeated key, bits of the largest bitmap, and bits in one row of it, as
+# `bitmap_construct_agg` makes them.
+_KEY_BITS, _MOST_BITS, _ROW_BITS = 8, 1 << 29, 32768
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -30,13 +36,18 @@ def latest_of_repeated(df: DataFrame, keys: Sequence[str], order: Sequence[Colum
 
     The keys alone are counted first. A row whose key no other row has stays where it is, so
     that of a table with few repeated keys, whole rows neither move nor are sorted. With
-    many, all rows are ranked.
+    many, a row also moves if its key shares its bit of a bitmap with a repeated one; with
+    more than a bitmap is good for, all rows are ranked.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     repeated = stage(counted.filter("_n > 1").select(*[F.col(k).alias(f"_{k}") for k in keys]))
     found = repeated.count()
-    if found > FEW_REPEATED:
+    if found > MANY_REPEATED:
         return latest_per_key(df, keys, order)
+    if found > FEW_REPEATED:
+        marked = _with_mark(df, keys, repeated, found)
+        ranked = latest_per_key(marked.filter("_marked").drop("_marked"), keys, order)
+        return marked.filter("not _marked").drop("_marked").unionByName(ranked)
     if not found:
         return df
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
@@ -44,6 +55,23 @@ def latest_of_repeated(df: DataFrame, keys: Sequence[str], order: Sequence[Colum
     return single.unionByName(latest_per_key(df.join(F.broadcast(repeated), same, "left_semi"), keys, order))
 
 
+def _with_mark(df: DataFrame, keys: Sequence[str], repeated: DataFrame, found: int) -> DataFrame:
+    """The rows with `_marked`: true for each of a repeated key, and for a few of other keys."""
+    bits = min(_MOST_BITS, max(_ROW_BITS, 1 << (found * _KEY_BITS - 1).bit_length()))
+
+    def place(columns: Sequence[str]) -> tuple[Column, Column]:
+        bit = F.pmod(F.xxhash64(*columns), F.lit(bits))
+        return F.floor(bit / _ROW_BITS).cast("int"), bit % _ROW_BITS
+
+    row, bit = place([f"_{k}" for k in keys])
+    bitmap = repeated.select(row.alias("_row"), bit.alias("_bit")).groupBy("_row").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    row, bit = place(keys)
+    byte = F.conv(F.hex(F.expr("substring(_bits, int(_bit div 8) + 1, 1)")), 16, 10).cast("int")
+    marked = F.coalesce(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1, F.lit(False))
+    found_row = df.withColumns({"_at": row, "_bit": bit}).join(F.broadcast(bitmap), F.col("_at") == F.col("_row"), "left")
+    return found_row.select(*df.columns, marked.alias("_marked"))
+
+
 def latest_version(
     df: DataFrame, keys: Sequence[str], tie_break: Sequence[str] = (), reread: bool = False
 ) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from strata.operators.clean import latest_per_key
 from strata.operators.scd2 import closed_versions, dimension_columns, opened_versions
 from strata.operators.upsert import numbered_type1, upsert
-from strata.sources.directory import keys_table, list_rows, months_of_keys, publish_directories
+from strata.sources.directory import keys_table, known_keys, list_rows, months_of, publish_directories
 from strata.sources.tables import MONTH, RUN, Lake, month_of
 from strata.specs import DIMENSIONS, EVENT_TIMES, LOOKED_UP_BY, TABLES
 
@@ -67,10 +67,12 @@ class Layout:
         if not lake.exists(keys_table(self.table)):  # written by other means
             publish_directories(lake, self.table, self.keys, self.columns)
         rows = self.rows(batch).withColumn(MONTH, month_of(self.at))
-        held = months_of_keys(lake, self.table, batch, self.keys)
+        known = known_keys(lake, self.table, batch, self.keys).persist()
+        held = months_of(known)
         if self.name in TABLES:
             _feed(lake, self.name, batch, held, since, load, about)
-        list_rows(lake, self.table, rows, self.keys, self.columns)
+        list_rows(lake, self.table, rows, self.keys, self.columns, known)
+        known.unpersist()
         lake.merge(rows, self.table, self.keys, held, gone=batch)
 
 
@@ -116,7 +118,8 @@ def _feed(lake: Lake, table: str, batch: DataFrame, held: Sequence[int], since:
     if runs:
         before = before.unionByName(feed.filter(F.col(SIGN) < 0))
     signed = before.unionByName(now.select(before.columns)).withColumn(RUN, F.lit(load).cast("bigint"))
-    lake.replace_parts(signed, feed_table(table), RUN, [*runs, load], balanced=about < lake.bucket_rows)
+    large = {"balanced": False} if about >= lake.bucket_rows else {}
+    lake.replace_parts(signed, feed_table(table), RUN, [*runs, load], **large)
 
 
 def publish_silver(lake: Lake, table: str, rows: DataFrame, about: int) -> None:

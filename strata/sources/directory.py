@@ -48,29 +48,38 @@ def publish_directories(lake: Lake, table: str, keys: Sequence[str], columns: Se
         lake.publish(rows.select(c, MONTH).dropna().distinct(), by_table(table, c), MONTH, F.col(MONTH))
 
 
-def months_of_keys(lake: Lake, table: str, rows: DataFrame, keys: Sequence[str]) -> list[int]:
-    """The months listed for the keys of `rows`, from the ranges they lie in."""
+def known_keys(lake: Lake, table: str, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The entries listed for the keys of `rows`, from the ranges they lie in."""
     ranges = [r[0] for r in rows.select(_range(keys)).distinct().collect()]
     listed = lake.stored(keys_table(table)).filter(F.col(RANGE).isin(ranges))
-    found = listed.join(rows.select(*keys), list(keys), "left_semi").select(AT).distinct()
-    return [r[0] for r in found.collect()]
+    return listed.join(rows.select(*keys), list(keys), "left_semi")
 
 
-def list_rows(lake: Lake, table: str, rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> None:
-    """List rows that are about to be written; what is listed already is not written again."""
+def months_of(known: DataFrame) -> list[int]:
+    """The months of listed entries."""
+    return [r[0] for r in known.select(AT).distinct().collect()]
+
+
+def list_rows(
+    lake: Lake, table: str, rows: DataFrame, keys: Sequence[str], columns: Sequence[str], known: DataFrame
+) -> None:
+    """List rows that are about to be written; what is listed already, of row keys the entries
+    in `known`, is not written again."""
     placed = rows.select(*keys, F.col(MONTH).alias(AT), _range(keys).alias(RANGE))
-    _add(lake, keys_table(table), placed, [*keys, AT], RANGE)
+    _add(lake, keys_table(table), placed, [*keys, AT], RANGE, known)
     for c in columns:
-        _add(lake, by_table(table, c), rows.select(c, MONTH).dropna().distinct(), [c], MONTH)
+        found = rows.select(c, MONTH).dropna().distinct()
+        months = [r[0] for r in found.select(MONTH).distinct().collect()]
+        listed = lake.stored(by_table(table, c)).filter(F.col(MONTH).isin(months))
+        _add(lake, by_table(table, c), found, [c], MONTH, listed)
 
 
-def _add(lake: Lake, directory: str, rows: DataFrame, entry: Sequence[str], part: str) -> None:
-    touched = [r[0] for r in rows.select(part).distinct().collect()]
-    listed = lake.stored(directory).filter(F.col(part).isin(touched))
+def _add(lake: Lake, directory: str, rows: DataFrame, entry: Sequence[str], part: str, listed: DataFrame) -> None:
+    """Add the entries that are not listed."""
     missing = rows.join(listed.select(*entry, part), [*entry, part], "left_anti").persist()
     parts = [r[0] for r in missing.select(part).distinct().collect()]
     if parts:
-        lake.replace_parts(listed.filter(F.col(part).isin(parts)).unionByName(missing), directory, part, parts)
+        lake.add_rows(missing, directory, part, parts)
     missing.unpersist()
 
 

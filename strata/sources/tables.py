@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections import Counter
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -34,6 +36,10 @@ BUCKET = "part_bucket"
 
 LAYERS = ("bronze", "silver", "gold")
 
+#: Files of a partition that rows may be added to without a look at its size; with more of
+#: them, one for so many rows is enough.
+FILES, FILE_ROWS = 16, 250_000
+
 
 def month_of(at: str) -> Column:
     return F.coalesce(month_key(at), F.lit(NO_MONTH))
@@ -172,24 +178,54 @@ class Lake:
             self.spark.sql(f"ALTER TABLE {live} DROP IF EXISTS PARTITION ({part} = {value!r})")
         self.spark.catalog.refreshTable(self.name(table))
 
+    def add_rows(self, rows: DataFrame, table: str, part: str, values: Sequence[int]) -> None:
+        """Add rows that lie in the given partitions, as further files of them.
+
+        Partitions that have come to lie in many small files are written whole instead. Doing
+        it again adds the rows again: the caller knows which are there.
+        """
+        stored = self.stored(table)
+        rows = rows.select(*stored.columns)
+        crowded = self._crowded(table, part, values)
+        if crowded:
+            whole = stored.filter(F.col(part).isin(crowded)).unionByName(rows.filter(F.col(part).isin(crowded)))
+            self.replace_parts(whole, table, part, crowded)
+            rows = rows.filter(~F.col(part).isin(crowded))
+        if len(crowded) < len(values):
+            _balanced(rows, part).write.option("compression", CODEC).mode("append").insertInto(self.live(table))
+            self.spark.catalog.refreshTable(self.name(table))
+
+    def _crowded(self, table: str, part: str, values: Sequence[int]) -> list[int]:
+        """Those of the partitions that lie in more files than their rows need."""
+        def files(df: DataFrame) -> Counter[int]:
+            named = (unquote(f).rpartition("/")[0].rpartition("/")[2] for f in df.inputFiles())
+            return Counter(int(n.removeprefix(f"{part}=")) for n in named)
+
+        held = self.stored(table)
+        found = {v: n for v, n in files(held.filter(F.col(part).isin(list(values)))).items() if n > FILES}
+        counted = held.filter(F.col(part).isin(list(found))).groupBy(part).count().collect() if found else []
+        return sorted(v for v, rows in counted if found[v] > FILES + rows // FILE_ROWS)
+
     def merge(
         self, rows: DataFrame, table: str, keys: Sequence[str], held: Sequence[int], gone: DataFrame | None = None
     ) -> None:
         """Upsert rows (one per key, with their month) into a month table.
 
         `held` are the months that hold older rows of the keys; only those and the months of
-        the rows are read and rewritten. Rows of the keys of `gone` go also if `rows` has no
-        row for them.
+        the rows are read and rewritten. If there are none, the rows are added. Rows of the
+        keys of `gone` go also if `rows` has no row for them.
         """
-        months = sorted({*held, *(r[0] for r in rows.select(MONTH).distinct().collect())})
-        if not months:
+        found = [r[0] for r in rows.select(MONTH).distinct().collect()]
+        if not held:
+            if found:
+                self.add_rows(rows, table, MONTH, found)
             return
+        months = sorted({*held, *found})
         replaced = (rows if gone is None else gone).select(*keys)
         stored, others = self.stored(table), sorted({*months}.difference(held))
         kept = stored.filter(F.col(MONTH).isin(others))
-        if held:
-            older = stored.filter(F.col(MONTH).isin(list(held)))
-            kept = kept.unionByName(older.join(replaced, list(keys), "left_anti").select(kept.columns))
+        older = stored.filter(F.col(MONTH).isin(list(held)))
+        kept = kept.unionByName(older.join(replaced, list(keys), "left_anti").select(kept.columns))
         self.replace_parts(kept.unionByName(rows), table, MONTH, months)
 
 

@@ -157,3 +157,18 @@ def test_many_repeated_keys_are_all_ranked(spark, monkeypatch):
     latest = latest_version(rows(spark, "genre", given), ["genre_id"], reread=True)
     assert "Window" in latest._jdf.queryExecution().executedPlan().toString()
     assert sorted(tuple(r) for r in latest.select("genre_id", "updated_at").collect()) == [(1, T[1]), (2, T[1])]
+
+
+def test_of_many_repeated_keys_only_marked_rows_are_ranked(spark, monkeypatch):
+    """The same rows as by ranking all, and rows of lone keys stay where they are."""
+    monkeypatch.setattr("strata.operators.clean.FEW_REPEATED", 1)
+    given = [dict(genre_id=k, genre_name=str(t), updated_at=T[t], load_timestamp=T[0]) for k in range(400) for t in range(1 + k % 5 // 4)]
+    df = rows(spark, "genre", given)
+
+    def found(latest):
+        return sorted((r["genre_id"], r["genre_name"]) for r in latest.collect())
+
+    latest = latest_version(df, ["genre_id"], reread=True)
+    assert found(latest) == found(latest_version(df, ["genre_id"])) == [(k, str(k % 5 // 4)) for k in range(400)]
+    plan = latest._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and "bitmap_construct_agg" in plan

@@ -142,6 +142,28 @@ def test_month_tables(spark):
     assert ids(lake.read("silver.wishlist"), "wishlist_id") == [4]
 
 
+def test_new_rows_are_added_and_leave_files_alone(spark, monkeypatch):
+    """A month that gets new keys only is not written again, until it lies in many small files."""
+    monkeypatch.setattr("strata.sources.tables.FILES", 3)
+    lake = Lake(spark, "nr_")
+
+    def batch(i):
+        given = with_lineage(lookups(spark, (i, i, 1, T[0], T[1], T[0])), T[0], "s")
+        return given.withColumn(MONTH, month_of("added_date"))
+
+    lake.publish(batch(0).drop(MONTH), "silver.wishlist", MONTH, month_of("added_date"))
+    files = []
+    for i in range(1, 6):
+        lake.merge(batch(i), "silver.wishlist", ["wishlist_id"], [])
+        files.append(set(lake.stored("silver.wishlist").inputFiles()))
+        assert ids(lake.read("silver.wishlist"), "wishlist_id") == list(range(i + 1))
+    assert files[0] < files[1] < files[2] and len(files[2]) == 4
+    assert not files[2] & files[3] and len(files[3]) == 1
+    assert files[3] < files[4]
+    lake.merge(batch(2), "silver.wishlist", ["wishlist_id"], [202401])  # made again after a failure
+    assert ids(lake.read("silver.wishlist"), "wishlist_id") == list(range(6))
+
+
 def test_snapshot_tables_can_read_themselves(spark):
     lake = Lake(spark, "st_")
     lake.publish(spark.range(3), "gold.numbers")
