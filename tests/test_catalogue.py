@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from strata.catalogue import checks, queries as catalogue
+from strata.catalogue.queries import Warehouse
 from strata.catalogue.sources import GIVEN_TABLES
 from strata.specs import TABLES
 
@@ -55,3 +56,32 @@ def test_two_loads_end_like_one(table, spark):
     names = TABLES[table].business_columns
     one, two = (sorted(map(tuple, QUERIES[q](spark, SF).select(*names).collect()), key=repr) for q in (f"silver_{table}", f"silver_{table}_incremental"))
     assert one == two and one
+
+
+def test_lone_keys_of_one_given_table_are_not_ranked(spark, tmp_path):
+    """Payments are a scan of the orders: their keys are counted, and no row moves."""
+    orders = spark.sql(
+        "SELECT id AS o_orderkey, id % 5 AS o_custkey, 'F' AS o_orderstatus, 10.0D AS o_totalprice,"
+        " TIMESTAMP_NTZ '1995-01-01 00:00:00' AS o_orderdate, '1-URGENT' AS o_orderpriority FROM range(20)"
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    payments = Warehouse(spark, str(tmp_path)).silver("payment")["payment"]
+    assert "Window" not in payments._jdf.queryExecution().executedPlan().toString()
+    assert payments.count() == 20
+
+
+def test_bronze_of_a_join_is_written_once_for_two_loads(spark, tmp_path):
+    for table, text in {
+        "orders": "SELECT id AS o_orderkey, id % 5 AS o_custkey, TIMESTAMP_NTZ '1995-01-01 00:00:00' AS o_orderdate FROM range(4)",
+        "lineitem": "SELECT id % 4 AS l_orderkey, int(id div 8) AS l_linenumber, 1L AS l_partkey, 1L AS l_suppkey, 10.0D AS l_quantity,"
+        " 5.0D AS l_extendedprice, 0.1D AS l_tax, 'R' AS l_returnflag, 'O' AS l_linestatus,"
+        " TIMESTAMP_NTZ '1995-02-01 00:00:00' AS l_shipdate FROM range(12)",
+    }.items():
+        spark.sql(text).write.parquet(str(tmp_path / f"{table}.parquet"))
+    whole = Warehouse(spark, str(tmp_path))
+    whole.land("rental", "payment")
+    for load in (whole, whole.before("2030-01-01 00:00:00")):
+        rentals = load.silver("rental")["rental"]
+        assert not any(f.endswith("lineitem.parquet") or "lineitem.parquet/" in f for f in rentals.inputFiles())
+        assert rentals.count() == 8
+    assert whole.before("2019-01-01 00:00:00").silver("rental")["rental"].count() == 0
