@@ -208,6 +208,30 @@ def test_merges_read_listed_months_only(spark, monkeypatch):
         assert {tuple(r) for r in rows_of.select(*of).collect()} <= listed
 
 
+def test_rows_added_before_a_failure_are_there_once(spark, monkeypatch):
+    """New keys are added as further files; a load that failed behind any of them is made again."""
+    stamps = {"load_timestamp": F.lit(None).cast("timestamp_ntz"), "source_system": F.lit("x")}
+    wishes = lambda *given: table(spark, "wishlist", list(given)).withColumns(stamps)
+    name, new = "silver.wishlist", [wish(7, 8, day(2), day(3)), wish(8, 9, day(2), day(4))]
+    for n, failing in enumerate((keys_table(name), by_table(name, "content_id"), name)):
+        lake = Lake(spark, f"added{n}_")
+        merge_silver(lake, "wishlist", wishes(wish(1, 1, day(1), day(3))), -1, 0)
+
+        def then_fail(self, rows, t, *rest, write=Lake.add_rows, failing=failing):
+            write(self, rows, t, *rest)
+            if t == failing:
+                raise OSError("lost")
+
+        with monkeypatch.context() as patched:
+            patched.setattr(Lake, "add_rows", then_fail)
+            with pytest.raises(OSError):
+                merge_silver(lake, "wishlist", wishes(*new), 0, 1)
+        merge_silver(lake, "wishlist", wishes(*new), 0, 1)
+        assert sorted(r["wishlist_id"] for r in lake.read(name).collect()) == [1, 7, 8], failing
+        assert sorted(tuple(r) for r in lake.stored(keys_table(name)).select("wishlist_id", AT).collect()) == [(1, 202403), (7, 202403), (8, 202404)]
+        assert sorted((r["wishlist_id"], r["_sign"]) for r in lake.stored(f"{name}__changes").collect()) == [(7, 1), (8, 1)], failing
+
+
 def test_late_keys_open_listed_months_or_nothing(spark, small):
     lake = Lake(spark, "late_")
     source = lambda t: table(spark, t, FIRST if t == "rental" else small[t])
