@@ -164,6 +164,27 @@ def test_new_rows_are_added_and_leave_files_alone(spark, monkeypatch):
     assert ids(lake.read("silver.wishlist"), "wishlist_id") == list(range(6))
 
 
+def test_rows_of_large_tables_are_written_where_they_are(spark, monkeypatch):
+    """A large table is written by as many tasks as it has rows for, without moving its rows."""
+    monkeypatch.setattr("strata.sources.tables.TASK_ROWS", 100)
+    rows = spark.range(0, 1200, 1, 24).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, F.lit(202401)).otherwise(202402).alias("m"))
+    few = Lake(spark, "lw_", bucket_rows=1_000_000)
+    large = Lake(spark, "lw_", bucket_rows=300)
+    for lake, tasks in ((few, range(1, 3)), (large, range(12, 13))):
+        lake.publish(rows, "gold.t", MONTH, F.col("m"), about=1200)
+        files = [f for f in lake.stored("gold.t").inputFiles() if "202401" in f]
+        assert len(files) in tasks
+        # rows replaced by themselves, and one month that loses its rows
+        again = lake.stored("gold.t").filter("m = 202401")
+        lake.replace_parts(again, "gold.t", MONTH, [202401, 202402], about=1200)
+        assert ids(lake.read("gold.t"), "k") == [*range(0, 1200, 3)]
+    large.publish_buckets(rows.drop("m"), "gold.b", ["k"], 1200)
+    assert large.buckets("gold.b") == 4 and ids(large.read("gold.b"), "k") == [*range(1200)]
+    monkeypatch.setattr("strata.sources.tables.MOST_BUCKETS", 2)
+    large.publish_buckets(rows.drop("m"), "gold.b", ["k"], 1200)
+    assert len(large.read("gold.b").inputFiles()) == 4  # one each, so that they do not get too small
+
+
 def test_snapshot_tables_can_read_themselves(spark):
     lake = Lake(spark, "st_")
     lake.publish(spark.range(3), "gold.numbers")
