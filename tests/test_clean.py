@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strata.functions import (
     date_key, lower_text, month_key, month_start, non_negative, title_text, trimmed_text, upper_text, within,
 )
-from strata.operators.clean import clean, latest_version
+from strata.operators.clean import clean, latest_of_repeated, latest_version, newest_first, rows_of_keys
 from strata.operators.measures import average
 from strata.plans.silver import silver_incremental
 from strata.specs import TABLES
@@ -172,3 +172,36 @@ def test_of_many_repeated_keys_only_marked_rows_are_ranked(spark, monkeypatch):
     assert found(latest) == found(latest_version(df, ["genre_id"])) == [(k, str(k % 5 // 4)) for k in range(400)]
     plan = latest._jdf.queryExecution().optimizedPlan().toString()
     assert plan.startswith("Union") and "bitmap_construct_agg" in plan
+
+
+@pytest.mark.parametrize("few, many", [(100, 100), (1, 100), (1, 2)])
+def test_rows_of_keys_are_told_apart_without_moving(spark, monkeypatch, few, many):
+    """All rows of the wanted keys are on one side, each row is on one of them, whatever
+    integer type the wanted keys have."""
+    monkeypatch.setattr("strata.operators.clean.FEW_REPEATED", few)
+    monkeypatch.setattr("strata.operators.clean.MANY_REPEATED", many)
+    df = spark.range(400).select(F.col("id").alias("k"), (F.col("id") % 2).alias("part"), F.lit("v").alias("v"))
+    df = df.unionByName(df)
+    wanted = spark.createDataFrame([(i, i % 2) for i in (3, 3, 8, 390, 401)], "k int, part bigint")
+    touched, others = rows_of_keys(df, ["k", "part"], wanted)
+    left, right = ([r["k"] for r in side.collect()] for side in (touched, others))
+    assert sorted(left + right) == sorted([*range(400)] * 2)
+    assert {3, 8, 390} <= set(left) and not set(left) & set(right)
+    if many > 2:
+        assert len(left) < 80
+        plan = others._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_ranked_rows_are_kept_apart_from_lone_ones(spark):
+    """Only the rows that were ranked go to `kept`."""
+    given = [dict(genre_id=k, genre_name=str(t), updated_at=T[t], load_timestamp=T[0]) for k, t in [(1, 0), (2, 0), (2, 1)]]
+    seen = []
+
+    def kept(ranked):
+        seen.append([(r["genre_id"], r["genre_name"]) for r in ranked.collect()])
+        return ranked
+
+    latest = latest_of_repeated(rows(spark, "genre", given), ["genre_id"], newest_first(), kept)
+    assert sorted((r["genre_id"], r["genre_name"]) for r in latest.collect()) == [(1, "0"), (2, "1")]
+    assert seen == [[(2, "1")]]
