@@ -546,7 +546,12 @@ def fact_recomputed(
 
 
 def fact_without(name: str, fact: DataFrame, affected: DataFrame, dims: Frames) -> DataFrame:
-    """The fact rows whose natural key is not affected.
+    """The fact rows whose natural key is not affected."""
+    return fact_split(name, fact, affected, dims)[0]
+
+
+def fact_split(name: str, fact: DataFrame, affected: DataFrame, dims: Frames) -> tuple[DataFrame, DataFrame]:
+    """The fact rows whose natural key is not affected, and those whose key is.
 
     The natural key decides: a row that points at another version of the same customer,
     title or item than the recomputed row is still replaced. Only the versions of affected
@@ -560,8 +565,8 @@ def fact_without(name: str, fact: DataFrame, affected: DataFrame, dims: Frames)
     gone = gone.join(dims[dim].select(surrogate, natural), natural).drop(natural)
     gone = stage(gone)
     touched, others = rows_of_keys(fact, gone.columns, gone)
-    kept = touched.join(gone, gone.columns, "left_anti")
-    return others.select(*fact.columns).unionByName(kept.select(*fact.columns))
+    kept, old = (touched.join(gone, gone.columns, how).select(*fact.columns) for how in ("left_anti", "left_semi"))
+    return others.select(*fact.columns).unionByName(kept), old
 
 
 def fact_incremental(

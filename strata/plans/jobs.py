@@ -17,6 +17,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import ExitStack
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from strata.plans.facts import (
     fact_of_state,
     fact_state,
     fact_states,
-    fact_without,
+    fact_split,
     new_natural_keys,
     of_affected,
     placed_items,
@@ -41,6 +42,7 @@ from strata.plans.facts import (
 from strata.plans.silver import silver_full
 from strata.plans.stored import (
     RETURNS,
+    SIGN,
     changes_between,
     merge_dimension,
     merge_silver,
@@ -118,6 +120,11 @@ def _each(lake: Lake, names: Iterable[str], load: Callable[[str], Marks], settin
         done.result()
 
 
+def _events_first(settings: Settings) -> list[str]:
+    """The tables to load; those of events, which take longest, do not begin when others end."""
+    return sorted(settings.tables, key=lambda t: not TABLES[t].events)
+
+
 def _newest_of(df: DataFrame) -> tuple[DataFrame, Callable[[], datetime]]:
     """The rows, and after they were written once, the newest change among them."""
     seen = Observation()
@@ -151,7 +158,7 @@ def bronze_full_load(lake: Lake, source: Source, run_ts: str, settings: Settings
         lake.publish(rows, name, RUN, F.lit(last + 1).cast("bigint"), balanced=False)
         return {name: Mark(newest(), last + 1), f"silver.{table}": Mark(NEVER, last)}
 
-    _each(lake, settings.tables, load, settings)
+    _each(lake, _events_first(settings), load, settings)
 
 
 def _undated_changes(lake: Lake, rows: DataFrame, table: str) -> DataFrame:
@@ -178,11 +185,11 @@ def bronze_incremental_load(lake: Lake, source: Source, run_ts: str, settings: S
         if without:
             delta = delta.unionByName(_undated_changes(lake, rows.filter(undated()), table))
         delta, newest = _newest_of(with_lineage(delta, run_ts, settings.source_system))
-        lake.put_part(delta, name, RUN, run, balanced=found < lake.bucket_rows)
+        lake.put_part(delta, name, RUN, run, found < lake.bucket_rows)
         rows.unpersist()
         return {name: Mark(max(mark.at, newest()), run)}
 
-    _each(lake, settings.tables, load, settings)
+    _each(lake, _events_first(settings), load, settings)
 
 
 def bronze_backfill(
@@ -216,11 +223,12 @@ def bronze_backfill(
             return {name: Mark(newest(), run)}
         held = lake.stored(name)
         runs = [r[0] for r in held.filter(in_window(column, start, end)).select(RUN).distinct().collect()]
-        kept = replace_window(held.filter(F.col(RUN).isin(runs)), extract.withColumn(RUN, own), start, end)
-        lake.replace_parts(kept, name, RUN, [*runs, run])
+        held = held.filter(F.col(RUN).isin(runs))
+        kept = replace_window(held, extract.withColumn(RUN, own), start, end)
+        lake.replace_parts(kept, name, RUN, [*runs, run], held.count() < lake.bucket_rows)
         return {name: Mark(max(mark.at, newest()), run)}
 
-    _each(lake, settings.tables, load, settings)
+    _each(lake, _events_first(settings), load, settings)
 
 
 # --- silver -----------------------------------------------------------------------------
@@ -235,7 +243,7 @@ def silver_full_load(lake: Lake, settings: Settings) -> None:
         newest = stored.get(f"bronze.{table}", Mark())
         return {f"silver.{table}": newest, _whole(table): newest}
 
-    _each(lake, settings.tables, load, settings)
+    _each(lake, _events_first(settings), load, settings)
 
 
 def _whole(table: str) -> str:
@@ -260,7 +268,7 @@ def silver_incremental_load(lake: Lake, settings: Settings) -> None:
         merge_silver(lake, table, batch, mark.load, newest.load)
         return {f"silver.{table}": newest}
 
-    _each(lake, settings.tables, load, settings)
+    _each(lake, _events_first(settings), load, settings)
 
 
 # --- gold -------------------------------------------------------------------------------
@@ -419,23 +427,26 @@ def _log_changes(lake: Lake, name: str, stored: Marks, settings: Settings) -> Ma
 def _add_log(lake: Lake, name: str, part: str, applied: int, number: int) -> DataFrame:
     """Add the logged sums after `applied` to the stored ones; the keys that they are of.
 
-    Stored sums that none are added to stay where they are, up to writing them again.
+    Stored sums that none are added to stay where they are, up to writing them again. Months
+    in which all that is added comes to nothing, as after a load of the same rows, are left.
     """
     keys, measures = STATES[name][part]
     if not lake.exists(_log_table(name, part)):
         return lake.read(_sums(name, part)).select(*keys).limit(0)
     pending = lake.stored(_log_table(name, part)).filter(F.col(RUN) > applied)
-    changed = stage(pending.select(*keys).distinct())
-    months = [r[0] for r in changed.select(_key_month(name, part)).distinct().collect()]
+    adds = reduce(lambda a, b: a | b, [F.coalesce(F.col(m), F.lit(0)) != 0 for m in measures])
+    logged = stage(pending.groupBy(*keys).agg(F.max(adds).alias("_adds")))
+    changed, moved = logged.select(*keys), logged.filter("_adds").select(*keys)
+    months = [r[0] for r in moved.select(_key_month(name, part)).distinct().collect()]
     if months:
         held = lake.stored(_sums(name, part)).filter(F.col(MONTH).isin(months))
-        touched, others = rows_of_keys(held, keys, changed)
+        touched, others = rows_of_keys(held, keys, moved)
         known = touched.select(*keys, UPTO)
-        new = pending.join(known, list(keys), "left").filter(F.col(RUN) > F.coalesce(UPTO, F.lit(applied)))
+        new = pending.filter(adds).join(known, list(keys), "left").filter(F.col(RUN) > F.coalesce(UPTO, F.lit(applied)))
         new = new.select(*keys, *measures, F.lit(number).cast("bigint").alias(UPTO), _key_month(name, part).alias(MONTH))
         every = touched.unionByName(new).groupBy(*keys, MONTH)
         added = every.agg(*[F.sum(m).cast(t).alias(m) for m, t in measures.items()], F.max(UPTO).alias(UPTO))
-        lake.replace_parts(others.unionByName(added), _sums(name, part), MONTH, months, about=held.count())
+        lake.replace_parts(others.unionByName(added), _sums(name, part), MONTH, months)
     return changed
 
 
@@ -483,13 +494,21 @@ def _items_of(items: DataFrame, named: DataFrame) -> DataFrame:
     return rows_of_keys(items, ["inventory_id"], named)[0]
 
 
+def _months_that_differ(old: DataFrame, new: DataFrame) -> list[int]:
+    """The months in which two sets of fact rows are not the same."""
+    signed = old.withColumn(SIGN, F.lit(-1)).unionByName(new.withColumn(SIGN, F.lit(1)))
+    changed = signed.groupBy(*old.columns).agg(F.sum(SIGN).alias(SIGN)).filter(F.col(SIGN) != 0)
+    return [r[0] for r in changed.select(MONTH).distinct().collect()]
+
+
 def _refresh_fact(
     lake: Lake, name: str, silver: dict[str, DataFrame], marks: Marks, run_ts: str, settings: Settings
 ) -> Marks:
     """Add the logged changes to the stored sums and make the rows of their keys anew.
 
     No event is read but those of the change feeds, whose sums were logged. Only the months
-    of the changed keys are rewritten; their numbers and the number of keys come to the driver.
+    of the changed keys are read, and those rewritten in which a row made anew is another than
+    before; their numbers and the number of keys come to the driver.
     """
     mark, number = marks[f"gold.{name}"], marks[_logged(name)].load
     dims = _dims(lake)
@@ -509,14 +528,18 @@ def _refresh_fact(
         months = [r["m"] for r in found]
         small = sum(r["count"] for r in found) <= settings.broadcast_keys
         wanted = F.broadcast(affected) if small else affected
-        held = lake.stored(f"gold.{name}").filter(F.col(MONTH).isin(months)).drop(MONTH)
+        held = lake.stored(f"gold.{name}").filter(F.col(MONTH).isin(months))
         sums = {part: _stored_sums(lake, name, part, months) for part in STATES[name]}
         items = _items_of(silver["inventory_item"], sums["items"]) if "items" in sums else None
         state = fact_state(name, sums, items).join(wanted, keys, "left_semi")
         new = fact_of_state(name, state, *of_affected(name, silver, dims, affected, small))
-        rows = fact_without(name, held, affected, dims).unionByName(new.select(*held.columns))
-        rows = rows.withColumn(MONTH, _fact_month(name))
-        lake.replace_parts(rows, f"gold.{name}", MONTH, months, about=held.count())
+        new = new.withColumn(MONTH, _fact_month(name)).select(*held.columns).persist()
+        kept, old = fact_split(name, held, affected, dims)
+        differing = _months_that_differ(old, new)
+        if differing:
+            here = F.col(MONTH).isin(differing)
+            lake.replace_parts(kept.filter(here).unionByName(new.filter(here)), f"gold.{name}", MONTH, differing)
+        new.unpersist()
     return {f"gold.{name}": Mark(datetime.fromisoformat(run_ts), number)}
 
 
@@ -575,6 +598,6 @@ def backfill(
         merge_silver(lake, table, batch(table), loads[0], loads[1] + 1)
         return {}
 
-    _each(lake, settings.tables, merge, settings)
+    _each(lake, _events_first(settings), merge, settings)
     silver_incremental_load(lake, settings)
     gold_incremental_load(lake, run_ts, settings)

@@ -119,8 +119,8 @@ def _feed(lake: Lake, table: str, batch: DataFrame, held: Sequence[int], since:
     if runs:
         before = before.unionByName(feed.filter(F.col(SIGN) < 0))
     signed = before.unionByName(now.select(before.columns)).withColumn(RUN, F.lit(load).cast("bigint"))
-    large = {"balanced": False} if about >= lake.bucket_rows else {}
-    lake.replace_parts(signed, feed_table(table), RUN, [*runs, load], **large)
+    where_they_are = [False] if about >= lake.bucket_rows else []
+    lake.replace_parts(signed, feed_table(table), RUN, [*runs, load], *where_they_are)
 
 
 def publish_silver(lake: Lake, table: str, rows: DataFrame, about: int) -> None:
@@ -147,8 +147,10 @@ def merge_silver(lake: Lake, table: str, batch: DataFrame, since: int, load: int
         publish_silver(lake, table, batch, batch.count())
         batch.unpersist()
         return
-    batch = batch.persist()
-    about = batch.count()
+    held = batch.persist()
+    about = held.count()
+    # Each step of a merge reads the batch: a small one in few tasks.
+    batch = held.coalesce(lake.spark.sparkContext.defaultParallelism) if about < lake.bucket_rows else held
     if about:
         if TABLES[table].events:
             for layout in layouts(table):
@@ -158,7 +160,7 @@ def merge_silver(lake: Lake, table: str, batch: DataFrame, since: int, load: int
                 layout.merge(lake, batch, since, load, about)
         else:
             lake.merge_buckets(batch, name, TABLES[table].keys)
-    batch.unpersist()
+    held.unpersist()
 
 
 # --- dimensions -------------------------------------------------------------------------

@@ -44,6 +44,9 @@ FILES, FILE_ROWS = 16, 50_000
 #: so many rows or more, unless it lies in more than so many buckets: files would be too small.
 LARGE, TASK_ROWS, MOST_BUCKETS = 4, 4_000_000, 256
 
+#: Shuffled bytes of a partition up to which a join keeps one side of it in memory.
+HASHED = "64m"
+
 
 def month_of(at: str) -> Column:
     return F.coalesce(month_key(at), F.lit(NO_MONTH))
@@ -77,6 +80,8 @@ class Lake:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         # Shuffle files go when their query ends, not when the driver's memory is next cleared.
         spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+        # Joins whose shuffled partitions are all small (AQE sees them) hash one side, sorting none.
+        spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", HASHED)
         for layer in LAYERS:
             at = f" LOCATION '{folder}/{prefix}{layer}'" if folder else ""
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer}{at}")
@@ -173,7 +178,7 @@ class Lake:
         """Make `df` the content of one numbered partition; the first one makes the table."""
         number = F.lit(value).cast("bigint")
         if self.exists(table):
-            self.replace_parts(df.withColumn(part, number), table, part, [value], balanced)
+            self.replace_parts(df.withColumn(part, number), table, part, [value], *([] if balanced else [False]))
         else:
             self.publish(df, table, part, number, balanced=balanced)
 
@@ -181,12 +186,14 @@ class Lake:
         self, df: DataFrame, table: str, part: str, values: Sequence[object], balanced: bool = True, about: int = 0
     ) -> None:
         """Make `df`, of about so many rows, the content of the given partitions; it may read
-        them and lies inside them.
+        them and lies inside them. Without a number it counts as large if they are.
 
         Which partitions got rows is observed during the write; the others are dropped.
         """
-        written, live = Observation(), self.live(table)
-        rows = df.select(*self.stored(table).columns).observe(written, F.collect_set(part).alias("parts"))
+        written, live, stored = Observation(), self.live(table), self.stored(table)
+        if balanced and not about:
+            about = stored.filter(F.col(part).isin(list(values))).count()
+        rows = df.select(*stored.columns).observe(written, F.collect_set(part).alias("parts"))
         rows = self._placed(rows, part, about) if balanced else rows
         rows.write.option("compression", CODEC).mode("overwrite").insertInto(live)
         for value in set(values) - set(observed(written).get("parts") or []):

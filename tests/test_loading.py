@@ -185,6 +185,28 @@ def test_rows_of_large_tables_are_written_where_they_are(spark, monkeypatch):
     assert len(large.read("gold.b").inputFiles()) == 4  # one each, so that they do not get too small
 
 
+def test_large_partitions_are_replaced_where_the_rows_are(spark, monkeypatch):
+    """How many rows they have is counted if it is not said."""
+    monkeypatch.setattr("strata.sources.tables.TASK_ROWS", 50)
+    lake = Lake(spark, "lp_", bucket_rows=100)
+    lake.publish(spark.range(0, 800, 1, 24).withColumn("v", F.lit(1)), "gold.t", MONTH, F.col("id") % 2)
+    lake.replace_parts(spark.range(0, 800, 1, 24).filter("id % 2 = 1").select("id", F.lit(2).alias("v"), F.lit(1).alias(MONTH)), "gold.t", MONTH, [1])
+    assert len(lake.stored("gold.t").filter(F.col(MONTH) == 1).inputFiles()) == 8
+    assert sorted(tuple(r) for r in lake.read("gold.t").collect()) == [(i, 1 + i % 2) for i in range(800)]
+
+
+def test_joins_of_small_partitions_sort_none(spark, monkeypatch):
+    Lake(spark, "hj_")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        both = spark.range(1000).join(spark.range(500, 1500).withColumnRenamed("id", "k"), F.col("id") == F.col("k"))
+        assert len(both.collect()) == 500
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan.partition("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_snapshot_tables_can_read_themselves(spark):
     lake = Lake(spark, "st_")
     lake.publish(spark.range(3), "gold.numbers")
