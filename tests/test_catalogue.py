@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 from strata.catalogue import checks, queries as catalogue
-from strata.catalogue.queries import Warehouse
+from strata.catalogue.queries import Warehouse, source_without_ties, written_source
 from strata.catalogue.sources import GIVEN_TABLES
 from strata.specs import TABLES
 
@@ -85,3 +85,16 @@ def test_bronze_of_a_join_is_written_once_for_two_loads(spark, tmp_path):
         assert not any(f.endswith("lineitem.parquet") or "lineitem.parquet/" in f for f in rentals.inputFiles())
         assert rentals.count() == 8
     assert whole.before("2019-01-01 00:00:00").silver("rental")["rental"].count() == 0
+
+
+def test_a_source_that_comes_of_a_join_is_joined_once(spark, tmp_path):
+    for table, text in {
+        "orders": "SELECT id AS o_orderkey, id % 5 AS o_custkey, TIMESTAMP_NTZ '1995-01-01 00:00:00' AS o_orderdate FROM range(4)",
+        "lineitem": "SELECT id % 4 AS l_orderkey, int(id div 8) AS l_linenumber, 1L AS l_partkey, 1L AS l_suppkey, 10.0D AS l_quantity,"
+        " 5.0D AS l_extendedprice, 0.1D AS l_tax, 'R' AS l_returnflag, 'O' AS l_linestatus,"
+        " TIMESTAMP_NTZ '1995-02-01 00:00:00' AS l_shipdate FROM range(12)",
+    }.items():
+        spark.sql(text).write.parquet(str(tmp_path / f"{table}.parquet"))
+    for rentals in (source_without_ties(spark, str(tmp_path), "rental"), written_source(spark, str(tmp_path))("rental")):
+        assert not any("lineitem.parquet" in f for f in rentals.inputFiles())
+        assert sorted(r["rental_id"] for r in rentals.collect()) == [0, 1, 10, 11, 20, 21, 30, 31]
